@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattline.operators.windows import carry_valid, epoch_seconds
+from wattline.operators.windows import carry_valid, epoch_micros
 
 
 def asof_join(
@@ -47,8 +47,8 @@ def asof_join(
     elif direction == "forward":
         pick = nxt["v"]
     elif direction == "nearest":
-        d_prev = epoch_seconds(on) - epoch_seconds(prev["t"])
-        d_next = epoch_seconds(nxt["t"]) - epoch_seconds(on)
+        d_prev = epoch_micros(on) - epoch_micros(prev["t"])
+        d_next = epoch_micros(nxt["t"]) - epoch_micros(on)
         pick = F.when(nxt.isNull(), prev["v"]).when(prev.isNull(), nxt["v"]).when(
             d_prev <= d_next, prev["v"]).otherwise(nxt["v"])
     else:
@@ -104,12 +104,12 @@ def attach_group_mean(df: DataFrame, value: str, group: Sequence[str], out: str,
                       fit: DataFrame | None = None) -> DataFrame:
     """Group mean of ``value`` attached to each row.
 
-    In-sample (``fit`` is None): a window over the group.  Fitted on another
-    frame: aggregate there and join by key (left join keeps unseen groups).
+    The means are aggregated (partial aggregation map-side, one small row
+    per group) on ``fit`` -- the frame itself when None (in-sample) -- and
+    joined back by key; a left join keeps groups unseen in ``fit``.  Unlike
+    a window over the group, no row is shuffled by a possibly hot key.
     """
-    if fit is None:
-        return df.withColumn(out, F.avg(value).over(Window.partitionBy(*group)))
-    means = fit.groupBy(*group).agg(F.avg(value).alias(out))
+    means = (df if fit is None else fit).groupBy(*group).agg(F.avg(value).alias(out))
     return df.join(means, on=list(group), how="left")
 
 

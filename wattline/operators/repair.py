@@ -24,14 +24,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattline import config as C
-from wattline.operators.windows import carry_valid, drop_carry, epoch_seconds
+from wattline.operators.windows import carry_valid, drop_carry, epoch_micros
 
 
 def _interp(c: str, ts: str, limit: int, method: str) -> Column:
     prev, nxt, rn = F.col(f"_prev_{c}"), F.col(f"_next_{c}"), F.col("_rn")
     if method == "time":
-        num = epoch_seconds(ts) - epoch_seconds(prev["t"])
-        den = epoch_seconds(nxt["t"]) - epoch_seconds(prev["t"])
+        num = (epoch_micros(ts) - epoch_micros(prev["t"])).cast("double")
+        den = (epoch_micros(nxt["t"]) - epoch_micros(prev["t"])).cast("double")
     elif method == "linear":
         num = (rn - prev["rn"]).cast("double")
         den = (nxt["rn"] - prev["rn"]).cast("double")

@@ -39,6 +39,12 @@ def hour_index(ts: str | Column) -> Column:
     return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(_US_PER_HOUR)).cast("long")
 
 
+def epoch_micros(ts: str | Column) -> Column:
+    """Microseconds since epoch as long (exact differences)."""
+    c = F.col(ts) if isinstance(ts, str) else ts
+    return F.unix_micros(c.cast("timestamp"))
+
+
 def epoch_seconds(ts: str | Column) -> Column:
     """Seconds since epoch as double (microsecond precision)."""
     c = F.col(ts) if isinstance(ts, str) else ts
@@ -92,6 +98,7 @@ def carry_valid(
     tiebreak: Sequence[str] = (),
     bucket_hours: int = 720,
     bucket_col: str = "_cb",
+    strict: bool = False,
 ) -> DataFrame:
     """For each ``name -> expr`` add ``_prev_<name>`` / ``_next_<name>``.
 
@@ -101,14 +108,16 @@ def carry_valid(
     of that row within its key in ``(ts, *tiebreak)`` order.  ``_rn`` is the
     current row's number.  The bucket column is kept (``bucket_col``) so
     that a following pass on the same keys reuses the partitioning.
+    ``strict=True`` excludes the current row (previous / next *other* row).
     """
     order = [F.col(ts), *[F.col(c) for c in tiebreak]]
     if bucket_col not in df.columns:
         df = df.withColumn(bucket_col, F.floor(hour_index(ts) / F.lit(bucket_hours)).cast("long"))
     part = [*keys, bucket_col]
     w = Window.partitionBy(*part).orderBy(*order)
-    w_back = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    w_fwd = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    edge = 1 if strict else 0
+    w_back = w.rowsBetween(Window.unboundedPreceding, Window.currentRow - edge)
+    w_fwd = w.rowsBetween(Window.currentRow + edge, Window.unboundedFollowing)
     lp = F.col("_lp")
 
     local = df.withColumn("_lp", F.row_number().over(w).cast("long"))
@@ -121,10 +130,11 @@ def carry_valid(
     local = materialize(local.select("*", *cols))
 
     # One row per (key, bucket): row count and the last / first valid entry.
+    packs = {n: F.when(e.isNotNull(), _pack(lp, F.col(ts), e)) for n, e in values.items()}
     summary = local.groupBy(*part).agg(
         F.max("_lp").alias("_n"),
-        *[F.max(F.col(f"_pv_{n}")).alias(f"_sl_{n}") for n in values],
-        *[F.min(F.col(f"_nv_{n}")).alias(f"_sf_{n}") for n in values],
+        *[F.max(packs[n]).alias(f"_sl_{n}") for n in values],
+        *[F.min(packs[n]).alias(f"_sf_{n}") for n in values],
     )
     ws = Window.partitionBy(*keys).orderBy(bucket_col)
     before = ws.rowsBetween(Window.unboundedPreceding, -1)
