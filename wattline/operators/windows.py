@@ -117,7 +117,11 @@ def carry_valid(
     w = Window.partitionBy(*part).orderBy(*order)
     edge = 1 if strict else 0
     w_back = w.rowsBetween(Window.unboundedPreceding, Window.currentRow - edge)
-    w_fwd = w.rowsBetween(Window.currentRow + edge, Window.unboundedFollowing)
+    # "next valid" as the last valid in reversed order: a growing frame that
+    # Spark updates incrementally (a shrinking unbounded-following frame is
+    # re-aggregated for every row, O(n^2) per partition).
+    w_rev = Window.partitionBy(*part).orderBy(*[c.desc() for c in order])
+    w_fwd = w_rev.rowsBetween(Window.unboundedPreceding, Window.currentRow - edge)
     lp = F.col("_lp")
 
     local = df.withColumn("_lp", F.row_number().over(w).cast("long"))
@@ -125,7 +129,7 @@ def carry_valid(
     for name, expr in values.items():
         packed = F.when(expr.isNotNull(), _pack(lp, F.col(ts), expr))
         cols.append(F.last(packed, ignorenulls=True).over(w_back).alias(f"_pv_{name}"))
-        cols.append(F.first(packed, ignorenulls=True).over(w_fwd).alias(f"_nv_{name}"))
+        cols.append(F.last(packed, ignorenulls=True).over(w_fwd).alias(f"_nv_{name}"))
     # referenced twice below (summary + join-back): cut lineage once here
     local = materialize(local.select("*", *cols))
 
@@ -138,7 +142,7 @@ def carry_valid(
     )
     ws = Window.partitionBy(*keys).orderBy(bucket_col)
     before = ws.rowsBetween(Window.unboundedPreceding, -1)
-    after = ws.rowsBetween(1, Window.unboundedFollowing)
+    after = Window.partitionBy(*keys).orderBy(F.col(bucket_col).desc()).rowsBetween(Window.unboundedPreceding, -1)
     summary = summary.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("long"))
     glob = []
     for n in values:
@@ -149,7 +153,7 @@ def carry_valid(
     carries = []
     for n in values:
         carries.append(F.last(f"_gl_{n}", ignorenulls=True).over(before).alias(f"_ci_{n}"))
-        carries.append(F.first(f"_gf_{n}", ignorenulls=True).over(after).alias(f"_co_{n}"))
+        carries.append(F.last(f"_gf_{n}", ignorenulls=True).over(after).alias(f"_co_{n}"))
     summary = summary.select(*part, "_off", *carries)
 
     s = summary.alias("_s")
