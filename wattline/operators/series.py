@@ -19,3 +19,56 @@ def time_diff(df: DataFrame, keys: Sequence[str] = ("plant_name",), ts: str = "t
     prev = F.col("_prev_t")
     dt = (epoch_micros(ts) - epoch_micros(prev["t"])).cast("double") / F.lit(1e6)
     return drop_carry(carried.withColumn(out, F.when(prev.isNotNull(), dt)))
+
+
+def row_index(df: DataFrame, keys: Sequence[str] = ("plant_name",), ts: str = "timestamp",
+              tiebreak: Sequence[str] = (), out: str = "rn",
+              bucket_hours: int = C.Defaults().carry_bucket_hours) -> DataFrame:
+    """1-based position of each row within its key in time order.
+
+    Computed per (key, time bucket) plus per-bucket offsets, so no task holds
+    a whole key."""
+    carried = carry_valid(df, keys, ts, {"t": F.col(ts)}, tiebreak, bucket_hours)
+    rn = F.col("_rn")
+    return drop_carry(carried.withColumn("_keep_rn", rn)).withColumnRenamed("_keep_rn", out)
+
+
+def lag_rows(df: DataFrame, col: str, n: int, keys: Sequence[str] = ("plant_name",), rn: str = "rn",
+             out: str | None = None) -> DataFrame:
+    """Value of ``col`` ``n`` rows earlier (row positions from :func:`row_index`).
+
+    An equi-join on ``(key, rn)``: rows spread evenly over partitions, so a
+    hot key is not a hot task."""
+    out = out or f"{col}_lag{n}"
+    prev = df.select(*keys, (F.col(rn) + F.lit(n)).alias(rn), F.col(col).alias(out))
+    return df.join(prev, on=[*keys, rn], how="left")
+
+
+def split_chronological(df: DataFrame, keys: Sequence[str] = ("plant_name",), rn: str = "rn",
+                        train: float = 0.7, val: float = 0.2) -> DataFrame:
+    """``split`` = train / val / test by position: first floor(n*train) rows,
+    next floor(n*val), rest (per key)."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    j = df.join(counts, on=list(keys), how="left")
+    n_tr = F.floor(F.col("_n") * F.lit(train))
+    n_va = F.floor(F.col("_n") * F.lit(val))
+    split = F.when(F.col(rn) <= n_tr, "train").when(F.col(rn) <= n_tr + n_va, "val").otherwise("test")
+    start = F.when(F.col(rn) <= n_tr, F.lit(0)).when(F.col(rn) <= n_tr + n_va, n_tr).otherwise(n_tr + n_va)
+    return j.withColumn("split", split).withColumn("rn_split", (F.col(rn) - start).cast("long")).drop("_n")
+
+
+def split_timeseries_cv(df: DataFrame, keys: Sequence[str] = ("plant_name",), rn: str = "rn",
+                        n_splits: int = 3) -> DataFrame:
+    """Last fold of an expanding k-fold time split: validation = last
+    floor(n/(k+1)) rows, train = everything before."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    j = df.join(counts, on=list(keys), how="left")
+    size = F.floor(F.col("_n") / F.lit(n_splits + 1))
+    return j.withColumn("fold", F.when(F.col(rn) > F.col("_n") - size, "val").otherwise("train")).drop("_n")
+
+
+def split_random(df: DataFrame, key: str, seed: int = 42, train_pct: int = 80) -> DataFrame:
+    """Reproducible random split from an arithmetic hash of an integer key
+    (stable under any repartitioning, unlike ``randomSplit``)."""
+    h = F.pmod(F.col(key) * F.lit(2654435761) + F.lit(seed), F.lit(1000003))
+    return df.withColumn("split", F.when(F.pmod(h, F.lit(100)) < train_pct, "train").otherwise("test"))
