@@ -33,7 +33,11 @@ def confidence_level(rng: str | Column, capacity: str | Column | float = C.DEFAU
 
 
 def round_half_even(x, digits: int = 2) -> Column:
-    return F.bround(_c(x), digits)
+    """Half-even ("banker's") rounding of the decimal value.
+
+    The double is first rounded to 9 decimals so binary noise (127.36499...
+    vs 127.36500...01) cannot decide a tie; then ``bround``."""
+    return F.bround(F.round(_c(x), 9), digits)
 
 
 def quantile_label(q) -> Column:

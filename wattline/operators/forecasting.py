@@ -126,8 +126,10 @@ def correlation_importance(df: DataFrame, features: Sequence[str], target: str)
     return row.selectExpr(f"stack({len(features)}, {stack}) as (feature, importance)")
 
 
-def top_k(df: DataFrame, k: int, by: str = "importance", tiebreak: str = "feature") -> DataFrame:
-    return df.orderBy(F.col(by).desc_nulls_last(), F.col(tiebreak)).limit(k)
+def top_k(df: DataFrame, k: int, by: str = "importance", tiebreak: str = "feature", digits: int = 10) -> DataFrame:
+    """Top ``k`` rows by ``by`` (rounded to ``digits`` so float noise cannot
+    reorder equal scores), ties by ``tiebreak``; distributed top-k."""
+    return df.orderBy(F.round(by, digits).desc_nulls_last(), F.col(tiebreak)).limit(k)
 
 
 def batch_forecast(requests: DataFrame, bins: DataFrame, keys: Sequence[str] = ("plant_type", "month", "hour"),
@@ -141,7 +143,7 @@ def batch_forecast(requests: DataFrame, bins: DataFrame, keys: Sequence[str] = (
     p = p.withColumns({"P10": lo, "P90": hi})
     rng = FF.uncertainty_range("P10", "P90")
     p = p.withColumn("uncertainty_range", rng).withColumn("confidence_level", FF.confidence_level("uncertainty_range", capacity))
-    return p.withColumns({c: F.bround(c, digits) for c in ("P10", "P50", "P90", "uncertainty_range")})
+    return p.withColumns({c: FF.round_half_even(c, digits) for c in ("P10", "P50", "P90", "uncertainty_range")})
 
 
 # --- Spark ML trees ------------------------------------------------------------

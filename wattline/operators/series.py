@@ -72,3 +72,14 @@ def split_random(df: DataFrame, key: str, seed: int = 42, train_pct: int = 80) -
     (stable under any repartitioning, unlike ``randomSplit``)."""
     h = F.pmod(F.col(key) * F.lit(2654435761) + F.lit(seed), F.lit(1000003))
     return df.withColumn("split", F.when(F.pmod(h, F.lit(100)) < train_pct, "train").otherwise("test"))
+
+
+def multi_horizon_frame(df: DataFrame, value: str, horizon: int = 24, keys: Sequence[str] = ("plant_name",),
+                        ts: str = "timestamp") -> DataFrame:
+    """One row per origin x step 1..H with the value observed ``step`` hours
+    after the origin (direct multi-horizon target).  A generator plus an
+    equi-join on (key, time): balanced whatever the key skew."""
+    origins = df.select(*keys, F.col(ts).alias("origin"), F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step"))
+    origins = origins.withColumn(ts, F.timestamp_add("HOUR", F.col("step"), F.col("origin")))
+    target = df.select(*keys, ts, F.col(value).alias("target"))
+    return origins.join(target, on=[*keys, ts], how="left").select(*keys, "origin", "step", F.col(ts).alias("target_time"), "target")

@@ -48,6 +48,12 @@ weather as (
   from events where event_type = 'view')"""
 
 
+def round_even_sql(expr: str, digits: int) -> str:
+    """Twin of ``functions.forecast.round_half_even``: drop binary noise at 9
+    decimals, then half-even on the decimal value."""
+    return f"cast(round_even(cast(cast(round({expr}, 9) as varchar) as decimal(38, 12)), {digits}) as double)"
+
+
 def r6(expr: str) -> str:
     return f"round(({expr}) + 1e-9, 6)"
 
