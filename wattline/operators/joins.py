@@ -11,6 +11,19 @@ from pyspark.sql import functions as F
 from wattline.operators.windows import carry_valid, epoch_micros
 
 
+def _pick(prev, nxt, on: str, direction: str):
+    if direction == "backward":
+        return prev["v"]
+    if direction == "forward":
+        return nxt["v"]
+    if direction != "nearest":
+        raise ValueError(direction)
+    d_prev = epoch_micros(on) - epoch_micros(prev["t"])
+    d_next = epoch_micros(nxt["t"]) - epoch_micros(on)
+    return F.when(nxt.isNull(), prev["v"]).when(prev.isNull(), nxt["v"]).when(
+        d_prev <= d_next, prev["v"]).otherwise(nxt["v"])
+
+
 def asof_join(
     left: DataFrame,
     right: DataFrame,
@@ -18,7 +31,7 @@ def asof_join(
     by: Sequence[str] = (),
     right_cols: Sequence[str] | None = None,
     direction: str = "nearest",
-    bucket_hours: int = 24,
+    bucket_seconds: int = 3600,
 ) -> DataFrame:
     """Attach to each left row the right row nearest in time (per ``by``).
 
@@ -26,9 +39,17 @@ def asof_join(
     (first at or after) or ``nearest`` (smaller gap; equal gap -> earlier).
     No tolerance: the nearest row is taken however far away.
 
-    Both sides are unioned and scanned per ``(by, time bucket)``; the last /
-    first right row is carried across buckets by :func:`carry_valid`, so the
-    work splits by time even with no ``by`` key.
+    Plan (left side is large, right side is a time series): the right side
+    becomes an index with one row per (by, time bucket) over its whole time
+    range -- the bucket's right rows as a sorted array plus the last row
+    before and the first row after the bucket (one small window over the
+    buckets).  Left rows are clamped into that range and equi-joined to
+    their bucket, which AQE broadcasts once it has measured the index, so
+    left rows are neither sorted nor windowed nor (usually) shuffled.  The
+    per-bucket array holds the right rows of one bucket only: pick
+    ``bucket_seconds`` so a bucket holds few right rows (hourly weather:
+    one).  :func:`asof_join_carry` is the alternative when the right side is
+    as large as the left.
     """
     if right_cols is None:
         right_cols = [c for c in right.columns if c != on and c not in by]
@@ -36,23 +57,61 @@ def asof_join(
     clash = [c for c in right_cols if c in lcols]
     if clash:
         raise ValueError(f"right columns already on the left: {clash}")
+    by = list(by)
+    us = F.lit(bucket_seconds * 1_000_000)
+    bucket = lambda c: F.floor(epoch_micros(c) / us).cast("long")
+    r = right.filter(F.col(on).isNotNull()).select(
+        *by, bucket(on).alias("_b"), F.struct(F.col(on).alias("t"), F.struct(*right_cols).alias("v")).alias("_r"))
+    cells = r.groupBy(*by, "_b").agg(F.sort_array(F.collect_list("_r")).alias("_rows"))
+    bounds = cells.groupBy(*by).agg(F.min("_b").alias("_lo"), F.max("_b").alias("_hi"))
+    dense = bounds.select(*by, F.explode(F.sequence("_lo", "_hi")).alias("_b"))
+    idx = dense.join(cells, on=[*by, "_b"], how="left")
+    w = Window.partitionBy(*by).orderBy("_b")
+    w_rev = Window.partitionBy(*by).orderBy(F.col("_b").desc())
+    idx = idx.select(
+        *by, "_b", F.coalesce("_rows", F.array().cast(cells.schema["_rows"].dataType)).alias("_rows"),
+        F.last(F.try_element_at("_rows", F.lit(-1)), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("_cin"),
+        F.last(F.try_element_at("_rows", F.lit(1)), ignorenulls=True).over(w_rev.rowsBetween(Window.unboundedPreceding, -1)).alias("_cout"))
+    if by:
+        lb = left.join(bounds, on=by, how="left")
+        lo, hi = F.col("_lo"), F.col("_hi")
+    else:
+        lb = left
+        lo, hi = bounds.select("_lo").scalar(), bounds.select("_hi").scalar()
+    lb = lb.withColumn("_b", F.least(F.greatest(bucket(on), lo), hi))
+    j = lb.join(idx, on=[*by, "_b"], how="left")
+    t = F.col(on)
+    before = F.filter("_rows", lambda x: x["t"] <= t)
+    after = F.filter("_rows", lambda x: x["t"] >= t)
+    prev = F.coalesce(F.try_element_at(before, F.lit(-1)), F.col("_cin"))
+    nxt = F.coalesce(F.try_element_at(after, F.lit(1)), F.col("_cout"))
+    j = j.withColumns({"_prev": prev, "_next": nxt})
+    pick = _pick(F.col("_prev"), F.col("_next"), on, direction)
+    return j.select(*[F.col(c) for c in lcols], *[pick[c].alias(c) for c in right_cols])
+
+
+def asof_join_carry(
+    left: DataFrame,
+    right: DataFrame,
+    on: str = "timestamp",
+    by: Sequence[str] = (),
+    right_cols: Sequence[str] | None = None,
+    direction: str = "nearest",
+    bucket_hours: int = 24,
+) -> DataFrame:
+    """Same result as :func:`asof_join` for a right side as large as the
+    left: both sides are unioned and scanned per ``(by, time bucket)``; the
+    last / first right row is carried across buckets by :func:`carry_valid`.
+    """
+    if right_cols is None:
+        right_cols = [c for c in right.columns if c != on and c not in by]
+    lcols = left.columns
     r = right.select(*by, on, F.struct(*right_cols).alias("_w"), F.lit(0).alias("_side"))
     l_ = left.withColumn("_side", F.lit(1))
     u = l_.unionByName(r, allowMissingColumns=True)
     carried = carry_valid(u, list(by), on, {"w": F.col("_w")}, tiebreak=["_side"], bucket_hours=bucket_hours)
     carried = carried.filter(F.col("_side") == 1)
-    prev, nxt = F.col("_prev_w"), F.col("_next_w")
-    if direction == "backward":
-        pick = prev["v"]
-    elif direction == "forward":
-        pick = nxt["v"]
-    elif direction == "nearest":
-        d_prev = epoch_micros(on) - epoch_micros(prev["t"])
-        d_next = epoch_micros(nxt["t"]) - epoch_micros(on)
-        pick = F.when(nxt.isNull(), prev["v"]).when(prev.isNull(), nxt["v"]).when(
-            d_prev <= d_next, prev["v"]).otherwise(nxt["v"])
-    else:
-        raise ValueError(direction)
+    pick = _pick(F.col("_prev_w"), F.col("_next_w"), on, direction)
     return carried.select(*[F.col(c) for c in lcols], *[pick[c].alias(c) for c in right_cols])
 
 
@@ -63,12 +122,12 @@ def aggregate_weather_by_time(weather: DataFrame, cols: Sequence[str], ts: str =
 
 
 def merge_weather(generation: DataFrame, weather: DataFrame, cols: Sequence[str], ts: str = "timestamp",
-                  plant_filter: Sequence[str] | None = None, bucket_hours: int = 24) -> DataFrame:
+                  plant_filter: Sequence[str] | None = None, bucket_seconds: int = 3600) -> DataFrame:
     """Filter plants, average weather per time, nearest as-of join."""
     if plant_filter:
         generation = generation.filter(F.col("plant_name").isin(list(plant_filter)))
     wagg = aggregate_weather_by_time(weather, cols, ts)
-    return asof_join(generation, wagg, on=ts, direction="nearest", bucket_hours=bucket_hours)
+    return asof_join(generation, wagg, on=ts, direction="nearest", bucket_seconds=bucket_seconds)
 
 
 def join_equi_time(generation: DataFrame, weather: DataFrame, ts: str = "timestamp") -> DataFrame:

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from wattline.session import materialize
 
 _US_PER_HOUR = 3_600_000_000
+_NULL_BUCKET = -(1 << 62)
 
 
 def hour_index(ts: str | Column) -> Column:
@@ -112,7 +113,9 @@ def carry_valid(
     """
     order = [F.col(ts), *[F.col(c) for c in tiebreak]]
     if bucket_col not in df.columns:
-        df = df.withColumn(bucket_col, F.floor(hour_index(ts) / F.lit(bucket_hours)).cast("long"))
+        # null timestamps get their own (sentinel) bucket instead of a null key
+        b = F.floor(hour_index(ts) / F.lit(bucket_hours)).cast("long")
+        df = df.withColumn(bucket_col, F.coalesce(b, F.lit(_NULL_BUCKET)))
     part = [*keys, bucket_col]
     w = Window.partitionBy(*part).orderBy(*order)
     edge = 1 if strict else 0
@@ -130,8 +133,22 @@ def carry_valid(
         packed = F.when(expr.isNotNull(), _pack(lp, F.col(ts), expr))
         cols.append(F.last(packed, ignorenulls=True).over(w_back).alias(f"_pv_{name}"))
         cols.append(F.last(packed, ignorenulls=True).over(w_fwd).alias(f"_nv_{name}"))
-    # referenced twice below (summary + join-back): cut lineage once here
+    # Referenced twice below (summary + join-back): cut lineage once here.
+    # The checkpoint keeps the (keys, bucket) hash partitioning, so neither the
+    # summary aggregate nor the join-back shuffles these rows again.
     local = materialize(local.select("*", *cols))
+    out_cols = [c for c in local.columns if not c.startswith(("_pv_", "_nv_")) and c != "_lp"]
+
+    # Rows with a null key form no series (as a group-by drops null keys);
+    # they are kept, with empty carries, instead of being lost in the join.
+    nullable = [k for k in keys if local.schema[k].nullable]
+    orphans = None
+    if nullable:
+        has_keys = F.lit(True)
+        for k in nullable:
+            has_keys = has_keys & F.col(k).isNotNull()
+        orphans = local.filter(~has_keys)
+        local = local.filter(has_keys)
 
     # One row per (key, bucket): row count and the last / first valid entry.
     packs = {n: F.when(e.isNotNull(), _pack(lp, F.col(ts), e)) for n, e in values.items()}
@@ -156,26 +173,24 @@ def carry_valid(
         carries.append(F.last(f"_gf_{n}", ignorenulls=True).over(after).alias(f"_co_{n}"))
     summary = summary.select(*part, "_off", *carries)
 
-    s = summary.alias("_s")
-    joined = local.alias("_l").join(
-        s, on=[F.col(f"_l.{k}").eqNullSafe(F.col(f"_s.{k}")) for k in part], how="inner"
-    )
-    out_cols = [F.col(f"_l.{c}") for c in local.columns if not c.startswith(("_pv_", "_nv_"))]
-    off = F.col("_s._off")
-    final = [(off + F.col("_l._lp")).alias("_rn")]
+    # plain equality on the partition columns: the join reuses local's partitioning
+    joined = local.join(summary, on=part, how="inner")
+    off = F.col("_off")
+    final = [(off + F.col("_lp")).alias("_rn")]
     for n in values:
-        pv, nv = F.col(f"_l._pv_{n}"), F.col(f"_l._nv_{n}")
+        pv, nv = F.col(f"_pv_{n}"), F.col(f"_nv_{n}")
         final.append(
-            F.when(pv.isNotNull(), _pack(off + pv["rn"], pv["t"], pv["v"]))
-            .otherwise(F.col(f"_s._ci_{n}"))
-            .alias(f"_prev_{n}")
-        )
+            F.when(pv.isNotNull(), _pack(off + pv["rn"], pv["t"], pv["v"])).otherwise(F.col(f"_ci_{n}")).alias(f"_prev_{n}"))
         final.append(
-            F.when(nv.isNotNull(), _pack(off + nv["rn"], nv["t"], nv["v"]))
-            .otherwise(F.col(f"_s._co_{n}"))
-            .alias(f"_next_{n}")
-        )
-    return joined.select(*out_cols, *final).drop("_lp")
+            F.when(nv.isNotNull(), _pack(off + nv["rn"], nv["t"], nv["v"])).otherwise(F.col(f"_co_{n}")).alias(f"_next_{n}"))
+    out = joined.select(*[F.col(c) for c in out_cols], *final)
+    if orphans is not None:
+        empty = [F.lit(None).cast("long").alias("_rn")]
+        for n in values:
+            t = out.schema[f"_prev_{n}"].dataType
+            empty += [F.lit(None).cast(t).alias(f"_prev_{n}"), F.lit(None).cast(t).alias(f"_next_{n}")]
+        out = out.unionByName(orphans.select(*[F.col(c) for c in out_cols], *empty))
+    return out
 
 
 def drop_carry(df: DataFrame, bucket_col: str = "_cb") -> DataFrame:

@@ -693,9 +693,13 @@ def q_explain_forecast(spark, sf):
 
 
 _MT_METRICS = ("mae", "rmse", "mape", "picp_80", "mpiw_80")
+from wattline.plans.q_eval import _MW  # noqa: E402
 
+_MT = ("select model, " + ", ".join(f"max(case when metric = '{m}' then value end) as {m}" for m in _MT_METRICS)
+       + " from metrics_long group by model")
 
-@register("metrics_table")
+
+@register("metrics_table", O.wrap(O.with_adapter(_MT, SERIES + ",\n" + _MW), list(_MT_METRICS)))
 def q_metrics_table(spark, sf):
     """Model comparison table (point + interval metrics)."""
     long = evaluate_model(predictions(spark, sf))
@@ -733,3 +737,65 @@ def q_forecast_quantile_conformal(spark, sf):
     test = FC.gbt_predict(model, s.filter(F.col("split") == "test"), feats)
     out = FC.conformal_intervals(val, test)
     return out.select("plant_name", "timestamp", "y_true", "P10", "P50", "P90")
+
+
+# --- dimensions derived from the facts, persistence round trips ----------------
+_PD = ("select plant_name, arg_min(plant_type, (timestamp, event_id)) as plant_type, "
+       "arg_min(capacity_mw, (timestamp, event_id)) as capacity_mw, arg_min(latitude, (timestamp, event_id)) as latitude, "
+       "arg_min(longitude, (timestamp, event_id)) as longitude, cast(min(timestamp) as date) as commission_date "
+       "from generation group by plant_name")
+
+
+@register("plant_dim", _a(_PD, ["capacity_mw", "latitude", "longitude"]))
+def q_plant_dim(spark, sf):
+    """Plant registry (name, type, capacity, coordinates, first day) built
+    from the generation facts: one partial aggregation."""
+    g = _gen(spark, sf)
+    first = R.first_row_per_plant(g, ["plant_type", "capacity_mw", "latitude", "longitude"], tiebreak=TB)
+    days = g.groupBy("plant_name").agg(F.to_date(F.min("timestamp")).alias("commission_date"))
+    return first.join(days, "plant_name")
+
+
+@register("location_dim", _a("select location, count(*) as readings, min(timestamp) as first_seen, max(timestamp) as last_seen "
+                             "from weather group by location"))
+def q_location_dim(spark, sf):
+    """Measurement-site registry from the weather facts."""
+    _, wea = tables(spark, sf)
+    return wea.groupBy("location").agg(F.count(F.lit(1)).alias("readings"), F.min("timestamp").alias("first_seen"),
+                                       F.max("timestamp").alias("last_seen"))
+
+
+_SINK_SQL, _SINK_D = O.pipeline_sql()
+
+
+@register("sink_features", O.wrap(_SINK_SQL, _SINK_D))
+def q_sink_features(spark, sf):
+    """The full feature table written partitioned by plant to the shared
+    checkpoint folder, read back whole."""
+    from wattline.plans.pipeline import pipeline_features
+    from wattline.session import checkpoint_dir
+    from wattline.sources.sinks import write_features
+    import uuid
+    gen, wea = tables(spark, sf)
+    feats = pipeline_features(gen, wea, tiebreak=TB)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/wattline-features-{uuid.uuid4().hex}"
+    write_features(feats, path)
+    return spark.read.parquet(path).select(*feats.columns)
+
+
+@register("model_persist", O.wrap(O.with_adapter("select plant_name, timestamp, y_true, P10, P50, P90 from preds "
+                                                 "where model = 'QuantileBins'", SERIES), ["y_true", "P10", "P50", "P90"]))
+def q_model_persist(spark, sf):
+    """Quantile bins fitted, saved with their metadata, loaded back and
+    applied to the test slice."""
+    from wattline.operators.persist import load_model, save_model
+    from wattline.session import checkpoint_dir
+    import uuid
+    s = series(spark, sf)
+    bins = FC.fit_quantile_bins(FC.add_month_hour(s.filter(F.col("split").isin("train", "val"))))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/wattline-model-{uuid.uuid4().hex}"
+    save_model(path, {"bins": bins}, meta={"keys": ["plant_name", "month", "hour"]})
+    tables_, _, meta = load_model(spark, path)
+    test = FC.add_month_hour(s.filter(F.col("split") == "test").select("plant_name", "timestamp", "y_true"))
+    out = FC.predict_quantile_bins(test, tables_["bins"], meta["keys"])
+    return out.select("plant_name", "timestamp", "y_true", "P10", "P50", "P90")
