@@ -44,6 +44,10 @@ def _canon(v):
     return str(v)
 
 
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+                 "BOOLEAN": "boolean", "DATE": "date", "TIMESTAMP": "timestamp_ntz", "VARCHAR[]": "array<string>"}
+
+
 def compare(spark, name: str, fn, sql: str | None, sf_dir: str, con=None) -> dict:
     df = fn(spark, sf_dir)
     cols = df.columns
@@ -55,6 +59,11 @@ def compare(spark, name: str, fn, sql: str | None, sf_dir: str, con=None) -> dic
     con = con or duck(sf_dir)
     cur = con.execute(sql)
     ocols = [d[0] for d in cur.description]
+    otypes = {d[0]: DUCK_TO_SPARK.get(str(d[1]), str(d[1])) for d in cur.description}
+    stypes = dict(df.dtypes)
+    tdiff = {c: (stypes[c], otypes[c]) for c in cols if c in otypes and stypes[c] != otypes[c]}
+    if tdiff:
+        res["type_diff"] = tdiff
     orows = cur.fetchall()
     res["oracle_rows"] = len(orows)
     if sorted(cols) != sorted(ocols):

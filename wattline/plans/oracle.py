@@ -222,19 +222,25 @@ def wind_category_sql(v: str = "wind_speed") -> str:
     return f"case {parts} end"
 
 
-def domain_sql() -> str:
+def domain_exprs() -> dict[str, str]:
+    """Domain feature name -> DuckDB expression (twin of features.domain_columns)."""
     irr, t, ws, sp = "surface_solar_radiation_downwards", "temperature_2m", "wind_speed", "surface_pressure"
     clear = (f"(1000.0 * greatest(0.0, sin({PI} * (cast(hour as double) - 6.0) / 12.0)) * "
              f"(1.0 + 0.033 * cos({TWO_PI} * day_of_year / 365.0)))")
     den = f"(case when {clear} = 0 then 1.0 else {clear} end)"
     csi = f"{irr} / {den}"
-    return ", ".join([
-        f"case when plant_type = 'solar' and {irr} is not null then least(greatest({csi}, 0.0), 2.0) end as clear_sky_index",
-        f"case when plant_type = 'solar' then {irr} * (1.0 - 0.005 * ({t} - 25.0)) end as irradiance_temp_adjusted",
-        f"case when plant_type = 'wind' then 0.5 * ({sp} / ({C.GAS_CONSTANT_AIR} * ({t} + {C.KELVIN}))) * ({ws} * {ws} * {ws}) end as wind_power_density",
-        f"case when plant_type = 'wind' then {wind_category_sql(ws)} end as wind_speed_category",
-        "generation_mw / nullif(capacity_mw, 0) as capacity_factor",
-    ])
+    return {
+        "clear_sky_index": f"case when plant_type = 'solar' and {irr} is not null then least(greatest({csi}, 0.0), 2.0) end",
+        "irradiance_temp_adjusted": f"case when plant_type = 'solar' then {irr} * (1.0 - 0.005 * ({t} - 25.0)) end",
+        "wind_power_density": (f"case when plant_type = 'wind' then 0.5 * ({sp} / ({C.GAS_CONSTANT_AIR} * ({t} + {C.KELVIN}))) "
+                               f"* ({ws} * {ws} * {ws}) end"),
+        "wind_speed_category": f"case when plant_type = 'wind' then {wind_category_sql(ws)} end",
+        "capacity_factor": "generation_mw / nullif(capacity_mw, 0)",
+    }
+
+
+def domain_sql() -> str:
+    return ", ".join(f"{e} as {n}" for n, e in domain_exprs().items())
 
 
 def clip_sql(c: str, lo: str, hi: str) -> str:

@@ -8,15 +8,14 @@ from wattline import config as C
 from wattline.functions import physics as P
 from wattline.functions.calendar import calendar_columns, cyclical_columns
 from wattline.operators import features as FE
-from wattline.operators.align import align_time_series, resample_hourly
-from wattline.operators.joins import (aggregate_weather_by_time, asof_join, join_equi_time, join_site_weather,
-                                      join_spine, merge_weather)
-from wattline.operators.repair import (bfill_limited, ffill_limited, interpolate, repair_missing)
-from wattline.operators.windows import epoch_micros
+from wattline.operators.align import resample_hourly
+from wattline.operators.joins import (aggregate_weather_by_time, join_equi_time, join_site_weather, join_spine,
+                                      merge_weather)
+from wattline.operators.repair import bfill_limited, ffill_limited, interpolate, repair_missing
 from wattline.plans import oracle as O
 from wattline.plans.pipeline import pipeline_features
 from wattline.plans.registry import register, tables
-from wattline.sources.adapter import adapter_plants, load_table
+from wattline.sources.adapter import adapter_plants
 from wattline.sources.readers import normalize_time_key
 
 W = list(C.WEATHER_COLS)
@@ -300,26 +299,7 @@ def _dom_sql(expr: str, name: str) -> str:
 
 
 def _dq(name):
-    full = O.domain_sql()
-    # each entry of domain_sql() ends with " as <name>"; find by suffix
-    items = []
-    depth, cur = 0, ""
-    for ch in full:
-        if ch == "(":
-            depth += 1
-        elif ch == ")":
-            depth -= 1
-        if ch == "," and depth == 0:
-            items.append(cur)
-            cur = ""
-        else:
-            cur += ch
-    items.append(cur)
-    for it in items:
-        it = it.strip()
-        if it.endswith(f" as {name}"):
-            return it[: -len(f" as {name}")]
-    raise KeyError(name)
+    return O.domain_exprs()[name]
 
 
 @register("clear_sky_index", _dom_sql(_dq("clear_sky_index"), "clear_sky_index"))

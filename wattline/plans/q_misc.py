@@ -24,7 +24,6 @@ from wattline.plans import oracle as O
 from wattline.plans.q_core import GEN_GRID, _gen_grid
 from wattline.plans.q_eval import SERIES, predictions, series
 from wattline.plans.registry import register, tables
-from wattline.session import materialize
 from wattline.sources.adapter import ADAPTER_PLANTS, adapter_plants, load_table
 from wattline.sources.readers import flatten_service_payload, read_features, tidy_grid
 from wattline.sources.sinks import write_partitioned
