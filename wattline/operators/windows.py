@@ -139,16 +139,13 @@ def carry_valid(
     local = materialize(local.select("*", *cols))
     out_cols = [c for c in local.columns if not c.startswith(("_pv_", "_nv_")) and c != "_lp"]
 
-    # Rows with a null key form no series (as a group-by drops null keys);
-    # they are kept, with empty carries, instead of being lost in the join.
-    nullable = [k for k in keys if local.schema[k].nullable]
-    orphans = None
-    if nullable:
-        has_keys = F.lit(True)
-        for k in nullable:
-            has_keys = has_keys & F.col(k).isNotNull()
-        orphans = local.filter(~has_keys)
-        local = local.filter(has_keys)
+    # Rows with a null key form no series (as a group-by drops null keys):
+    # they get empty carries.  A left join with plain equality keeps them
+    # (they match no summary row) and keeps local's partitioning.
+    key_ok = F.lit(True)
+    for k in keys:
+        if local.schema[k].nullable:
+            key_ok = key_ok & F.col(k).isNotNull()
 
     # One row per (key, bucket): row count and the last / first valid entry.
     packs = {n: F.when(e.isNotNull(), _pack(lp, F.col(ts), e)) for n, e in values.items()}
@@ -174,23 +171,16 @@ def carry_valid(
     summary = summary.select(*part, "_off", *carries)
 
     # plain equality on the partition columns: the join reuses local's partitioning
-    joined = local.join(summary, on=part, how="inner")
+    joined = local.join(summary, on=part, how="left")
     off = F.col("_off")
-    final = [(off + F.col("_lp")).alias("_rn")]
+    final = [F.when(key_ok, off + F.col("_lp")).alias("_rn")]
     for n in values:
         pv, nv = F.col(f"_pv_{n}"), F.col(f"_nv_{n}")
-        final.append(
-            F.when(pv.isNotNull(), _pack(off + pv["rn"], pv["t"], pv["v"])).otherwise(F.col(f"_ci_{n}")).alias(f"_prev_{n}"))
-        final.append(
-            F.when(nv.isNotNull(), _pack(off + nv["rn"], nv["t"], nv["v"])).otherwise(F.col(f"_co_{n}")).alias(f"_next_{n}"))
-    out = joined.select(*[F.col(c) for c in out_cols], *final)
-    if orphans is not None:
-        empty = [F.lit(None).cast("long").alias("_rn")]
-        for n in values:
-            t = out.schema[f"_prev_{n}"].dataType
-            empty += [F.lit(None).cast(t).alias(f"_prev_{n}"), F.lit(None).cast(t).alias(f"_next_{n}")]
-        out = out.unionByName(orphans.select(*[F.col(c) for c in out_cols], *empty))
-    return out
+        prev = F.when(pv.isNotNull(), _pack(off + pv["rn"], pv["t"], pv["v"])).otherwise(F.col(f"_ci_{n}"))
+        nxt = F.when(nv.isNotNull(), _pack(off + nv["rn"], nv["t"], nv["v"])).otherwise(F.col(f"_co_{n}"))
+        final.append(F.when(key_ok, prev).alias(f"_prev_{n}"))
+        final.append(F.when(key_ok, nxt).alias(f"_next_{n}"))
+    return joined.select(*[F.col(c) for c in out_cols], *final)
 
 
 def drop_carry(df: DataFrame, bucket_col: str = "_cb") -> DataFrame:

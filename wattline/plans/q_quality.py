@@ -81,7 +81,7 @@ def q_duplicate_keys(spark, sf):
 
 _DT = ("(select plant_name, cast(epoch_us(timestamp) - epoch_us(lag(timestamp) over (partition by plant_name "
        "order by timestamp, event_id)) as double) / 1e6 as dt from merged)")
-_GS = (f"select plant_name, count(*) as total_points, count_if(dt > 3600.0) as gaps_count, "
+_GS = (f"select plant_name, count(*) as total_points, cast(count_if(dt > 3600.0) as bigint) as gaps_count, "
        f"coalesce(max(case when dt > 3600.0 then dt / 3600.0 end), 0.0) as max_gap_hours from {_DT} group by plant_name")
 
 
@@ -108,8 +108,8 @@ def q_min_points_check(spark, sf):
     return Q.min_points_check(_qin(spark, sf))
 
 
-_GB = ("select count_if(generation_mw < 0) as negative_count, "
-       "count_if(generation_mw > capacity_mw * 1.1) as over_capacity_count from merged")
+_GB = ("select cast(count_if(generation_mw < 0) as bigint) as negative_count, "
+       "cast(count_if(generation_mw > capacity_mw * 1.1) as bigint) as over_capacity_count from merged")
 
 
 @register("generation_bounds", _sql(_GB))
@@ -119,7 +119,7 @@ def q_generation_bounds(spark, sf):
 
 _WB = " union all ".join(
     f"select '{c}' as column, cast({lo} as double) as min_value, cast({hi} as double) as max_value, "
-    f"count_if({c} < {lo} or {c} > {hi}) as out_of_range from merged" for c, (lo, hi) in C.WEATHER_RANGES.items())
+    f"cast(count_if({c} < {lo} or {c} > {hi}) as bigint) as out_of_range from merged" for c, (lo, hi) in C.WEATHER_RANGES.items())
 
 
 @register("weather_bounds", _sql(_WB, ["min_value", "max_value"]))
@@ -140,7 +140,7 @@ _WIND_COND = "plant_type = 'wind'"
 
 def _corr_q(cond, other, thr):
     c = _corr_sql("generation_mw", other, cond)
-    return (f"select count_if({cond}) as rows, {c} as correlation, {thr} as threshold, "
+    return (f"select cast(count_if({cond}) as bigint) as rows, {c} as correlation, {thr} as threshold, "
             f"{c} < {thr} as weak from merged")
 
 
@@ -212,8 +212,8 @@ def q_sink_report(spark, sf):
 
 
 _SUMMARY = (f"select not coalesce(max(cast(fails_check as integer)) = 1, false) as overall_passed, "
-            f"count_if(flagged and severity = 'issue') as total_issues, "
-            f"count_if(flagged and severity = 'warning') as total_warnings from ({_CHECKS})")
+            f"cast(count_if(flagged and severity = 'issue') as bigint) as total_issues, "
+            f"cast(count_if(flagged and severity = 'warning') as bigint) as total_warnings from ({_CHECKS})")
 
 
 @register("validation_summary", _sql(_SUMMARY))
