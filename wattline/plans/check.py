@@ -28,7 +28,7 @@ def _canon(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "NULL"
-        return repr(round(v, 6) + 0.0)
+        return repr(v + 0.0)  # exact: queries already round as round(x + 1e-9, 6)
     if isinstance(v, bool):
         return str(v)
     if isinstance(v, int):
