@@ -77,7 +77,7 @@ def align_time_series(
     # bounds from the (smaller) hourly aggregate; its shuffle is reused
     spine = hourly_spine(hourly, keys, ts)
     grid = spine.join(hourly, on=[*keys, ts], how="left")
-    values = {c: F.col(c) for c in (*mean_cols, *statics)}
+    values = {c: c for c in (*mean_cols, *statics)}
     carried = carry_valid(grid, keys, ts, values, bucket_hours=bucket_hours)
     filled = {c: _interp(c, ts, limit, "time") for c in mean_cols}
     for c in statics:

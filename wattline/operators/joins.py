@@ -109,7 +109,7 @@ def asof_join_carry(
     r = right.select(*by, on, F.struct(*right_cols).alias("_w"), F.lit(0).alias("_side"))
     l_ = left.withColumn("_side", F.lit(1))
     u = l_.unionByName(r, allowMissingColumns=True)
-    carried = carry_valid(u, list(by), on, {"w": F.col("_w")}, tiebreak=["_side"], bucket_hours=bucket_hours)
+    carried = carry_valid(u, list(by), on, {"w": "_w"}, tiebreak=["_side"], bucket_hours=bucket_hours)
     carried = carried.filter(F.col("_side") == 1)
     pick = _pick(F.col("_prev_w"), F.col("_next_w"), on, direction)
     return carried.select(*[F.col(c) for c in lcols], *[pick[c].alias(c) for c in right_cols])

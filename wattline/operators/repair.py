@@ -24,37 +24,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattline import config as C
-from wattline.operators.windows import carry_valid, drop_carry, epoch_micros
+from wattline.operators.windows import carry_valid, drop_carry, q
+
+
+def _us(x: str) -> str:
+    return f"unix_micros(cast({x} as timestamp))"
 
 
 def _interp(c: str, ts: str, limit: int, method: str) -> Column:
-    prev, nxt, rn = F.col(f"_prev_{c}"), F.col(f"_next_{c}"), F.col("_rn")
+    col, prev, nxt = q(c), q(f"_prev_{c}"), q(f"_next_{c}")
     if method == "time":
-        num = (epoch_micros(ts) - epoch_micros(prev["t"])).cast("double")
-        den = (epoch_micros(nxt["t"]) - epoch_micros(prev["t"])).cast("double")
+        num = f"cast({_us(q(ts))} - {_us(prev + '.t')} as double)"
+        den = f"cast({_us(nxt + '.t')} - {_us(prev + '.t')} as double)"
     elif method == "linear":
-        num = (rn - prev["rn"]).cast("double")
-        den = (nxt["rn"] - prev["rn"]).cast("double")
+        num = f"cast(_rn - {prev}.rn as double)"
+        den = f"cast({nxt}.rn - {prev}.rn as double)"
     else:
         raise ValueError(f"unknown interpolation method {method!r}")
-    val = prev["v"] + (nxt["v"] - prev["v"]) * F.try_divide(num, den)
-    return (
-        F.when(F.col(c).isNotNull(), F.col(c))
-        .when(prev.isNull(), F.lit(None).cast("double"))
-        .when(rn - prev["rn"] > F.lit(limit), F.lit(None).cast("double"))
-        .when(nxt.isNull(), prev["v"])
-        .otherwise(F.coalesce(val, prev["v"]))
-    )
+    val = f"{prev}.v + ({nxt}.v - {prev}.v) * try_divide({num}, {den})"
+    return F.expr(
+        f"case when {col} is not null then {col} when {prev} is null then cast(null as double) "
+        f"when _rn - {prev}.rn > {int(limit)} then cast(null as double) when {nxt} is null then {prev}.v "
+        f"else coalesce({val}, {prev}.v) end")
 
 
 def _fill(c: str, ffill: int | None, bfill: int | None) -> Column:
-    prev, nxt, rn = F.col(f"_prev_{c}"), F.col(f"_next_{c}"), F.col("_rn")
-    out = F.when(F.col(c).isNotNull(), F.col(c))
+    col, prev, nxt = q(c), q(f"_prev_{c}"), q(f"_next_{c}")
+    parts = [f"when {col} is not null then {col}"]
     if ffill is not None:
-        out = out.when(prev.isNotNull() & (rn - prev["rn"] <= F.lit(ffill)), prev["v"])
+        parts.append(f"when {prev} is not null and _rn - {prev}.rn <= {int(ffill)} then {prev}.v")
     if bfill is not None:
-        out = out.when(nxt.isNotNull() & (nxt["rn"] - rn <= F.lit(bfill)), nxt["v"])
-    return out
+        parts.append(f"when {nxt} is not null and {nxt}.rn - _rn <= {int(bfill)} then {nxt}.v")
+    return F.expr("case " + " ".join(parts) + " end")
 
 
 def _present(df: DataFrame, cols: Sequence[str]) -> list[str]:
@@ -77,7 +78,7 @@ def interpolate(
     methods = {c: m for c, m in methods.items() if c in df.columns}
     if not methods:
         return df
-    carried = carry_valid(df, keys, ts, {c: F.col(c) for c in methods}, tiebreak, bucket_hours)
+    carried = carry_valid(df, keys, ts, {c: c for c in methods}, tiebreak, bucket_hours)
     out = carried.withColumns({c: _interp(c, ts, limit, m) for c, m in methods.items()})
     out = out.drop(*[f"_prev_{c}" for c in methods], *[f"_next_{c}" for c in methods], "_rn")
     return out if keep_bucket else out.drop("_cb")
@@ -98,7 +99,7 @@ def fill_limited(
     cols = _present(df, cols)
     if not cols:
         return df
-    carried = carry_valid(df, keys, ts, {c: F.col(c) for c in cols}, tiebreak, bucket_hours)
+    carried = carry_valid(df, keys, ts, {c: c for c in cols}, tiebreak, bucket_hours)
     out = carried.withColumns({c: _fill(c, ffill, bfill) for c in cols})
     out = drop_carry(out) if not keep_bucket else out.drop(
         *[f"_prev_{c}" for c in cols], *[f"_next_{c}" for c in cols], "_rn")

@@ -15,7 +15,7 @@ def time_diff(df: DataFrame, keys: Sequence[str] = ("plant_name",), ts: str = "t
               tiebreak: Sequence[str] = (), out: str = "dt_seconds",
               bucket_hours: int = C.Defaults().carry_bucket_hours) -> DataFrame:
     """Seconds elapsed since the previous row of the same key (NULL first)."""
-    carried = carry_valid(df, keys, ts, {"t": F.col(ts)}, tiebreak, bucket_hours, strict=True)
+    carried = carry_valid(df, keys, ts, {"t": ts}, tiebreak, bucket_hours, strict=True)
     prev = F.col("_prev_t")
     dt = (epoch_micros(ts) - epoch_micros(prev["t"])).cast("double") / F.lit(1e6)
     return drop_carry(carried.withColumn(out, F.when(prev.isNotNull(), dt)))
@@ -28,7 +28,7 @@ def row_index(df: DataFrame, keys: Sequence[str] = ("plant_name",), ts: str = "t
 
     Computed per (key, time bucket) plus per-bucket offsets, so no task holds
     a whole key."""
-    carried = carry_valid(df, keys, ts, {"t": F.col(ts)}, tiebreak, bucket_hours)
+    carried = carry_valid(df, keys, ts, {"t": ts}, tiebreak, bucket_hours)
     rn = F.col("_rn")
     return drop_carry(carried.withColumn("_keep_rn", rn)).withColumnRenamed("_keep_rn", out)
 

@@ -91,96 +91,104 @@ def _pack(rn: Column, t: Column, v: Column) -> Column:
     return F.struct(rn.alias("rn"), t.alias("t"), v.alias("v"))
 
 
+def q(name: str) -> str:
+    """Backtick-quoted identifier for SQL expression strings."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _over(keys: Sequence[str], order: str, frame: str) -> str:
+    part = f"partition by {', '.join(keys)} " if keys else ""
+    return f"over ({part}order by {order} rows between {frame})"
+
+
 def carry_valid(
     df: DataFrame,
     keys: Sequence[str],
     ts: str,
-    values: dict[str, Column],
+    values: dict[str, str],
     tiebreak: Sequence[str] = (),
     bucket_hours: int = 720,
     bucket_col: str = "_cb",
     strict: bool = False,
 ) -> DataFrame:
-    """For each ``name -> expr`` add ``_prev_<name>`` / ``_next_<name>``.
+    """For each ``name -> column`` add ``_prev_<name>`` / ``_next_<name>``.
 
-    ``_prev_x`` is the last row (current included) where ``expr`` is not
+    ``_prev_x`` is the last row (current included) where the column is not
     null, ``_next_x`` the first one from the current row on, as
     ``struct(rn long, t timestamp, v)`` where ``rn`` is the 1-based row number
     of that row within its key in ``(ts, *tiebreak)`` order.  ``_rn`` is the
     current row's number.  The bucket column is kept (``bucket_col``) so
     that a following pass on the same keys reuses the partitioning.
     ``strict=True`` excludes the current row (previous / next *other* row).
+
+    Expressions are built as SQL strings: one call into the JVM per column
+    instead of dozens (plan construction stays cheap on the driver).
     """
-    order = [F.col(ts), *[F.col(c) for c in tiebreak]]
     if bucket_col not in df.columns:
         # null timestamps get their own (sentinel) bucket instead of a null key
-        b = F.floor(hour_index(ts) / F.lit(bucket_hours)).cast("long")
-        df = df.withColumn(bucket_col, F.coalesce(b, F.lit(_NULL_BUCKET)))
-    part = [*keys, bucket_col]
-    w = Window.partitionBy(*part).orderBy(*order)
-    edge = 1 if strict else 0
-    w_back = w.rowsBetween(Window.unboundedPreceding, Window.currentRow - edge)
-    # "next valid" as the last valid in reversed order: a growing frame that
-    # Spark updates incrementally (a shrinking unbounded-following frame is
-    # re-aggregated for every row, O(n^2) per partition).
-    w_rev = Window.partitionBy(*part).orderBy(*[c.desc() for c in order])
-    w_fwd = w_rev.rowsBetween(Window.unboundedPreceding, Window.currentRow - edge)
-    lp = F.col("_lp")
-
-    local = df.withColumn("_lp", F.row_number().over(w).cast("long"))
-    cols = []
-    for name, expr in values.items():
-        packed = F.when(expr.isNotNull(), _pack(lp, F.col(ts), expr))
-        cols.append(F.last(packed, ignorenulls=True).over(w_back).alias(f"_pv_{name}"))
-        cols.append(F.last(packed, ignorenulls=True).over(w_fwd).alias(f"_nv_{name}"))
+        df = df.withColumn(bucket_col, F.expr(
+            f"coalesce(cast(floor(unix_micros(cast({q(ts)} as timestamp)) / {_US_PER_HOUR} / {bucket_hours}) as bigint), "
+            f"{_NULL_BUCKET})"))
+    qk = [q(k) for k in keys]
+    part = [*qk, q(bucket_col)]
+    asc = ", ".join([q(ts), *[q(c) for c in tiebreak]])
+    desc = ", ".join(f"{c} desc" for c in [q(ts), *[q(c) for c in tiebreak]])
+    edge = "1 preceding" if strict else "current row"
+    back = _over(part, asc, f"unbounded preceding and {edge}")
+    fwd = _over(part, desc, f"unbounded preceding and {edge}")
+
+    def packed(col: str, rn: str = "_lp") -> str:
+        return f"case when {q(col)} is not null then named_struct('rn', {rn}, 't', {q(ts)}, 'v', {q(col)}) end"
+
+    local = df.selectExpr("*", f"cast(row_number() {_over(part, asc, 'unbounded preceding and current row')} as bigint) as _lp")
+    exprs = []
+    for name, col in values.items():
+        exprs.append(f"last({packed(col)}, true) {back} as _pv_{name}")
+        # "next valid" as the last valid in reversed order: a growing frame
+        # that Spark updates incrementally (a shrinking unbounded-following
+        # frame is re-aggregated for every row, O(n^2) per partition).
+        exprs.append(f"last({packed(col)}, true) {fwd} as _nv_{name}")
     # Referenced twice below (summary + join-back): cut lineage once here.
     # The checkpoint keeps the (keys, bucket) hash partitioning, so neither the
     # summary aggregate nor the join-back shuffles these rows again.
-    local = materialize(local.select("*", *cols))
+    local = materialize(local.selectExpr("*", *exprs))
     out_cols = [c for c in local.columns if not c.startswith(("_pv_", "_nv_")) and c != "_lp"]
 
     # Rows with a null key form no series (as a group-by drops null keys):
     # they get empty carries.  A left join with plain equality keeps them
     # (they match no summary row) and keeps local's partitioning.
-    key_ok = F.lit(True)
-    for k in keys:
-        if local.schema[k].nullable:
-            key_ok = key_ok & F.col(k).isNotNull()
+    ok = [f"{q(k)} is not null" for k in keys if local.schema[k].nullable]
+    key_ok = " and ".join(ok) if ok else "true"
 
     # One row per (key, bucket): row count and the last / first valid entry.
-    packs = {n: F.when(e.isNotNull(), _pack(lp, F.col(ts), e)) for n, e in values.items()}
-    summary = local.groupBy(*part).agg(
-        F.max("_lp").alias("_n"),
-        *[F.max(packs[n]).alias(f"_sl_{n}") for n in values],
-        *[F.min(packs[n]).alias(f"_sf_{n}") for n in values],
+    summary = local.groupBy(*keys, bucket_col).agg(
+        F.expr("max(_lp) as _n"),
+        *[F.expr(f"max({packed(col)}) as _sl_{n}") for n, col in values.items()],
+        *[F.expr(f"min({packed(col)}) as _sf_{n}") for n, col in values.items()],
     )
-    ws = Window.partitionBy(*keys).orderBy(bucket_col)
-    before = ws.rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy(*keys).orderBy(F.col(bucket_col).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    summary = summary.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("long"))
+    before = _over(qk, q(bucket_col), "unbounded preceding and 1 preceding")
+    after = _over(qk, f"{q(bucket_col)} desc", "unbounded preceding and 1 preceding")
+    summary = summary.selectExpr("*", f"cast(coalesce(sum(_n) {before}, 0) as bigint) as _off")
+
+    def shift(x: str, off: str) -> str:
+        return f"case when {x} is not null then named_struct('rn', {off} + {x}.rn, 't', {x}.t, 'v', {x}.v) end"
+
     glob = []
     for n in values:
-        sl, sf = F.col(f"_sl_{n}"), F.col(f"_sf_{n}")
-        glob.append(F.when(sl.isNotNull(), _pack(F.col("_off") + sl["rn"], sl["t"], sl["v"])).alias(f"_gl_{n}"))
-        glob.append(F.when(sf.isNotNull(), _pack(F.col("_off") + sf["rn"], sf["t"], sf["v"])).alias(f"_gf_{n}"))
-    summary = summary.select(*part, "_off", *glob)
+        glob += [f"{shift('_sl_' + n, '_off')} as _gl_{n}", f"{shift('_sf_' + n, '_off')} as _gf_{n}"]
+    summary = summary.selectExpr(*qk, q(bucket_col), "_off", *glob)
     carries = []
     for n in values:
-        carries.append(F.last(f"_gl_{n}", ignorenulls=True).over(before).alias(f"_ci_{n}"))
-        carries.append(F.last(f"_gf_{n}", ignorenulls=True).over(after).alias(f"_co_{n}"))
-    summary = summary.select(*part, "_off", *carries)
+        carries += [f"last(_gl_{n}, true) {before} as _ci_{n}", f"last(_gf_{n}, true) {after} as _co_{n}"]
+    summary = summary.selectExpr(*qk, q(bucket_col), "_off", *carries)
 
     # plain equality on the partition columns: the join reuses local's partitioning
-    joined = local.join(summary, on=part, how="left")
-    off = F.col("_off")
-    final = [F.when(key_ok, off + F.col("_lp")).alias("_rn")]
+    joined = local.join(summary, on=[*keys, bucket_col], how="left")
+    final = [f"case when {key_ok} then _off + _lp end as _rn"]
     for n in values:
-        pv, nv = F.col(f"_pv_{n}"), F.col(f"_nv_{n}")
-        prev = F.when(pv.isNotNull(), _pack(off + pv["rn"], pv["t"], pv["v"])).otherwise(F.col(f"_ci_{n}"))
-        nxt = F.when(nv.isNotNull(), _pack(off + nv["rn"], nv["t"], nv["v"])).otherwise(F.col(f"_co_{n}"))
-        final.append(F.when(key_ok, prev).alias(f"_prev_{n}"))
-        final.append(F.when(key_ok, nxt).alias(f"_next_{n}"))
-    return joined.select(*[F.col(c) for c in out_cols], *final)
+        final.append(f"case when {key_ok} then coalesce({shift('_pv_' + n, '_off')}, _ci_{n}) end as _prev_{n}")
+        final.append(f"case when {key_ok} then coalesce({shift('_nv_' + n, '_off')}, _co_{n}) end as _next_{n}")
+    return joined.selectExpr(*[q(c) for c in out_cols], *final)
 
 
 def drop_carry(df: DataFrame, bucket_col: str = "_cb") -> DataFrame:
