@@ -103,3 +103,15 @@ def test_null_plant_rows_are_kept(spark):
     out = interpolate(df, ["x"], limit=6)
     assert out.count() == 4
     assert out.filter(F.col("plant_name").isNull()).count() == 1
+
+
+def test_fill_by_position_across_row_buckets(spark):
+    from wattline.operators.repair import fill_by_position
+    rnd = random.Random(19)
+    vals = [None if rnd.random() < 0.6 else rnd.uniform(0, 9) for _ in range(500)]
+    expect = pd.Series(vals, dtype=float).ffill(limit=5).bfill(limit=3).tolist()
+    rows = [("p", t, i + 1, v) for i, (t, v) in enumerate(zip(hourly(n=500), vals))]
+    df = spark.createDataFrame(rows, "plant_name string, timestamp timestamp_ntz, _rn long, x double")
+    got = [r["x"] for r in fill_by_position(df, ["x"], ffill=5, bfill=3, bucket_rows=30).orderBy("_rn").collect()]
+    for g, e in zip(got, expect):
+        assert (g is None and math.isnan(e)) or g == pytest.approx(e)

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattline import config as C
-from wattline.operators.windows import carry_valid, drop_carry, q
+from wattline.operators.windows import carry_valid, drop_carry, halo_window, q
 
 
 def _us(x: str) -> str:
@@ -72,15 +72,20 @@ def interpolate(
     tiebreak: Sequence[str] = (),
     bucket_hours: int = C.Defaults().carry_bucket_hours,
     keep_bucket: bool = False,
+    keep_rn: bool = False,
 ) -> DataFrame:
-    """Limited interpolation of ``cols`` (a list, or ``{col: method}``)."""
+    """Limited interpolation of ``cols`` (a list, or ``{col: method}``).
+
+    ``keep_rn`` keeps ``_rn``, the row's position within its key."""
     methods = dict(cols) if isinstance(cols, dict) else {c: method for c in cols}
     methods = {c: m for c, m in methods.items() if c in df.columns}
     if not methods:
         return df
     carried = carry_valid(df, keys, ts, {c: c for c in methods}, tiebreak, bucket_hours)
     out = carried.withColumns({c: _interp(c, ts, limit, m) for c, m in methods.items()})
-    out = out.drop(*[f"_prev_{c}" for c in methods], *[f"_next_{c}" for c in methods], "_rn")
+    out = out.drop(*[f"_prev_{c}" for c in methods], *[f"_next_{c}" for c in methods])
+    if not keep_rn:
+        out = out.drop("_rn")
     return out if keep_bucket else out.drop("_cb")
 
 
@@ -118,6 +123,25 @@ def drop_critical_nulls(df: DataFrame, cols: Sequence[str] = ("generation_mw", "
     return df.na.drop(subset=_present(df, cols))
 
 
+def fill_by_position(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ("plant_name",),
+                     rn: str = "_rn", ffill: int = C.FILL_LIMIT_ROWS, bfill: int = C.FILL_LIMIT_ROWS,
+                     bucket_rows: int = 1 << 18) -> DataFrame:
+    """ffill then bfill (limits in rows) given each row's position ``rn``.
+
+    Both are bounded row frames, so this is a halo window over row-number
+    buckets: exact on irregular series, one shuffle, no summary pass.  Rows
+    without a position (null key) are left as they are."""
+    cols = _present(df, cols)
+
+    def build(w):
+        ff, bf = w.rowsBetween(-ffill, 0), w.rowsBetween(0, bfill)
+        return [F.when(F.col(rn).isNotNull(), F.coalesce(F.col(c), F.last(c, True).over(ff), F.first(c, True).over(bf)))
+                .otherwise(F.col(c)).alias(f"_f_{c}") for c in cols]
+
+    out = halo_window(df, keys, rn, build, back=ffill, fwd=bfill, bucket_hours=bucket_rows, index_col=rn, order=[rn])
+    return out.withColumns({c: F.col(f"_f_{c}") for c in cols}).drop(*[f"_f_{c}" for c in cols])
+
+
 def repair_missing(
     df: DataFrame,
     weather_cols: Sequence[str] = C.WEATHER_COLS,
@@ -132,15 +156,15 @@ def repair_missing(
     """Weather: time interpolation -> ffill -> bfill; target: linear
     interpolation; then drop rows missing target, plant or time.
 
-    Two carry passes on the same ``(keys, bucket)`` partitioning: the second
-    reuses the first pass's shuffle.
+    Pass 1 (interpolation, unbounded look-ahead) runs on the bucket carry and
+    yields each row's position; pass 2 (fills, bounded to ``fill_limit``
+    rows) is a halo window over row-number buckets.
     """
     wcols = _present(df, weather_cols)
     methods = {c: "time" for c in wcols}
     if target in df.columns:
         methods[target] = "linear"
     step1 = interpolate(df, methods, keys, ts, limit, tiebreak=tiebreak,
-                        bucket_hours=bucket_hours, keep_bucket=True)
-    step2 = fill_limited(step1, wcols, keys, ts, fill_limit, fill_limit, tiebreak, bucket_hours)
-    return drop_critical_nulls(step2.drop("_cb") if "_cb" in step2.columns else step2,
-                               (target, *keys, ts))
+                        bucket_hours=bucket_hours, keep_rn=True)
+    step2 = fill_by_position(step1, wcols, keys, "_rn", fill_limit, fill_limit) if wcols else step1
+    return drop_critical_nulls(step2.drop("_rn"), (target, *keys, ts))

@@ -60,15 +60,21 @@ def halo_window(
     back: int,
     fwd: int = 0,
     bucket_hours: int = 720,
+    index_col: str | None = None,
+    order: Sequence[str] | None = None,
 ) -> DataFrame:
     """Append the window columns returned by ``build(w)``.
 
     ``w`` is ``Window.partitionBy(*keys, bucket).orderBy(ts)``; frames built
     on it may look at most ``back`` rows back and ``fwd`` rows ahead.
+
+    Positions are whole hours of ``ts`` (exact on a gap-free hourly grid),
+    or, with ``index_col``, a per-key row number (exact on any series; then
+    ``bucket_hours`` is the bucket length in rows and ``order`` the sort).
     """
     if back > bucket_hours or fwd > bucket_hours:
         raise ValueError("bucket_hours must cover the largest look-back / look-ahead")
-    h = hour_index(ts)
+    h = F.col(index_col) if index_col else hour_index(ts)
     b0 = F.floor(h / F.lit(bucket_hours)).cast("long")
     pos = h - b0 * F.lit(bucket_hours)
     copies = [F.lit(0)]
@@ -82,7 +88,7 @@ def halo_window(
         .filter(F.col("_halo").isNotNull())
         .withColumn("_hb", F.col("_hb0") + F.col("_halo"))
     )
-    w = Window.partitionBy(*keys, "_hb").orderBy(ts)
+    w = Window.partitionBy(*keys, "_hb").orderBy(*(order or [ts]))
     out = staged.select("*", *build(w))
     return out.filter(F.col("_halo") == 0).drop("_hb0", "_halo", "_hb")
 
