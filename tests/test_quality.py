@@ -41,3 +41,10 @@ def test_structure_and_summary(spark):
     assert [r["rank"] for r in head] == list(range(1, len(head) + 1))
     empty = Q.validation_summary(Q.check_table(df.filter(F.lit(False)))).first()
     assert empty["overall_passed"] is False
+
+
+def test_gap_summary_across_buckets(spark):
+    df = _df(spark)
+    for hours in (1, 2, 720):
+        gs = Q.gap_summary(df, bucket_hours=hours).first()
+        assert (gs["total_points"], gs["gaps_count"], gs["max_gap_hours"]) == (4, 1, 4.0)

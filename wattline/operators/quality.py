@@ -11,13 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattline import config as C
 from wattline.functions.stats import pearson
-from wattline.operators.series import time_diff
 
 REQUIRED = ("timestamp", "plant_name", "plant_type", "generation_mw", "capacity_mw")
 
@@ -112,14 +111,32 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str] = ("timestamp", "plant_nam
 
 
 def gap_summary(df: DataFrame, key: str = "plant_name", ts: str = "timestamp",
-                tiebreak: Sequence[str] = (), expected_hours: float = 1.0) -> DataFrame:
-    """Per plant: points, gaps (step > expected), longest gap in hours (0 if none)."""
-    d = time_diff(df.select(key, ts, *tiebreak), (key,), ts, tiebreak)
-    gap = F.col("dt_seconds") > F.lit(expected_hours * 3600.0)
-    return d.groupBy(key).agg(
-        F.count(F.lit(1)).alias("total_points"),
-        F.count_if(gap).alias("gaps_count"),
-        F.coalesce(F.max(F.when(gap, F.col("dt_seconds") / 3600.0)), F.lit(0.0)).alias("max_gap_hours"),
+                tiebreak: Sequence[str] = (), expected_hours: float = 1.0,
+                bucket_hours: int = C.Defaults().carry_bucket_hours) -> DataFrame:
+    """Per plant: points, gaps (step > expected), longest gap in hours (0 if none).
+
+    Aggregation only: steps inside each (plant, time bucket) come from a
+    ``lag`` window there; steps between consecutive non-empty buckets from a
+    small window over the per-bucket first / last timestamps.  No row is
+    shuffled by plant alone and nothing is joined back."""
+    thr = F.lit(expected_hours * 3600.0)
+    us = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    b = F.floor(us(ts) / F.lit(3_600_000_000 * bucket_hours)).cast("long")
+    d = df.select(key, ts, *tiebreak).withColumn("_b", b)
+    w = Window.partitionBy(key, "_b").orderBy(ts, *tiebreak)
+    d = d.withColumn("_dt", (us(ts) - F.unix_micros(F.lag(F.col(ts).cast("timestamp")).over(w))).cast("double") / 1e6)
+    per_bucket = d.groupBy(key, "_b").agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if(F.col("_dt") > thr).alias("_g"),
+        F.max(F.when(F.col("_dt") > thr, F.col("_dt"))).alias("_m"),
+        F.min(ts).alias("_first"), F.max(ts).alias("_last"))
+    wb = Window.partitionBy(key).orderBy("_b")
+    per_bucket = per_bucket.withColumn(
+        "_xdt", (us("_first") - F.unix_micros(F.lag(F.col("_last").cast("timestamp")).over(wb))).cast("double") / 1e6)
+    cross = F.col("_xdt") > thr
+    return per_bucket.groupBy(key).agg(
+        F.sum("_n").cast("long").alias("total_points"),
+        (F.sum("_g") + F.count_if(cross)).cast("long").alias("gaps_count"),
+        (F.coalesce(F.greatest(F.max("_m"), F.max(F.when(cross, F.col("_xdt")))), F.lit(0.0)) / 3600.0).alias("max_gap_hours"),
     )
 
 
