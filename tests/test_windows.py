@@ -57,3 +57,16 @@ def test_halo_rejects_too_small_bucket(spark):
     g = _grid(spark, n=10, plants=("a",))
     with pytest.raises(ValueError):
         add_lag_features(g, ["y"], (48,), bucket_hours=24)
+
+
+def test_row_index_across_buckets_equals_row_number(spark):
+    from wattline.operators.series import row_index
+    rnd = random.Random(23)
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(p, t0 + dt.timedelta(minutes=rnd.randint(0, 60 * 24 * 10)), i) for i, p in enumerate(["a", "b"] * 300)]
+    df = spark.createDataFrame(rows, "plant_name string, timestamp timestamp_ntz, id long")
+    plain = df.withColumn("rn", F.row_number().over(Window.partitionBy("plant_name").orderBy("timestamp", "id")))
+    for hours in (1, 7, 720):
+        got = {r["id"]: r["rn"] for r in row_index(df, tiebreak=("id",), bucket_hours=hours).collect()}
+        assert got == {r["id"]: r["rn"] for r in plain.collect()}

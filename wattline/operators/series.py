@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattline import config as C
@@ -26,11 +26,20 @@ def row_index(df: DataFrame, keys: Sequence[str] = ("plant_name",), ts: str = "t
               bucket_hours: int = C.Defaults().carry_bucket_hours) -> DataFrame:
     """1-based position of each row within its key in time order.
 
-    Computed per (key, time bucket) plus per-bucket offsets, so no task holds
-    a whole key."""
-    carried = carry_valid(df, keys, ts, {"t": ts}, tiebreak, bucket_hours)
-    rn = F.col("_rn")
-    return drop_carry(carried.withColumn("_keep_rn", rn)).withColumnRenamed("_keep_rn", out)
+    ``row_number`` per (key, time bucket) plus the row count of the key's
+    earlier buckets (a partial aggregate and one small window over buckets,
+    joined back on the window's own partitioning): no task holds a whole key
+    and nothing is checkpointed.  Rows with a null key get NULL."""
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    b = F.coalesce(F.floor(us / F.lit(3_600_000_000 * bucket_hours)).cast("long"), F.lit(-(1 << 62)))
+    d = df.withColumn("_rb", b)
+    w = Window.partitionBy(*keys, "_rb").orderBy(ts, *tiebreak)
+    local = d.withColumn("_lp", F.row_number().over(w).cast("long"))
+    counts = d.groupBy(*keys, "_rb").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*keys, "_rb", F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("long").alias("_off"))
+    j = local.join(offsets, on=[*keys, "_rb"], how="left")
+    return j.withColumn(out, F.col("_off") + F.col("_lp")).drop("_rb", "_lp", "_off")
 
 
 def lag_rows(df: DataFrame, col: str, n: int, keys: Sequence[str] = ("plant_name",), rn: str = "rn",
