@@ -15,6 +15,7 @@ from wattline.operators.series import row_index, split_chronological, split_rand
 from wattline.plans import oracle as O
 from wattline.plans.q_core import GEN_HOURLY
 from wattline.plans.registry import register, tables
+from wattline.session import materialize
 
 TB = ("event_id",)
 MODELS = ("Persistence", "Climatology", "Seasonal_Naive", "QuantileBins")
@@ -35,8 +36,11 @@ def _test(spark, sf):
 
 
 def predictions(spark, sf):
-    """Long prediction table: 3 baselines + quantile bins on the test slice."""
-    s = series(spark, sf)
+    """Long prediction table: 3 baselines + quantile bins on the test slice.
+
+    The hourly series feeds every model (about six branches of the plan), so
+    it is written once to the checkpoint folder instead of being recomputed."""
+    s = materialize(series(spark, sf))
     test = s.filter(F.col("split") == "test").select("plant_name", "timestamp", "y_true", "rn_split")
     pers = E.baseline_persistence(test, rn="rn_split", out="P50")
     seas = E.baseline_seasonal_naive(test, rn="rn_split", out="P50")
