@@ -172,13 +172,13 @@ def attach_group_mean(df: DataFrame, value: str, group: Sequence[str], out: str,
     return df.join(means, on=list(group), how="left")
 
 
-def join_predictions(preds: DataFrame, keys: Sequence[str] = ("plant_name", "timestamp"),
-                     model_col: str = "model", value_col: str = "P50",
-                     models: Sequence[str] | None = None) -> DataFrame:
-    """Long predictions -> one row per key with one column per model.
-
-    ``pivot`` with an explicit model list avoids the extra distinct job.
-    """
-    g = preds.groupBy(*keys)
-    g = g.pivot(model_col, list(models)) if models else g.pivot(model_col)
-    return g.agg(F.first(value_col))
+def join_predictions(preds: DataFrame, models: Sequence[str], keys: Sequence[str] = ("plant_name", "timestamp"),
+                     model_col: str = "model", value_col: str = "P50", keep: Sequence[str] = ("y_true",)) -> DataFrame:
+    """Long predictions -> one row per key, one column per model (by key,
+    never by position), plus the per-key columns in ``keep``.
+
+    Conditional aggregation over an explicit model list: one partial
+    aggregation, no extra job to discover pivot values."""
+    aggs = [F.max(c).alias(c) for c in keep]
+    aggs += [F.max(F.when(F.col(model_col) == m, F.col(value_col))).alias(m) for m in models]
+    return preds.groupBy(*keys).agg(*aggs)

@@ -13,24 +13,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wattline import config as C
 from wattline.functions.stats import pearson
 
 REQUIRED = ("timestamp", "plant_name", "plant_type", "generation_mw", "capacity_mw")
 
-CHECK_SCHEMA = T.StructType([
-    T.StructField("check", T.StringType()),
-    T.StructField("item", T.StringType()),
-    T.StructField("value", T.DoubleType()),
-    T.StructField("threshold", T.DoubleType()),
-    T.StructField("severity", T.StringType()),
-    T.StructField("flagged", T.BooleanType()),
-    T.StructField("fails_check", T.BooleanType()),
-])
-
-
 def _row(check: str, item: str | Column, value: Column, threshold: float | None, severity: str,
          flagged: Column, fails: bool) -> Column:
     it = item if isinstance(item, Column) else F.lit(item)

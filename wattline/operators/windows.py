@@ -46,12 +46,6 @@ def epoch_micros(ts: str | Column) -> Column:
     return F.unix_micros(c.cast("timestamp"))
 
 
-def epoch_seconds(ts: str | Column) -> Column:
-    """Seconds since epoch as double (microsecond precision)."""
-    c = F.col(ts) if isinstance(ts, str) else ts
-    return F.unix_micros(c.cast("timestamp")).cast("double") / F.lit(1_000_000.0)
-
-
 def halo_window(
     df: DataFrame,
     keys: Sequence[str],
@@ -93,10 +87,6 @@ def halo_window(
     return out.filter(F.col("_halo") == 0).drop("_hb0", "_halo", "_hb")
 
 
-def _pack(rn: Column, t: Column, v: Column) -> Column:
-    return F.struct(rn.alias("rn"), t.alias("t"), v.alias("v"))
-
-
 def q(name: str) -> str:
     """Backtick-quoted identifier for SQL expression strings."""
     return "`" + name.replace("`", "``") + "`"

@@ -543,11 +543,8 @@ _WIDE = ("wide as (select plant_name, timestamp, any_value(y_true) as y_true, "
 
 
 def _wide(spark, sf):
-    p = predictions(spark, sf)
-    return p.groupBy("plant_name", "timestamp").agg(
-        F.first("y_true").alias("y_true"),
-        F.max(F.when(F.col("model") == "Persistence", F.col("P50"))).alias("Persistence"),
-        F.max(F.when(F.col("model") == "QuantileBins", F.col("P50"))).alias("QuantileBins"))
+    from wattline.operators.joins import join_predictions
+    return join_predictions(predictions(spark, sf), ["Persistence", "QuantileBins"])
 
 
 def _e(body, doubles=()):
