@@ -38,3 +38,23 @@ def test_pipeline_independent_of_buckets_and_partitions(spark):
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert len(base) > 1000
     assert base == small == other
+
+
+def test_repair_unchanged_under_input_repartitioning(spark):
+    gen, wea = adapter_tables(spark, SF_SMALL)
+    w = list(C.WEATHER_COLS)
+    merged = asof_join(gen, aggregate_weather_by_time(wea, w))
+    results = []
+    for n in (1, 7, 64):
+        rep = repair_missing(merged.repartition(n), w, tiebreak=("event_id",), bucket_hours=48)
+        results.append(_canon(rep))
+    assert results[0] == results[1] == results[2]
+
+
+def test_clip_is_idempotent(spark):
+    from wattline.operators.features import clip_physical
+    gen, wea = adapter_tables(spark, SF_SMALL)
+    m = asof_join(gen, aggregate_weather_by_time(wea, list(C.WEATHER_COLS)))
+    once = clip_physical(m)
+    assert _canon(once) == _canon(clip_physical(once))
+    assert once.filter((F.col("generation_mw") < 0) | (F.col("temperature_2m") > 60)).count() == 0
