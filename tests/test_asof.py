@@ -51,3 +51,12 @@ def test_by_key(spark):
     assert got == {"a": 1.0, "b": 2.0}
     got = {r["site"]: r["w"] for r in asof_join_carry(left, right, by=["site"], bucket_hours=6).collect()}
     assert got == {"a": 1.0, "b": 2.0}
+
+
+def test_keyless_asof_does_not_window_the_left_side(spark):
+    left = spark.range(1000).selectExpr("id", "timestamp_seconds(id * 37) :: timestamp_ntz as timestamp")
+    right = spark.range(50).selectExpr("timestamp_seconds(id * 900) :: timestamp_ntz as timestamp", "cast(id as double) as w")
+    plan = asof_join(left, right)._jdf.queryExecution().optimizedPlan().toString()
+    # the only Window operators are the two over the (small) right-side
+    # bucket index (carry-in / carry-out); left rows are only joined
+    assert plan.count("Window [") == 2 and "Range (0, 1000" in plan

@@ -70,3 +70,20 @@ def test_row_index_across_buckets_equals_row_number(spark):
     for hours in (1, 7, 720):
         got = {r["id"]: r["rn"] for r in row_index(df, tiebreak=("id",), bucket_hours=hours).collect()}
         assert got == {r["id"]: r["rn"] for r in plain.collect()}
+
+
+def test_carry_join_back_does_not_reshuffle_the_big_side(spark):
+    from wattline.operators.windows import carry_valid
+    g = _grid(spark, n=100)
+    old = (spark.conf.get("spark.sql.adaptive.enabled"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        c = carry_valid(g, ["plant_name"], "timestamp", {"y": "y"}, bucket_hours=48)
+        plan = c._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old[0])
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old[1])
+    assert "SortMergeJoin" in plan
+    # only the per-bucket summary is shuffled (group -> window by key -> join side)
+    assert plan.count("Exchange") == 2, plan
