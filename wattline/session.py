@@ -47,14 +47,20 @@ def prepare_session(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the session (set one if unset)."""
+    """The shared checkpoint folder named by the session.
+
+    Uses the context's checkpoint dir or ``spark.checkpoint.dir``; only a
+    local-mode session without either gets a scratch folder."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if current:
         return current
     conf_dir = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getConf().get(_CHECKPOINT_KEY, None)
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="wattline-ckpt-")
+        if not (sc.master or "").startswith("local"):
+            # a machine-local folder would break reliable checkpoints on a cluster
+            raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder shared by all executors")
+        conf_dir = tempfile.mkdtemp(prefix="wattline-ckpt-")  # local mode (tests, bench) only
         spark.conf.set(_CHECKPOINT_KEY, conf_dir)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
