@@ -58,3 +58,28 @@ def test_quantile_bins_are_ordered(spark):
     bins = FC.fit_quantile_bins(hist)
     assert bins.filter(~((F.col("P10") <= F.col("P50")) & (F.col("P50") <= F.col("P90")))).count() == 0
     assert bins.count() == 24
+
+
+def test_scaler_roundtrip_and_zero_std(spark):
+    from wattline.operators import preprocess as PP
+    df = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (6.0, 5.0)], "a double, c double")
+    stats = PP.scaler_fit(df, ["a", "c"])
+    s = {r["feature"]: (r["mean"], r["std"]) for r in stats.collect()}
+    assert s["a"][0] == pytest.approx(3.0) and s["a"][1] == pytest.approx((14 / 3) ** 0.5)
+    assert s["c"][1] == 1.0                      # zero std -> 1
+    z = PP.scaler_transform(df, stats, ["a", "c"])
+    back = PP.scaler_transform(z, stats, ["a", "c"], inverse=True)
+    assert sorted(r["a"] for r in back.collect()) == [pytest.approx(1.0), pytest.approx(2.0), pytest.approx(6.0)]
+    assert z.agg(F.avg("a")).first()[0] == pytest.approx(0.0, abs=1e-12)
+
+
+def test_approx_bins_close_to_exact(spark):
+    import random
+    rnd = random.Random(9)
+    rows = [("p", h % 4, 1, rnd.uniform(0, 10)) for h in range(4000)]
+    hist = spark.createDataFrame(rows, "plant_name string, hour int, month int, y_true double")
+    exact = {r["hour"]: r for r in FC.fit_quantile_bins(hist).collect()}
+    approx = {r["hour"]: r for r in FC.fit_quantile_bins(hist, approx=True).collect()}
+    for h in exact:
+        for q in ("P10", "P50", "P90"):
+            assert abs(exact[h][q] - approx[h][q]) < 0.05
