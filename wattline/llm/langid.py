@@ -45,8 +45,8 @@ def fit(docs: DataFrame, key: str = "doc_id", column: str = "text", label: str =
     keyed = keyed.withColumn("bucket", F.pmod(F.shiftrightunsigned("h", 8), F.lit(samples)))
     least = keyed.groupBy("lang", "bucket").agg(F.min("h").alias("h"))
     counts = {r["lang"]: r["n"] for r in known.groupBy(F.col(label).alias("lang")).agg(F.count("*").alias("n")).collect()}
-    rows = (keyed.select("lang", "h", "text").join(least.select("lang", "h"), ["lang", "h"], "left_semi")
-            .dropDuplicates(["lang", "h"]).collect())
+    chosen = [r["h"] for r in least.collect()]
+    rows = keyed.where(F.col("h").isin(chosen)).dropDuplicates(["lang", "h"]).collect() if chosen else []
     out: dict[str, list[bytes]] = {}
     for r in sorted(rows, key=lambda r: (r["lang"], r["h"])):
         out.setdefault(r["lang"], []).append(letters_only(r["text"]))
