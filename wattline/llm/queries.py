@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import html, langid, packing, quality
+from wattline.llm import html, langid, packing, quality, substrings
 from wattline.session import prepare_session
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,13 @@ def op7_language_id(spark, sf_dir):
     return out.select("doc_id", "held_out", "lang_pred", "score", "accepted")
 
 
+@register
+def op9_substring_dedup(spark, sf_dir):
+    """Passages of 50 words that also start in a document with a smaller id are removed."""
+    out = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @register
 def op10_packing(spark, sf_dir):
     """Every document packed into sequences of at most 4096 tokens."""
