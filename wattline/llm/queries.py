@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import html, langid, packing, quality, substrings
+from wattline.llm import html, langid, packing, quality, substrings, suffix
 from wattline.session import prepare_session
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,14 @@ def op3_html_extraction(spark, sf_dir):
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+@register
+def op4_suffix_array_dedup(spark, sf_dir):
+    """Strings of 50 bytes that also start in a document with a smaller id are removed."""
+    out = suffix.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @register
 def op6_quality_rules(spark, sf_dir):
     """Repetition figures and verdict of every document."""
