@@ -1,11 +1,34 @@
 """Training-data operators (scoring, dedup, extraction, packing, search).
 
-Functions of this subpackage that run inside tasks are shipped by value, so
-executors need no copy of the package.  Nothing outside ``wattline.llm``
-imports it."""
+Nothing outside ``wattline.llm`` imports it."""
 
-import sys
+from __future__ import annotations
 
-from pyspark import cloudpickle
+import os
+import tempfile
+import uuid
+import zipfile
 
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from pyspark.sql import DataFrame
+
+_SHIPPED: set[str] = set()
+
+
+def shipped(df: DataFrame) -> DataFrame:
+    """``df``, once the package's source has been handed to its session's executors.
+
+    The operators' task functions import the package there; Spark's file
+    server passes on the archive, once for each application."""
+    sc = df.sparkSession.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        path = os.path.join(tempfile.mkdtemp(), f"wattline-{uuid.uuid4().hex[:8]}.zip")
+        with zipfile.ZipFile(path, "w") as z:
+            for folder, _, names in os.walk(package):
+                for name in sorted(names):
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        z.write(full, os.path.join("wattline", os.path.relpath(full, package)))
+        sc.addPyFile(path)
+        _SHIPPED.add(sc.applicationId)
+    return df

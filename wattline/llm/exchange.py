@@ -21,6 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wattline.llm import shipped
 from wattline.llm import text as X
 from wattline.session import checkpoint_dir
 
@@ -60,7 +61,7 @@ def make_batches(docs: DataFrame, key: str, column: str) -> DataFrame:
         if keys:
             yield _batch(serial, keys, texts)
 
-    source = docs.select(docs[key].cast("long").alias("_key"), docs[column].alias("_text"))
+    source = shipped(docs).select(docs[key].cast("long").alias("_key"), docs[column].alias("_text"))
     return stage(source.mapInArrow(run, BATCH))
 
 

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from wattline.llm import shipped
+
 WINDOW = 3      # lines in a window
 SURGE = 80      # characters that a window must reach in a kept block outside a container
 
@@ -168,4 +170,4 @@ def extract(pages: DataFrame, column: str = "html", keep: tuple[str, ...] = ("pa
 
     fields = [T.StructField(c, pages.schema[c].dataType, True) for c in names]
     schema = T.StructType([*fields, *T.StructType.fromDDL("text string, n_chars long").fields])
-    return pages.select(*names, pages[column].alias("_html")).mapInArrow(run, schema)
+    return shipped(pages).select(*names, pages[column].alias("_html")).mapInArrow(run, schema)

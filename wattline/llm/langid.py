@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wattline.llm import shipped
+
 PIECE = 1024     # bytes compressed at once: the dictionary counts on each piece, so long texts are judged evenly
 EVIDENCE = 200   # bytes of letters below which a narrow margin is no reason to reject
 OTHER = re.compile(r"[\W\d_]+")
@@ -115,4 +117,4 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], key: str = "doc_id
     fields = [T.StructField(docs.schema[c].name, docs.schema[c].dataType, True) for c in names]
     schema = T.StructType([*fields, *T.StructType.fromDDL("lang_pred string, score double, accepted boolean").fields])
     letter = F.coalesce(F.col(column).rlike(r"\p{L}"), F.lit(False)).alias("_letter")
-    return docs.select(*names, F.col(column).alias("_text"), letter).mapInArrow(run, schema)
+    return shipped(docs).select(*names, F.col(column).alias("_text"), letter).mapInArrow(run, schema)

@@ -18,6 +18,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from wattline.llm import shipped
+
 SENTENCE_CUT = 8     # penalty in tokens of a cut at a sentence end
 HARD_CUT = 64        # of a cut elsewhere in a document
 PER_SEQUENCE = 32    # of each sequence, so that few full ones beat many short ones
@@ -159,7 +161,7 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", column: str = "te
 
     kind = T.StructField(key, docs.schema[key].dataType, True)
     schema = T.StructType([kind, *T.StructType.fromDDL(OUTPUT).fields])
-    return docs.select(key, docs[column].alias("_text")).mapInArrow(run, schema)
+    return shipped(docs).select(key, docs[column].alias("_text")).mapInArrow(run, schema)
 
 
 class _Held:

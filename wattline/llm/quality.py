@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from wattline.llm import shipped
 from wattline.llm import text as X
 
 #: Limits: share of word characters inside later occurrences of n-grams, and
@@ -115,4 +116,4 @@ def repetition_rules(docs: DataFrame, key: str = "doc_id", column: str = "text",
 
     fields = [docs.schema[c] for c in names] + T.StructType.fromDDL(SCHEMA).fields
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
-    return docs.select(*names, docs[column].alias("_text")).mapInArrow(run, schema)
+    return shipped(docs).select(*names, docs[column].alias("_text")).mapInArrow(run, schema)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import html, langid, packing, quality, substrings, suffix
+from wattline.llm import html, langid, neardup, packing, quality, substrings, suffix
 from wattline.session import prepare_session
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@register
+def op2_minhash_neardup(spark, sf_dir):
+    """Components of documents whose sets of four-word shingles are similar to 0.8 or more."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
+
+
 @register
 def op3_html_extraction(spark, sf_dir):
     """Main text of every page."""
