@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import html, langid, neardup, packing, quality, substrings, suffix
+from wattline.llm import covertree, html, langid, neardup, packing, quality, substrings, suffix
 from wattline.session import prepare_session
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,12 @@ def op4_suffix_array_dedup(spark, sf_dir):
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@register
+def op5_exact_topk(spark, sf_dir):
+    """The 20 highest inner products of every twentieth vector."""
+    return covertree.top_inner_products(table(spark, sf_dir, "embeddings"))
+
+
 @register
 def op6_quality_rules(spark, sf_dir):
     """Repetition figures and verdict of every document."""
