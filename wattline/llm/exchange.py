@@ -30,7 +30,7 @@ BUCKET_BYTES = 4 << 20  # corpus bytes per bucket
 LEAST_BITS = 8
 LAST = np.iinfo(np.int64).max  # order of a null key: after all others
 
-BATCH = "batch_id long, n_bytes long, keys array<long>, ends binary, blob binary"
+BATCH = "batch_id long, n_bytes long, keys array<long>, ends binary, blob binary, extra binary"
 
 
 def stage(df: DataFrame) -> DataFrame:
@@ -41,37 +41,36 @@ def stage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def make_batches(docs: DataFrame, key: str, column: str) -> DataFrame:
-    """Documents as stored batches; a long document is a batch of its own."""
+def make_batches(docs: DataFrame, key: str, column: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Documents as stored batches, with the columns of ``keep``; a long document is a batch of its own."""
+    names = [f"_k{i}" for i in range(len(keep))]
+
     def run(record_batches):
         serial = TaskContext.get().partitionId() << 32
-        keys: list = []
-        texts: list[bytes] = []
-        size = 0
         for rb in record_batches:
-            ks, ts = rb.column(0).to_pylist(), rb.column(1).cast(pa.large_binary())
-            for i, k in enumerate(ks):
-                t = ts[i].as_py() or b""
-                if keys and size + len(t) > BATCH_BYTES:
-                    yield _batch(serial, keys, texts)
-                    serial, keys, texts, size = serial + 1, [], [], 0
-                keys.append(k)
-                texts.append(t)
-                size += len(t)
-        if keys:
-            yield _batch(serial, keys, texts)
-
-    source = shipped(docs).select(docs[key].cast("long").alias("_key"), docs[column].alias("_text"))
+            _, off = X.utf8(rb.column(1))
+            for a, b in X.slices(off, BATCH_BYTES):
+                yield _batch(serial, rb.slice(a, b - a), names)
+                serial += 1
+
+    source = shipped(docs).select(docs[key].cast("long").alias("_key"), docs[column].alias("_text"),
+                                  *(docs[c].alias(n) for c, n in zip(keep, names, strict=True)))
     return stage(source.mapInArrow(run, BATCH))
 
 
-def _batch(serial, keys, texts):
-    ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
-    blob = zstandard.ZstdCompressor(level=3).compress(b"".join(texts))
+def _batch(serial, rows: pa.RecordBatch, names: list[str]):
+    buf, off = X.utf8(rows.column(1))
+    extra = None
+    if names:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, rows.select(names).schema) as out:
+            out.write_batch(rows.select(names))
+        extra = zstandard.ZstdCompressor(level=1).compress(sink.getvalue().to_pybytes())
+    blob = zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(buf).data)
     return pa.RecordBatch.from_arrays(
-        [pa.array([serial], pa.int64()), pa.array([int(ends[-1])], pa.int64()), pa.array([keys], pa.list_(pa.int64())),
-         pa.array([ends.tobytes()], pa.binary()), pa.array([blob], pa.binary())],
-        names=["batch_id", "n_bytes", "keys", "ends", "blob"])
+        [pa.array([serial], pa.int64()), pa.array([int(off[-1])], pa.int64()), pa.array([rows.column(0).to_pylist()], pa.list_(pa.int64())),
+         pa.array([off[1:].tobytes()], pa.binary()), pa.array([blob], pa.binary()), pa.array([extra], pa.binary())],
+        names=["batch_id", "n_bytes", "keys", "ends", "blob", "extra"])
 
 
 class Batch:
@@ -84,9 +83,18 @@ class Batch:
         raw = zstandard.ZstdDecompressor().decompress(row["blob"], max_output_size=max(int(self.off[-1]), 1))
         self.buf = np.frombuffer(raw, np.uint8)
         self.order = np.array([LAST if k is None else k for k in self.keys], np.int64)
+        self._extra = row["extra"]
         self.answers = {a["bucket"]: a["answer"] for a in row.get("answers") or ()}
 
 
+    def kept(self) -> list[pa.Array]:
+        """The columns of ``keep``."""
+        if self._extra is None:
+            return []
+        table = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(self._extra)).read_all()
+        return [c.combine_chunks() for c in table.columns]
+
+
 def batches_of(record_batches) -> Iterator[Batch]:
     for rb in record_batches:
         for i in range(rb.num_rows):

@@ -31,7 +31,7 @@ GRAM = 16
 SHARD = 2 << 20   # bytes in a suffix array
 SEGMENT = 1 << 20  # bytes hashed at once
 
-OUTPUT = "n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary"
+OUTPUT = "n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept"
 
 
 # --- suffix arrays -----------------------------------------------------------
@@ -251,14 +251,16 @@ def row_runs(batch: E.Batch):
     return tuple(np.concatenate(x) for x in (rows, starts, counts, values))
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:
-    """``key``, n_bytes, n_removed, spans (removed byte ranges), kept (the remaining bytes).
+def remove_repeats(docs: DataFrame, key: str = "doc_id", column: str = "text", keep: tuple[str, ...] = (),
+                   as_text: bool = False) -> DataFrame:
+    """``key``, the columns of ``keep``, n_bytes, n_removed, spans (removed byte ranges), kept (the
+    remaining bytes, or with ``as_text`` a string without the characters that a cut has broken).
 
     Matches never cross rows and are judged on the input.  Rows of equal key
     do not remove each other's bytes; a null key comes after all others.  Null
     or empty text: 0 bytes, no span.  Very long texts are hashed in segments.
     Further columns are ignored; an empty table gives an empty result."""
-    batches = E.make_batches(docs, key, column)
+    batches = E.make_batches(docs, key, column, keep)
     bits = E.bucket_bits(batches)
     shared = E.Shared(bits)
 
@@ -333,7 +335,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", column: str = "text") -
         return out
 
     found = E.told(batches, E.ask(anchored, runs, judge))
-    kind = T.StructField(key, T.LongType(), True)
+    fields = [T.StructField(key, T.LongType(), True), *(T.StructField(c, docs.schema[c].dataType, True) for c in keep),
+              *T.StructType.fromDDL(OUTPUT + (" string" if as_text else " binary")).fields]
+    names = [f.name for f in fields]
 
     def cut(record_batches):
         for batch in E.batches_of(record_batches):
@@ -344,9 +348,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", column: str = "text") -
                 at = batch.off[E.unplanes(row, np.uint32)] + E.unplanes(start, np.int64)
                 np.add.at(step, at, 1)
                 np.add.at(step, at + E.unplanes(length, np.int64), -1)
-            yield _cut_rows(batch, np.cumsum(step[:size]) > 0, key)
+            yield _cut_rows(batch, np.cumsum(step[:size]) > 0, names, as_text)
 
-    return found.mapInArrow(cut, T.StructType([kind, *T.StructType.fromDDL(OUTPUT).fields]))
+    return found.mapInArrow(cut, T.StructType(fields))
 
 
 def spread(start: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -354,7 +358,7 @@ def spread(start: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.repeat(start - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
 
 
-def _cut_rows(batch, gone, key):
+def _cut_rows(batch, gone, names, as_text):
     n, off = len(batch.keys), batch.off
     first = np.zeros(len(gone) + 1, bool)
     first[off[:-1]] = True
@@ -372,6 +376,6 @@ def _cut_rows(batch, gone, key):
     ends = kept[off]
     texts = [raw[x:y] for x, y in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
     size = np.diff(off)
+    kept = pa.array([t.decode("utf-8", "ignore") for t in texts], pa.string()) if as_text else pa.array(texts, pa.binary())
     return pa.RecordBatch.from_arrays(
-        [pa.array(batch.keys, pa.int64()), pa.array(size), pa.array(size - np.diff(ends)), spans, pa.array(texts, pa.binary())],
-        names=[key, "n_bytes", "n_removed", "spans", "kept"])
+        [pa.array(batch.keys, pa.int64()), *batch.kept(), pa.array(size), pa.array(size - np.diff(ends)), spans, kept], names=names)
