@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import covertree, html, langid, neardup, packing, quality, substrings, suffix
+from wattline.llm import covertree, html, langid, neardup, packing, quality, segment, substrings, suffix
 from wattline.session import prepare_session
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,6 +71,16 @@ def op7_language_id(spark, sf_dir):
     return out.select("doc_id", "held_out", "lang_pred", "score", "accepted")
 
 
+@register
+def op8_sampled_segmentation(spark, sf_dir):
+    """Two sampled segmentations of every document, without replacement, and whether they spell its text."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents")
+    out = segment.decode(segment.sample_segmentations(docs, model), model, name="spelt")
+    return out.select("doc_id", "sample", "n_pieces", F.crc32("ids").alias("ids_crc32"), "log_prob", "perturbed", "log_inclusion",
+                      F.length("spelt").cast("long").alias("n_chars"), F.sha2("spelt", 256).alias("spelt_sha256"))
+
+
 @register
 def op9_substring_dedup(spark, sf_dir):
     """Passages of 50 words that also start in a document with a smaller id are removed."""
