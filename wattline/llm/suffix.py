@@ -248,7 +248,8 @@ def row_runs(batch: E.Batch):
     if not rows:
         z = np.zeros(0, np.int64)
         return z, z, z, np.zeros(0, X.U)
-    return tuple(np.concatenate(x) for x in (rows, starts, counts, values))
+    rows, starts, counts, values = (np.concatenate(x) for x in (rows, starts, counts, values))
+    return rows, starts, counts, X.mix(values + X.U(1))  # least hashes are small: mixed anew, they spread over all buckets
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", column: str = "text", keep: tuple[str, ...] = (),
