@@ -107,11 +107,12 @@ def bucket_bits(batches: DataFrame) -> int:
     return max(LEAST_BITS, math.ceil(math.log2(max(total, 1) / BUCKET_BYTES))) if total else LEAST_BITS
 
 
-def ask(batches: DataFrame, question: Callable, answer: Callable) -> DataFrame:
-    """Rows (batch_id, answers): what each batch learns.
+def replies(batches: DataFrame, question: Callable, answer: Callable) -> DataFrame:
+    """Rows (batch_id, bucket, answer) of a question to the whole corpus.
 
     ``question(Batch)`` yields (bucket, payload); ``answer(bucket, [payload])``
-    gives one answer or None for each payload of a bucket."""
+    gives one answer or None for each payload of a bucket, and may add one
+    more, a note on the bucket itself, which gets batch_id -1."""
     def send(record_batches):
         for batch in batches_of(record_batches):
             rows = list(question(batch))
@@ -121,15 +122,24 @@ def ask(batches: DataFrame, question: Callable, answer: Callable) -> DataFrame:
                                                  names=["bucket", "batch_id", "payload"])
 
     def reply(group: pa.Table) -> pa.Table:
-        bucket, ids = group["bucket"][0].as_py(), group["batch_id"].to_pylist()
+        bucket, ids = group["bucket"][0].as_py(), [*group["batch_id"].to_pylist(), -1]
         got = answer(bucket, group["payload"].to_pylist())
-        kept = [(i, a) for i, a in zip(ids, got, strict=True) if a is not None]
+        kept = [(i, a) for i, a in zip(ids, got, strict=False) if a is not None]
         return pa.table([pa.array([i for i, _ in kept], pa.int64()), pa.array([bucket] * len(kept), pa.int32()),
                          pa.array([a for _, a in kept], pa.binary())], names=["batch_id", "bucket", "answer"])
 
     sent = batches.mapInArrow(send, "bucket int, batch_id long, payload binary")
-    replies = sent.groupBy("bucket").applyInArrow(reply, "batch_id long, bucket int, answer binary")
-    return replies.groupBy("batch_id").agg(F.collect_list(F.struct("bucket", "answer")).alias("answers"))
+    return sent.groupBy("bucket").applyInArrow(reply, "batch_id long, bucket int, answer binary")
+
+
+def gathered(rows: DataFrame) -> DataFrame:
+    """Replies as one row per batch: (batch_id, answers)."""
+    return rows.groupBy("batch_id").agg(F.collect_list(F.struct("bucket", "answer")).alias("answers"))
+
+
+def ask(batches: DataFrame, question: Callable, answer: Callable) -> DataFrame:
+    """Rows (batch_id, answers): what each batch learns."""
+    return gathered(replies(batches, question, answer))
 
 
 def told(batches: DataFrame, answers: DataFrame) -> DataFrame:

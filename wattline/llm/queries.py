@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import covertree, html, langid, neardup, packing, quality, segment, substrings, suffix
+from wattline.llm import covertree, html, langid, lm, neardup, packing, quality, segment, substrings, suffix
 from wattline.session import prepare_session
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@register
+def op1_lm_scoring(spark, sf_dir):
+    """log10 probability of every document under a bigram model of four fifths of them."""
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 @register
 def op2_minhash_neardup(spark, sf_dir):
     """Components of documents whose sets of four-word shingles are similar to 0.8 or more."""
