@@ -11,6 +11,8 @@ keeps.  Partitions are packed independently, without a shuffle.
 from __future__ import annotations
 
 import itertools
+import re
+import string
 
 import numpy as np
 import pyarrow as pa
@@ -19,89 +21,175 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from wattline.llm import shipped
+from wattline.llm import text as X
 
 SENTENCE_CUT = 8     # penalty in tokens of a cut at a sentence end
 HARD_CUT = 64        # of a cut elsewhere in a document
 PER_SEQUENCE = 32    # of each sequence, so that few full ones beat many short ones
 STRIDE = 128         # a hard cut is offered where no boundary comes within so many tokens
 BLOCK = 1 << 20      # tokens planned at once
-CACHE = 1 << 20      # words remembered by a task
+APART = 48           # sentence ends are offered about so many tokens apart
+CACHE = 1 << 20      # words remembered by a worker
+SLICE = 1 << 20      # bytes encoded at once
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
 OUTPUT = "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
 class WordEncoder:
-    """Ids of words by a tokenizer that drops white space, remembering words already seen.
+    """Ids of words by a tokenizer that lower-cases and drops white space, remembering words seen.
 
     The tokenizer must never join characters across ASCII white space, so that
-    a text's ids are those of its words in order."""
+    a text's ids are those of its words in order.  Letter words are encoded
+    apart from the ASCII punctuation that follows them; where a letter word
+    ends is read from the vocabulary's word-end mark."""
+
+    PUNCTUATION = string.punctuation
+    CALL = 512  # words encoded by one call
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True  # special tokens' strings in a text are ordinary text
+        vocab = self.tok.get_vocab()
+        self.final = np.zeros(max(vocab.values()) + 1, bool)
+        self.final[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
         self.reset()
 
     def reset(self):
-        self.index: dict[bytes, int] = {}
+        self.words, self.parts = _Store(), _Store()
+        self.stop = np.zeros(1 << 16, bool)
+
+    def learn(self, new: list[bytes]):
+        """Remember words (lower-cased in ASCII)."""
+        text = [w.decode("utf-8", "replace") for w in new]
+        core = [w.rstrip(self.PUNCTUATION) for w in text]
+        plain = [c.lower().isalpha() for c in core]
+        core = [c if ok else w for c, w, ok in zip(core, text, plain, strict=True)]
+        rest = [w[len(c):] for c, w in zip(core, text, strict=True)]
+        known = self.parts.index
+        self._letters(list({c for c, ok in zip(core, plain, strict=True) if ok and c not in known}))
+        self._any(list({c for c, ok in zip(core, plain, strict=True) if not ok and c not in known} | ({r for r in rest if r} - known.keys())))
+        known[""] = -1
+        pair = np.empty((len(new), 2), np.int64)
+        pair[:, 0] = [known[c] for c in core]
+        pair[:, 1] = [known[r] for r in rest]
+        del known[""]
+        start = np.append(self.parts.start[:self.parts.size], 0)[pair]
+        count = np.append(self.parts.count[:self.parts.size], 0)[pair]
+        n = self.words.size
+        self.words.add(new, self.parts.ids[spread(start.ravel(), count.ravel())], count.sum(axis=1))
+        while self.words.size > len(self.stop):
+            self.stop = np.concatenate([self.stop, np.zeros_like(self.stop)])
+        self.stop[n:self.words.size] = [w.rstrip("\"')]}»”’").endswith((".", "!", "?", "…", "。")) for w in text]
+
+    def _letters(self, new: list[str]):
+        for a in range(0, len(new), self.CALL):
+            part = new[a:a + self.CALL]
+            ids = np.asarray(self.tok.encode(" ".join(part), add_special_tokens=False).ids, np.uint32)
+            ends = np.flatnonzero(self.final[ids]) + 1
+            if len(ends) == len(part):
+                self.parts.add(part, ids, np.diff(ends, prepend=0))
+            else:  # a letter that the tokenizer takes for something else
+                self._any(part)
+
+    def _any(self, new: list[str]):
+        for a in range(0, len(new), self.CALL):
+            part = new[a:a + self.CALL]
+            enc = self.tok.encode(" ".join(part), add_special_tokens=False)
+            first = np.cumsum([0] + [len(s) + 1 for s in part[:-1]])
+            at = np.asarray(enc.offsets, np.int64).reshape(-1, 2)[:, 0]
+            self.parts.add(part, np.asarray(enc.ids, np.uint32), np.bincount(np.searchsorted(first, at, "right") - 1, minlength=len(part)))
+
+    def encode(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each text: ids, and the token positions after which a sentence ends."""
+        split = [t.lower().split() for t in texts]
+        words = list(itertools.chain.from_iterable(split))
+        if self.words.size > CACHE:
+            self.reset()
+        new = list(set(words).difference(self.words.index))
+        if new:
+            self.learn(new)
+        w = np.array(list(map(self.words.index.__getitem__, words)), np.int64)
+        count = self.words.count[w]
+        end = np.cumsum(count)
+        ids = self.words.ids[spread(self.words.start[w], count)]
+        stop = self.stop[w]
+        last = np.cumsum([len(x) for x in split])
+        out, a, before = [], 0, 0
+        for b in last.tolist():
+            upto = int(end[b - 1]) if b else 0
+            out.append((ids[before:upto], end[a:b][stop[a:b]] - before))
+            a, before = b, upto
+        return out
+
+
+def segments(text: bytes, size: int):
+    """The text cut at white space into parts of about ``size`` bytes."""
+    a = 0
+    while len(text) - a > size:
+        m = SPACE.search(text, a + size)
+        if not m:
+            break
+        yield text[a:m.start()]
+        a = m.start()
+    yield text[a:]
+
+
+class _Store:
+    """Strings and their ids: names in a dictionary, ids one after the other."""
+
+    def __init__(self):
+        self.index: dict = {}
         self.ids = np.zeros(1 << 16, np.uint32)
         self.start = np.zeros(1 << 16, np.int64)
         self.count = np.zeros(1 << 16, np.int64)
-        self.stop = np.zeros(1 << 16, bool)
-        self.used = 0
+        self.size, self.used = 0, 0
 
-    def learn(self, new: list[bytes]):
-        for a in range(0, len(new), 4096):
-            self._learn(new[a:a + 4096])
-
-    def _learn(self, new):
-        strings = [w.decode("utf-8", "replace") for w in new]
-        enc = self.tok.encode(" ".join(strings), add_special_tokens=False)
-        first = np.cumsum([0] + [len(s) + 1 for s in strings[:-1]])
-        ids = np.asarray(enc.ids, np.uint32)
-        at = np.asarray(enc.offsets, np.int64).reshape(-1, 2)[:, 0]
-        count = np.bincount(np.searchsorted(first, at, "right") - 1, minlength=len(new))
-        n, m = len(self.index), len(new)
+    def add(self, names: list, ids: np.ndarray, count: np.ndarray):
+        n, m = self.size, len(names)
         while n + m > len(self.start):
-            self.start, self.count, self.stop = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.count, self.stop))
+            self.start, self.count = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.count))
         while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         self.ids[self.used:self.used + len(ids)] = ids
         self.count[n:n + m] = count
         self.start[n:n + m] = self.used + np.cumsum(count) - count
-        self.stop[n:n + m] = [s.rstrip("\"')]}»”’").endswith((".", "!", "?", "…", "。")) for s in strings]
-        self.used += len(ids)
-        self.index.update(zip(new, range(n, n + m), strict=True))
-
-    def encode(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, token positions after which a sentence ends)."""
-        out, stops, shift = [], [], 0
-        for words in _batched(text.split()):
-            if len(self.index) > CACHE:
-                self.reset()
-            new = list(dict.fromkeys(w for w in words if w not in self.index))
-            if new:
-                self.learn(new)
-            w = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-            count = self.count[w]
-            end = np.cumsum(count)
-            total = int(end[-1]) if len(end) else 0
-            out.append(self.ids[np.repeat(self.start[w] - (end - count), count) + np.arange(total)])
-            stops.append(end[self.stop[w]] + shift)
-            shift += total
-        if not out:
-            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        return np.concatenate(out), np.concatenate(stops)
-
-
-def _batched(words: list[bytes], n: int = 1 << 16):
-    return (words[a:a + n] for a in range(0, len(words), n))
+        self.index.update(zip(names, range(n, n + m), strict=True))
+        self.size, self.used = n + m, self.used + len(ids)
+
+
+_ENCODERS: dict[str, WordEncoder] = {}
+
+
+def encoder(path: str) -> WordEncoder:
+    """The worker process's encoder: later tasks find the words that earlier ones learnt."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordEncoder(path)
+    return _ENCODERS[path]
+
+
+def spread(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """start[i], start[i]+1, ... for count[i] values each."""
+    return np.repeat(start - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+
+
+def _encoded(coder: WordEncoder, texts: list[bytes]):
+    if len(texts) > 1 or len(texts[0]) <= 2 * SLICE:
+        return coder.encode(texts)
+    ids, stops, before = [], [], 0
+    for part in segments(texts[0], SLICE):
+        i, s = coder.encode([part])[0]
+        ids.append(i)
+        stops.append(s + before)
+        before += len(i)
+    return [(np.concatenate(ids), np.concatenate(stops))]
 
 
 def plan(pos: list[int], penalty: list[int], capacity: int, per_sequence: int = PER_SEQUENCE) -> list[int]:
     """Ends of the sequences that cost least; pos: allowed cuts, from 0 to the last token, at most
     ``capacity`` apart.  A sequence of a power of two has no padding."""
     n = len(pos)
-    powers = [1 << k for k in range(6, capacity.bit_length())]
+    powers = [1 << k for k in range(8, capacity.bit_length())]
     f, g, prev = [0] * n, [0] * n, [0] * n
     at = {0: 0}
     queue, head = [0], 0
@@ -148,15 +236,17 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", column: str = "te
     path that every executor can read."""
 
     def run(batches):
-        encoder = WordEncoder(tokenizer)
+        coder = encoder(tokenizer)
         serial = itertools.count(TaskContext.get().partitionId() << 40)
         held = _Held(key, capacity, end_id, serial)
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1).cast(pa.large_binary())
-            for i in range(batch.num_rows):
-                held.add(keys[i], *encoder.encode(texts[i].as_py() or b""))
-                if held.size >= BLOCK:
-                    yield from held.flush(last=False)
+            size = np.concatenate([[0], np.cumsum([len(t.as_buffer()) if t.is_valid else 0 for t in texts])])
+            for a, b in X.slices(size, SLICE):
+                for i, (ids, stops) in enumerate(_encoded(coder, [t.as_py() or b"" for t in texts[a:b]]), a):
+                    held.add(keys[i], ids, stops)
+                    if held.size >= BLOCK:
+                        yield from held.flush(last=False)
         yield from held.flush(last=True)
 
     kind = T.StructField(key, docs.schema[key].dataType, True)
@@ -164,6 +254,14 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", column: str = "te
     return shipped(docs).select(key, docs[column].alias("_text")).mapInArrow(run, schema)
 
 
+def thin(stops: np.ndarray) -> np.ndarray:
+    """The last sentence end of each stretch of ``APART`` tokens."""
+    if len(stops) < 2:
+        return stops
+    stretch = stops // APART
+    return stops[np.append(stretch[1:] != stretch[:-1], True)]
+
+
 class _Held:
     """Documents whose sequences are not yet fixed."""
 
@@ -187,7 +285,7 @@ class _Held:
         shift = 0
         for (_, ids, _, _), stops in zip(self.docs, self.cuts, strict=True):
             n = len(ids)
-            soft = stops[(stops > 0) & (stops < n)]
+            soft = thin(stops[(stops > 0) & (stops < n)])
             edges = np.concatenate([[0], soft, [n]])
             gaps = np.diff(edges)
             hard = np.concatenate([np.arange(edges[i] + STRIDE, edges[i + 1], STRIDE) for i in np.flatnonzero(gaps > STRIDE)] or [np.zeros(0, np.int64)])
