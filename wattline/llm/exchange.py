@@ -107,14 +107,17 @@ def bucket_bits(batches: DataFrame) -> int:
     return max(LEAST_BITS, math.ceil(math.log2(max(total, 1) / BUCKET_BYTES))) if total else LEAST_BITS
 
 
-def replies(batches: DataFrame, question: Callable, answer: Callable) -> DataFrame:
+def replies(batches: DataFrame, question: Callable, answer: Callable, read: Callable = None) -> DataFrame:
     """Rows (batch_id, bucket, answer) of a question to the whole corpus.
 
     ``question(Batch)`` yields (bucket, payload); ``answer(bucket, [payload])``
     gives one answer or None for each payload of a bucket, and may add one
-    more, a note on the bucket itself, which gets batch_id -1."""
+    more, a note on the bucket itself, which gets batch_id -1.  ``read`` makes
+    the objects with an ``id`` that ``question`` gets; default: document batches."""
+    read = read or batches_of
+
     def send(record_batches):
-        for batch in batches_of(record_batches):
+        for batch in read(record_batches):
             rows = list(question(batch))
             if rows:
                 b, p = zip(*rows, strict=True)
@@ -137,9 +140,9 @@ def gathered(rows: DataFrame) -> DataFrame:
     return rows.groupBy("batch_id").agg(F.collect_list(F.struct("bucket", "answer")).alias("answers"))
 
 
-def ask(batches: DataFrame, question: Callable, answer: Callable) -> DataFrame:
+def ask(batches: DataFrame, question: Callable, answer: Callable, read: Callable = None) -> DataFrame:
     """Rows (batch_id, answers): what each batch learns."""
-    return gathered(replies(batches, question, answer))
+    return gathered(replies(batches, question, answer, read))
 
 
 def told(batches: DataFrame, answers: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,7 +28,8 @@ from wattline.llm.components import components
 
 CHUNKS, WIDTH = 16, 5
 PLACES = CHUNKS * WIDTH
-NEAR = 44       # differing places beyond which a candidate is no link: over seven deviations at similarity 0.8
+NEAR = 36       # differing places beyond which a candidate is no link: 5.6 deviations at similarity 0.8
+PACK = 8192     # classes in a stored pack
 BLOCK = 256     # members of a key compared at once
 SLICE = 2 << 20
 
@@ -107,18 +109,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", column: str = "text",
     address = T.StructField("batch_id", T.LongType(), True)
     rows = E.stage(batches.mapInArrow(profile, T.StructType([kind, address, *T.StructType.fromDDL(PROFILE).fields])))
     classes = E.stage(rows.where("n_shingles > 0").groupBy("cls")
-                      .agg(F.min(key).alias("least_key"), F.min(F.struct("batch_id", "row")).alias("at"), F.first("signature").alias("signature")))
-    keyed = classes.select("cls", "signature").mapInArrow(_keys, "key long, cls long")
+                      .agg(F.min(key).alias("least_key"), F.min(F.struct("batch_id", "row")).alias("at"),
+                           F.first("n_shingles").alias("size"), F.first("signature").alias("signature")))
+    keyed = _shared_keys(classes)
     heads = keyed.groupBy("key").agg(F.min("cls").alias("head"), F.max("cls").alias("other")).where("head != other")
     star = (keyed.join(heads.select("key", "head"), "key").where("cls != head")
             .select(F.col("head").alias("a"), F.col("cls").alias("b")).distinct())
-    sig = classes.select("cls", "signature")
-    close = _near(star.join(sig.select(F.col("cls").alias("b"), F.col("signature").alias("sb")), "b")
-                  .join(sig.select(F.col("cls").alias("a"), F.col("signature").alias("sa")), "a"))
-    first = E.stage(_confirm(E.stage(close), classes, batches, shingle, percent))
+    first = E.stage(_confirm(E.stage(_near(star, classes, percent)), classes, batches, shingle, percent))
     part = components(first)
-    named = classes.join(part, classes["cls"] == part["node"], "left").select("cls", "signature", F.coalesce("label", "cls").alias("part"))
-    rest = E.stage(_rest(E.stage(named)))
+    named = E.stage(classes.join(part, classes["cls"] == part["node"], "left")
+                    .select("cls", "size", "signature", F.coalesce("label", "cls").alias("part")))
+    rest = E.stage(_rest(keyed, named, percent))
     links = first.unionByName(_confirm(rest, classes, batches, shingle, percent))
     part = components(links)
     least = (classes.join(part, classes["cls"] == part["node"], "left")
@@ -155,17 +156,54 @@ def _matrix(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, PLACES)
 
 
-def _keys(record_batches):
+class _Pack:
+    """Stored classes inside a task: cls and signatures."""
+
+    def __init__(self, row: dict):
+        self.id = row["batch_id"]
+        self.cls = np.frombuffer(row["cls"], np.int64)
+        self.keys = index_keys(np.frombuffer(row["signature"], np.uint32).reshape(-1, PLACES)).ravel()
+        self.answers = {a["bucket"]: a["answer"] for a in row.get("answers") or ()}
+
+
+def _packs(record_batches):
     for rb in record_batches:
-        for a in range(0, rb.num_rows, 4096):
-            part = rb.slice(a, 4096)
-            k = index_keys(_matrix(part.column(1)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(k.ravel().view(np.int64)), pa.array(np.repeat(part.column(0).to_numpy(zero_copy_only=False), PLACES))], names=["key", "cls"])
+        for i in range(rb.num_rows):
+            yield _Pack({n: rb.column(j)[i].as_py() for j, n in enumerate(rb.schema.names)})
+
+
+def _shared_keys(classes: DataFrame) -> DataFrame:
+    """(key, cls) for the keys that several classes have (and a few more)."""
+    def store(record_batches):
+        serial = TaskContext.get().partitionId() << 32
+        for rb in record_batches:
+            for a in range(0, rb.num_rows, PACK):
+                p = rb.slice(a, PACK)
+                cls = p.column(0).to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([serial], pa.int64()), pa.array([p.num_rows * PLACES * 8], pa.int64()), pa.array([cls.tobytes()], pa.binary()),
+                     pa.array([b"".join(p.column(1).to_pylist())], pa.binary())], names=["batch_id", "n_bytes", "cls", "signature"])
+                serial += 1
+
+    packs = E.stage(classes.select("cls", "signature").mapInArrow(store, "batch_id long, n_bytes long, cls binary, signature binary"))
+    shared = E.Shared(E.bucket_bits(packs))
 
+    def question(pack):
+        key, times = np.unique(pack.keys, return_counts=True)
+        yield from shared.question(key[times > 1], key[times == 1], np.zeros(0, X.U))
+
+    def give(record_batches):
+        for pack in _packs(record_batches):
+            hit = np.flatnonzero(shared.flags(pack.keys, pack.answers))
+            yield pa.RecordBatch.from_arrays([pa.array(pack.keys[hit].view(np.int64)), pa.array(pack.cls[hit // PLACES])], names=["key", "cls"])
+
+    return E.stage(E.told(packs, E.ask(packs, question, shared.answer, _packs)).mapInArrow(give, "key long, cls long"))
+
+
+def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of sizes that allow a link, whose signatures differ in at most NEAR places."""
+    a, b = (classes.select(F.col("cls").alias(x), F.col("size").alias(f"n{x}"), F.col("signature").alias(f"s{x}")) for x in "ab")
 
-def _near(pairs: DataFrame) -> DataFrame:
-    """(a, b) whose signatures sa and sb differ in at most NEAR places."""
     def run(record_batches):
         for rb in record_batches:
             for i in range(0, rb.num_rows, 4096):
@@ -173,37 +211,29 @@ def _near(pairs: DataFrame) -> DataFrame:
                 ok = pa.array((_matrix(p.column(2)) != _matrix(p.column(3))).sum(axis=1) <= NEAR)
                 yield pa.RecordBatch.from_arrays([p.column(0).filter(ok), p.column(1).filter(ok)], names=["a", "b"])
 
-    return pairs.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+    sized = pairs.join(b, "b").join(a, "a").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    return sized.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def _rest(named: DataFrame) -> DataFrame:
+def _rest(keyed: DataFrame, named: DataFrame, percent: int) -> DataFrame:
     """Near pairs of different components among the members of each key that has several."""
-    def spread(record_batches):
-        for rb in record_batches:
-            for a in range(0, rb.num_rows, 4096):
-                p = rb.slice(a, 4096)
-                k = index_keys(_matrix(p.column(1)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(k.ravel().view(np.int64)), *(pa.array(np.repeat(p.column(c).to_numpy(zero_copy_only=False), PLACES)) for c in (0, 2))],
-                    names=["key", "cls", "part"])
-
-    keyed = named.select("cls", "signature", "part").mapInArrow(spread, "key long, cls long, part long")
-    mixed = (keyed.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("n"))
+    parted = keyed.join(named.select("cls", "part"), "cls")
+    mixed = (parted.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("n"))
              .where("lo != hi").select("key", F.ceil(F.col("n") / BLOCK).alias("blocks")))
-    member = (keyed.join(mixed, "key")
+    member = (parted.join(mixed, "key")
               .withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")))
               .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-              .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cls", "part"))
-    full = member.join(named.select("cls", "signature"), "cls").select("key", "i", "j", "own", "cls", "part", "signature")
+              .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cls"))
+    full = member.join(named, "cls").select("key", "i", "j", "own", "cls", "part", "size", "signature")
 
     def compare(group: pa.Table) -> pa.Table:
         i, j = group["i"][0].as_py(), group["j"][0].as_py()
-        own, cls, part = (group[c].to_numpy() for c in ("own", "cls", "part"))
+        own, cls, part, size = (group[c].to_numpy() for c in ("own", "cls", "part", "size"))
         sig = _matrix(group["signature"])
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
         a, b = [], []
         for x in left.tolist():
-            y = right[part[right] != part[x]]
+            y = right[(part[right] != part[x]) & (100 * np.minimum(size[right], size[x]) >= percent * np.maximum(size[right], size[x]))]
             if i == j:
                 y = y[cls[y] > cls[x]]
             if len(y):

@@ -66,8 +66,7 @@ def align_time_series(
 
     Bins without data become rows; numeric series are interpolated in time
     (limit ``limit``).  Static attributes (capacity, type, coordinates) of
-    gap rows are carried from the nearest earlier bin (else the nearest
-    later one), so gap rows keep their plant type.  Everything after the
+    gap rows are the key's first known ones, so gap rows keep their plant type.  Everything after the
     hourly aggregate runs on ``(plant, time bucket)`` partitions: no task
     ever holds a whole plant.
     """
@@ -77,11 +76,10 @@ def align_time_series(
     # bounds from the (smaller) hourly aggregate; its shuffle is reused
     spine = hourly_spine(hourly, keys, ts)
     grid = spine.join(hourly, on=[*keys, ts], how="left")
-    values = {c: c for c in (*mean_cols, *statics)}
-    carried = carry_valid(grid, keys, ts, values, bucket_hours=bucket_hours)
-    filled = {c: _interp(c, ts, limit, "time") for c in mean_cols}
-    for c in statics:
-        filled[c] = F.coalesce(F.col(c), F.col(f"_prev_{c}")["v"], F.col(f"_next_{c}")["v"])
-    out = drop_carry(carried.withColumns(filled))
+    carried = carry_valid(grid, keys, ts, {c: c for c in mean_cols}, bucket_hours=bucket_hours)
+    out = drop_carry(carried.withColumns({c: _interp(c, ts, limit, "time") for c in mean_cols}))
+    if statics:  # one row per key
+        known = static_attributes(hourly, keys, ts, statics).withColumnsRenamed({c: f"_s_{c}" for c in statics})
+        out = out.join(known, on=list(keys), how="left").withColumns({c: F.coalesce(c, f"_s_{c}") for c in statics})
     order = [*keys, ts, target, *statics, *[c for c in weather_cols if c in mean_cols]]
     return out.select(*[c for c in order if c in out.columns])

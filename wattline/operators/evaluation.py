@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from wattline import config as C
 from wattline.functions.stats import crps_gaussian
-from wattline.operators.series import lag_rows
+from wattline.operators.windows import halo_window
 
 POINT = ("mae", "rmse", "mape", "smape", "nmae", "nrmse", "cf_mae")
 PROB = ("picp_80", "mpiw_80", "nmpiw_80", "pinaw_80", "cwc_80", "pinball_p10", "pinball_p50", "pinball_p90",
@@ -29,11 +29,13 @@ def _c(x) -> Column:
 # --- baselines ---------------------------------------------------------------
 
 def baseline_shift(df: DataFrame, y: str, h: int, keys: Sequence[str] = ("plant_name",), rn: str = "rn",
-                   out: str = "y_pred") -> DataFrame:
+                   out: str = "y_pred", bucket_rows: int = 1 << 16) -> DataFrame:
     """``y`` shifted by ``h`` rows per key; the first ``h`` rows take the
-    series' first value (shift + backfill).  Needs ``rn`` (row_index)."""
-    lagged = lag_rows(df, y, h, keys, rn, "_lag")
-    first = lagged.groupBy(*keys).agg(F.min(F.struct(F.col(rn), F.col(y)))[y].alias("_first"))
+    series' first value (shift + backfill).  Needs ``rn`` (row_index): a halo
+    window over blocks of positions, so a long series is many tasks."""
+    lagged = halo_window(df, keys, rn, lambda w: [F.lag(F.col(y), h).over(w).alias("_lag")], back=h,
+                         bucket_hours=max(h, bucket_rows), index_col=rn, order=[rn])
+    first = df.groupBy(*keys).agg(F.min(F.struct(F.col(rn), F.col(y)))[y].alias("_first"))
     return lagged.join(first, on=list(keys), how="left") \
         .withColumn(out, F.coalesce(F.col("_lag"), F.col("_first"))).drop("_lag", "_first")
 
@@ -115,12 +117,15 @@ def prob_metric_aggs(y="y_true", p10="P10", p50="P50", p90="P90", gamma: float =
 
 
 def evaluate_wide(preds: DataFrame, group: Sequence[str] = ("model",), y="y_true", probabilistic: bool = True,
-                  **kw) -> DataFrame:
-    """One row per group with point (and probabilistic) metrics."""
+                  flag: str | None = None, **kw) -> DataFrame:
+    """One row per group with point (and probabilistic) metrics; ``flag``
+    names a column telling whether the group has both interval ends."""
     aggs = point_metric_aggs(y, kw.get("p50", "P50"), kw.get("zero_value"))
     if probabilistic:
         aggs += prob_metric_aggs(y, kw.get("p10", "P10"), kw.get("p50", "P50"), kw.get("p90", "P90"),
                                  kw.get("gamma", C.PICP_TARGET), kw.get("eta", C.CWC_ETA))
+    if flag:
+        aggs.append((F.count_if(F.col("P10").isNotNull()) * F.count_if(F.col("P90").isNotNull()) > 0).alias(flag))
     return preds.groupBy(*group).agg(*aggs)
 
 
@@ -133,12 +138,8 @@ def to_long(wide: DataFrame, group: Sequence[str] = ("model",), metrics: Sequenc
 
 def evaluate_model(preds: DataFrame, group: Sequence[str] = ("model",), y="y_true") -> DataFrame:
     """Long metrics; probabilistic metrics only for groups with all three quantiles."""
-    wide = evaluate_wide(preds, group, y)
-    has_q = preds.groupBy(*group).agg(
-        (F.count_if(F.col("P10").isNotNull()) * F.count_if(F.col("P90").isNotNull()) > 0).alias("_q"))
-    long = to_long(wide, group)
-    long = long.join(has_q, on=list(group), how="left")
-    return long.filter(F.col("metric").isin(*POINT) | F.col("_q")).drop("_q")
+    wide = evaluate_wide(preds, group, y, flag="_q")
+    return to_long(wide, (*group, "_q")).filter(F.col("metric").isin(*POINT) | F.col("_q")).drop("_q")
 
 
 def compare_models(long_metrics: DataFrame, group: Sequence[str] = ("model",),

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from wattline.operators.windows import carry_valid, epoch_micros
 
 
+CARRY_GROUP = 720  # index buckets whose carries one window computes
+
+
 def _pick(prev, nxt, on: str, direction: str):
     if direction == "backward":
         return prev["v"]
@@ -39,17 +42,19 @@ def asof_join(
     (first at or after) or ``nearest`` (smaller gap; equal gap -> earlier).
     No tolerance: the nearest row is taken however far away.
 
-    Plan (left side is large, right side is a time series): the right side
-    becomes an index with one row per (by, time bucket) over its whole time
-    range -- the bucket's right rows as a sorted array plus the last row
-    before and the first row after the bucket (one small window over the
-    buckets).  Left rows are clamped into that range and equi-joined to
-    their bucket, which AQE broadcasts once it has measured the index, so
-    left rows are neither sorted nor windowed nor (usually) shuffled.  The
-    per-bucket array holds the right rows of one bucket only: pick
-    ``bucket_seconds`` so a bucket holds few right rows (hourly weather:
-    one).  :func:`asof_join_carry` is the alternative when the right side is
-    as large as the left.
+    Rows without a time, or whose ``by`` is unknown on the right, get NULLs.
+
+    Plan (left side is large, right side is a time series): an index with
+    one row per (by, time bucket) that holds right rows or is asked for by
+    left rows -- the bucket's right rows as a sorted array plus the last row
+    before and the first row after it.  Left rows are equi-joined to their
+    bucket, which AQE broadcasts once it has measured the index, so left
+    rows are neither sorted nor windowed.  The carries come from windows
+    over coarse groups of buckets and one row per group, so a long series
+    is many tasks, and a stray time of another century costs one row.
+    Pick ``bucket_seconds`` so a bucket holds few right rows (hourly
+    weather: one).  :func:`asof_join_carry` is the alternative when the
+    right side is as large as the left.
     """
     if right_cols is None:
         right_cols = [c for c in right.columns if c != on and c not in by]
@@ -63,22 +68,24 @@ def asof_join(
     r = right.filter(F.col(on).isNotNull()).select(
         *by, bucket(on).alias("_b"), F.struct(F.col(on).alias("t"), F.struct(*right_cols).alias("v")).alias("_r"))
     cells = r.groupBy(*by, "_b").agg(F.sort_array(F.collect_list("_r")).alias("_rows"))
-    bounds = cells.groupBy(*by).agg(F.min("_b").alias("_lo"), F.max("_b").alias("_hi"))
-    dense = bounds.select(*by, F.explode(F.sequence("_lo", "_hi")).alias("_b"))
-    idx = dense.join(cells, on=[*by, "_b"], how="left")
-    w = Window.partitionBy(*by).orderBy("_b")
-    w_rev = Window.partitionBy(*by).orderBy(F.col("_b").desc())
-    idx = idx.select(
-        *by, "_b", F.coalesce("_rows", F.array().cast(cells.schema["_rows"].dataType)).alias("_rows"),
-        F.last(F.try_element_at("_rows", F.lit(-1)), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("_cin"),
-        F.last(F.try_element_at("_rows", F.lit(1)), ignorenulls=True).over(w_rev.rowsBetween(Window.unboundedPreceding, -1)).alias("_cout"))
-    if by:
-        lb = left.join(bounds, on=by, how="left")
-        lo, hi = F.col("_lo"), F.col("_hi")
-    else:
-        lb = left
-        lo, hi = bounds.select("_lo").scalar(), bounds.select("_hi").scalar()
-    lb = lb.withColumn("_b", F.least(F.greatest(bucket(on), lo), hi))
+    asked = left.filter(F.col(on).isNotNull()).select(*by, bucket(on).alias("_b")).distinct()
+    empty = F.array().cast(cells.schema["_rows"].dataType)
+    idx = asked.join(cells, on=[*by, "_b"], how="full").withColumn("_rows", F.coalesce("_rows", empty)) \
+        .withColumn("_g", F.floor(F.col("_b") / F.lit(CARRY_GROUP)))
+    first, last = F.try_element_at("_rows", F.lit(1)), F.try_element_at("_rows", F.lit(-1))
+    inner, outer = Window.partitionBy(*by, "_g"), Window.partitionBy(*(by or [F.lit(0)]))
+    earlier, later = (Window.unboundedPreceding, -1), (1, Window.unboundedFollowing)
+    groups = idx.groupBy(*by, "_g").agg(F.min(F.when(first.isNotNull(), F.struct("_b", first.alias("r"))))["r"].alias("_first"),
+                                        F.max(F.when(last.isNotNull(), F.struct("_b", last.alias("r"))))["r"].alias("_last"))
+    groups = groups.select(*by, "_g", F.last("_last", True).over(outer.orderBy("_g").rowsBetween(*earlier)).alias("_gin"),
+                           F.first("_first", True).over(outer.orderBy("_g").rowsBetween(*later)).alias("_gout"))
+    idx = idx.select(*by, "_b", "_g", "_rows", F.last(last, True).over(inner.orderBy("_b").rowsBetween(*earlier)).alias("_cin"),
+                     F.first(first, True).over(inner.orderBy("_b").rowsBetween(*later)).alias("_cout")) \
+        .join(groups, on=[*by, "_g"], how="left") \
+        .select(*by, "_b", "_rows", F.coalesce("_cin", "_gin").alias("_cin"), F.coalesce("_cout", "_gout").alias("_cout"))
+    # rows without a time match nothing; a spread key keeps them from meeting in one task
+    nowhere = F.lit(-(1 << 62)) + F.pmod(F.xxhash64(*lcols), F.lit(4096))
+    lb = left.withColumn("_b", F.coalesce(bucket(on), nowhere))
     j = lb.join(idx, on=[*by, "_b"], how="left")
     t = F.col(on)
     before = F.filter("_rows", lambda x: x["t"] <= t)
@@ -87,7 +94,7 @@ def asof_join(
     nxt = F.coalesce(F.try_element_at(after, F.lit(1)), F.col("_cout"))
     j = j.withColumns({"_prev": prev, "_next": nxt})
     pick = _pick(F.col("_prev"), F.col("_next"), on, direction)
-    return j.select(*[F.col(c) for c in lcols], *[pick[c].alias(c) for c in right_cols])
+    return j.select(*[F.col(c) for c in lcols], *[F.when(t.isNotNull(), pick[c]).alias(c) for c in right_cols])
 
 
 def asof_join_carry(

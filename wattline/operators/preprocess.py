@@ -22,10 +22,10 @@ def scaler_fit(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def scaler_transform(df: DataFrame, stats: DataFrame, cols: Sequence[str], inverse: bool = False) -> DataFrame:
+    fitted = stats.agg(F.map_from_entries(F.collect_list(F.struct("feature", F.struct("mean", "std")))).alias("m")).select("m").scalar()
     out = {}
     for c in cols:
-        s = stats.filter(F.col("feature") == c)
-        mean, std = s.select("mean").scalar(), s.select("std").scalar()
+        mean, std = fitted[c]["mean"], fitted[c]["std"]
         out[c] = F.col(c) * std + mean if inverse else (F.col(c) - mean) / std
     return df.withColumns(out)
 
@@ -45,4 +45,5 @@ def label_encode(df: DataFrame, encoder: DataFrame, col: str, out: str | None =
 def mean_impute(df: DataFrame, cols: Sequence[str], fit: DataFrame | None = None) -> DataFrame:
     """Nulls -> column mean of ``fit`` (default: the frame itself)."""
     src = df if fit is None else fit
-    return df.withColumns({c: F.coalesce(F.col(c), src.select(F.avg(c)).scalar()) for c in cols})
+    means = src.agg(F.struct(*[F.avg(c).alias(c) for c in cols]).alias("m")).select("m").scalar()  # one row, one scan
+    return df.withColumns({c: F.coalesce(F.col(c), means[c]) for c in cols})

@@ -24,7 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattline import config as C
-from wattline.operators.windows import carry_valid, drop_carry, halo_window, q
+from wattline.operators.series import row_index
+from wattline.operators.windows import carry_valid, halo_window, q
 
 
 def _us(x: str) -> str:
@@ -48,16 +49,6 @@ def _interp(c: str, ts: str, limit: int, method: str) -> Column:
         f"else coalesce({val}, {prev}.v) end")
 
 
-def _fill(c: str, ffill: int | None, bfill: int | None) -> Column:
-    col, prev, nxt = q(c), q(f"_prev_{c}"), q(f"_next_{c}")
-    parts = [f"when {col} is not null then {col}"]
-    if ffill is not None:
-        parts.append(f"when {prev} is not null and _rn - {prev}.rn <= {int(ffill)} then {prev}.v")
-    if bfill is not None:
-        parts.append(f"when {nxt} is not null and {nxt}.rn - _rn <= {int(bfill)} then {nxt}.v")
-    return F.expr("case " + " ".join(parts) + " end")
-
-
 def _present(df: DataFrame, cols: Sequence[str]) -> list[str]:
     return [c for c in cols if c in df.columns]
 
@@ -98,17 +89,14 @@ def fill_limited(
     bfill: int | None = C.FILL_LIMIT_ROWS,
     tiebreak: Sequence[str] = (),
     bucket_hours: int = C.Defaults().carry_bucket_hours,
-    keep_bucket: bool = False,
 ) -> DataFrame:
-    """Forward fill then backward fill, each over at most ``limit`` nulls."""
+    """Forward fill then backward fill, each over at most ``limit`` nulls:
+    bounded row frames over the rows' positions, no carry."""
     cols = _present(df, cols)
     if not cols:
         return df
-    carried = carry_valid(df, keys, ts, {c: c for c in cols}, tiebreak, bucket_hours)
-    out = carried.withColumns({c: _fill(c, ffill, bfill) for c in cols})
-    out = drop_carry(out) if not keep_bucket else out.drop(
-        *[f"_prev_{c}" for c in cols], *[f"_next_{c}" for c in cols], "_rn")
-    return out
+    ranked = row_index(df, keys, ts, tiebreak, "_rn", bucket_hours)
+    return fill_by_position(ranked, cols, keys, "_rn", ffill or 0, bfill or 0).drop("_rn")
 
 
 def ffill_limited(df, cols, limit: int = C.FILL_LIMIT_ROWS, **kw) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Per-series row operators on irregular series (carry-based, skew-safe)."""
+"""Per-series row operators on irregular series (bucketed by time, skew-safe)."""
 
 from __future__ import annotations
 
@@ -8,17 +8,29 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattline import config as C
-from wattline.operators.windows import carry_valid, drop_carry, epoch_micros
+from wattline.operators.windows import epoch_micros
 
 
 def time_diff(df: DataFrame, keys: Sequence[str] = ("plant_name",), ts: str = "timestamp",
               tiebreak: Sequence[str] = (), out: str = "dt_seconds",
               bucket_hours: int = C.Defaults().carry_bucket_hours) -> DataFrame:
-    """Seconds elapsed since the previous row of the same key (NULL first)."""
-    carried = carry_valid(df, keys, ts, {"t": ts}, tiebreak, bucket_hours, strict=True)
-    prev = F.col("_prev_t")
-    dt = (epoch_micros(ts) - epoch_micros(prev["t"])).cast("double") / F.lit(1e6)
-    return drop_carry(carried.withColumn(out, F.when(prev.isNotNull(), dt)))
+    """Seconds elapsed since the previous row of the same key (NULL first).
+
+    ``lag`` inside each (key, time bucket); the first row of a bucket takes
+    the last time of the key's previous bucket from a one-row-per-bucket
+    summary.  Rows without a time get NULL and pass by the windows."""
+    timed = df.filter(F.col(ts).isNotNull()).withColumn("_tb", F.floor(epoch_micros(ts) / F.lit(3_600_000_000 * bucket_hours)))
+    ends = timed.groupBy(*keys, "_tb").agg(F.max(ts).alias("_end"))
+    ends = ends.select(*keys, "_tb", F.lag("_end").over(Window.partitionBy(*keys).orderBy("_tb")).alias("_before"))
+    w = Window.partitionBy(*keys, "_tb").orderBy(ts, *tiebreak)
+    j = timed.withColumn("_lag", F.lag(ts).over(w)).join(ends, on=[*keys, "_tb"], how="left")
+    dt = (epoch_micros(ts) - epoch_micros(F.coalesce("_lag", "_before"))).cast("double") / F.lit(1e6)
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    timed = j.withColumn(out, F.when(known, dt)).select(*df.columns, out)
+    rest = df.filter(F.col(ts).isNull()).withColumn(out, F.lit(None).cast("double"))
+    return timed.unionByName(rest)
 
 
 def row_index(df: DataFrame, keys: Sequence[str] = ("plant_name",), ts: str = "timestamp",
@@ -42,17 +54,6 @@ def row_index(df: DataFrame, keys: Sequence[str] = ("plant_name",), ts: str = "t
     return j.withColumn(out, F.col("_off") + F.col("_lp")).drop("_rb", "_lp", "_off")
 
 
-def lag_rows(df: DataFrame, col: str, n: int, keys: Sequence[str] = ("plant_name",), rn: str = "rn",
-             out: str | None = None) -> DataFrame:
-    """Value of ``col`` ``n`` rows earlier (row positions from :func:`row_index`).
-
-    An equi-join on ``(key, rn)``: rows spread evenly over partitions, so a
-    hot key is not a hot task."""
-    out = out or f"{col}_lag{n}"
-    prev = df.select(*keys, (F.col(rn) + F.lit(n)).alias(rn), F.col(col).alias(out))
-    return df.join(prev, on=[*keys, rn], how="left")
-
-
 def split_chronological(df: DataFrame, keys: Sequence[str] = ("plant_name",), rn: str = "rn",
                         train: float = 0.7, val: float = 0.2) -> DataFrame:
     """``split`` = train / val / test by position: first floor(n*train) rows,
@@ -79,7 +80,7 @@ def split_timeseries_cv(df: DataFrame, keys: Sequence[str] = ("plant_name",), rn
 def split_random(df: DataFrame, key: str, seed: int = 42, train_pct: int = 80) -> DataFrame:
     """Reproducible random split from an arithmetic hash of an integer key
     (stable under any repartitioning, unlike ``randomSplit``)."""
-    h = F.pmod(F.col(key) * F.lit(2654435761) + F.lit(seed), F.lit(1000003))
+    h = F.pmod(F.pmod(F.col(key), F.lit(1000003)) * F.lit(2654435761) + F.lit(seed), F.lit(1000003))
     return df.withColumn("split", F.when(F.pmod(h, F.lit(100)) < train_pct, "train").otherwise("test"))
 
 

@@ -28,8 +28,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattline.session import materialize
-
 _US_PER_HOUR = 3_600_000_000
 _NULL_BUCKET = -(1 << 62)
 
@@ -144,10 +142,11 @@ def carry_valid(
         # that Spark updates incrementally (a shrinking unbounded-following
         # frame is re-aggregated for every row, O(n^2) per partition).
         exprs.append(f"last({packed(col)}, true) {fwd} as _nv_{name}")
-    # Referenced twice below (summary + join-back): cut lineage once here.
-    # The checkpoint keeps the (keys, bucket) hash partitioning, so neither the
-    # summary aggregate nor the join-back shuffles these rows again.
-    local = materialize(local.selectExpr("*", *exprs))
+    # Referenced twice below (summary + join-back).  Both read the one shuffle
+    # by (keys, bucket): the summary refers to every input column (``_every``),
+    # so that the two shuffles are the same and the second is reused.
+    every = f"max(xxhash64({', '.join(q(c) for c in df.columns)})) as _every"
+    local = local.selectExpr("*", *exprs)
     out_cols = [c for c in local.columns if not c.startswith(("_pv_", "_nv_")) and c != "_lp"]
 
     # Rows with a null key form no series (as a group-by drops null keys):
@@ -158,10 +157,11 @@ def carry_valid(
 
     # One row per (key, bucket): row count and the last / first valid entry.
     summary = local.groupBy(*keys, bucket_col).agg(
-        F.expr("max(_lp) as _n"),
+        F.expr("max(_lp) as _n"), F.expr(every),
         *[F.expr(f"max({packed(col)}) as _sl_{n}") for n, col in values.items()],
         *[F.expr(f"min({packed(col)}) as _sf_{n}") for n, col in values.items()],
     )
+    summary = summary.filter("_every is not null").drop("_every")
     before = _over(qk, q(bucket_col), "unbounded preceding and 1 preceding")
     after = _over(qk, f"{q(bucket_col)} desc", "unbounded preceding and 1 preceding")
     summary = summary.selectExpr("*", f"cast(coalesce(sum(_n) {before}, 0) as bigint) as _off")

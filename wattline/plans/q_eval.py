@@ -39,7 +39,7 @@ def predictions(spark, sf):
     """Long prediction table: 3 baselines + quantile bins on the test slice.
 
     The hourly series feeds every model (about six branches of the plan), so
-    it is written once to the checkpoint folder instead of being recomputed."""
+    it is written once, as Parquet, instead of being recomputed."""
     s = materialize(series(spark, sf))
     test = s.filter(F.col("split") == "test").select("plant_name", "timestamp", "y_true", "rn_split")
     pers = E.baseline_persistence(test, rn="rn_split", out="P50")
@@ -68,9 +68,9 @@ series0 as (select plant_name, timestamp, capacity_mw, generation_mw as y_true f
 series1 as (select *, row_number() over (partition by plant_name order by timestamp) as rn,
   count(*) over (partition by plant_name) as n from series0),
 series as (select plant_name, timestamp, capacity_mw, y_true, rn,
-  case when rn <= floor(n*0.7) then 'train' when rn <= floor(n*0.7) + floor(n*0.2) then 'val' else 'test' end as split,
-  cast(rn - case when rn <= floor(n*0.7) then 0 when rn <= floor(n*0.7) + floor(n*0.2) then floor(n*0.7)
-       else floor(n*0.7) + floor(n*0.2) end as bigint) as rn_split from series1),
+  case when rn <= floor(n * 0.7::double) then 'train' when rn <= floor(n * 0.7::double) + floor(n * 0.2::double) then 'val' else 'test' end as split,
+  cast(rn - case when rn <= floor(n * 0.7::double) then 0 when rn <= floor(n * 0.7::double) + floor(n * 0.2::double) then floor(n * 0.7::double)
+       else floor(n * 0.7::double) + floor(n * 0.2::double) end as bigint) as rn_split from series1),
 test as (select plant_name, timestamp, y_true, rn_split from series where split = 'test'),
 bins as (select plant_name, cast(month(timestamp) as integer) as month, cast(hour(timestamp) as integer) as hour,
   quantile_cont(y_true, [0.1, 0.5, 0.9]) as q from series where split in ('train', 'val') group by all),
@@ -168,7 +168,7 @@ def q_split_timeseries_cv(spark, sf):
     return split_timeseries_cv(s).select("plant_name", "timestamp", "rn", "fold")
 
 
-_SR = O.with_adapter("select event_id, case when ((event_id * 2654435761 + 42) % 1000003) % 100 < 80 "
+_SR = O.with_adapter("select event_id, case when ((event_id % 1000003 * 2654435761 + 42) % 1000003) % 100 < 80 "
                      "then 'train' else 'test' end as split from generation")
 
 

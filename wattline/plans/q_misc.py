@@ -131,11 +131,11 @@ def q_rename_columns(spark, sf):
     return FL.rename_columns(_grid(spark, sf))
 
 
-@register("add_location_literal", _a("select * replace ('bengaluru' as location), 12.97 as site_latitude from weather",
-                                     W + ["site_latitude"]))
+@register("add_location_literal", _a("select * replace ('site_north' as location), 50.5 as latitude, 9.25 as longitude from weather",
+                                     W + ["latitude", "longitude"]))
 def q_add_location_literal(spark, sf):
     _, wea = tables(spark, sf)
-    return wea.withColumns({"location": F.lit("bengaluru"), "site_latitude": F.lit(12.97)})
+    return FL.add_location_literal(wea, "site_north", 50.5, 9.25)
 
 
 _TIDY_D = ["latitude", "longitude", "wind_speed", "wind_direction", *C.GRID_RENAMES.values()]
@@ -403,7 +403,7 @@ def q_label_encode(spark, sf):
 
 
 _MI = ("select event_id, " + ", ".join(
-    f"coalesce({c}, (select avg({c}) from merged where ((event_id * 2654435761 + 42) % 1000003) % 100 < 80)) as {c}"
+    f"coalesce({c}, (select avg({c}) from merged where ((event_id % 1000003 * 2654435761 + 42) % 1000003) % 100 < 80)) as {c}"
     for c in ["temperature_2m", "generation_mw"]) + " from merged")
 
 

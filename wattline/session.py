@@ -66,28 +66,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
-def materialize(df, keep_partitioning: bool = True):
-    """Cut lineage by writing ``df`` to the session's shared checkpoint folder.
-
-    Used where a plan references the same intermediate twice (summary +
-    join-back): the plan stays linear, the intermediate is computed once and
-    survives executor loss (it is re-read from reliable storage, never
-    recomputed from lineage).
-
-    ``keep_partitioning=True`` uses ``Dataset.checkpoint`` (reliable), which
-    keeps the hash partitioning of the checkpointed plan, so a following
-    aggregation / join on the same keys needs no shuffle of the big side.
-    The frame is persisted only for the duration of the checkpoint so it is
-    computed once.  Otherwise a Parquet table is written and read back.
-    """
+def materialize(df):
+    """``df`` written as Parquet to the session's shared checkpoint folder and
+    read back: computed once for all who read it, columnar and prunable, and
+    safe from lost executors.  Meant for aggregates that several branches of
+    a plan read."""
     base = checkpoint_dir(df.sparkSession).rstrip("/")
-    if keep_partitioning:
-        from pyspark import StorageLevel
-        cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            return cached.checkpoint(eager=True)
-        finally:
-            cached.unpersist(blocking=False)
     path = f"{base}/wattline-stage-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return df.sparkSession.read.parquet(path)

@@ -4,7 +4,7 @@ The driver supplies generic tables; this module maps ``events`` onto the
 domain schemas (see FIXTURES.md).  The mapping deliberately injects nulls,
 negatives, over-generation, out-of-range irradiance and missing hours so the
 repair and quality operators have work to do.  Everything is a projection of
-``events`` joined to the 6-row plant dimension (broadcast: fixed size).
+``events`` joined to the plant dimension of seven rows (broadcast: fixed size).
 """
 
 from __future__ import annotations
@@ -13,14 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# FIXED VALUES: adapter plant registry (pid, name, type, capacity MW, lat, lon)
+# Invented test plants (pid, name, type, capacity MW, lat, lon): sun and wind
+# alternate, sizes and places are arbitrary.
 ADAPTER_PLANTS = (
-    (0, "solar_a", "solar", 500.0, 14.1, 77.3),
-    (1, "solar_b", "solar", 50.0, 12.8, 77.1),
-    (2, "solar_c", "solar", 75.0, 12.7, 77.3),
-    (3, "wind_a", "wind", 100.0, 14.2, 76.4),
-    (4, "wind_b", "wind", 150.0, 13.6, 74.7),
-    (5, "wind_c", "wind", 80.0, 15.5, 75.0),
+    (0, "solar_a", "solar", 120.0, 40.25, -3.5),
+    (1, "wind_a", "wind", 64.0, 41.75, -1.25),
+    (2, "solar_b", "solar", 36.0, 38.5, -4.0),
+    (3, "wind_b", "wind", 210.0, 43.25, -7.75),
+    (4, "solar_c", "solar", 260.0, 37.75, -5.25),
+    (5, "wind_c", "wind", 44.0, 39.5, -2.5),
+    (6, "solar_d", "solar", 90.0, 36.75, -6.0),
 )
 N_SITES = 4
 
@@ -41,7 +43,7 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def adapter_plants(spark: SparkSession) -> DataFrame:
-    """The adapter's plant dimension (6 rows) with its weather site."""
+    """The adapter's plant dimension (7 rows) with its weather site."""
     return spark.createDataFrame(list(ADAPTER_PLANTS), PLANT_SCHEMA).withColumn(
         "location", F.concat(F.lit("site_"), (F.col("pid") % N_SITES).cast("string"))
     )
@@ -52,7 +54,7 @@ def _k(props: str = "props"):
 
 
 def generation_from_events(spark: SparkSession, events: DataFrame) -> DataFrame:
-    """Generation facts: one row per non-view event, plant = user_id mod 6."""
+    """Generation facts: one row per non-view event, plant = user_id mod 7."""
     plants = F.broadcast(adapter_plants(spark).drop("location"))
     ev = events.filter(F.col("event_type") != "view")
     j = ev.join(plants, (F.col("user_id") % F.lit(len(ADAPTER_PLANTS))) == F.col("pid"))
