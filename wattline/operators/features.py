@@ -117,7 +117,7 @@ def clip_physical(df: DataFrame, target: str = "generation_mw") -> DataFrame:
     return df.withColumns(clip_columns(df.columns, target))
 
 
-META_COLS = ("timestamp", "plant_name", "plant_type", "capacity_mw", "latitude", "longitude")
+META_COLS = ("event_id", "timestamp", "plant_name", "plant_type", "capacity_mw", "latitude", "longitude")
 
 
 def select_features(df: DataFrame, target: str = "generation_mw", keep_target_history: bool = False,

@@ -1,11 +1,10 @@
 """Forecasters and ensembles expressed as Spark aggregations and joins.
 
 * quantile bins: P10/P50/P90 of history per (plant, month, hour), joined to
-  the rows to forecast (exact ``percentile``; ``approx=True`` switches to
-  ``percentile_approx`` whose memory per group is bounded).
-* ensemble weights: exact search over a simplex grid -- each prediction row
-  is expanded by a generator over the (bounded) grid and the MAE of every
-  weight vector is aggregated with partial aggregation; no join.
+  the rows to forecast (exact ranks without a buffer per group;
+  ``approx=True`` switches to ``percentile_approx``).
+* ensemble weights: coarse-to-fine search on the simplex grid, each pass one
+  aggregate row over a short list of candidate weights.
 * gradient-boosted trees (Spark ML) + split-conformal intervals.
 """
 
@@ -20,11 +19,8 @@ from pyspark.sql import functions as F
 from wattline import config as C
 from wattline.functions import forecast as FF
 from wattline.functions.stats import pearson
-
-
-def _pct(col: str, qs: Sequence[float], approx: bool) -> Column:
-    arr = F.array(*[F.lit(float(q)) for q in qs])
-    return F.percentile_approx(col, arr, 10000) if approx else F.percentile(col, arr)
+from wattline.operators.evaluation import clip_interval
+from wattline.operators.quantiles import exact_quantiles, values_at
 
 
 def quantile_labels(qs: Sequence[float]) -> list[str]:
@@ -33,9 +29,13 @@ def quantile_labels(qs: Sequence[float]) -> list[str]:
 
 def fit_quantile_bins(history: DataFrame, keys: Sequence[str] = ("plant_name", "month", "hour"),
                       y: str = "y_true", qs: Sequence[float] = C.QUANTILES, approx: bool = False) -> DataFrame:
-    """Per-bin quantiles of ``y`` (one row per bin)."""
-    g = history.filter(F.col(y).isNotNull()).groupBy(*keys).agg(_pct(y, qs, approx).alias("_q"))
-    return g.select(*keys, *[F.col("_q")[i].alias(lab) for i, lab in enumerate(quantile_labels(qs))])
+    """Per-bin quantiles of ``y`` (one row per bin); ``approx`` takes
+    ``percentile_approx`` instead of the exact ranks."""
+    if approx:
+        arr = F.array(*[F.lit(float(q)) for q in qs])
+        g = history.filter(F.col(y).isNotNull()).groupBy(*keys).agg(F.percentile_approx(y, arr, 10000).alias("_q"))
+        return g.select(*keys, *[F.col("_q")[i].alias(lab) for i, lab in enumerate(quantile_labels(qs))])
+    return exact_quantiles(history, keys, y, qs, quantile_labels(qs))
 
 
 def predict_quantile_bins(rows: DataFrame, model: DataFrame, keys: Sequence[str] = ("plant_name", "month", "hour")) -> DataFrame:
@@ -49,35 +49,51 @@ def add_month_hour(df: DataFrame, ts: str = "timestamp") -> DataFrame:
 
 # --- ensemble ----------------------------------------------------------------
 
-def simplex_grid(k: int, step: float) -> list[tuple[float, ...]]:
-    """All weight vectors of length k on a grid with the given step, sum 1."""
-    n = int(round(1.0 / step))
-    out = []
-    for parts in itertools.product(range(n + 1), repeat=k - 1):
-        if sum(parts) <= n:
-            out.append(tuple(p / n for p in parts) + ((n - sum(parts)) / n,))
-    return out
-
-
-def fit_ensemble_weights(wide: DataFrame, models: Sequence[str], y: str = "y_true", step: float = 0.01) -> DataFrame:
-    """Weights >= 0 summing to 1 that minimise MAE of sum(w_i * pred_i).
-
-    Exhaustive on the grid (ties -> lexicographically smallest weights).  The
-    grid has C(1/step + k - 1, k - 1) points: 101 for 2 models at 0.01.
-    """
-    grid = simplex_grid(len(models), step)
-    if len(grid) > 20000:
-        raise ValueError("grid too large; use a coarser step")
-    arr = F.array(*[F.array(*[F.lit(w) for w in g]) for g in grid])
+def fit_ensemble_weights(wide: DataFrame, models: Sequence[str], y: str = "y_true", step: float = 0.01,
+                         rounds: int = 8) -> DataFrame:
+    """Weights >= 0 on the ``step`` grid summing to 1 that minimise the MAE of
+    sum(w_i * pred_i), for any number of models.
+
+    Weight moves between pairs of models, first in tenths, then in single
+    steps, until no move helps (``rounds`` times at most).  Every pass is one
+    aggregate row over a short list of candidates; rows are not multiplied.
+    The MAE is convex in the weights, so two models reach the grid's optimum."""
+    n, k = round(1 / step), len(models)
     ok = F.col(y).isNotNull()
     for m in models:
         ok = ok & F.col(m).isNotNull()
-    x = wide.filter(ok).select(F.col(y), *[F.col(m) for m in models], F.explode(arr).alias("_w"))
-    pred = sum((F.col("_w")[i] * F.col(m) for i, m in enumerate(models)), F.lit(0.0))
-    agg = x.groupBy("_w").agg(F.avg(F.abs(F.col(y) - pred)).alias("mae"))
-    best = agg.agg(F.min(F.struct("mae", "_w")).alias("b"))
-    return best.select(*[F.col("b._w")[i].alias(f"w_{m}") for i, m in enumerate(models)],
-                       F.col("b.mae").alias("val_mae"))
+    rows = wide.filter(ok).select(F.col(y), *[F.col(m) for m in models])
+
+    def errors(weights: list[tuple[int, ...]]) -> list[tuple]:
+        aggs = []
+        for w in weights:
+            pred = sum((F.lit(x / n) * F.col(m) for x, m in zip(w, models, strict=True) if x), F.lit(0.0))
+            aggs.append(F.avg(F.abs(F.col(y) - pred)))
+        got = rows.agg(*[a.alias(f"e{i}") for i, a in enumerate(aggs)]).first()
+        return sorted((float("inf") if e is None else e, w) for e, w in zip(got, weights, strict=True))
+
+    def moves(w: tuple[int, ...], stride: int, reach: int) -> list[tuple[int, ...]]:
+        out = {w}
+        for i, j in itertools.combinations(range(k), 2):
+            for d in range(-reach, reach + 1):
+                x = list(w)
+                x[i] += d * stride
+                x[j] -= d * stride
+                if min(x) >= 0:
+                    out.add(tuple(x))
+        return sorted(out)
+
+    best = (float("inf"), tuple(n // k + (i < n % k) for i in range(k)))
+    tenth = max(1, n // 10)
+    for _ in range(rounds):
+        before = best
+        best = min(best, errors(moves(best[1], tenth, 10))[0])
+        best = min(best, errors(moves(best[1], 1, tenth))[0])
+        if best == before:
+            break
+    mae, w = best
+    schema = ", ".join(f"`w_{m}` double" for m in models) + ", val_mae double"
+    return wide.sparkSession.createDataFrame([(*[x / n for x in w], None if mae == float("inf") else float(mae))], schema)
 
 
 def ensemble_weighted(wide: DataFrame, weights: dict[str, float | Column], out: str = "P50") -> DataFrame:
@@ -93,21 +109,28 @@ def _wcols(weights):
 
 def ensemble_quantiles(long_preds: DataFrame, keys: Sequence[str] = ("plant_name", "timestamp"),
                        method: str = "mean", qcols: Sequence[str] = ("P10", "P50", "P90")) -> DataFrame:
-    """Combine each quantile across models: ``mean`` or ``median``."""
-    fn = (lambda c: F.avg(c)) if method == "mean" else (lambda c: F.percentile(c, 0.5))
-    return long_preds.groupBy(*keys).agg(*[fn(c).alias(c) for c in qcols])
+    """Combine each quantile across the models that have all of them
+    (``mean`` or ``median``); point forecasts take no part, so the quantiles
+    of a row keep their order."""
+    whole = F.lit(True)
+    for c in qcols:
+        whole = whole & F.col(c).isNotNull()
+    fn = (lambda c: F.avg(c)) if method == "mean" else (lambda c: F.percentile(c, 0.5))  # a few models per key
+    return long_preds.filter(whole).groupBy(*keys).agg(*[fn(c).alias(c) for c in qcols])
 
 
 def ensemble_predict(long_preds: DataFrame, weights: DataFrame, keys: Sequence[str] = ("plant_name", "timestamp"),
                      factors=C.INTERVAL_FALLBACK) -> DataFrame:
-    """P50 = weighted mean of model P50 (weights table: model, weight);
-    P10/P90 = mean across models; fallback P50*lo / P50*hi."""
-    j = long_preds.join(weights, on="model", how="inner")
+    """P50 = weighted mean of model P50 (weights table: model, weight); a
+    model without a weight counts 0, and rows where no model has a weight
+    take the plain mean.  P10/P90 = mean across models that have them, else
+    P50*lo / P50*hi; the three are put in order."""
+    j = long_preds.join(weights, on="model", how="left").filter(F.col("P50").isNotNull())
     g = j.groupBy(*keys).agg(
-        F.try_divide(F.sum(F.col("weight") * F.col("P50")), F.sum(F.when(F.col("P50").isNotNull(), F.col("weight")))).alias("P50"),
+        F.coalesce(F.try_divide(F.sum(F.col("weight") * F.col("P50")), F.sum("weight")), F.avg("P50")).alias("P50"),
         F.avg("P10").alias("P10"), F.avg("P90").alias("P90"))
     lo, hi = FF.interval_fallback("P50", "P10", "P90", factors)
-    return g.select(*keys, lo.alias("P10"), "P50", hi.alias("P90"))
+    return clip_interval(g.select(*keys, lo.alias("P10"), "P50", hi.alias("P90")))
 
 
 def sample_quantiles(draws: DataFrame, keys: Sequence[str], value: str, qs: Sequence[float] = C.QUANTILES) -> DataFrame:
@@ -148,7 +171,7 @@ def batch_forecast(requests: DataFrame, bins: DataFrame, keys: Sequence[str] = (
 
 # --- Spark ML trees ------------------------------------------------------------
 
-def fit_gbt(train: DataFrame, features: Sequence[str], label: str = "y_true", max_iter: int = 50,
+def fit_gbt(train: DataFrame, features: Sequence[str], label: str = "y_true", max_iter: int = 100,
             seed: int = 42, loss: str = "squared"):
     """VectorAssembler (+ mean imputation of nulls) + GBTRegressor."""
     from pyspark.ml import Pipeline
@@ -177,14 +200,16 @@ def gbt_predict(model, df: DataFrame, features: Sequence[str]) -> DataFrame:
 def gbt_importance(model, features: Sequence[str]):
     """(feature, importance) pairs, descending (driver-side: one per feature)."""
     imp = model.stages[-1].featureImportances.toArray()
-    return sorted(zip(features, [float(x) for x in imp]), key=lambda t: -t[1])
+    return sorted(zip(features, [float(x) for x in imp], strict=True), key=lambda t: (-t[1], t[0]))
 
 
 def conformal_intervals(point_val: DataFrame, point_test: DataFrame, keys: Sequence[str] = ("plant_name",),
                         y: str = "y_true", qs=(0.1, 0.9)) -> DataFrame:
-    """Split conformal: residual quantiles on validation rows per key, added
-    to the test point forecast."""
-    res = point_val.filter(F.col(y).isNotNull() & F.col("P50").isNotNull()) \
-        .groupBy(*keys).agg(F.percentile(F.col(y) - F.col("P50"), F.array(*[F.lit(q) for q in qs])).alias("_r"))
-    j = point_test.join(res, on=list(keys), how="left")
-    return j.withColumn("P10", F.col("P50") + F.col("_r")[0]).withColumn("P90", F.col("P50") + F.col("_r")[1]).drop("_r")
+    """Split conformal: the validation residuals of ranks floor((n+1)*q_lo)
+    and ceil((n+1)*q_hi) per key (within 1..n), added to the test forecast."""
+    res = point_val.select(*keys, (F.col(y) - F.col("P50")).alias("_res"))
+    got = values_at(res, keys, "_res", {
+        "_r0": lambda n: F.greatest(F.floor((n + 1) * F.lit(qs[0])), F.lit(1)) - 1,
+        "_r1": lambda n: F.least(F.ceil((n + 1) * F.lit(qs[1])), n) - 1})
+    j = point_test.join(got.select(*keys, "_r0", "_r1"), on=list(keys), how="left")
+    return j.withColumn("P10", F.col("P50") + F.col("_r0")).withColumn("P90", F.col("P50") + F.col("_r1")).drop("_r0", "_r1")

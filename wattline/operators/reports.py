@@ -68,10 +68,11 @@ def head_forecast(preds: DataFrame, n: int, ts: str = "timestamp", keys: Sequenc
                       round_half_even(F.abs(F.col("y_true") - F.col("P50")), digits).alias("error"))
 
 
-def sample_sorted(df: DataFrame, n: int, key_cols: Sequence[str], seed: int = 42, ts: str = "timestamp") -> DataFrame:
-    """Deterministic sample of ``n`` rows (smallest hash of the key), in time order.
+def sample_sorted(df: DataFrame, n: int, key: str, seed: int = 42, ts: str = "timestamp") -> DataFrame:
+    """Deterministic sample of ``n`` rows (smallest arithmetic hash of an
+    integer key, ties by the key), in time order.
 
     A distributed top-k (TakeOrderedAndProject); reproducible under any
     partitioning, unlike ``sample``."""
-    h = F.xxhash64(*[F.col(c) for c in key_cols], F.lit(seed))
-    return df.withColumn("_h", h).orderBy("_h").limit(n).orderBy(ts).drop("_h")
+    h = F.pmod(F.pmod(F.col(key), F.lit(1000003)) * F.lit(2654435761) + F.lit(seed), F.lit(1000003))
+    return df.withColumn("_h", h).orderBy("_h", key).limit(n).orderBy(ts, key).drop("_h")

@@ -35,17 +35,18 @@ def _test(spark, sf):
     return series(spark, sf).filter(F.col("split") == "test")
 
 
-def predictions(spark, sf):
-    """Long prediction table: 3 baselines + quantile bins on the test slice.
+def predictions(spark, sf, on: str = "test"):
+    """Long prediction table: 3 baselines + quantile bins on the test slice,
+    bins fitted on train and val; or on the val slice, fitted on train.
 
     The hourly series feeds every model (about six branches of the plan), so
     it is written once, as Parquet, instead of being recomputed."""
     s = materialize(series(spark, sf))
-    test = s.filter(F.col("split") == "test").select("plant_name", "timestamp", "y_true", "rn_split")
+    test = s.filter(F.col("split") == on).select("plant_name", "timestamp", "y_true", "rn_split")
     pers = E.baseline_persistence(test, rn="rn_split", out="P50")
     seas = E.baseline_seasonal_naive(test, rn="rn_split", out="P50")
     clim = E.baseline_climatology(test, out="P50")
-    hist = FC.add_month_hour(s.filter(F.col("split").isin("train", "val")))
+    hist = FC.add_month_hour(s.filter(F.col("split").isin(*(("train", "val") if on == "test" else ("train",)))))
     bins = FC.fit_quantile_bins(hist)
     qb = FC.predict_quantile_bins(FC.add_month_hour(test), bins)
     cols = ["plant_name", "timestamp", "y_true"]
@@ -91,6 +92,14 @@ preds as (
       and cast(month(t.timestamp) as integer) = b.month and cast(hour(t.timestamp) as integer) = b.hour)"""
 
 
+_BRANCH = SERIES[SERIES.index("test as ("):]
+#: the same predictions on the validation slice
+SERIES_VAL = SERIES + ",\n" + (_BRANCH.replace("test as (", "val_rows as (").replace("split = 'test'", "split = 'val'")
+                                .replace("from test", "from val_rows").replace("('train', 'val')", "('train')")
+                                .replace("bins as (", "bins_val as (").replace("join bins b", "join bins_val b")
+                                .replace("preds as (", "preds_val as ("))
+
+
 def _erf_sql(x: str) -> str:
     a1, a2, a3, a4, a5 = S.AS_A
     t = f"(1.0 / (1.0 + {S.AS_P} * abs({x})))"

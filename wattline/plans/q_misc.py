@@ -22,7 +22,7 @@ from wattline.operators.repair import drop_critical_nulls
 from wattline.operators.series import multi_horizon_frame
 from wattline.plans import oracle as O
 from wattline.plans.q_core import GEN_GRID, _gen_grid
-from wattline.plans.q_eval import SERIES, predictions, series
+from wattline.plans.q_eval import SERIES, SERIES_VAL, predictions, series
 from wattline.plans.registry import register, tables
 from wattline.sources.adapter import ADAPTER_PLANTS, adapter_plants, load_table
 from wattline.sources.readers import flatten_service_payload, read_features, tidy_grid
@@ -416,10 +416,10 @@ def q_mean_impute(spark, sf):
     return PP.mean_impute(m, ["temperature_2m", "generation_mw"], fit=train)
 
 
-_SEL_COLS = ["event_id", *W, "hour", "day_of_year", "month", "weekday", "is_weekend"]
+_SEL_COLS = [*W, "hour", "day_of_year", "month", "weekday", "is_weekend"]
 
 
-@register("select_features", _m("select event_id, " + ", ".join(W) + ", " + O.calendar_sql() + " from merged", W))
+@register("select_features", _m("select " + ", ".join(W) + ", " + O.calendar_sql() + " from merged", W))
 def q_select_features(spark, sf):
     """Model inputs: meta, target, target-prefixed and leaking columns dropped."""
     m = _merged(spark, sf).withColumns(calendar_columns("timestamp")).withColumn("capacity_factor", P.capacity_factor())
@@ -529,11 +529,14 @@ def q_head_forecast(spark, sf):
     return R.head_forecast(p, 48)
 
 
-@register("sample_sorted")
+_SS = ("select * from (select event_id, plant_name, timestamp, generation_mw from generation "
+       "order by (event_id % 1000003 * 2654435761 + 42) % 1000003, event_id limit 200)")
+
+
+@register("sample_sorted", _a(_SS, ["generation_mw"]))
 def q_sample_sorted(spark, sf):
-    """200 deterministic pseudo-random test predictions in time order."""
-    p = predictions(spark, sf).filter(F.col("model") == "QuantileBins")
-    return R.sample_sorted(p, 200, ["plant_name", "timestamp"], 42)
+    """200 deterministic pseudo-random generation rows in time order."""
+    return R.sample_sorted(_gen(spark, sf).select("event_id", "plant_name", "timestamp", "generation_mw"), 200, "event_id", 42)
 
 
 # --- ensembles -------------------------------------------------------------------
@@ -542,15 +545,22 @@ _WIDE = ("wide as (select plant_name, timestamp, any_value(y_true) as y_true, "
          "from preds group by plant_name, timestamp)")
 
 
-def _wide(spark, sf):
+def _wide(spark, sf, on="test"):
     from wattline.operators.joins import join_predictions
-    return join_predictions(predictions(spark, sf), ["Persistence", "QuantileBins"])
+    return join_predictions(predictions(spark, sf, on), ["Persistence", "QuantileBins"])
+
+
+_WIDE_VAL = _WIDE.replace("wide as", "wide_val as").replace("from preds", "from preds_val")
 
 
 def _e(body, doubles=()):
     return O.wrap(O.with_adapter(body, SERIES + ",\n" + _WIDE), list(doubles))
 
 
+def _ev(body, doubles=()):
+    return O.wrap(O.with_adapter(body, SERIES_VAL + ",\n" + _WIDE + ",\n" + _WIDE_VAL), list(doubles))
+
+
 @register("join_predictions", _e("select plant_name, timestamp, y_true, Persistence, QuantileBins from wide",
                                  ["y_true", "Persistence", "QuantileBins"]))
 def q_join_predictions(spark, sf):
@@ -559,14 +569,31 @@ def q_join_predictions(spark, sf):
 
 _WFIT = ("select arg_min(w, struct_pack(m := mae, w := w)) as w_Persistence, 1.0 - arg_min(w, struct_pack(m := mae, w := w)) as w_QuantileBins, "
          "min(mae) as val_mae from (select w, avg(abs(y_true - (w * Persistence + (1.0 - w) * QuantileBins))) as mae from "
-         "(select *, unnest(generate_series(0, 100)) / 100.0 as w from wide where y_true is not null and Persistence is not null "
+         "(select *, unnest(generate_series(0, 100)) / 100.0 as w from wide_val where y_true is not null and Persistence is not null "
          "and QuantileBins is not null) group by w)")
 
 
-@register("ensemble_weights_fit", _e(_WFIT, ["w_Persistence", "w_QuantileBins", "val_mae"]))
+@register("ensemble_weights_fit", _ev(_WFIT, ["w_Persistence", "w_QuantileBins", "val_mae"]))
 def q_ensemble_weights_fit(spark, sf):
-    """Simplex-grid MAE minimisation (step 0.01) for two models."""
-    return FC.fit_ensemble_weights(_wide(spark, sf), ["Persistence", "QuantileBins"], step=0.01)
+    """MAE minimisation (step 0.01) for two models on the validation slice."""
+    return FC.fit_ensemble_weights(_wide(spark, sf, "val"), ["Persistence", "QuantileBins"], step=0.01)
+
+
+_EFP = (f"select plant_name, timestamp, least(lo, P50, hi) as P10, lo + P50 + hi - least(lo, P50, hi) - greatest(lo, P50, hi) as P50, "
+        f"greatest(lo, P50, hi) as P90 from (select plant_name, timestamp, coalesce(P10, P50 * 0.9) as lo, P50, coalesce(P90, P50 * 1.1) as hi from "
+        f"(select plant_name, timestamp, coalesce(sum(weight * P50) / nullif(sum(weight), 0), avg(P50)) as P50, avg(P10) as P10, avg(P90) as P90 "
+        f"from preds p left join (select 'Persistence' as model, w_Persistence as weight from w union all select 'QuantileBins', w_QuantileBins from w) z "
+        f"on p.model = z.model where P50 is not null group by plant_name, timestamp))")
+
+
+@register("ensemble_fit_predict", O.wrap(O.with_adapter(_EFP, SERIES_VAL + ",\n" + _WIDE_VAL + f",\nw as ({_WFIT})"), ["P10", "P50", "P90"]))
+def q_ensemble_fit_predict(spark, sf):
+    """Weights fitted on the validation slice, applied to the test slice; the
+    other models have no weight and count only for missing ones."""
+    models = ["Persistence", "QuantileBins"]
+    fitted = FC.fit_ensemble_weights(_wide(spark, sf, "val"), models, step=0.01)
+    weights = fitted.selectExpr("stack(2, " + ", ".join(f"'{m}', w_{m}" for m in models) + ") as (model, weight)")
+    return FC.ensemble_predict(predictions(spark, sf), F.broadcast(weights))
 
 
 @register("ensemble_weighted", _e("select plant_name, timestamp, (coalesce(Persistence * 0.4, 0.0) + coalesce(QuantileBins * 0.6, 0.0)) / "
@@ -578,15 +605,24 @@ def q_ensemble_weighted(spark, sf):
 
 
 @register("ensemble_quantiles", _p("select plant_name, timestamp, avg(P10) as P10, avg(P50) as P50, avg(P90) as P90 from preds "
-                                   "group by plant_name, timestamp", ["P10", "P50", "P90"]))
+                                   "where P10 is not null and P50 is not null and P90 is not null group by plant_name, timestamp", ["P10", "P50", "P90"]))
 def q_ensemble_quantiles(spark, sf):
     return FC.ensemble_quantiles(predictions(spark, sf))
 
 
 _EW = "(select * from (values ('Persistence', 0.3), ('Climatology', 0.2), ('QuantileBins', 0.5)) t(model, weight))"
-_EP = (f"select plant_name, timestamp, coalesce(P10, P50 * 0.9) as P10, P50, coalesce(P90, P50 * 1.1) as P90 from "
-       f"(select plant_name, timestamp, sum(weight * P50) / nullif(sum(case when P50 is not null then weight end), 0) as P50, "
-       f"avg(P10) as P10, avg(P90) as P90 from preds p join {_EW} w on p.model = w.model group by plant_name, timestamp)")
+_EP = (f"select plant_name, timestamp, least(lo, P50, hi) as P10, lo + P50 + hi - least(lo, P50, hi) - greatest(lo, P50, hi) as P50, "
+       f"greatest(lo, P50, hi) as P90 from (select plant_name, timestamp, coalesce(P10, P50 * 0.9) as lo, P50, coalesce(P90, P50 * 1.1) as hi from "
+       f"(select plant_name, timestamp, coalesce(sum(weight * P50) / nullif(sum(weight), 0), avg(P50)) as P50, "
+       f"avg(P10) as P10, avg(P90) as P90 from preds p left join {_EW} w on p.model = w.model where P50 is not null group by plant_name, timestamp))")
+
+
+@register("ensemble_quantiles_median", _p("select plant_name, timestamp, median(P10) as P10, median(P50) as P50, median(P90) as P90 from preds "
+                                          "where P10 is not null and P50 is not null and P90 is not null group by plant_name, timestamp",
+                                          ["P10", "P50", "P90"]))
+def q_ensemble_quantiles_median(spark, sf):
+    return FC.ensemble_quantiles(predictions(spark, sf), method="median")
+
 
 
 @register("ensemble_predict", _p(_EP, ["P10", "P50", "P90"]))
@@ -718,17 +754,31 @@ def _gbt_frame(spark, sf):
 def q_forecast_point_gbt(spark, sf):
     """Boosted trees on 8 base features, 80/20 hash split; test predictions."""
     d = _gbt_frame(spark, sf)
-    model = FC.fit_gbt(d.filter(F.col("split") == "train"), _GBT_FEATS, max_iter=20)
+    model = FC.fit_gbt(d.filter(F.col("split") == "train"), _GBT_FEATS)
     pred = FC.gbt_predict(model, d.filter(F.col("split") == "test"), _GBT_FEATS)
     return pred.select("event_id", "plant_name", "timestamp", "y_true", "P50")
 
 
+def _feature_series(spark, sf):
+    """The feature table with row positions, 70/20/10 split and model inputs
+    (written once: training passes over it many times)."""
+    from wattline.operators.series import row_index, split_chronological
+    from wattline.plans.pipeline import pipeline_features
+    from wattline.session import materialize
+    gen, wea = tables(spark, sf)
+    table = pipeline_features(gen, wea, tiebreak=TB).filter(F.col("generation_mw").isNotNull())
+    feats = FE.select_features(table, keep_target_history=True).columns
+    feats = [c for c, t in table.select(*feats).dtypes if t not in ("string", "array<double>")] + ["capacity_mw"]
+    s = materialize(split_chronological(row_index(table.withColumn("y_true", F.col("generation_mw")))))
+    return s, feats
+
+
 @register("forecast_quantile_conformal")
 def q_forecast_quantile_conformal(spark, sf):
-    """GBT P50 + split-conformal P10/P90 from validation residuals per plant."""
-    s = series(spark, sf).withColumns({"hour": F.hour("timestamp").cast("double"), "month": F.month("timestamp").cast("double")})
-    feats = ["hour", "month", "capacity_mw"]
-    model = FC.fit_gbt(s.filter(F.col("split") == "train"), feats, max_iter=20)
+    """GBT P50 on the whole feature table + split-conformal P10/P90 from
+    validation residuals per plant."""
+    s, feats = _feature_series(spark, sf)
+    model = FC.fit_gbt(s.filter(F.col("split") == "train"), feats)
     val = FC.gbt_predict(model, s.filter(F.col("split") == "val"), feats)
     test = FC.gbt_predict(model, s.filter(F.col("split") == "test"), feats)
     out = FC.conformal_intervals(val, test)
