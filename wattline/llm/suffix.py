@@ -28,8 +28,9 @@ from wattline.llm import text as X
 
 LENGTH = 50
 GRAM = 16
-SHARD = 2 << 20   # bytes in a suffix array
+SHARD = 512 << 10  # bytes in a suffix array
 SEGMENT = 1 << 20  # bytes hashed at once
+PART_BITS = 4     # a bucket's anchors fall into so many bits' parts, judged one after the other
 
 OUTPUT = "n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept"
 
@@ -288,37 +289,56 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", column: str = "text", k
         begin = batch.off[row] + start
         end = begin + count + LENGTH - 1
         owner = batch.order[row]
+        part = ((value >> X.U(64 - bits - PART_BITS)) & X.U((1 << PART_BITS) - 1)).astype(np.uint8)
         for bucket, cut in E.by_bucket(value, bits):
             texts: dict[bytes, int] = {}
             which = [texts.setdefault(raw[a:b], len(texts)) for a, b in zip(begin[cut].tolist(), end[cut].tolist(), strict=True)]
             body = zstandard.ZstdCompressor(level=3).compress(b"".join(texts))
             yield bucket, E.join_parts([
-                body, E.planes(np.fromiter(map(len, texts), np.int64, len(texts))), E.planes(np.array(which, np.uint32)),
+                body, E.planes(np.fromiter(map(len, texts), np.int64, len(texts))), E.planes(np.array(which, np.uint32)), E.planes(part[cut]),
                 E.planes(row[cut].astype(np.uint32)), E.planes(start[cut].astype(np.int64)), E.planes(owner[cut])])
 
     def judge(bucket, payloads):
-        held, ids = [], {}
+        held, ids, parts = [], {}, []
         for p in payloads:
-            body, size, which, row, start, owner = E.split_parts(p)
+            body, size, which, part, row, start, owner = E.split_parts(p)
             size = E.unplanes(size, np.int64)
             raw = zstandard.ZstdDecompressor().decompress(body)
             ends = np.cumsum(size)
             name = np.array([ids.setdefault(raw[e - s:e], len(ids)) for s, e in zip(size.tolist(), ends.tolist(), strict=True)], np.int64)
-            held.append((name[E.unplanes(which, np.uint32)], E.unplanes(row, np.uint32), E.unplanes(start, np.int64), E.unplanes(owner, np.int64)))
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        ends = np.cumsum(sizes)
-        begins = ends - sizes
-        buf = np.frombuffer(b"".join(ids), np.uint8)
+            which = name[E.unplanes(which, np.uint32)]
+            parts.append((which, E.unplanes(part, np.uint8)))
+            held.append((which, E.unplanes(row, np.uint32), E.unplanes(start, np.int64), E.unplanes(owner, np.int64)))
+        part = np.zeros(len(ids), np.uint8)
         least = np.full(len(ids), E.LAST, np.int64)
-        for name, _, _, owner in held:
+        for (name, p), (_, _, _, owner) in zip(parts, held, strict=True):
+            part[name] = p
             np.minimum.at(least, name, owner)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         count = sizes - LENGTH + 1
-        window = np.zeros(len(buf), bool)
-        window[spread(begins, count)] = True
-        cuts = [int(ends[b - 1]) for _, b in X.slices(np.concatenate([[0], ends]), SHARD)]
-        low = least_owner(buf, window, np.repeat(least, sizes), cuts)
+        begins = np.empty(len(ids), np.int64)
+        low = np.empty(int(sizes.sum()), np.int64)
+        texts, at = list(ids), 0
+        for p in np.unique(part):  # texts of one anchor are in one part: parts are judged alone
+            own = np.flatnonzero(part == p)
+            buf = np.frombuffer(b"".join([texts[i] for i in own.tolist()]), np.uint8)
+            ends = np.cumsum(sizes[own])
+            first = ends - sizes[own]
+            window = np.zeros(len(buf), bool)
+            window[spread(first, count[own])] = True
+            cuts = [int(ends[b - 1]) for _, b in X.slices(np.concatenate([[0], ends]), SHARD)]
+            low[at:at + len(buf)] = least_owner(buf, window, np.repeat(least[own], sizes[own]), cuts)
+            begins[own] = first + at
+            at += len(buf)
         out = []
+        windows, first = low[spread(begins, count)], np.cumsum(count) - count
+        lowest, highest = np.minimum.reduceat(windows, first), np.maximum.reduceat(windows, first)
         for name, row, start, owner in held:
+            # most copies lose all of a run or nothing; only the others are looked at window by window
+            whole = np.flatnonzero(owner > highest[name])
+            some = np.flatnonzero((owner > lowest[name]) & (owner <= highest[name]))
+            full = (row[whole], start[whole], sizes[name[whole]])
+            name, row, start, owner = name[some], row[some], start[some], owner[some]
             n = count[name]
             which = np.repeat(np.arange(len(name)), n)
             gone = low[spread(begins[name], n)] < owner[which]
@@ -328,11 +348,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", column: str = "text", k
             last = gone.copy()
             last[:-1] &= ~gone[1:] | (which[1:] != which[:-1])
             a, b = np.flatnonzero(edge), np.flatnonzero(last)
-            if not len(a):
-                out.append(None)
-                continue
             r = which[a]
-            out.append(E.join_parts([E.planes(row[r]), E.planes(start[r] + inner[a]), E.planes((b - a + LENGTH).astype(np.int64))]))
+            spans = (np.concatenate([full[0], row[r]]), np.concatenate([full[1], start[r] + inner[a]]), np.concatenate([full[2], b - a + LENGTH]))
+            out.append(E.join_parts([E.planes(x) for x in spans]) if len(spans[0]) else None)
         return out
 
     found = E.told(batches, E.ask(anchored, runs, judge))
