@@ -31,6 +31,7 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset("script style noscript template svg math iframe object canvas audio video map head title nav header footer "
                     "aside form button select textarea dialog menu noembed noframes xmp fieldset".split())
+APART = frozenset("head nav header footer form menu dialog".split())  # dropped elements that part the text around them
 CONTAINERS = frozenset(("article", "main"))
 #: Words of class and id names that mark page furniture.
 FURNITURE = frozenset("""ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner menu nav navbar
@@ -56,7 +57,7 @@ def strip(page: str, by_name: bool = True, sections: bool = True) -> tuple[list[
 
     ``by_name``: class and id names count; ``sections``: section elements such as nav or footer count."""
     lines, inside, line = [], [], []
-    depth, skip, nested, at, end = 0, "", 0, 0, len(page)
+    depth, skip, nested, apart, at, end = 0, "", 0, False, 0, len(page)
 
     def flush():
         text = " ".join(html.unescape("".join(line)).split())
@@ -89,7 +90,7 @@ def strip(page: str, by_name: bool = True, sections: bool = True) -> tuple[list[
             if name == skip:
                 nested += -1 if closing else name not in VOID
             ended = nested == 0 or (skip == "p" and name != "p" and name not in INLINE)
-            if name not in INLINE:
+            if name not in INLINE and apart:
                 lines.append("")
                 inside.append(depth > 0)
             if not ended:
@@ -109,9 +110,9 @@ def strip(page: str, by_name: bool = True, sections: bool = True) -> tuple[list[
             depth += 1
         elif name not in ("html", "body") and ((sections and name in DROPPED) or name == "head"
                                                or (by_name and furniture(attributes))):
-            skip, nested = name, 1
-            lines.extend([""] * WINDOW)
-            inside.extend([depth > 0] * WINDOW)
+            skip, nested, apart = name, 1, name in APART
+            lines.extend([""] * (WINDOW if apart else 1))
+            inside.extend([depth > 0] * (WINDOW if apart else 1))
     flush()
     return lines, inside
 
