@@ -1,7 +1,7 @@
 """Data-quality checks as aggregations producing long check tables.
 
-Every check is a handful of aggregate expressions; the column-wise counts
-of all checks share one scan (:func:`column_profile`).  Results are long
+Every check is a handful of aggregate expressions; the whole report rolls up
+from one aggregate of the checked frame (:func:`check_cells`).  Results are long
 tables ``(check, item, value, threshold, severity, flagged)`` so they union
 into one report and roll up with a single aggregation.  ``severity`` is
 ``issue`` (fails the check where the rule says so) or ``warning``.
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from wattline import config as C
 from wattline.functions.stats import pearson
+from wattline.session import materialize
 
 REQUIRED = ("timestamp", "plant_name", "plant_type", "generation_mw", "capacity_mw")
 
@@ -35,8 +36,11 @@ def _explode(df: DataFrame, rows: list[Column]) -> DataFrame:
 
 # --- one shared aggregation pass --------------------------------------------
 
-def column_profile(df: DataFrame, target: str = "generation_mw", capacity: str = "capacity_mw") -> DataFrame:
-    """One row: n, null count per column, bound violations, correlations."""
+def check_cells(df: DataFrame, key: str = "plant_name", ts: str = "timestamp", target: str = "generation_mw",
+                capacity: str = "capacity_mw") -> DataFrame:
+    """One row per (key, time): rows, null counts, bound violations and the
+    sums that correlations need.  Everything in :func:`check_table` rolls up
+    from it, so the checked frame is computed once."""
     cols = df.columns
     aggs = [F.count(F.lit(1)).alias("n")]
     aggs += [F.count_if(F.col(c).isNull()).alias(f"null__{c}") for c in cols]
@@ -46,18 +50,34 @@ def column_profile(df: DataFrame, target: str = "generation_mw", capacity: str =
     for c, (lo, hi) in C.WEATHER_RANGES.items():
         if c in cols:
             aggs.append(F.count_if((F.col(c) < lo) | (F.col(c) > hi)).alias(f"oor__{c}"))
+    for name, (cond, other) in _correlated(cols, target).items():
+        both = cond & F.col(target).isNotNull() & F.col(other).isNotNull()
+        x, y = F.col(target), F.col(other)
+        aggs.append(F.count_if(cond).alias(f"rows__{name}"))
+        aggs.append(F.count_if(both).alias(f"m__{name}"))
+        aggs += [F.sum(F.when(both, e)).alias(f"{p}__{name}") for p, e in
+                 (("x", x), ("y", y), ("xx", x * x), ("yy", y * y), ("xy", x * y))]
+    return df.groupBy(key, ts).agg(*aggs)
+
+
+def _correlated(cols: Sequence[str], target: str) -> dict[str, tuple[Column, str]]:
+    """Correlation checks that the columns allow: name -> (rows, other column)."""
+    out = {}
     if "plant_type" in cols and target in cols:
         irr = "surface_solar_radiation_downwards"
         if irr in cols:
             h = F.col("hour") if "hour" in cols else F.hour("timestamp")
-            day = (F.col("plant_type") == "solar") & h.between(*C.DAYLIGHT_HOURS)
-            aggs.append(pearson(F.when(day, F.col(target)), F.when(day, F.col(irr))).alias("corr_solar"))
-            aggs.append(F.count_if(day).alias("n_solar_day"))
+            out["solar"] = ((F.col("plant_type") == "solar") & h.between(*C.DAYLIGHT_HOURS), irr)
         if "wind_speed" in cols:
-            wind = F.col("plant_type") == "wind"
-            aggs.append(pearson(F.when(wind, F.col(target)), F.when(wind, F.col("wind_speed"))).alias("corr_wind"))
-            aggs.append(F.count_if(wind).alias("n_wind"))
-    return df.agg(*aggs)
+            out["wind"] = (F.col("plant_type") == "wind", "wind_speed")
+    return out
+
+
+def _summed_pearson(name: str) -> Column:
+    """Pearson correlation from summed moments; NULL for constant input."""
+    m, x, y, xx, yy, xy = (F.col(f"{p}__{name}") for p in ("m", "x", "y", "xx", "yy", "xy"))
+    vx, vy = xx / m - (x / m) * (x / m), yy / m - (y / m) * (y / m)
+    return F.when((m > 0) & (vx > 0) & (vy > 0), F.try_divide(xy / m - (x / m) * (y / m), F.sqrt(vx) * F.sqrt(vy)))
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -189,9 +209,13 @@ def structure_check(df: DataFrame, required: Sequence[str] = REQUIRED, ts: str =
 
 def check_table(df: DataFrame, key: str = "plant_name", ts: str = "timestamp", tiebreak: Sequence[str] = (),
                 target: str = "generation_mw") -> DataFrame:
-    """All checks as one long table (one shared profile pass + per-plant passes)."""
+    """All checks as one long table, rolled up from one aggregate of the
+    frame (:func:`check_cells`, written once; the frame itself is read once)."""
     cols = df.columns
-    prof = column_profile(df, target)
+    cells = materialize(check_cells(df, key, ts, target))
+    counts = [c for c in cells.columns if c not in (key, ts)]
+    prof = cells.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts],
+                     F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("_dup"))
     ncols = len(cols)
     rows = []
     total_null = sum((F.col(f"null__{c}") for c in cols), F.lit(0))
@@ -202,42 +226,43 @@ def check_table(df: DataFrame, key: str = "plant_name", ts: str = "timestamp", t
         pct = F.try_divide(F.col(f"null__{c}") * F.lit(100.0), F.col("n"))
         rows.append(_row("completeness", F.lit(f"column:{c}"), pct, C.MAX_MISSING_PCT, "warning",
                          F.coalesce(pct > C.MAX_MISSING_PCT, F.lit(False)), False))
-    if "neg_gen" in prof.columns:
+    if "neg_gen" in counts:
         rows.append(_row("physical", "negative_generation", F.col("neg_gen"), 0.0, "issue", F.col("neg_gen") > 0, False))
         rows.append(_row("physical", "over_generation", F.col("over_gen"), 0.0, "warning", F.col("over_gen") > 0, False))
     for c in C.WEATHER_RANGES:
-        if f"oor__{c}" in prof.columns:
+        if f"oor__{c}" in counts:
             rows.append(_row("physical", F.lit(f"range:{c}"), F.col(f"oor__{c}"), 0.0, "warning", F.col(f"oor__{c}") > 0, False))
-    if "corr_solar" in prof.columns:
-        rows.append(_row("physical", "solar_irradiance_correlation", F.col("corr_solar"), C.SOLAR_CORR_MIN, "warning",
-                         F.coalesce((F.col("n_solar_day") > 0) & (F.col("corr_solar") < C.SOLAR_CORR_MIN), F.lit(False)), False))
-    if "corr_wind" in prof.columns:
-        rows.append(_row("physical", "wind_speed_correlation", F.col("corr_wind"), C.WIND_CORR_MIN, "warning",
-                         F.coalesce((F.col("n_wind") > 0) & (F.col("corr_wind") < C.WIND_CORR_MIN), F.lit(False)), False))
+    for name, item, least in (("solar", "solar_irradiance_correlation", C.SOLAR_CORR_MIN), ("wind", "wind_speed_correlation", C.WIND_CORR_MIN)):
+        if f"rows__{name}" in counts:
+            corr = _summed_pearson(name)
+            rows.append(_row("physical", item, corr, least, "warning",
+                             F.coalesce((F.col(f"rows__{name}") > 0) & (corr < least), F.lit(False)), False))
+    rows.append(_row("temporal", "duplicate_keys", F.col("_dup"), 0.0, "warning", F.col("_dup") > 0, False))
+    rows.append(_row("structure", "empty", (F.col("n") == 0).cast("double"), 0.0, "issue", F.col("n") == 0, True))
+    missing = [c for c in REQUIRED if c not in cols]
+    if missing:
+        rows.append(_row("structure", F.lit("missing_columns:" + ",".join(missing)), F.lit(float(len(missing))), 0.0,
+                         "issue", F.lit(True), True))
     long = _explode(prof, rows)
 
-    # per-plant completeness warnings
-    mp = missing_by_plant(df, key).select(
-        _row("completeness", F.concat(F.lit("plant:"), F.col(key)), F.col("missing_pct"), C.MAX_MISSING_PCT,
-             "warning", F.coalesce(F.col("high_missing"), F.lit(False)), False).alias("r")).select("r.*")
-    dup = duplicate_keys(df, (ts, key)).select(
-        _row("temporal", "duplicate_keys", F.col("duplicates"), 0.0, "warning", F.col("duplicates") > 0, False).alias("r")).select("r.*")
-    gf = gap_flag(df, key, ts, tiebreak).select(
+    # per-plant rows: completeness warnings and gaps between the plant's times
+    plants = cells.groupBy(key).agg(F.sum("n").alias("n"), *[F.sum(f"null__{c}").alias(f"null__{c}") for c in cols])
+    pct = F.try_divide(total_null * F.lit(100.0), F.col("n") * F.lit(ncols))
+    mp = plants.select(_row("completeness", F.concat(F.lit("plant:"), F.col(key)), pct, C.MAX_MISSING_PCT, "warning",
+                            F.coalesce(pct > C.MAX_MISSING_PCT, F.lit(False)), False).alias("r")).select("r.*")
+    limit = cells.agg(F.sum("n")).scalar() * F.lit(C.GAP_SHARE)
+    gf = gap_summary(cells, key, ts).select(
         _row("temporal", F.concat(F.lit("gaps:"), F.col(key)), F.col("gaps_count"), C.GAP_SHARE, "warning",
-             F.col("excessive_gaps"), False).alias("r")).select("r.*")
-    missing = [c for c in REQUIRED if c not in cols]
-    st = df.limit(1).agg(F.count(F.lit(1)).alias("_c")).select(
-        _row("structure", "empty", (F.col("_c") == 0).cast("double"), 0.0, "issue", F.col("_c") == 0, True).alias("r"),
-    ).select("r.*")
-    parts = [long, mp, dup, gf, st]
-    if missing:
-        parts.append(df.sparkSession.range(1).select(
-            _row("structure", F.lit("missing_columns:" + ",".join(missing)), F.lit(float(len(missing))), 0.0,
-                 "issue", F.lit(True), True).alias("r")).select("r.*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+             F.col("gaps_count") > limit, False).alias("r")).select("r.*")
+    return long.unionByName(mp).unionByName(gf)
+
+
+def check_messages(checks: DataFrame) -> DataFrame:
+    """One line per flagged check row: (severity, message), the message
+    prefixed by its check."""
+    shown = F.format_string("%s: %s = %s (limit %s)", F.col("check"), F.col("item"), F.round("value", 4).cast("string"),
+                            F.coalesce(F.col("threshold").cast("string"), F.lit("none")))
+    return checks.filter("flagged").select("severity", shown.alias("message"))
 
 
 def validation_summary(checks: DataFrame) -> DataFrame:
@@ -252,7 +277,6 @@ def validation_summary(checks: DataFrame) -> DataFrame:
 def issue_head(checks: DataFrame, n: int = 5, severity: str = "issue") -> DataFrame:
     """First ``n`` flagged items of a severity (ordered by check, item) and
     the number of remaining ones."""
-    from pyspark.sql import Window
     f = checks.filter(F.col("flagged") & (F.col("severity") == severity))
     head = f.orderBy("check", "item").limit(n)  # distributed top-k
     total = f.select(F.count(F.lit(1))).scalar()

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 _US_PER_HOUR = 3_600_000_000
 _NULL_BUCKET = -(1 << 62)
+_NO_BUCKET = -(1 << 62) - 1
 
 
 def hour_index(ts: str | Column) -> Column:
@@ -178,6 +179,17 @@ def carry_valid(
         carries += [f"last(_gl_{n}, true) {before} as _ci_{n}", f"last(_gf_{n}, true) {after} as _co_{n}"]
     summary = summary.selectExpr(*qk, q(bucket_col), "_off", *carries)
 
+    # The group of a null key gets a key and a bucket that match no row: were it
+    # filtered out, the filter would sink below the summary's shuffle and make
+    # it another one than local's.
+    def named(k: str) -> str:
+        kind = local.schema[k].dataType.simpleString()
+        return f"coalesce({q(k)}, cast({repr('') if kind == 'string' else 0} as {kind})) as {q(k)}"
+
+    loose = [k for k in keys if local.schema[k].nullable]
+    summary = summary.selectExpr(*[named(k) if k in loose else q(k) for k in keys],
+                                 f"case when {key_ok} then {q(bucket_col)} else {_NO_BUCKET} end as {q(bucket_col)}",
+                                 *[c for c in summary.columns if c not in (*keys, bucket_col)])
     # plain equality on the partition columns: the join reuses local's partitioning
     joined = local.join(summary, on=[*keys, bucket_col], how="left")
     final = [f"case when {key_ok} then _off + _lp end as _rn"]
