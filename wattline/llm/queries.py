@@ -81,8 +81,7 @@ def op7_language_id(spark, sf_dir):
 def op8_sampled_segmentation(spark, sf_dir):
     """Two sampled segmentations of every document, without replacement, and whether they spell its text."""
     model = public_tokenizers.path("piece_bpe_32k.model")
-    docs = table(spark, sf_dir, "documents")
-    out = segment.decode(segment.sample_segmentations(docs, model), model, name="spelt")
+    out = segment.sample_segmentations(table(spark, sf_dir, "documents"), model)
     return out.select("doc_id", "sample", "n_pieces", F.crc32("ids").alias("ids_crc32"), "log_prob", "perturbed", "log_inclusion",
                       F.length("spelt").cast("long").alias("n_chars"), F.sha2("spelt", 256).alias("spelt_sha256"))
 

@@ -4,10 +4,11 @@ A text's segmentations into pieces of a SentencePiece vocabulary form a
 lattice.  Pieces never reach over the start of a word (a run of word marks) or
 over a line feed, so the lattice is a chain of small ones, built once for each
 distinct word.  Gumbel top-k sampling draws k distinct segmentations: every
-set of continuations carries the maximum of its members' perturbed scores, the
-best set is opened first (A-star), and its siblings' maxima follow from it.
-Because a path's choices depend on local noise only, all words of many texts
-are walked together.  Noise is a hash of the row's key and the place, so a
+set of continuations carries the maximum of its members' perturbed scores and
+the best set is opened first (A-star).  Where its maximum lies is drawn by the
+edges' chances; its siblings' maxima are Gumbel variables cut off at it, drawn
+only where they can still matter.  A path's choices do not depend on the
+maxima, so all words of many texts are walked together.  Noise is a hash of the row's key and the place, so a
 row's samples do not depend on partitions or batches.
 """
 
@@ -23,11 +24,13 @@ from wattline.llm import shipped
 from wattline.llm import text as X
 
 MARK = "▁"
-LATTICE = 8 << 20   # bytes whose distinct words share one lattice
+TABLE = 1 << 18     # slots for the vocabulary's prefixes
+LATTICE = 4 << 20   # bytes whose distinct words share one lattice
 WALK = 1 << 20      # bytes walked at once
-FRONT = 4           # words whose siblings are looked at first
-REACH = 90.0        # no sibling's perturbed score exceeds its prefix by more, in doubles
-OUTPUT = "sample int, ids binary, n_pieces long, log_prob double, perturbed double, log_inclusion double"
+SCALE = 3.0         # backward sums are raised by its exponential for each character
+FRONT = 8           # edges whose siblings are looked at first
+REACH = 40.0        # no set's perturbed maximum exceeds its log probability by more, with 53-bit noise
+OUTPUT = "sample int, ids binary, n_pieces long, log_prob double, perturbed double, log_inclusion double, spelt string"
 
 
 class Vocabulary:
@@ -62,13 +65,38 @@ class Vocabulary:
             for k, c in enumerate(p):
                 h = (h * X.BASE + (ord(c) + 1) * 0xD6E8FEB86659FD93) & X.MASK
                 entries[h] = i if k == len(p) - 1 else entries.get(h, -1)
-        self.hash = np.array(sorted(entries), X.U)
-        self.piece = np.array([entries[h] for h in sorted(entries)], np.int64)
+        self.table = np.zeros(TABLE, X.U)  # open addressing; 0 is an empty slot
+        self.piece = np.full(TABLE, -1, np.int32)
+        names = np.array(list(entries), X.U)
+        slot, left = (names >> X.U(40)).astype(np.int32) & (TABLE - 1), np.arange(len(names))
+        pieces_of = np.array(list(entries.values()), np.int32)
+        while len(left):
+            free = left[self.table[slot[left]] == 0]
+            _, first = np.unique(slot[free], return_index=True)
+            put = free[first]
+            self.table[slot[put]], self.piece[slot[put]] = names[put], pieces_of[put]
+            left = left[self.table[slot[left]] != names[left]]
+            slot[left] = (slot[left] + 1) & (TABLE - 1)
         raw = [bytes([int(p[1:-1], 16)]) if model.is_byte(i) else b"" if special[i] else p.replace(MARK, " ").encode() for i, p in enumerate(pieces)]
         self.raw = np.frombuffer(b"".join(raw), np.uint8)
         self.raw_count = np.array([len(r) for r in raw], np.int64)
         self.raw_start = np.cumsum(self.raw_count) - self.raw_count
 
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(indices of the hashes that are prefixes of pieces, their slots)."""
+        slot = (h >> X.U(40)).astype(np.int32) & (TABLE - 1)
+        found = np.full(len(h), -1, np.int32)
+        left = np.arange(len(h))
+        while len(left):
+            at = slot[left]
+            held = self.table[at]
+            same = held == h[left]
+            found[left[same]] = at[same]
+            left = left[~same & (held != 0)]
+            slot[left] = (slot[left] + 1) & (TABLE - 1)
+        hit = np.flatnonzero(found >= 0)
+        return hit, found[hit]
+
     def decode(self, ids: np.ndarray) -> bytes:
         """The text of pieces: word marks are spaces, the space put before the text is dropped."""
         got = self.raw[_spread(self.raw_start[ids], self.raw_count[ids])].tobytes()
@@ -135,71 +163,104 @@ def lattice_of(vocab: Vocabulary, buf: np.ndarray, off: np.ndarray):
 
 
 class Lattice:
-    """Edges of the distinct words of some texts, by start position; ``local``: log probability of
-    each edge given its start, from the backward sums."""
+    """Edges of the distinct words of some texts, by start position.  Every word has one position
+    more than characters, its end.  ``chance``: probability of each edge given its start."""
 
     def __init__(self, vocab: Vocabulary, joined: str, size: np.ndarray):
         chars = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-        self.end = np.cumsum(size)
+        self.end = np.cumsum(size) + np.arange(len(size))
         self.start = self.end - size
-        left = (np.repeat(self.end, size) - np.arange(len(chars))).astype(np.int32)  # characters to the word's end
-        value = (chars.astype(X.U) + X.U(1)) * X.U(0xD6E8FEB86659FD93)
-        at, h = np.arange(len(chars), dtype=np.int32), np.zeros(len(chars), X.U)
+        n = len(chars) + len(size)
+        self.code = np.zeros(n, np.uint32)
+        inner = np.arange(len(chars), dtype=np.int32) + np.repeat(np.arange(len(size), dtype=np.int32), size)
+        self.code[inner] = chars
+        left = np.zeros(n, np.int32)  # characters to the word's end
+        left[inner] = np.repeat(self.end, size) - inner
+        value = (self.code.astype(X.U) + X.U(1)) * X.U(0xD6E8FEB86659FD93)
+        at, h = inner, np.zeros(len(chars), X.U)
         src, length, piece = [], [], []
-        single = np.zeros(len(chars), bool)
+        single = np.zeros(n, bool)
         for k in range(1, vocab.most + 1):
             ok = left[at] >= k
             at, h = at[ok], h[ok]
             h = h * X.U(X.BASE) + value[at + k - 1]
-            slot = np.minimum(np.searchsorted(vocab.hash, h), len(vocab.hash) - 1)
-            ok = vocab.hash[slot] == h
-            at, h, slot = at[ok], h[ok], slot[ok]
+            ok, slot = vocab.find(h)
+            at, h = at[ok], h[ok]
             if not len(at):
                 break
             found = vocab.piece[slot]
             hit = found >= 0
             src.append(at[hit])
             length.append(np.full(int(hit.sum()), k, np.int32))
-            piece.append(found[hit].astype(np.int32))
+            piece.append(found[hit])
             if k == 1:
                 single[at[hit]] = True
-        bare = np.flatnonzero(~single)
-        src.append(bare.astype(np.int32))
+        bare = inner[~single[inner]]
+        src.append(bare)
         length.append(np.ones(len(bare), np.int32))
         piece.append(np.full(len(bare), -1, np.int32))
-        src, length, piece = (np.concatenate(x) for x in (src, length, piece))
-        order = np.argsort(src.astype(np.int64) * (vocab.most + 1) + length)
-        src, length, self.piece = src[order], length[order], piece[order]
-        width = 1 + (chars >= 0x80).astype(np.int64) + (chars >= 0x800) + (chars >= 0x10000)
-        weight = np.where(self.piece >= 0, vocab.log_weight[self.piece], vocab.byte_weight * width[src])
-        self.code = chars
-        self.first = np.searchsorted(src, np.arange(len(chars) + 1))
-        self.target = src + length
-        self.source = src
-        # backward sums, all words together, by distance from the word's end
-        beta = np.zeros(len(chars) + 1)
-        far = left[src].astype(np.int16) if len(chars) == 0 or left.max() < 1 << 15 else left[src]
-        turn = np.argsort(far, kind="stable")
-        cuts = np.flatnonzero(np.diff(far[turn], prepend=-1))
-        ends_here = length == left[src]
-        for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(turn)], strict=True):
-            e = turn[a:b]
-            v = weight[e] + np.where(ends_here[e], 0.0, beta[np.minimum(self.target[e], len(chars))])
-            s = src[e]
+        each = sum(np.bincount(a, minlength=n) for a in src)
+        self.first = np.concatenate([[0], np.cumsum(each)]).astype(np.int64)
+        place, free = [], self.first[:-1].copy()
+        for a in src[::-1]:  # of each start, the longest piece first: mostly the likeliest
+            place.append(free[a])
+            free[a] += 1
+        place = np.concatenate(place[::-1])
+        rows = []
+        for x in (src, length, piece):
+            row = np.empty(len(place), np.int32)
+            row[place] = np.concatenate(x)
+            rows.append(row)
+        self.source, length, self.piece = rows
+        self.target = self.source + length
+        width = 1 + (self.code >= 0x80).astype(np.int64) + (self.code >= 0x800) + (self.code >= 0x10000)
+        weight = vocab.log_weight[self.piece]
+        bare = np.flatnonzero(self.piece < 0)
+        weight[bare] = vocab.byte_weight * width[self.source[bare]]
+        # edges by their start's distance from the word's end: backward sums go over all words together
+        far = left[self.source]
+        turn = np.argsort(far.astype(np.int16) if not n or left.max() < 1 << 15 else far, kind="stable")
+        far = far[turn]
+        cuts = np.flatnonzero(np.diff(far, prepend=-1))
+        levels = [turn[a:b] for a, b in zip(cuts.tolist(), np.append(cuts[1:], len(turn)).tolist(), strict=False)]
+        self.chance = self._scaled(weight, length, levels, n)
+        if self.chance is None:
+            self.chance = self._logged(weight, levels, n)
+
+    def _scaled(self, weight, length, levels, n):
+        """Chances from backward sums scaled by a factor a character; None if they leave the range of doubles."""
+        with np.errstate(over="ignore", under="ignore", invalid="ignore", divide="ignore"):
+            lift = np.exp(weight + SCALE * length)
+            total = np.ones(n)
+            for e in levels:
+                v = lift[e] * total[self.target[e]]
+                s = self.source[e]
+                head = np.flatnonzero(np.diff(s, prepend=-1))
+                total[s[head]] = np.add.reduceat(v, head)
+            if not (np.isfinite(total).all() and total.min(initial=1.0) > 1e-290):
+                return None
+            return lift * total[self.target] / total[self.source]
+
+    def _logged(self, weight, levels, n):
+        beta = np.zeros(n)
+        for e in levels:
+            v = weight[e] + beta[self.target[e]]
+            s = self.source[e]
             head = np.flatnonzero(np.diff(s, prepend=-1))
             top = np.maximum.reduceat(v, head)
             count = np.diff(np.append(head, len(s)))
             beta[s[head]] = top + np.log(np.add.reduceat(np.exp(v - np.repeat(top, count)), head))
-        self.local = weight + np.where(ends_here, 0.0, beta[np.minimum(self.target, len(chars))]) - beta[src]
+        return np.exp(weight + beta[self.target] - beta[self.source])
+
+
+def mark(i: int, value) -> np.ndarray:
+    """The i-th part of a place that noise is drawn for."""
+    return np.asarray(value).astype(X.U) * X.U((0x9E3779B97F4A7C15 * (2 * i + 3)) & X.MASK)
 
 
-def gumbel(seed: np.ndarray, *parts) -> np.ndarray:
-    """Standard Gumbel noise from a hash of integers."""
-    h = seed
-    for i, p in enumerate(parts):
-        h = h + np.asarray(p).astype(X.U) * X.U((0x9E3779B97F4A7C15 * (2 * i + 3)) & X.MASK)
-    u = ((X.mix(h) >> X.U(11)).astype(np.float64) + 0.5) * 2.0**-53
-    return -np.log(-np.log(u))
+def uniform(place: np.ndarray) -> np.ndarray:
+    """Numbers between 0 and 1 from a hash of 64-bit places."""
+    return ((X.mix(place) >> X.U(11)).astype(np.float64) + 0.5) * 2.0**-53
 
 
 class Texts:
@@ -211,52 +272,64 @@ class Texts:
         self.first = np.cumsum(count) - count
         self.place = np.arange(len(word)) - self.first[self.doc]
         self.seed = seed
+        self.turn = np.argsort(word, kind="stable")  # equal words together: the lattice is read in order
 
-    def walk(self, sample: int, occ: np.ndarray, node: np.ndarray, step: np.ndarray, siblings: bool = False):
-        """Follow the best edge from ``node`` to the end of each occurrence's word.
+    def walk(self, sample: int, occ: np.ndarray, node: np.ndarray, step: np.ndarray):
+        """Draw edges from ``node`` to the end of each occurrence's word.
 
-        Returns the edges taken (occurrence, step, edge, log probability),
-        sorted by occurrence and step, and with ``siblings`` the edges not
-        taken: (index of the taken one, edge, perturbed gain, the taken one's)."""
+        Returns (occurrence, step, edge), sorted by occurrence and step.  The
+        set that holds a perturbed maximum is drawn by the edges' chances."""
         lat = self.lattice
-        taken, others = [], []
+        if len(occ) < len(self.turn):
+            place = np.full(len(self.turn), -1, np.int64)
+            place[occ] = np.arange(len(occ))
+            turn = place[self.turn]
+            turn = turn[turn >= 0]
+        else:
+            turn = self.turn
+        occ, node, step = occ[turn], node[turn], step[turn]
         end = lat.end[self.word[occ]]
         live = np.flatnonzero(node < end)
         occ, node, step, end = occ[live], node[live], step[live], end[live]
-        done = 0
+        begin = np.zeros(len(self.word), np.int64)
+        begin[occ] = step
+        seeds = self.seed[self.doc[occ]] + mark(0, sample) + mark(1, self.place[occ])
+        taken = []
         while len(occ):
-            first = lat.first[node]
-            count = lat.first[node + 1] - first
-            seg = np.repeat(np.arange(len(occ)), count)
-            head = np.cumsum(count) - count
-            j = np.arange(len(seg)) - head[seg]
-            edge = first[seg] + j
-            local = lat.local[edge]
-            score = local + gumbel(self.seed[self.doc[occ]][seg], np.full(1, sample), self.place[occ][seg], step[seg], j)
-            best = np.maximum.reduceat(score, head)
-            hit = np.flatnonzero(score == best[seg])
-            hit = hit[np.diff(seg[hit], prepend=-1) > 0]
-            chosen = edge[hit]
-            taken.append((occ, step, chosen, lat.local[chosen]))
-            if siblings:
-                rest = np.ones(len(seg), bool)
-                rest[hit] = False
-                others.append((seg[rest] + done, edge[rest], score[rest], best[seg[rest]]))
-            done += len(occ)
-            node = lat.target[chosen]
+            edge, last = lat.first[node], lat.first[node + 1] - 1
+            rest = uniform(seeds + mark(2, step)) - lat.chance[edge]
+            more = np.flatnonzero((rest >= 0) & (edge < last))
+            while len(more):
+                edge[more] += 1
+                rest[more] -= lat.chance[edge[more]]
+                more = more[(rest[more] >= 0) & (edge[more] < last[more])]
+            taken.append((occ, step, edge))
+            node = lat.target[edge]
             live = np.flatnonzero(node < end)
-            occ, node, step, end = occ[live], node[live], step[live] + 1, end[live]
+            occ, node, step, end, seeds = occ[live], node[live], step[live] + 1, end[live], seeds[live]
         if not taken:
-            z = np.zeros(0, np.int64)
-            return (z, z, z, np.zeros(0)), (z, z, np.zeros(0), np.zeros(0))
-        occ, step, edge, gain = (np.concatenate(x) for x in zip(*taken, strict=True))
-        order = np.lexsort((step, occ))
-        other = tuple(np.concatenate(x) for x in zip(*others, strict=True)) if siblings else (np.zeros(0, np.int64),) * 4
-        if siblings:
-            back = np.empty(len(order), np.int64)
-            back[order] = np.arange(len(order))
-            other = (back[other[0]], *other[1:])
-        return (occ[order], step[order], edge[order], gain[order]), other
+            return (np.zeros(0, np.int64),) * 3
+        occ, step, edge = (np.concatenate(x) for x in zip(*taken, strict=True))
+        count = np.bincount(occ, minlength=len(self.word))
+        order = np.empty(len(occ), np.int64)
+        order[(np.cumsum(count) - count)[occ] + step - begin[occ]] = np.arange(len(occ))
+        return occ[order], step[order], edge[order]
+
+    def siblings(self, sample: int, occ, step, edge, level, top):
+        """The edges not taken beside each taken one: (index of the taken one, edge, log probability of
+        the set beyond it, that set's perturbed maximum, which the taken one's ``top`` bounds)."""
+        lat = self.lattice
+        node = lat.source[edge]
+        first = lat.first[node]
+        count = lat.first[node + 1] - first
+        at = np.repeat(np.arange(len(occ)), count)
+        other = _spread(first, count)
+        keep = other != edge[at]
+        at, other = at[keep], other[keep]
+        phi = level[at] + np.log(lat.chance[other])
+        seeds = self.seed[self.doc[occ]] + mark(0, sample) + mark(1, self.place[occ]) + mark(2, step)
+        u = uniform(seeds[at] + mark(3, other - first[at] + 1))
+        return at, other, phi, phi - np.log(np.exp(np.minimum(phi - top[at], 700.0)) - np.log(u))
 
 
 def sample_texts(texts: Texts, k: int):
@@ -264,23 +337,22 @@ def sample_texts(texts: Texts, k: int):
 
     Yields (document, sample, edges, log probability, perturbed score, log
     inclusion probability)."""
-    n = texts.n
-    top = gumbel(texts.seed, np.full(1, 0), np.full(1, 1 << 40))
+    n, lat = texts.n, texts.lattice
+    top = -np.log(-np.log(uniform(texts.seed + mark(4, 1))))
     paths: list[dict[int, tuple]] = [{} for _ in range(n)]  # of each document: sample -> (place, step, edge) arrays
     scores: list[list[tuple]] = [[] for _ in range(n)]      # (log probability, perturbed score)
     pool = _Pool(n, k + 1)
     live = np.arange(n)
-    start_occ, start_node = np.arange(len(texts.word)), texts.lattice.start[texts.word]
+    start_occ, start_node = np.arange(len(texts.word)), lat.start[texts.word]
     start_step = np.zeros(len(start_occ), np.int64)
     prefix, value, stem = np.zeros(n), top, [None] * n
     for r in range(1, k + 1):
-        (occ, step, edge, gain), _ = texts.walk(r, start_occ, start_node, start_step)
-        doc = texts.doc[occ]
-        before = np.cumsum(gain) - gain
+        occ, step, edge = texts.walk(r, start_occ, start_node, start_step)
+        doc, gain = texts.doc[occ], np.log(lat.chance[edge])
+        upto = np.concatenate([[0.0], np.cumsum(gain)])
         cut = np.searchsorted(doc, np.arange(n + 1))
-        base = np.append(before, before[-1] + gain[-1] if len(gain) else 0.0)[cut]
-        phi = prefix[doc] + before - base[:-1][doc]     # log probability up to each edge's start
-        total = prefix + base[1:] - base[:-1]
+        level = (prefix - upto[cut[:-1]])[doc] + upto[:-1]  # log probability up to each edge's start
+        total = prefix + upto[cut[1:]] - upto[cut[:-1]]
         for d in live.tolist():
             a, b = int(cut[d]), int(cut[d + 1])
             mine = (texts.place[occ[a:b]], step[a:b], edge[a:b])
@@ -288,37 +360,17 @@ def sample_texts(texts: Texts, k: int):
                 mine = tuple(np.concatenate(x) for x in zip(stem[d], mine, strict=True))
             paths[d][r] = mine
             scores[d].append((float(total[d]), float(value[d])))
-        # siblings along the new part of the path: near the front first, then wherever one could matter
-        head = np.zeros(len(texts.word), bool)
-        lead = np.zeros(n, np.int64)
-        lead[doc[::-1]] = texts.place[occ[::-1]]
-        phi_word = np.full(len(texts.word), -np.inf)
-        new_word = np.flatnonzero(np.diff(occ, prepend=-1))
-        phi_word[occ[new_word]] = phi[new_word]
-        node0, step0 = np.zeros(len(texts.word), np.int64), np.zeros(len(texts.word), np.int64)
-        node0[start_occ], step0[start_occ] = start_node, start_step
+        # siblings along the new part of the path: near its start first, then wherever one could matter
+        front = np.arange(len(occ)) < cut[:-1][doc] + FRONT
         for near in (True, False):
-            front = texts.place < lead[texts.doc] + FRONT
-            want = (phi_word > -np.inf) & ((front if near else ~front & (phi_word >= pool.least()[texts.doc] - REACH)))
-            pick = np.flatnonzero(want & ~head)
-            head[pick] = True
+            pick = np.flatnonzero(front if near else ~front & (level >= pool.least()[doc] - REACH))
             if not len(pick):
                 continue
-            (o, s, e, g), (taken, other, score, best) = texts.walk(r, pick, node0[pick], step0[pick], siblings=True)
-            if not len(taken):
-                continue
-            run = np.cumsum(g) - g
-            first = np.flatnonzero(np.diff(o, prepend=-1))
-            inner = run - np.repeat(run[first], np.diff(np.append(first, len(o))))
-            level = phi_word[o] + inner
-            d = texts.doc[o[taken]]
-            g_abs, z_abs, t = level[taken] + score, level[taken] + best, value[d]
-            with np.errstate(divide="ignore"):
-                v = t - g_abs + np.log(-np.expm1(np.minimum(g_abs - z_abs, 0.0)))
-            bound = t - np.maximum(0.0, v) - np.log1p(np.exp(-np.abs(v)))
+            at, other, phi, bound = texts.siblings(r, occ[pick], step[pick], edge[pick], level[pick], value[doc[pick]])
+            d = doc[pick][at]
             good = bound >= pool.least()[d]
-            d, bound, taken, other = d[good], bound[good], taken[good], other[good]
-            pool.add(d, bound, r, o[taken], s[taken], other, level[taken] + texts.lattice.local[other])
+            at = pick[at[good]]
+            pool.add(d[good], bound[good], r, occ[at], step[at], other[good], phi[good])
         if r == k:
             break
         live, picked = pool.pop(live)
@@ -326,25 +378,29 @@ def sample_texts(texts: Texts, k: int):
             break
         value, prefix, stem = np.zeros(n), np.zeros(n), [None] * n
         occs, nodes, steps = [], [], []
-        for d, (bound, parent, o, s, e, level) in zip(live.tolist(), picked, strict=True):
-            value[d], prefix[d] = bound, level
+        for d, (bound, parent, o, s, e, phi) in zip(live.tolist(), picked, strict=True):
+            value[d], prefix[d] = bound, phi
             place = int(texts.place[o])
             p, q, x = paths[d][parent]
-            upto = int(np.searchsorted(p, place)) + s
-            stem[d] = (np.append(p[:upto], place), np.append(q[:upto], s), np.append(x[:upto], e))
+            same = int(np.searchsorted(p, place)) + s
+            stem[d] = (np.append(p[:same], place), np.append(q[:same], s), np.append(x[:same], e))
             last = int(texts.first[d + 1]) if d + 1 < n else len(texts.word)
             rest = np.arange(o, last)
             occs.append(rest)
-            nodes.append(np.append(texts.lattice.target[e], texts.lattice.start[texts.word[rest[1:]]]))
+            nodes.append(np.append(lat.target[e], lat.start[texts.word[rest[1:]]]))
             steps.append(np.append(s + 1, np.zeros(len(rest) - 1, np.int64)))
         start_occ, start_node, start_step = (np.concatenate(x) for x in (occs, nodes, steps))
     threshold = pool.best()
     for d in range(n):
-        for r, (log_prob, value) in enumerate(scores[d], 1):
-            # probability that a perturbed score of this log probability beats the first one left out
-            inclusion = 0.0 if threshold[d] == -np.inf else float(np.log(-np.expm1(-np.exp(min(log_prob - threshold[d], 700.0))))
-                                                                  if log_prob - threshold[d] > -30 else log_prob - threshold[d])
-            yield d, r, paths[d][r][2], log_prob, value, inclusion
+        for r, (log_prob, score) in enumerate(scores[d], 1):
+            yield d, r, paths[d][r][2], log_prob, score, _log_inclusion(log_prob - threshold[d])
+
+
+def _log_inclusion(lead: float) -> float:
+    """log(1 - exp(-exp(lead))): the chance that a perturbed score beats the first one left out."""
+    if lead < -30:
+        return lead
+    return float(np.log(-np.expm1(-np.exp(min(lead, 30.0)))))
 
 
 class _Pool:
@@ -390,28 +446,49 @@ class _Pool:
         return docs, [(float(b), int(p), int(o), int(s), int(e), float(v)) for b, p, o, s, e, v in got]
 
 
-def piece_ids(lattice: Lattice, vocab: Vocabulary, edges: np.ndarray) -> np.ndarray:
-    """Ids of a path's edges; characters without a piece become their bytes' ids."""
+def piece_ids(lattice: Lattice, vocab: Vocabulary, edges: np.ndarray, count: np.ndarray):
+    """(ids of the edges of several paths, ids of each path); characters without a piece become
+    their bytes' ids."""
     ids = lattice.piece[edges]
     bare = np.flatnonzero(ids < 0)
-    if not len(bare):
-        return ids.astype(np.uint32)
     code = lattice.code[lattice.source[edges[bare]]]
     ids[bare] = vocab.byte_id[np.minimum(code, 127)]
-    wide = np.flatnonzero(code >= 128)
+    wide = bare[code >= 128]
     if not len(wide):
-        return ids.astype(np.uint32)
-    spelt = [vocab.byte_id[list(chr(c).encode("utf-8", "replace"))] for c in code[wide].tolist()]
-    out, a = [], 0
-    for i, own in zip(bare[wide].tolist(), spelt, strict=True):
-        out += [ids[a:i], own]
-        a = i + 1
-    return np.concatenate([*out, ids[a:]]).astype(np.uint32)
+        return ids.astype(np.uint32), count
+    spelt = [list(chr(c).encode("utf-8", "replace")) for c in code[code >= 128].tolist()]
+    each = np.ones(len(ids), np.int64)
+    each[wide] = [len(x) for x in spelt]
+    at = np.cumsum(each) - each
+    out = np.repeat(ids, each).astype(np.uint32)
+    out[_spread(at[wide], each[wide])] = vocab.byte_id[[b for x in spelt for b in x]]
+    ends = np.cumsum(count)
+    upto = np.concatenate([[0], np.cumsum(each)])
+    return out, upto[ends] - upto[ends - count]
+
+
+def _strings(data: np.ndarray, count: np.ndarray, kind) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
+    return pa.Array.from_buffers(kind, len(count), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def _rows(keys, names, lattice, vocab, drawn) -> pa.RecordBatch:
+    d, r, edges, log_prob, value, inclusion = zip(*drawn, strict=True)
+    ids, count = piece_ids(lattice, vocab, np.concatenate(edges), np.fromiter(map(len, edges), np.int64, len(edges)))
+    raw = vocab.raw_count[ids]
+    text = vocab.raw[_spread(vocab.raw_start[ids], raw)]
+    ends = np.concatenate([[0], np.cumsum(raw)])[np.concatenate([[0], np.cumsum(count)])]
+    full = np.diff(ends) > 0  # without the space put before the text
+    keep = np.ones(len(text), bool)
+    keep[ends[:-1][full]] = False
+    return pa.RecordBatch.from_arrays(
+        [keys.take(pa.array(d)), pa.array(r, pa.int32()), _strings(ids.astype("<u4"), count * 4, pa.binary()), pa.array(count),
+         pa.array(log_prob), pa.array(value), pa.array(inclusion), _strings(text[keep], np.diff(ends) - full, pa.string())], names=names)
 
 
 def sample_segmentations(docs: DataFrame, model: str, key: str = "doc_id", column: str = "text", samples: int = 2) -> DataFrame:
     """``key``, sample (from 1), ids (packed little-endian uint32), n_pieces, log_prob, perturbed,
-    log_inclusion: up to ``samples`` distinct segmentations of each whole text.
+    log_inclusion, spelt (the text decoded from the ids): up to ``samples`` distinct segmentations of each whole text.
 
     Samples are drawn without replacement in proportion to the product of
     their pieces' weights and come in falling perturbed score.  log_inclusion
@@ -433,15 +510,12 @@ def sample_segmentations(docs: DataFrame, model: str, key: str = "doc_id", colum
                 upto = np.concatenate([[0], np.cumsum(count)])
                 for c, e in X.slices(local, WALK):
                     texts = Texts(lattice, word[upto[c]:upto[e]], count[c:e], seeds[c:e])
-                    rows = [(c + d, r, piece_ids(lattice, vocab, edges), lp, v, inc) for d, r, edges, lp, v, inc in sample_texts(texts, samples)]
-                    d, r, ids, lp, v, inc = zip(*rows, strict=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [keys.take(pa.array(d)), pa.array(r, pa.int32()), pa.array([i.astype("<u4").tobytes() for i in ids], pa.binary()),
-                         pa.array([len(i) for i in ids], pa.int64()), pa.array(lp), pa.array(v), pa.array(inc)],
-                        names=[key, "sample", "ids", "n_pieces", "log_prob", "perturbed", "log_inclusion"])
+                    drawn = ((c + d, *rest) for d, *rest in sample_texts(texts, samples))
+                    yield _rows(keys, [key, *(f.name for f in fields)], lattice, vocab, drawn)
 
+    fields = T.StructType.fromDDL(OUTPUT).fields
     kind = T.StructField(key, docs.schema[key].dataType, True)
-    schema = T.StructType([kind, *T.StructType.fromDDL(OUTPUT).fields])
+    schema = T.StructType([kind, *fields])
     seed = F.xxhash64(docs[key].cast("string"))
     return shipped(docs).select(key, docs[column].alias("_text"), F.when(docs[key].isNotNull(), seed).alias("_seed")).mapInArrow(run, schema)
 
