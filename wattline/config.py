@@ -23,13 +23,6 @@ WEATHER_COLS = (
     "surface_pressure",
 )
 KEY_WEATHER_COLS = ("temperature_2m", "wind_speed", "surface_solar_radiation_downwards")
-QUALITY_WEATHER_COLS = (
-    "temperature_2m",
-    "wind_speed",
-    "surface_solar_radiation_downwards",
-    "total_cloud_cover",
-    "total_precipitation",
-)
 WEATHER_RANGES = {
     "temperature_2m": (-50.0, 60.0),
     "wind_speed": (0.0, 50.0),

@@ -61,14 +61,6 @@ def wind_speed_category(speed="wind_speed", plant_type: str | Column | None = "p
     return F.when(_c(plant_type) == "wind", expr)
 
 
-def wind_speed_category_ordinal(speed="wind_speed") -> Column:
-    v = _c(speed)
-    expr = None
-    for i, (lo, hi, _) in enumerate(C.WIND_SPEED_BINS):
-        cond = (v > F.lit(lo)) & (v <= F.lit(hi))
-        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
-    return expr
-
 
 def capacity_factor(gen="generation_mw", cap="capacity_mw") -> Column:
     return F.try_divide(_c(gen), _c(cap))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from wattline import config as C
@@ -16,7 +18,9 @@ from wattline.plans import oracle as O
 from wattline.plans.pipeline import pipeline_features
 from wattline.plans.registry import register, tables
 from wattline.sources.adapter import adapter_plants
-from wattline.sources.readers import normalize_time_key
+from wattline.schema import GENERATION_SCHEMA, weather_schema
+from wattline.session import checkpoint_dir
+from wattline.sources.readers import normalize_time_key, read_generation, read_weather
 
 W = list(C.WEATHER_COLS)
 KW = list(C.KEY_WEATHER_COLS)
@@ -72,6 +76,38 @@ def q_scan_generation(spark, sf):
     return gen
 
 
+_GCSV = ("select timestamp, plant_name, plant_type, capacity_mw, generation_mw, generation_mw / capacity_mw as capacity_factor, "
+         "latitude, longitude from generation")
+_CSV_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
+def _through_csv(spark, df, read):
+    """``df`` written as CSV to the shared folder and read by ``read(path)``."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/wattline-csv-{uuid.uuid4().hex}"
+    df.write.option("header", True).option("timestampNTZFormat", _CSV_TIME).csv(path)
+    return read(path)
+
+
+@register("scan_generation_csv", O.wrap(O.with_adapter(_GCSV), [c for c in GEN_D if c != "event_id"] + ["capacity_factor"]))
+def q_scan_generation_csv(spark, sf):
+    """The generation facts as CSV files, read with the fixed schema."""
+    gen, _ = tables(spark, sf)
+    cols = [f.name for f in GENERATION_SCHEMA.fields]
+    flat = gen.withColumn("capacity_factor", F.col("generation_mw") / F.col("capacity_mw")).select(*cols)
+    return _through_csv(spark, flat, lambda p: read_generation(spark, p, fmt="csv"))
+
+
+@register("scan_weather_csv", O.wrap(O.with_adapter("select timestamp, location, " + ", ".join(W) + " from weather"), W))
+def q_scan_weather_csv(spark, sf):
+    """The weather facts as CSV files keyed by ``time``, read with the fixed schema."""
+    _, wea = tables(spark, sf)
+    fields = weather_schema("time").fieldNames()
+    flat = wea.withColumnRenamed("timestamp", "time")
+    flat = flat.select(*[F.col(c) if c in flat.columns else F.lit(None).cast("string").alias(c) for c in fields])
+    back = _through_csv(spark, flat, lambda p: read_weather(spark, p, fmt="csv", time_key="time"))
+    return back.select("timestamp", "location", *W)
+
+
 _WEATHER_D = W
 
 

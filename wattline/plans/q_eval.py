@@ -212,6 +212,21 @@ def q_baseline_climatology(spark, sf):
     return _baseline(spark, sf, lambda t: E.baseline_climatology(t))
 
 
+def _climatology(group):
+    return _q(f"select plant_name, timestamp, y_true, avg(y_true) over (partition by plant_name{group}) as y_pred from test",
+              doubles=["y_true", "y_pred"])
+
+
+@register("baseline_climatology_hour", _climatology(", hour(timestamp)"))
+def q_baseline_climatology_hour(spark, sf):
+    return _baseline(spark, sf, lambda t: E.baseline_climatology(t, freq="H"))
+
+
+@register("baseline_climatology_overall", _climatology(""))
+def q_baseline_climatology_overall(spark, sf):
+    return _baseline(spark, sf, lambda t: E.baseline_climatology(t, freq="all"))
+
+
 @register("forecast_quantile_bins", _q("select plant_name, timestamp, y_true, P10, P50, P90 from preds "
                                         "where model = 'QuantileBins'", doubles=["y_true", "P10", "P50", "P90"]))
 def q_forecast_quantile_bins(spark, sf):

@@ -22,7 +22,7 @@ from wattline.operators.repair import drop_critical_nulls
 from wattline.operators.series import multi_horizon_frame
 from wattline.plans import oracle as O
 from wattline.plans.q_core import GEN_GRID, _gen_grid
-from wattline.plans.q_eval import SERIES, SERIES_VAL, predictions, series
+from wattline.plans.q_eval import METRICS_WIDE, SERIES, SERIES_VAL, predictions, series
 from wattline.plans.registry import register, tables
 from wattline.sources.adapter import ADAPTER_PLANTS, adapter_plants, load_table
 from wattline.sources.readers import flatten_service_payload, read_features, tidy_grid
@@ -389,6 +389,24 @@ def q_scaler_fit(spark, sf):
     return PP.scaler_fit(_merged(spark, sf), _SC_COLS)
 
 
+_SCALED = ", ".join(f"({c} - (select avg({c}) from merged)) / (select case when stddev_pop({c}) is null or stddev_pop({c}) = 0 then 1.0 "
+                    f"else stddev_pop({c}) end from merged) as {c}" for c in _SC_COLS)
+
+
+@register("scaler_transform", _m(f"select event_id, {_SCALED} from merged", _SC_COLS))
+def q_scaler_transform(spark, sf):
+    m = _merged(spark, sf).select("event_id", *_SC_COLS)
+    return PP.scaler_transform(m, PP.scaler_fit(m, _SC_COLS), _SC_COLS)
+
+
+@register("scaler_inverse", _m("select event_id, " + ", ".join(_SC_COLS) + " from merged", _SC_COLS))
+def q_scaler_inverse(spark, sf):
+    """Scaled and scaled back: the original values."""
+    m = _merged(spark, sf).select("event_id", *_SC_COLS)
+    stats = PP.scaler_fit(m, _SC_COLS)
+    return PP.scaler_transform(PP.scaler_transform(m, stats, _SC_COLS), stats, _SC_COLS, inverse=True)
+
+
 _LE = ("select event_id, plant_name, coalesce(e.label, -1) as plant_name_encoded from generation g left join "
        "(select plant_name as v, cast(row_number() over (order by plant_name) - 1 as integer) as label from "
        "(select distinct plant_name from generation where plant_type = 'solar')) e on g.plant_name = e.v")
@@ -473,6 +491,14 @@ def q_interval_fallback(spark, sf):
     return _preds_fb(spark, sf).select("model", "plant_name", "timestamp", "P10", "P50", "P90")
 
 
+@register("interval_serving", _p("select model, plant_name, timestamp, coalesce(P10, P50 * 0.8) as P10, P50, coalesce(P90, P50 * 1.2) as P90 "
+                                 "from preds", ["P10", "P50", "P90"]))
+def q_interval_serving(spark, sf):
+    """The serving answer's wider interval where a model gives none."""
+    lo, hi = FF.interval_fallback(factors=C.SERVING_FALLBACK)
+    return predictions(spark, sf).select("model", "plant_name", "timestamp", lo.alias("P10"), "P50", hi.alias("P90"))
+
+
 @register("uncertainty_range", _p("select model, plant_name, timestamp, coalesce(P90, 0.0) - coalesce(P10, 0.0) as "
                                   "uncertainty_range from preds", ["uncertainty_range"]))
 def q_uncertainty_range(spark, sf):
@@ -512,11 +538,12 @@ def q_quantile_label(spark, sf):
 
 
 @register("name_slug", _a("select event_id, replace(lower(plant_type || ' ' || plant_name), ' ', '_') as slug, "
-                          "strftime(timestamp, '%Y-%m-%d') as day from generation"))
+                          "upper(left(plant_name, 1)) || substr(split_part(plant_name, '_', 1), 2) || ' ' || "
+                          "upper(split_part(plant_name, '_', 2)) as title, strftime(timestamp, '%Y-%m-%d') as day from generation"))
 def q_name_slug(spark, sf):
     g = _gen(spark, sf)
     return g.select("event_id", FF.name_slug(F.concat_ws(" ", "plant_type", "plant_name")).alias("slug"),
-                    F.date_format("timestamp", "yyyy-MM-dd").alias("day"))
+                    FF.display_name("plant_name").alias("title"), F.date_format("timestamp", "yyyy-MM-dd").alias("day"))
 
 
 _HEAD = (f"select timestamp, plant_name, {O.round_even_sql('y_true', 2)} as actual, {O.round_even_sql('P50', 2)} as predicted, "
@@ -709,19 +736,32 @@ def q_batch_forecast(spark, sf):
     return out.select("request_id", "plant_type", "hour", "month", "P10", "P50", "P90", "uncertainty_range", "confidence_level")
 
 
-_EXPL = (f"select request_id, P50, (select list(feature order by round(importance, 10) desc nulls last, feature)[1:5] from ({_IMP})) as drivers "
-         f"from ({_BF})")
+_EXPL = (f"select request_id, P10, P50, P90, uncertainty_range, confidence_level, "
+         f"(select list(feature order by round(importance, 10) desc nulls last, feature)[1:5] from ({_IMP})) as drivers, "
+         f"(select list(feature || ' ' || coalesce(printf('%.4f', importance), '-') order by round(importance, 10) desc nulls last, feature)[1:10] "
+         f"from ({_IMP})) as importance from ({_BF})")
+
+
+@register("batch_forecast_total", O.wrap(O.with_adapter(f"select count(*) as total_forecasts, cast(count(P50) as bigint) as with_forecast from ({_BF})",
+                                                        SERIES + ",\n" + _REQ_SQL + ",\n" + _BINS_T), []))
+def q_batch_forecast_total(spark, sf):
+    """How many requests a batch answers."""
+    return q_batch_forecast(spark, sf).agg(F.count(F.lit(1)).alias("total_forecasts"), F.count("P50").alias("with_forecast"))
 
 
-@register("explain_forecast", O.wrap(O.with_adapter(_EXPL, SERIES + ",\n" + _REQ_SQL + ",\n" + _BINS_T + ",\n" + O.merged_ctes()), ["P50"]))
+@register("explain_forecast", O.wrap(O.with_adapter(_EXPL, SERIES + ",\n" + _REQ_SQL + ",\n" + _BINS_T + ",\n" + O.merged_ctes()), ["P10", "P50", "P90", "uncertainty_range"]))
 def q_explain_forecast(spark, sf):
-    """Forecast plus the top-5 drivers (correlation importance) per request."""
+    """Forecast, interval and confidence, with the top-10 importances and the
+    top-5 drivers (correlation importance) per request."""
     req = FL.validate_requests(_requests(spark, sf)).filter("is_valid")
     fc = FC.batch_forecast(req, _bins_by_type(spark, sf))
-    imp = FC.top_k(FC.correlation_importance(_imp_input(spark, sf), _IMP_FEATS, "generation_mw"), 5)
-    drivers = imp.agg(F.transform(F.sort_array(F.collect_list(F.struct(
-        (-F.coalesce(F.round("importance", 10), F.lit(-1.0))).alias("k"), F.col("feature")))), lambda s: s["feature"])).scalar()
-    return fc.select("request_id", "P50", drivers.alias("drivers"))
+    imp = FC.top_k(FC.correlation_importance(_imp_input(spark, sf), _IMP_FEATS, "generation_mw"), 10)
+    ranked = imp.agg(F.sort_array(F.collect_list(F.struct(  # ten rows
+        (-F.coalesce(F.round("importance", 10), F.lit(-1.0))).alias("k"), F.col("feature"), F.col("importance")))).alias("r")).scalar()
+    fc = fc.withColumn("_r", ranked)
+    shown = F.transform("_r", lambda s: F.concat(s["feature"], F.lit(" "), F.coalesce(F.format_string("%.4f", s["importance"]), F.lit("-"))))
+    return fc.select("request_id", "P10", "P50", "P90", "uncertainty_range", "confidence_level",
+                     F.slice(F.transform("_r", lambda s: s["feature"]), 1, 5).alias("drivers"), shown.alias("importance"))
 
 
 _MT_METRICS = ("mae", "rmse", "mape", "picp_80", "mpiw_80")
@@ -785,6 +825,35 @@ def q_forecast_quantile_conformal(spark, sf):
     return out.select("plant_name", "timestamp", "y_true", "P10", "P50", "P90")
 
 
+@register("tree_importance")
+def q_tree_importance(spark, sf):
+    """Importance of each input in the boosted trees, largest first."""
+    d = _gbt_frame(spark, sf)
+    model = FC.fit_gbt(d.filter(F.col("split") == "train"), _GBT_FEATS)
+    return spark.createDataFrame(FC.gbt_importance(model, _GBT_FEATS), "feature string, importance double")
+
+
+@register("metrics_trained")
+def q_metrics_trained(spark, sf):
+    """Point and interval metrics of the trained learner with conformal intervals."""
+    preds = q_forecast_quantile_conformal(spark, sf).withColumn("model", F.lit("GBT_Conformal"))
+    return compare_models(evaluate_model(preds))
+
+
+_ENS = (f"ens as (select 'Ensemble' as model, e.plant_name, e.timestamp, t.y_true, e.P10, e.P50, e.P90 from ({_EFP}) e "
+        "join test t on e.plant_name = t.plant_name and e.timestamp = t.timestamp)")
+_ENS_COLS = ("mae", "rmse", "nmae", "picp_80", "mpiw_80", "pinball_avg", "crps")
+
+
+@register("metrics_ensemble", O.wrap(O.with_adapter("select model, " + ", ".join(_ENS_COLS) + " from (" + METRICS_WIDE.replace("from preds", "from ens") + ")",
+                                                    SERIES_VAL + ",\n" + _WIDE_VAL + f",\nw as ({_WFIT}),\n" + _ENS), list(_ENS_COLS)))
+def q_metrics_ensemble(spark, sf):
+    """Metrics of the ensemble whose weights were fitted on the validation slice."""
+    truth = series(spark, sf).filter(F.col("split") == "test").select("plant_name", "timestamp", "y_true")
+    preds = q_ensemble_fit_predict(spark, sf).join(truth, ["plant_name", "timestamp"]).withColumn("model", F.lit("Ensemble"))
+    return compare_models(evaluate_model(preds), metrics=_ENS_COLS)
+
+
 # --- dimensions derived from the facts, persistence round trips ----------------
 _PD = ("select plant_name, arg_min(plant_type, (timestamp, event_id)) as plant_type, "
        "arg_min(capacity_mw, (timestamp, event_id)) as capacity_mw, arg_min(latitude, (timestamp, event_id)) as latitude, "

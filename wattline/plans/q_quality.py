@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from wattline import config as C
@@ -9,6 +11,8 @@ from wattline.operators import quality as Q
 from wattline.operators.joins import merge_weather
 from wattline.plans import oracle as O
 from wattline.plans.registry import register, tables
+from wattline.session import checkpoint_dir
+from wattline.sources.sinks import write_report
 
 W = list(C.WEATHER_COLS)
 TB = ("event_id",)
@@ -207,8 +211,21 @@ _CHECKS = _check_rows_sql()
 
 @register("sink_report", _sql(_CHECKS, ["value", "threshold"]))
 def q_sink_report(spark, sf):
-    """Quality report lines (check, item, value, threshold, severity, flags)."""
-    return Q.check_table(_qin(spark, sf), tiebreak=TB)
+    """Quality report lines (check, item, value, threshold, severity, flags),
+    written to the shared folder and read back."""
+    report = Q.check_table(_qin(spark, sf), tiebreak=TB)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/wattline-report-{uuid.uuid4().hex}"
+    write_report(report, path)
+    return spark.read.schema(report.schema).json(path)
+
+
+_MESSAGES = (f"select severity, \"check\" || ': ' || item || ' above or below its limit' as message from ({_CHECKS}) where flagged")
+
+
+@register("validation_messages", _sql(_MESSAGES))
+def q_validation_messages(spark, sf):
+    """One prefixed message per flagged check row."""
+    return Q.check_messages(Q.check_table(_qin(spark, sf), tiebreak=TB))
 
 
 _SUMMARY = (f"select not coalesce(max(cast(fails_check as integer)) = 1, false) as overall_passed, "

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
+_STAGES: list[str] = []
 
 
 def get_spark(master: str = "local[8]", app: str = "wattline", shuffle_partitions: int = 8,
@@ -74,4 +75,15 @@ def materialize(df):
     base = checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{base}/wattline-stage-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
+    _STAGES.append(path)
     return df.sparkSession.read.parquet(path)
+
+
+def discard_stages(spark: SparkSession) -> int:
+    """Delete the tables that :func:`materialize` has written so far; call it
+    once the results built on them have been written or collected."""
+    jvm, done = spark.sparkContext._jvm, 0
+    while _STAGES:
+        path = jvm.org.apache.hadoop.fs.Path(_STAGES.pop())
+        done += path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return done

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from wattline import config as C
 from wattline.functions.physics import kelvin_to_celsius, wind_vector
 from wattline.schema import GENERATION_SCHEMA, SERVICE_PAYLOAD_SCHEMA, weather_schema
+from wattline.sources.sinks import MONTH
 
 TIME_KEYS = ("timestamp", "time", "date")
 
@@ -48,7 +49,7 @@ def read_weather(spark: SparkSession, path: str, fmt: str = "parquet", time_key:
 def read_features(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Re-read the feature table; Catalyst prunes to ``columns``. No global sort."""
     df = spark.read.parquet(path)
-    return df.select(*columns) if columns else df
+    return df.select(*columns) if columns else df.drop(MONTH)
 
 
 def flatten_service_payload(df: DataFrame, payload: str = "payload",

@@ -5,13 +5,20 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
-def write_features(df: DataFrame, path: str, partition_by: Sequence[str] = ("plant_name",),
-                   sort_within: Sequence[str] = ("timestamp",), mode: str = "overwrite") -> None:
-    """Partitioned by plant; rows sorted by time inside each file (no global sort)."""
-    df.sortWithinPartitions(*partition_by, *sort_within) \
-        .write.mode(mode).partitionBy(*partition_by).parquet(path)
+MONTH = "year_month"
+
+
+def write_features(df: DataFrame, path: str, partition_by: Sequence[str] = ("plant_name",), ts: str = "timestamp",
+                   mode: str = "overwrite") -> None:
+    """Partitioned by plant and month: rows are dealt by (plant, month), so a
+    folder is one file and a long plant many tasks; a scan for some plants or
+    months reads only their folders.  Rows are sorted by time inside a file."""
+    parts = [*partition_by, MONTH]
+    monthly = df.withColumn(MONTH, F.date_format(ts, "yyyy-MM"))
+    monthly.repartition(*parts).sortWithinPartitions(*parts, ts).write.mode(mode).partitionBy(*parts).parquet(path)
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = ("plant_type", "plant_name"),
@@ -24,5 +31,5 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = ("
 
 
 def write_report(report: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Report lines (section, item, value) as JSON lines."""
-    report.coalesce(1).write.mode(mode).json(path)
+    """Report lines as JSON lines."""
+    report.write.mode(mode).json(path)
