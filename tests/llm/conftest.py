@@ -1,9 +1,5 @@
-import os
-
 import pytest
 
-from wattline.llm.exchange import stage  # noqa: F401  (the subpackage must import)
-
 
 @pytest.fixture(scope="session", autouse=True)
 def shared_folder(spark, tmp_path_factory):
@@ -24,6 +20,3 @@ def frame(spark):
             df = df.selectExpr("*", "'x' as bucket", "1 as kept", "2 as n_words", "3 as batch_id", "4 as answers", "'y' as ids")
         return df
     return make
-
-
-SF = os.environ.get("WATTLINE_LLM_SF", "/root/testdata/sf0.001")

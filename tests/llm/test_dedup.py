@@ -3,7 +3,7 @@
 import collections
 
 import pytest
-from cases import LAST, LOW, corpus, data
+from llm.cases import LAST, LOW, corpus, data
 
 from wattline.llm import neardup, substrings, suffix
 
@@ -164,7 +164,7 @@ def test_signature_keys_meet_pairs_under_the_threshold():
         b[wrong] ^= 1 + rng.integers(0, 100, len(wrong)).astype(np.uint16)
         ka, kb = neardup.index_keys(np.stack([a, b]))
         shared = np.flatnonzero(ka == kb)
-        assert len(shared)
+        assert len(shared) and neardup.first_shared(a, b[None])[0] == shared[0]
 
 
 @pytest.mark.parametrize("operator", [substrings.remove_repeats, suffix.remove_repeats, neardup.near_duplicates])

@@ -8,7 +8,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
-from cases import LOW, corpus, data
+from llm.cases import LOW, corpus, data
 
 from wattline.llm import covertree, lm, segment, trie
 from wattline.llm import text as X

@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
-from cases import corpus
+from llm.cases import corpus
 from tokenizers import Tokenizer
 
 from wattline.llm import packing

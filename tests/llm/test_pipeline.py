@@ -1,9 +1,9 @@
 """The corpus pipeline, stage by stage, against brute force."""
 
 import corpus_pipeline as P
-from cases import corpus
-from test_dedup import brute_bytes, brute_components
-from test_text import brute_quality
+from llm.cases import corpus
+from llm.test_dedup import brute_bytes, brute_components
+from llm.test_text import brute_quality
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 

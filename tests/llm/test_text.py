@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
-from cases import SYLLABLES, corpus, text
+from llm.cases import SYLLABLES, corpus, text
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
