@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattline import config as C
-from wattline.operators.windows import epoch_micros
+from wattline.operators.windows import NULL_BUCKET, NULL_BUCKETS, epoch_micros
 
 
 def time_diff(df: DataFrame, keys: Sequence[str] = ("plant_name",), ts: str = "timestamp",
@@ -41,9 +41,10 @@ def row_index(df: DataFrame, keys: Sequence[str] = ("plant_name",), ts: str = "t
     ``row_number`` per (key, time bucket) plus the row count of the key's
     earlier buckets (a partial aggregate and one small window over buckets,
     joined back on the window's own partitioning): no task holds a whole key
-    and nothing is checkpointed.  Rows with a null key get NULL."""
+    and nothing is checkpointed.  Rows with a null key get NULL; rows without
+    a time come first, in an arbitrary but fixed order."""
     us = F.unix_micros(F.col(ts).cast("timestamp"))
-    b = F.coalesce(F.floor(us / F.lit(3_600_000_000 * bucket_hours)).cast("long"), F.lit(-(1 << 62)))
+    b = F.coalesce(F.floor(us / F.lit(3_600_000_000 * bucket_hours)).cast("long"), F.lit(NULL_BUCKET) + F.pmod(F.xxhash64(*df.columns), F.lit(NULL_BUCKETS)))
     d = df.withColumn("_rb", b)
     w = Window.partitionBy(*keys, "_rb").orderBy(ts, *tiebreak)
     local = d.withColumn("_lp", F.row_number().over(w).cast("long"))

@@ -29,8 +29,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _US_PER_HOUR = 3_600_000_000
-_NULL_BUCKET = -(1 << 62)
-_NO_BUCKET = -(1 << 62) - 1
+NULL_BUCKET = -(1 << 62)
+NULL_BUCKETS = 1024  # buckets that a key's rows without a time are dealt over
+_NO_BUCKET = NULL_BUCKET - 1
 
 
 def hour_index(ts: str | Column) -> Column:
@@ -120,10 +121,11 @@ def carry_valid(
     instead of dozens (plan construction stays cheap on the driver).
     """
     if bucket_col not in df.columns:
-        # null timestamps get their own (sentinel) bucket instead of a null key
+        # rows without a time come first, dealt over sentinel buckets of their own
+        spread = f"pmod(xxhash64({', '.join(q(c) for c in df.columns)}), {NULL_BUCKETS})"
         df = df.withColumn(bucket_col, F.expr(
             f"coalesce(cast(floor(unix_micros(cast({q(ts)} as timestamp)) / {_US_PER_HOUR} / {bucket_hours}) as bigint), "
-            f"{_NULL_BUCKET})"))
+            f"{NULL_BUCKET} + {spread})"))
     qk = [q(k) for k in keys]
     part = [*qk, q(bucket_col)]
     asc = ", ".join([q(ts), *[q(c) for c in tiebreak]])
