@@ -1,16 +1,19 @@
 """Near-duplicate documents by MinHash signatures and a multi-index Hamming join.
 
 A document is the set of its distinct word shingles; equal sets are one class.
-A class's signature has ``CHUNKS * WIDTH`` minimum hashes, cut into chunks.
-If two signatures differ in at most ``2 * CHUNKS - 1`` places, some chunk has
-at most one error (pigeonhole), so each chunk is indexed once for each place
-that may be wrong: keys that leave out one place.  All pairs under that
-distance share a key.
-
-Every class is first compared with the least class of each of its keys.  Keys
-whose members still lie in different components are then compared in blocks,
-signature against signature, pairs across components only.  Candidates within
-``NEAR`` differing places are confirmed on their full shingle sets.
+A class's signature has ``PLACES`` minimum hashes of 16 bits; the first
+``CHUNKS * WIDTH`` are cut into chunks.  If two signatures differ in at most
+``2 * CHUNKS - 1`` of those places, some chunk has at most one error
+(pigeonhole), so each chunk is indexed once for each place that may be wrong:
+keys that leave out one place.  All pairs under that distance share a key; of
+the pairs of similarity 0.8 beyond it, all but about 4 in 10 million do too.
+
+Every class is first compared with the member of least document key of each of
+its keys: a pair within ``NEAR`` differing places is confirmed on the full
+shingle sets.  Classes of keys whose members still lie in different components
+get a sharper signature, ``BITS`` one-bit minimum hashes; the members of such a
+key are compared in blocks, across components only, each pair under the first
+key that it shares, and pairs within ``NEAR_BITS`` are confirmed as well.
 """
 
 from __future__ import annotations
@@ -26,15 +29,19 @@ from wattline.llm import exchange as E
 from wattline.llm import text as X
 from wattline.llm.components import components
 
-CHUNKS, WIDTH = 16, 5
-PLACES = CHUNKS * WIDTH
-NEAR = 36       # differing places beyond which a candidate is no link: 5.6 deviations at similarity 0.8
+CHUNKS, WIDTH = 11, 5
+KEYS = CHUNKS * WIDTH
+PLACES = 160
+NEAR = 57       # differing places beyond which a candidate is no link: five deviations at similarity 0.8
+BITS = 2048     # of the sharper signature; two texts of similarity s differ in (1 - s) / 2 of them
+NEAR_BITS = 272  # five deviations over the mean at similarity 0.8
 PACK = 8192     # classes in a stored pack
-BLOCK = 256     # members of a key compared at once
+BLOCK = 1024    # members of a key compared at once
 SLICE = 2 << 20
 
 _RNG = np.random.default_rng(977)
 MULTIPLY = _RNG.integers(1, 2**63, PLACES, dtype=np.int64).astype(X.U) * X.U(2) + X.U(1)
+MULTIPLY_BITS = _RNG.integers(1, 2**63, BITS, dtype=np.int64).astype(X.U) * X.U(2) + X.U(1)
 KEY = _RNG.integers(1, 2**63, (CHUNKS, WIDTH), dtype=np.int64).astype(X.U) * X.U(2) + X.U(1)
 
 PROFILE = "row int, n_shingles long, cls long, signature binary"
@@ -64,22 +71,44 @@ def shingle_sets(buf: np.ndarray, off: np.ndarray, size: int):
     return gram, np.searchsorted(grow, np.arange(n + 1))
 
 
-def signatures(gram: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Minimum hashes (rows by places, uint32) of the non-empty rows."""
+def signatures(gram: np.ndarray, ends: np.ndarray, places: int = PLACES) -> np.ndarray:
+    """Minimum hashes (rows by places, uint16) of the non-empty rows."""
     start = ends[:-1][np.diff(ends) > 0]
-    out = np.empty((len(start), PLACES), np.uint32)
+    out = np.empty((len(start), places), np.uint16)
     if len(start):
-        for k in range(PLACES):
-            out[:, k] = np.minimum.reduceat(((gram * MULTIPLY[k]) >> X.U(32)).astype(np.uint32), start)
+        for k in range(places):
+            least = np.minimum.reduceat(((gram * MULTIPLY[k]) >> X.U(32)).astype(np.uint32), start)
+            out[:, k] = X.mix(least.astype(X.U)).astype(np.uint16)
     return out
 
 
+def bit_signatures(gram: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """One-bit minimum hashes (rows by BITS / 8 bytes) of the non-empty rows."""
+    start = ends[:-1][np.diff(ends) > 0]
+    out = np.empty((len(start), BITS), np.uint8)
+    if len(start):
+        for k in range(BITS):
+            least = np.minimum.reduceat((gram * MULTIPLY_BITS[k]) >> X.U(32), start)
+            out[:, k] = (X.mix(least) & X.U(1)).astype(np.uint8)
+    return np.packbits(out, axis=1)
+
+
 def index_keys(sig: np.ndarray) -> np.ndarray:
-    """Keys (rows by places): place k's key leaves out the k-th place and holds the rest of its chunk."""
-    part = X.mix(sig.reshape(-1, CHUNKS, WIDTH).astype(X.U) + X.U(1)) * KEY
+    """Keys (rows by KEYS): place k's key leaves out the k-th place and holds the rest of its chunk."""
+    part = X.mix(sig[:, :KEYS].reshape(-1, CHUNKS, WIDTH).astype(X.U) + X.U(1)) * KEY
     out = part.sum(axis=2, keepdims=True, dtype=X.U) - part
-    tag = X.mix(np.arange(1, PLACES + 1, dtype=X.U)).reshape(CHUNKS, WIDTH)
-    return X.mix(out ^ tag).reshape(-1, PLACES)
+    tag = X.mix(np.arange(1, KEYS + 1, dtype=X.U)).reshape(CHUNKS, WIDTH)
+    return X.mix(out ^ tag).reshape(-1, KEYS)
+
+
+def first_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The first key that each row of index signatures ``b`` shares with ``a``; KEYS if none."""
+    wrong = (a[None, :KEYS] != b[:, :KEYS]).reshape(-1, CHUNKS, WIDTH)
+    errors = wrong.sum(axis=2)
+    chunk = (errors <= 1).argmax(axis=1)
+    line = np.arange(len(b))
+    place = np.where(errors[line, chunk] == 1, wrong[line, chunk].argmax(axis=1), 0)
+    return np.where(errors[line, chunk] <= 1, chunk * WIDTH + place, KEYS)
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -112,14 +141,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", column: str = "text",
                       .agg(F.min(key).alias("least_key"), F.min(F.struct("batch_id", "row")).alias("at"),
                            F.first("n_shingles").alias("size"), F.first("signature").alias("signature")))
     keyed = _shared_keys(classes)
-    heads = keyed.groupBy("key").agg(F.min("cls").alias("head"), F.max("cls").alias("other")).where("head != other")
+    heads = (keyed.groupBy("key").agg(F.min(F.struct("least_key", "cls"))["cls"].alias("head"), F.min("cls").alias("lo"), F.max("cls").alias("hi"))
+             .where("lo != hi"))
     star = (keyed.join(heads.select("key", "head"), "key").where("cls != head")
             .select(F.col("head").alias("a"), F.col("cls").alias("b")).distinct())
     first = E.stage(_confirm(E.stage(_near(star, classes, percent)), classes, batches, shingle, percent))
     part = components(first)
-    named = E.stage(classes.join(part, classes["cls"] == part["node"], "left")
-                    .select("cls", "size", "signature", F.coalesce("label", "cls").alias("part")))
-    rest = E.stage(_rest(keyed, named, percent))
+    parts = classes.join(part, classes["cls"] == part["node"], "left").select("cls", "size", F.coalesce("label", "cls").alias("part"))
+    rest = E.stage(_rest(keyed, E.stage(parts), classes, batches, shingle, percent))
     links = first.unionByName(_confirm(rest, classes, batches, shingle, percent))
     part = components(links)
     least = (classes.join(part, classes["cls"] == part["node"], "left")
@@ -153,16 +182,16 @@ def _profile(batch, a, b, shingle, key):
 
 
 def _matrix(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, PLACES)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, PLACES)
 
 
 class _Pack:
-    """Stored classes inside a task: cls and signatures."""
+    """Stored classes inside a task: cls, least document key and index keys."""
 
     def __init__(self, row: dict):
         self.id = row["batch_id"]
-        self.cls = np.frombuffer(row["cls"], np.int64)
-        self.keys = index_keys(np.frombuffer(row["signature"], np.uint32).reshape(-1, PLACES)).ravel()
+        self.cls, self.least = np.frombuffer(row["cls"], np.int64).reshape(2, -1)
+        self.keys = index_keys(np.frombuffer(row["signature"], np.uint16).reshape(-1, PLACES)).ravel()
         self.answers = {a["bucket"]: a["answer"] for a in row.get("answers") or ()}
 
 
@@ -173,19 +202,19 @@ def _packs(record_batches):
 
 
 def _shared_keys(classes: DataFrame) -> DataFrame:
-    """(key, cls) for the keys that several classes have (and a few more)."""
+    """(key, place, cls, least_key) for the keys that several classes have (and a few more)."""
     def store(record_batches):
         serial = TaskContext.get().partitionId() << 32
         for rb in record_batches:
             for a in range(0, rb.num_rows, PACK):
                 p = rb.slice(a, PACK)
-                cls = p.column(0).to_numpy(zero_copy_only=False)
+                cls = np.stack([p.column(c).to_numpy(zero_copy_only=False) for c in (0, 2)])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([serial], pa.int64()), pa.array([p.num_rows * PLACES * 8], pa.int64()), pa.array([cls.tobytes()], pa.binary()),
+                    [pa.array([serial], pa.int64()), pa.array([p.num_rows * KEYS * 8], pa.int64()), pa.array([cls.tobytes()], pa.binary()),
                      pa.array([b"".join(p.column(1).to_pylist())], pa.binary())], names=["batch_id", "n_bytes", "cls", "signature"])
                 serial += 1
 
-    packs = E.stage(classes.select("cls", "signature").mapInArrow(store, "batch_id long, n_bytes long, cls binary, signature binary"))
+    packs = E.stage(classes.select("cls", "signature", F.coalesce("least_key", F.lit(E.LAST)).alias("least_key")).mapInArrow(store, "batch_id long, n_bytes long, cls binary, signature binary"))
     shared = E.Shared(E.bucket_bits(packs))
 
     def question(pack):
@@ -195,9 +224,11 @@ def _shared_keys(classes: DataFrame) -> DataFrame:
     def give(record_batches):
         for pack in _packs(record_batches):
             hit = np.flatnonzero(shared.flags(pack.keys, pack.answers))
-            yield pa.RecordBatch.from_arrays([pa.array(pack.keys[hit].view(np.int64)), pa.array(pack.cls[hit // PLACES])], names=["key", "cls"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(pack.keys[hit].view(np.int64)), pa.array((hit % KEYS).astype(np.int32)), pa.array(pack.cls[hit // KEYS]),
+                 pa.array(pack.least[hit // KEYS])], names=["key", "place", "cls", "least_key"])
 
-    return E.stage(E.told(packs, E.ask(packs, question, shared.answer, _packs)).mapInArrow(give, "key long, cls long"))
+    return E.stage(E.told(packs, E.ask(packs, question, shared.answer, _packs)).mapInArrow(give, "key long, place int, cls long, least_key long"))
 
 
 def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -215,42 +246,49 @@ def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return sized.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def _rest(keyed: DataFrame, named: DataFrame, percent: int) -> DataFrame:
+def _rest(keyed: DataFrame, parts: DataFrame, classes: DataFrame, batches: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Near pairs of different components among the members of each key that has several."""
-    parted = keyed.join(named.select("cls", "part"), "cls")
+    parted = keyed.join(parts, "cls")
     mixed = (parted.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("n"))
              .where("lo != hi").select("key", F.ceil(F.col("n") / BLOCK).alias("blocks")))
-    member = (parted.join(mixed, "key")
-              .withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")))
+    member = E.stage(parted.join(mixed, "key").select("key", "place", "blocks", "cls", "part", "size"))
+
+    def sharpen(cls, gram, ends):
+        index = signatures(gram, ends, KEYS)
+        return [cls, pa.array([b.tobytes() for b in bit_signatures(gram, ends)], pa.binary()), pa.array([i.tobytes() for i in index], pa.binary())]
+
+    sharp = E.stage(_fetch(member.select("cls").distinct(), classes, batches, shingle, sharpen, "cls long, bits binary, index binary"))
+    spread = (member.withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")))
               .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-              .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cls"))
-    full = member.join(named, "cls").select("key", "i", "j", "own", "cls", "part", "size", "signature")
+              .select("key", "place", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cls", "part", "size"))
 
     def compare(group: pa.Table) -> pa.Table:
-        i, j = group["i"][0].as_py(), group["j"][0].as_py()
+        i, j, place = (group[c][0].as_py() for c in ("i", "j", "place"))
         own, cls, part, size = (group[c].to_numpy() for c in ("own", "cls", "part", "size"))
-        sig = _matrix(group["signature"])
+        bits = np.frombuffer(b"".join(group["bits"].to_pylist()), np.uint64).reshape(-1, BITS // 64)
+        index = np.frombuffer(b"".join(group["index"].to_pylist()), np.uint16).reshape(-1, KEYS)
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
         a, b = [], []
         for x in left.tolist():
             y = right[(part[right] != part[x]) & (100 * np.minimum(size[right], size[x]) >= percent * np.maximum(size[right], size[x]))]
             if i == j:
                 y = y[cls[y] > cls[x]]
+            y = y[np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1, dtype=np.int64) <= NEAR_BITS]
             if len(y):
-                y = y[(sig[y] != sig[x]).sum(axis=1) <= NEAR]
-                a.append(np.full(len(y), cls[x]))
-                b.append(cls[y])
+                y = y[first_shared(index[x], index[y]) == place]  # under another key this pair has its turn
+            a.append(np.full(len(y), cls[x]))
+            b.append(cls[y])
         a, b = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (a, b))
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
-    return full.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+    return spread.join(sharp, "cls").groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
 
 
-def _confirm(pairs: DataFrame, classes: DataFrame, batches: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs whose full shingle sets are similar enough."""
-    wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+def _fetch(wanted: DataFrame, classes: DataFrame, batches: DataFrame, shingle: int, make, schema: str) -> DataFrame:
+    """What ``make(classes, shingle hashes, ends)`` gives for the wanted classes, from their stored texts."""
     places = (classes.join(wanted, "cls").select("cls", "at.batch_id", "at.row")
               .groupBy("batch_id").agg(F.collect_list(F.struct(F.col("row").alias("bucket"), F.col("cls").alias("answer"))).alias("answers")))
+    names = [f.split()[0] for f in schema.split(", ")]
 
     def fetch(record_batches):
         for batch in E.batches_of(record_batches):
@@ -259,12 +297,19 @@ def _confirm(pairs: DataFrame, classes: DataFrame, batches: DataFrame, shingle:
             buf = np.concatenate([batch.buf[batch.off[r]:batch.off[r + 1]] for r in at.tolist()])
             for a, b in X.slices(off, SLICE):
                 gram, ends = shingle_sets(buf[off[a]:off[b]], off[a:b + 1] - off[a], shingle)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([batch.answers[r] for r in at[a:b].tolist()], pa.int64()),
-                     pa.array([E.pack(gram[x:y]) for x, y in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)], pa.binary())],
-                    names=["cls", "members"])
+                cls = pa.array([batch.answers[r] for r in at[a:b].tolist()], pa.int64())
+                yield pa.RecordBatch.from_arrays(make(cls, gram, ends), names=names)
+
+    return batches.join(places, "batch_id").mapInArrow(fetch, schema)
+
 
-    sets = E.stage(batches.join(places, "batch_id").mapInArrow(fetch, "cls long, members binary"))
+def _confirm(pairs: DataFrame, classes: DataFrame, batches: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The pairs whose full shingle sets are similar enough."""
+    def pack(cls, gram, ends):
+        return [cls, pa.array([E.pack(gram[x:y]) for x, y in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)], pa.binary())]
+
+    wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+    sets = E.stage(_fetch(wanted, classes, batches, shingle, pack, "cls long, members binary"))
 
     def check(record_batches):
         for rb in record_batches:
