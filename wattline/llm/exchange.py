@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm import shipped
+from wattline.llm import shipped, tidy
 from wattline.llm import text as X
 from wattline.session import checkpoint_dir
 
@@ -30,7 +30,7 @@ BUCKET_BYTES = 4 << 20  # corpus bytes per bucket
 LEAST_BITS = 8
 LAST = np.iinfo(np.int64).max  # order of a null key: after all others
 
-BATCH = "batch_id long, n_bytes long, keys array<long>, ends binary, blob binary, extra binary"
+BATCH = "batch_id long, n_bytes long, keys array<long>, ends binary, blob binary, extra binary, note array<long>"
 
 
 def stage(df: DataFrame) -> DataFrame:
@@ -41,8 +41,10 @@ def stage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def make_batches(docs: DataFrame, key: str, column: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Documents as stored batches, with the columns of ``keep``; a long document is a batch of its own."""
+def make_batches(docs: DataFrame, key: str, column: str, keep: tuple[str, ...] = (),
+                 note: Callable | None = None) -> DataFrame:
+    """Documents as stored batches, with the columns of ``keep``; a long document is a batch of its
+    own.  ``note(keys, bytes, offsets)`` gives numbers stored with each batch."""
     names = [f"_k{i}" for i in range(len(keep))]
 
     def run(record_batches):
@@ -50,16 +52,18 @@ def make_batches(docs: DataFrame, key: str, column: str, keep: tuple[str, ...] =
         for rb in record_batches:
             _, off = X.utf8(rb.column(1))
             for a, b in X.slices(off, BATCH_BYTES):
-                yield _batch(serial, rb.slice(a, b - a), names)
+                yield _batch(serial, rb.slice(a, b - a), names, note)
                 serial += 1
+        tidy()
 
     source = shipped(docs).select(docs[key].cast("long").alias("_key"), docs[column].alias("_text"),
                                   *(docs[c].alias(n) for c, n in zip(keep, names, strict=True)))
     return stage(source.mapInArrow(run, BATCH))
 
 
-def _batch(serial, rows: pa.RecordBatch, names: list[str]):
+def _batch(serial, rows: pa.RecordBatch, names: list[str], note: Callable | None = None):
     buf, off = X.utf8(rows.column(1))
+    keys = rows.column(0).to_pylist()
     extra = None
     if names:
         sink = pa.BufferOutputStream()
@@ -68,9 +72,10 @@ def _batch(serial, rows: pa.RecordBatch, names: list[str]):
         extra = zstandard.ZstdCompressor(level=1).compress(sink.getvalue().to_pybytes())
     blob = zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(buf).data)
     return pa.RecordBatch.from_arrays(
-        [pa.array([serial], pa.int64()), pa.array([int(off[-1])], pa.int64()), pa.array([rows.column(0).to_pylist()], pa.list_(pa.int64())),
-         pa.array([off[1:].tobytes()], pa.binary()), pa.array([blob], pa.binary()), pa.array([extra], pa.binary())],
-        names=["batch_id", "n_bytes", "keys", "ends", "blob", "extra"])
+        [pa.array([serial], pa.int64()), pa.array([int(off[-1])], pa.int64()), pa.array([keys], pa.list_(pa.int64())),
+         pa.array([off[1:].tobytes()], pa.binary()), pa.array([blob], pa.binary()), pa.array([extra], pa.binary()),
+         pa.array([note(keys, buf, off) if note else []], pa.list_(pa.int64()))],
+        names=["batch_id", "n_bytes", "keys", "ends", "blob", "extra", "note"])
 
 
 class Batch:
@@ -99,6 +104,7 @@ def batches_of(record_batches) -> Iterator[Batch]:
     for rb in record_batches:
         for i in range(rb.num_rows):
             yield Batch({n: rb.column(j)[i].as_py() for j, n in enumerate(rb.schema.names)})
+    tidy()
 
 
 def bucket_bits(batches: DataFrame) -> int:
@@ -127,6 +133,7 @@ def replies(batches: DataFrame, question: Callable, answer: Callable, read: Call
     def reply(group: pa.Table) -> pa.Table:
         bucket, ids = group["bucket"][0].as_py(), [*group["batch_id"].to_pylist(), -1]
         got = answer(bucket, group["payload"].to_pylist())
+        tidy()
         kept = [(i, a) for i, a in zip(ids, got, strict=False) if a is not None]
         return pa.table([pa.array([i for i, _ in kept], pa.int64()), pa.array([bucket] * len(kept), pa.int32()),
                          pa.array([a for _, a in kept], pa.binary())], names=["batch_id", "bucket", "answer"])

@@ -58,24 +58,43 @@ class Tokens:
         return word, which, np.bincount(which, weights=self.train[self.row], minlength=len(word)).astype(np.uint32)
 
     def pairs(self, bits: int, hot: dict[int, tuple[int, int]]):
-        """Distinct pairs by bucket, context and word: (bucket, context, word id, training count), and
-        the place of each token's pair."""
-        key = X.mix(self.before * X.U(X.BASE) + self.token)
-        _, first, which = np.unique(key, return_index=True, return_inverse=True)
-        count = np.bincount(which, weights=self.train[self.row], minlength=len(first)).astype(np.uint32)
-        context, word = self.before[first], word_id(self.token[first])
-        spot = context.copy()
+        """Distinct pairs in order: (bucket, spot, word id, training count), and the place of each
+        token's pair.  A spot is a context, or the part of a split context that the word falls in."""
+        spot, word = self.before, word_id(self.token)
         if hot:
             names = np.array(sorted(hot), X.U)
-            at = np.minimum(np.searchsorted(names, context), len(names) - 1)
+            at = np.minimum(np.searchsorted(names, spot), len(names) - 1)
             split = np.array([hot[int(v)][1] for v in names], X.U)
-            some = np.flatnonzero(names[at] == context)
-            spot[some] = X.mix(context[some] + X.U(1) + X.mix(word[some].astype(X.U)) % split[at[some]])
-        bucket = (X.mix(spot) >> X.U(64 - bits)).astype(np.int64)
-        order = np.lexsort((word, context, bucket))
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        return bucket[order], context[order], word[order], count[order], place[which]
+            some = np.flatnonzero(names[at] == spot)
+            spot = spot.copy()
+            spot[some] = part_of(spot[some], word[some], split[at[some]])
+        spot = X.mix(spot)
+        order, first = by_pair(spot, word)
+        which = np.empty(len(order), np.int64)
+        which[order] = np.cumsum(first) - 1
+        first = order[first]
+        count = np.bincount(which, weights=self.train[self.row], minlength=len(first)).astype(np.uint32)
+        spot = spot[first]
+        return (spot >> X.U(64 - bits)).astype(np.int64), spot, word[first], count, which
+
+
+def part_of(context: np.ndarray, word: np.ndarray, parts: np.ndarray) -> np.ndarray:
+    """The name of the part of a split context that holds a word."""
+    return X.mix(context + X.U(1) + X.mix(word.astype(X.U)) % parts)
+
+
+def by_pair(spot: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order by the leading half of the spot, then word; where in that order a new pair begins)."""
+    key = (spot & X.U(0xFFFFFFFF00000000)) | word.astype(X.U)
+    order = np.argsort(key)
+    k, s = key[order], spot[order]
+    new = np.ones(len(k), bool)
+    new[1:] = k[1:] != k[:-1]
+    if not new[1:][s[1:] != s[:-1]].all():  # two spots with one leading half: order them fully
+        order = np.lexsort((spot, key))
+        k, s = key[order], spot[order]
+        new[1:] = (k[1:] != k[:-1]) | (s[1:] != s[:-1])
+    return order, new
 
 
 def word_id(h: np.ndarray) -> np.ndarray:
@@ -94,15 +113,13 @@ def score(docs: DataFrame, key: str = "doc_id", column: str = "text", folds: int
     from.  Null or empty text is the end token alone.  Scores are log10
     probabilities of the whole text.  Repeated rows count as often as they
     occur.  Further columns are ignored; an empty table gives an empty result."""
-    batches = E.make_batches(docs, key, column)
-    bits = E.bucket_bits(batches)
+    def note(keys, buf, off):
+        train = np.array([f is not None and f != held for f in (fold(k, folds) for k in keys)], bool)
+        return [int((X.count_words(buf, off) + 1)[train].sum()), int(train.sum())]
 
-    def count_tokens(record_batches):
-        for batch in E.batches_of(record_batches):
-            t = Tokens(batch, folds, held)
-            yield pa.RecordBatch.from_arrays([pa.array([int(t.train[t.row].sum())], pa.int64()), pa.array([int(t.train.sum())], pa.int64())], names=["n", "rows"])
-
-    sums = batches.mapInArrow(count_tokens, "n long, rows long").agg(F.sum("n").alias("n"), F.sum("rows").alias("rows")).first()
+    batches = E.make_batches(docs, key, column, note=note)
+    bits = E.bucket_bits(batches)
+    sums = batches.agg(F.sum(F.col("note")[0]).alias("n"), F.sum(F.col("note")[1]).alias("rows")).first()
     total, starts = sums["n"] or 0, sums["rows"] or 0
 
     def ask_words(batch):
@@ -128,35 +145,39 @@ def score(docs: DataFrame, key: str = "doc_id", column: str = "text", folds: int
     hot[int(START)] = starts
     share = max(1, total >> bits)
     hot = {w: (c, max(1, -(-c // share))) for w, c in hot.items()}
+    whole_of = {}  # spot of each part of a split context: the context's count
+    for w, (c, parts) in hot.items():
+        names = X.mix(X.U(w) + X.U(1) + np.arange(parts, dtype=X.U))
+        whole_of.update(dict.fromkeys(X.mix(names).tolist(), c))
 
     def ask_pairs(batch):
-        bucket, context, word, count, _ = Tokens(batch, folds, held).pairs(bits, hot)
+        bucket, spot, word, count, _ = Tokens(batch, folds, held).pairs(bits, hot)
         cuts = np.append(heads(bucket), len(bucket))
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            first = heads(context[a:b])
+            first = heads(spot[a:b])
             size = np.diff(np.append(first, b - a)).astype(np.uint32)
-            yield int(bucket[a]), E.join_parts([E.pack(context[a:b][first]), E.planes(size), E.planes(word[a:b]), E.planes(count[a:b])])
+            yield int(bucket[a]), E.join_parts([E.pack(spot[a:b][first]), E.planes(size), E.planes(word[a:b]), E.planes(count[a:b])])
 
     def tell_pairs(bucket, payloads):
         asked = []
         for p in payloads:
-            context, size, word, count = E.split_parts(p)
-            asked.append((E.unpack(context, X.U), E.unplanes(size, np.uint32).astype(np.int64), E.unplanes(word, np.uint32), E.unplanes(count, np.uint32)))
-        context = np.concatenate([np.repeat(c, s) for c, s, _, _ in asked])
-        word = np.concatenate([w for _, _, w, _ in asked])
-        count = np.concatenate([n for _, _, _, n in asked]).astype(np.int64)
-        seen = count > 0
-        context, word, count = context[seen], word[seen], count[seen]
-        order = np.lexsort((word, context))
-        context, word, count = context[order], word[order], count[order]
-        first = heads(X.mix(context ^ X.mix(word.astype(X.U))))
-        count = np.add.reduceat(count, first) if len(first) else count
-        context, word = context[first], word[first]
-        at = heads(context)
-        size = np.diff(np.append(at, len(context)))
-        names = context[at]
+            spot, size, word, count = E.split_parts(p)
+            asked.append((E.unpack(spot, X.U), E.unplanes(size, np.uint32).astype(np.int64), E.unplanes(word, np.uint32), E.unplanes(count, np.uint32)))
+        spot = np.concatenate([np.repeat(c, s)[n > 0] for c, s, _, n in asked])
+        word = np.concatenate([w[n > 0] for _, _, w, n in asked])
+        count = np.concatenate([n[n > 0] for _, _, _, n in asked]).astype(np.int64)
+        order, new = by_pair(spot, word)
+        first = np.flatnonzero(new)
+        count = np.add.reduceat(count[order], first) if len(first) else count
+        spot, word = spot[order][first], word[order][first]
+        if (spot[1:] < spot[:-1]).any():  # spots with one leading half, mixed by their words
+            order = np.lexsort((word, spot))
+            spot, word, count = spot[order], word[order], count[order]
+        at = heads(spot)
+        size = np.diff(np.append(at, len(spot)))
+        names = spot[at]
         whole = np.add.reduceat(count, at) if len(at) else count
-        whole = np.array([hot[int(v)][0] if int(v) in hot else n for v, n in zip(names, whole.tolist(), strict=True)], np.float64)
+        whole = np.array([whole_of.get(v, n) for v, n in zip(names.tolist(), whole.tolist(), strict=True)], np.float64)
         model = R.Trie(names, size, word, count / (np.repeat(whole, size) + PRIOR))
         return [E.planes(model.codes(c, s, w)) for c, s, w, _ in asked]
 
@@ -170,7 +191,7 @@ def score(docs: DataFrame, key: str = "doc_id", column: str = "text", folds: int
             t = Tokens(batch, folds, held)
             word, which, _ = t.words()
             count = np.concatenate([E.unplanes(batch.answers[b], np.int64) for b, _ in E.by_bucket(word, bits)] or [np.zeros(0, np.int64)])
-            bucket, context, _, _, place = t.pairs(bits, hot)
+            bucket, _, _, _, place = t.pairs(bits, hot)
             code = np.concatenate([E.unplanes(batch.answers[-1 - int(bucket[a])], np.uint16) for a in heads(bucket).tolist()] or [np.zeros(0, np.uint16)])
             seen = count[which]
             base = (seen + 0.5) / (total + 0.5 * (distinct + 1))

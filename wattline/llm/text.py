@@ -128,6 +128,16 @@ def _chunk(buf, a, b, first, table):
     return s + a, e + a, h, (points[e] - points[s]).astype(np.int64)
 
 
+def count_words(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Words of each row."""
+    word = ~SEP[buf]
+    word[1:] &= SEP[buf[:-1]]
+    first = off[:-1][np.diff(off) > 0]
+    word[first] = ~SEP[buf[first]]
+    total = np.concatenate([[0], np.cumsum(word, dtype=np.int64)])
+    return np.diff(total[off])
+
+
 def grams(h: np.ndarray, row: np.ndarray, n: int):
     """(position, hash) of every run of n consecutive words inside one row."""
     m = len(h) - n + 1
