@@ -4,6 +4,7 @@ Nothing outside ``wattline.llm`` imports it."""
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -14,6 +15,13 @@ from pyspark.sql import DataFrame
 _SHIPPED: set[str] = set()
 
 
+def tidy() -> None:
+    """Hand freed memory back to the system: Python workers outlive their tasks."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def shipped(df: DataFrame) -> DataFrame:
     """``df``, once the package's source has been handed to its session's executors.
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattline.llm import shipped
+from wattline.llm import shipped, tidy
 from wattline.llm import text as X
 
 MARK = "▁"
@@ -512,6 +512,7 @@ def sample_segmentations(docs: DataFrame, model: str, key: str = "doc_id", colum
                     texts = Texts(lattice, word[upto[c]:upto[e]], count[c:e], seeds[c:e])
                     drawn = ((c + d, *rest) for d, *rest in sample_texts(texts, samples))
                     yield _rows(keys, [key, *(f.name for f in fields)], lattice, vocab, drawn)
+        tidy()
 
     fields = T.StructType.fromDDL(OUTPUT).fields
     kind = T.StructField(key, docs.schema[key].dataType, True)
