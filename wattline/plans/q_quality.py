@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import functions as F
-
 from wattline import config as C
 from wattline.operators import quality as Q
 from wattline.operators.joins import merge_weather
