@@ -77,6 +77,28 @@ def test_quality_verdict(frame):
     assert got == {1: True, 2: False, 3: False, 4: False, 5: False}
 
 
+def test_quality_verdict_does_not_hang_on_length(frame):
+    import random
+    rng = random.Random(3)
+    few = ["".join(rng.choices(SYLLABLES, k=3)) for _ in range(20)]
+    passage = text(rng, 3000)
+    rows = [(1, text(rng, 400_000)),                                           # clean
+            (2, " ".join(rng.choices(few, k=50_000))),                         # few words all along
+            (3, "\n".join([passage, text(rng, 3000), passage])),               # a copy further on than a window
+            (4, text(rng, 9000) + " " + " ".join(rng.choices(few, k=9000)))]   # half clean
+    got = {r["doc_id"]: (r["kept"], r["dup_gram_share"][0]) for r in quality.repetition_rules(frame(rows)).collect()}
+    assert {k: kept for k, (kept, _) in got.items()} == {1: True, 2: False, 3: False, 4: False}
+    assert got[1][1] < 0.1 and got[2][1] > 0.5
+
+
+def test_quality_windows_start_with_the_row():
+    import random
+    rng = random.Random(4)
+    texts = [text(rng, n) for n in (700, 5200, 1, 3100)]
+    share = lambda t: [s.tolist() for s in quality.measure(*X.utf8(pa.array(t)))["dup_gram_share"]]
+    assert share(texts) == [[x for t in texts for x in share([t])[i]] for i in range(len(quality.REPEATED_GRAMS))]
+
+
 def test_quality_keeps_labelled_good_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").join(
         spark.read.parquet("/root/testdata/sf0.01/labels.parquet").where("quality = 1"), "doc_id")

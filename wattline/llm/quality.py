@@ -2,7 +2,8 @@
 
 Rolling hashes of several n-gram lengths mark every character that lies in a
 later occurrence of an n-gram of its text; later copies of lines are measured
-the same way.  Each text is judged alone, so the job is one pass without a shuffle.
+the same way.  Word pairs come again in any long text, so they are looked for
+inside windows of equally many words.  Each text is judged alone, so the job is one pass without a shuffle.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from wattline.llm import text as X
 #: inside later copies of lines.
 REPEATED_GRAMS = {2: 0.30, 5: 0.20, 6: 0.19, 7: 0.18, 8: 0.17, 9: 0.16, 10: 0.15}
 REPEATED_LINES = 0.30
+#: Words in a window: 2-grams count as repeated inside one; longer n-grams in the whole text.
+WINDOW = 1000
 #: Share of symbol characters among the characters of words.
 SYMBOLS = 0.10
 SLICE = 2 << 20
@@ -45,6 +48,8 @@ def measure(buf: np.ndarray, off: np.ndarray, grams: dict[int, float] | None = N
     for k in sorted({8, *grams}):
         pos, g = X.grams(h, row, k)
         key = g ^ salt[row[pos]]
+        if k == 2:
+            key ^= X.mix(((pos - np.searchsorted(row, np.arange(n))[row[pos]]) // WINDOW + (1 << 40)).astype(np.uint64))
         if k == 8:
             repeat8 = _cover(pos[X.repeated(key)], k, len(h))
         if k in grams:
