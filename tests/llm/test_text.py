@@ -173,6 +173,21 @@ def test_html_main_text(page, want):
     assert html.main_text(page) == want
 
 
+@pytest.mark.parametrize("page,want", [
+    (f"<div><h1>Title</h1></div><div><p>{BODY}</p></div>", f"Title {BODY.strip()}"),
+    (f"<div><div><div><h2>Head</h2></div></div></div><div><div><p>{BODY}</p></div></div><div><div><p>End.</p></div></div>",
+     f"Head {BODY.strip()} End."),
+    (f"<div><p>{BODY}</p></div><div><p>One.</p></div><div><p>Two.</p></div><div><p>{BODY}</p></div>",
+     f"{BODY.strip()} One. Two. {BODY.strip()}"),
+    (f"<div><table><tbody><tr><td>a</td><td>1</td></tr>\n<tr><td><p>b</p></td><td>2</td></tr></tbody></table></div><div><div><p>{BODY}</p></div></div>",
+     f"a 1 b 2 {BODY.strip()}"),
+    (f"<div><p>{BODY}</p></div><nav><ul><li>m</li><li>n</li></ul></nav><div><p>Between.</p></div><form><p>mail</p></form><div><p>{BODY}</p></div>",
+     f"{BODY.strip()} Between. {BODY.strip()}"),
+])
+def test_html_short_blocks_without_a_container(page, want):
+    assert html.main_text(page) == want
+
+
 def test_html_table(spark):
     rows = [(i, f"http://h/{i}", p) for i, (p, _) in enumerate(PAGES)] + [(None, None, "<p>x</p>"), (0, "http://h/0", PAGES[0][0])]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'clash' as text", "1 as n_chars")

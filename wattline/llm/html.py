@@ -1,10 +1,11 @@
 """Main-text extraction by line-block distribution.
 
-Markup is stripped to a list of block lines; what stands in menus, page
-headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-reader comments leaves empty lines.  Text lengths are summed over a sliding
-window of lines; a text block starts where the sum surges from zero and ends
-where it dives to zero again.  Blocks that rise high enough, or that stand in
+Markup is stripped to a list of block lines, one for each piece of text between
+block-level tags; what stands in menus, page headers, footers, sidebars,
+notices, adverts, forms, scripts, styles and reader comments leaves empty lines,
+bare tags leave none.  Text lengths are summed over a sliding window of lines; a
+text block starts where the sum surges from zero and ends where it dives to zero
+again.  Blocks that rise high enough, with all between them, or that stand in
 the page's article container, are kept whole.
 """
 
@@ -62,8 +63,9 @@ def strip(page: str, by_name: bool = True, sections: bool = True) -> tuple[list[
     def flush():
         text = " ".join(html.unescape("".join(line)).split())
         line.clear()
-        lines.append(text)
-        inside.append(depth > 0)
+        if text:
+            lines.append(text)
+            inside.append(depth > 0)
 
     while at < end:
         m = TAG.search(page, at)
@@ -131,8 +133,9 @@ def blocks(lengths: np.ndarray, window: int = WINDOW) -> list[tuple[int, int, in
 def main_text(page: str | None) -> str:
     """The main text of a page; empty for null, for pages without text and for pages of furniture only.
 
-    With article or main containers, all their text; else every block that
-    reaches ``SURGE`` characters in a window, or the largest block."""
+    With article or main containers, all their text; else everything from the
+    first to the last block that reaches ``SURGE`` characters in a window, or
+    the largest block."""
     if not page:
         return ""
     for by_name, sections in ((True, True), (False, True), (False, False)):
@@ -144,8 +147,8 @@ def main_text(page: str | None) -> str:
             found = blocks(lengths)
         else:
             found = blocks(lengths)
-            high = [b for b in found if b[2] >= SURGE]
-            found = high or sorted(found, key=lambda b: (-b[2], b[0]))[:1]
+            high = [i for i, b in enumerate(found) if b[2] >= SURGE]
+            found = found[high[0]:high[-1] + 1] if high else sorted(found, key=lambda b: (-b[2], b[0]))[:1]
         if found:
             return " ".join(lines[i] for a, b, _ in found for i in range(a, b) if lengths[i])
     return ""
