@@ -75,6 +75,33 @@ def test_suffix_arrays_equal_brute_force(frame):
     assert got == brute_bytes(rows)
 
 
+def test_suffix_arrays_with_hot_anchors_equal_brute_force(frame):
+    rows = corpus(seed=6)
+    for hot in (0, 200, 2000):  # all anchors hot, many, a few
+        got = suffix.remove_repeats(frame(rows).repartition(4), hot_bytes=hot).collect()
+        got = sorted(((r["doc_id"], r["n_bytes"], r["n_removed"], len(r["spans"]), bytes(r["kept"])) for r in got), key=repr)
+        assert got == brute_bytes(rows)
+
+
+def test_suffix_phrase_in_many_contexts_is_no_hot_group(frame, monkeypatch):
+    import random
+    rng = random.Random(1)
+    some = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    rows = [(i, some(60) + " the phrase that all of them hold " + some(60)) for i in range(3000)]
+    rows += [(3000 + i, some(30) + rows[i][1][20:110] + some(30)) for i in range(20)]
+    questions, ask = [], suffix.E.ask
+    monkeypatch.setattr(suffix.E, "ask", lambda batches, question, answer: (questions.append((batches, question)), ask(batches, question, answer))[1])
+    got = suffix.remove_repeats(frame(rows).repartition(4), hot_bytes=20_000).collect()
+    got = sorted(((r["doc_id"], r["n_bytes"], r["n_removed"], len(r["spans"]), bytes(r["kept"])) for r in got), key=repr)
+    assert got == brute_bytes(rows)
+    texts = collections.Counter()  # bytes of run texts that each bucket gets
+    batches, runs = questions[-1]
+    for batch in suffix.E.batches_of(batches.toArrow().to_batches()):
+        for bucket, payload in runs(batch):
+            texts[bucket] += int(suffix.E.unplanes(suffix.E.split_parts(payload)[1], "int64").sum())
+    assert sum(len(t) for _, t in rows[3000:]) < sum(texts.values()) and max(texts.values()) <= 20_000
+
+
 def test_suffix_shards_merge_by_binary_search(frame, monkeypatch):
     monkeypatch.setattr(suffix, "SHARD", 700)  # many shards in a bucket's part
     import numpy as np

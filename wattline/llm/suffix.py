@@ -8,6 +8,9 @@ a document with a smaller key.
    document holds cannot belong to a repeated window; the rest stays.
 2. Neighbouring windows with the same anchor form a run; its text goes to the
    anchor's bucket, so equal windows meet whatever documents they stand in.
+   Where an anchor's distinct run texts are many, each of its windows is a run
+   of its own and goes by the hash of all its bytes; again, windows that only
+   one document holds are left out first.
 3. A bucket lays its distinct run texts into shards.  Each shard gets a suffix
    array by Larsson-Sadakane refinement (only groups not yet told apart are
    sorted again, by rank pairs at doubled distance), common prefixes by
@@ -21,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattline.llm import exchange as E
@@ -30,6 +34,8 @@ LENGTH = 50
 GRAM = 16
 SHARD = 512 << 10  # bytes in a suffix array
 SEGMENT = 1 << 20  # bytes hashed at once
+HOT = 1 << 20     # bytes of run texts, distinct within their batches, that one anchor may bring to a bucket
+PLAIN = 2 * LENGTH - GRAM  # bytes of an anchor's longest run text, unless its gram comes again
 PART_BITS = 4     # a bucket's anchors fall into so many bits' parts, judged one after the other
 
 OUTPUT = "n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept"
@@ -253,8 +259,51 @@ def row_runs(batch: E.Batch):
     return rows, starts, counts, X.mix(values + X.U(1))  # least hashes are small: mixed anew, they spread over all buckets
 
 
+def holders(value: np.ndarray, row: np.ndarray):
+    """(distinct values, number of rows that hold each)."""
+    order = np.lexsort((row, value))
+    row, value = row[order], value[order]
+    own = np.ones(len(value), bool)
+    own[1:] = (value[1:] != value[:-1]) | (row[1:] != row[:-1])
+    return np.unique(value[own], return_counts=True)
+
+
+def run_bytes(batch: E.Batch, row, start, count, value):
+    """(anchors in order, bytes of the distinct run texts of each) of the batch's runs."""
+    order = np.argsort(value, kind="stable")
+    first = changes(value[order])
+    runs = np.diff(np.append(first, len(order)))
+    size = count + LENGTH - 1
+    total = size[order[first]]
+    many = np.flatnonzero(runs > 1)
+    total[many] = 0
+    own = order[spread(first[many], runs[many])]
+    raw, begin = batch.buf.tobytes(), batch.off[row[own]] + start[own]
+    seen: set[bytes] = set()
+    new = np.zeros(len(own), bool)
+    for i, (a, b) in enumerate(zip(begin.tolist(), (begin + size[own]).tolist(), strict=True)):
+        text = raw[a:b]
+        if text not in seen:
+            seen.add(text)
+            new[i] = True
+    np.add.at(total, np.repeat(many, runs[many])[new], size[own][new])
+    return value[order[first]], total
+
+
+def single_windows(batch: E.Batch, row, start, count):
+    """(rows, starts, hashes of all bytes) of the windows of the given runs, which are in order."""
+    at = spread(batch.off[row] + start, count)
+    values = [np.zeros(0, X.U)]
+    for a in range(0, len(batch.buf), SEGMENT):
+        i, j = np.searchsorted(at, [a, a + SEGMENT])
+        if i < j:
+            values.append(X.mix(X.rolling(X.RND[batch.buf[a:a + SEGMENT + LENGTH - 1]], LENGTH)[at[i:j] - a]))
+    row = np.repeat(row, count)
+    return row, at - batch.off[row], np.concatenate(values)
+
+
 def remove_repeats(docs: DataFrame, key: str = "doc_id", column: str = "text", keep: tuple[str, ...] = (),
-                   as_text: bool = False) -> DataFrame:
+                   as_text: bool = False, hot_bytes: int = HOT) -> DataFrame:
     """``key``, the columns of ``keep``, n_bytes, n_removed, spans (removed byte ranges), kept (the
     remaining bytes, or with ``as_text`` a string without the characters that a cut has broken).
 
@@ -267,20 +316,69 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", column: str = "text", k
     shared = E.Shared(bits)
 
     def question(batch):
-        row, _, _, value = row_runs(batch)
-        order = np.lexsort((row, value))
-        row, value = row[order], value[order]
-        own = np.ones(len(value), bool)
-        own[1:] = (value[1:] != value[:-1]) | (row[1:] != row[:-1])
-        value, holders = np.unique(value[own], return_counts=True)
-        yield from shared.question(value[holders > 1], value[holders == 1], np.zeros(0, X.U))
-
-    anchored = E.told(batches, E.ask(batches, question, shared.answer))
+        row, start, count, value = row_runs(batch)
+        held, rows = holders(value, row)
+        anchor, size = run_bytes(batch, row, start, count, value)
+        large = size > PLAIN
+        anchor, size = anchor[large], size[large]
+        sizes = dict(E.by_bucket(anchor, bits))
+        for bucket, payload in shared.question(held[rows > 1], held[rows == 1], np.zeros(0, X.U)):
+            cut = sizes.get(bucket, slice(0, 0))
+            yield bucket, E.join_parts([payload, E.pack(E.short(anchor[cut], bits)), E.planes(size[cut])])
+
+    def answer(bucket, payloads):
+        """To each batch: its shared anchors and the hot ones among them; a note where any is hot."""
+        asked, anchors, sizes = zip(*(E.split_parts(p) for p in payloads), strict=True)
+        held, times = np.unique(np.concatenate([E.unpack(x, np.uint32) for p in asked for x in E.split_parts(p)]), return_counts=True)
+        heat = times * PLAIN
+        at = np.searchsorted(held, np.concatenate([E.unpack(x, np.uint32) for x in anchors]))
+        np.add.at(heat, at, np.concatenate([E.unplanes(x, np.int64) for x in sizes]) - PLAIN)
+        hot, any_hot, out = held[heat > hot_bytes], False, []
+        for found in shared.answer(bucket, asked):
+            if found is None:
+                out.append(None)
+                continue
+            own = E.unpack(found, np.uint32)
+            own = own[E.member(own, hot)]
+            any_hot |= len(own) > 0
+            out.append(E.join_parts([found, E.pack(own)]))
+        return [*out, b""] if any_hot else out
+
+    def parted(batch):
+        """The answers about anchors, those about hot anchors and those about single windows."""
+        about = {b: E.split_parts(a) for b, a in batch.answers.items() if b < 1 << bits}
+        return ({b: a for b, (a, _) in about.items()}, {b: a for b, (_, a) in about.items()},
+                {b - (1 << bits): a for b, a in batch.answers.items() if b >= 1 << bits})
+
+    def question_windows(batch):
+        _, about, _ = parted(batch)
+        if not any(len(E.unpack(a, np.uint32)) for a in about.values()):
+            return
+        row, start, count, value = row_runs(batch)
+        hot = shared.flags(value, about)
+        row, _, value = single_windows(batch, row[hot], start[hot], count[hot])
+        held, rows = holders(value, row)
+        yield from shared.question(held[rows > 1], held[rows == 1], np.zeros(0, X.U))
+
+    replies = E.stage(E.replies(batches, question, answer))
+    anchored = E.told(batches, E.gathered(replies))
+    if replies.where("batch_id = -1").first() is not None:
+        windows = E.replies(anchored, question_windows, shared.answer)
+        windows = windows.select("batch_id", (F.col("bucket") + (1 << bits)).cast("int").alias("bucket"), "answer")
+        anchored = E.told(batches, E.gathered(replies.unionByName(windows)))
 
     def runs(batch):
         row, start, count, value = row_runs(batch)
-        take = shared.flags(value, batch.answers)
-        row, start, count, value = row[take], start[take], count[take], value[take]
+        about, hot, windows = parted(batch)
+        hot = shared.flags(value, hot)
+        take = shared.flags(value, about) & ~hot
+        if hot.any():
+            r, at, v = single_windows(batch, row[hot], start[hot], count[hot])
+            common = shared.flags(v, windows)
+            row, start, value = (np.concatenate([x[take], y[common]]) for x, y in ((row, r), (start, at), (value, v)))
+            count = np.concatenate([count[take], np.ones(int(common.sum()), np.int64)])
+        else:
+            row, start, count, value = row[take], start[take], count[take], value[take]
         if not len(row):
             return
         order = np.lexsort((start, row, value))
