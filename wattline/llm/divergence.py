@@ -5,9 +5,10 @@ dictionary-encoded and counted by hash grouping; a task merges its batches'
 counts and passes on (lang, source, term) sums.  Those meet by (lang, shard
 of terms), where the terms that enough documents hold are kept as columnar
 shards: one row for each source, with its terms and counts.  A shard then
-lays its kept terms out as a matrix of sources by terms and adds up what
-each pair of sources differs by; the sums of all shards are the divergences.
-All arithmetic is on integers.
+lays its kept terms out as a matrix of sources by terms and passes on one
+row for each source: how far it lies from every other one over these terms,
+and its foremost terms.  The sums of all shards are the divergences.  All
+arithmetic is on integers.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattline.llm import shipped, tidy
@@ -30,7 +31,8 @@ CELLS = 1 << 21     # cells of a matrix of sources by terms
 
 COUNTS = "lang string, source string, term string, n long, df long"
 SHARD = "lang string, shard int, source string, terms array<string>, counts array<long>"
-FOUND = "lang string, part string, source string, item string, value long"
+FOUND = "lang string, source string, others array<string>, apart array<long>, terms array<string>, gains array<long>"
+RANKED = "lang string, source string, part string, item string, value long, rank int"
 
 
 def count_terms(lang: pa.Array, source: pa.Array, text: pa.Array) -> pa.Table:
@@ -81,6 +83,12 @@ def _partial_counts(batches):
     tidy()
 
 
+def _table(schema: str, columns) -> pa.Table:
+    kinds = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "array<string>": pa.list_(pa.string()), "array<long>": pa.list_(pa.int64())}
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.table({name: pa.array(c, kinds[kind]) for (name, kind), c in zip(fields, columns, strict=True)})
+
+
 def _keep_terms(least: int):
     def run(key, group):
         """One shard of a language: its kept terms and their counts, for each source and (source null) in all."""
@@ -94,10 +102,7 @@ def _keep_terms(least: int):
         source = rows["source"].to_pylist() + bare.to_pylist() + [None]
         terms = rows["term_list"].to_pylist() + [[]] * len(bare) + [kept["term"].to_pylist()]
         counts = rows["n_list"].to_pylist() + [[]] * len(bare) + [kept["n_sum"].to_pylist()]
-        n = len(source)
-        return pa.table({"lang": pa.array([key[0].as_py()] * n, pa.string()), "shard": pa.array([key[1].as_py()] * n, pa.int32()),
-                         "source": pa.array(source, pa.string()), "terms": pa.array(terms, pa.list_(pa.string())),
-                         "counts": pa.array(counts, pa.list_(pa.int64()))})
+        return _table(SHARD, [[key[0].as_py()] * len(source), [key[1].as_py()] * len(source), source, terms, counts])
     return run
 
 
@@ -114,25 +119,24 @@ def shares(count: np.ndarray, total: np.ndarray | int, terms: int) -> np.ndarray
 
 def _compare(top: int, bare_shard: int):
     def run(key, shard, totals):
-        """Partial divergences of all pairs of sources over one shard, and each source's foremost terms of the shard."""
+        """Over one shard, for each source: its distances from the language's others and its foremost terms.
+        The shard of the term '' also names the others, in order."""
         lang, number = key[0].as_py(), key[1].as_py()
-        n_of = dict(zip(totals["source"].to_pylist(), totals["total"].to_pylist(), strict=True))
-        kept = totals["kept"].to_pylist()
-        terms_in_all = max(kept) if kept else 0
+        n_of = dict(zip(totals["name"].to_pylist(), totals["total"].to_pylist(), strict=True))
+        terms_in_all = max(totals["kept"].to_pylist(), default=0)
         names = sorted((s for s in n_of if s is not None), key=str.encode)
         place = {s: i for i, s in enumerate(names)}
         rows = shard.to_pydict()
         whole = rows["source"].index(None) if None in rows["source"] else -1
         vocabulary = rows["terms"][whole] if whole >= 0 else []
         if not vocabulary and number != bare_shard:
-            return pa.table({c: pa.array([], t) for c, t in zip(("lang", "part", "source", "item", "value"),
-                                                                [pa.string()] * 4 + [pa.int64()], strict=True)})
+            return _table(FOUND, [[]] * 6)
         column = {t: i for i, t in enumerate(vocabulary)}
         where = [(place[s], np.fromiter(map(column.__getitem__, t), np.int64, len(t)), np.array(c, np.int64))
                  for s, t, c in zip(rows["source"], rows["terms"], rows["counts"], strict=True) if s is not None and t]
         total = np.array([n_of[s] for s in names], np.int64)
-        pair = np.zeros((len(names), len(names)), np.int64)
-        best = {}
+        apart = np.zeros((len(names), len(names)), np.int64)
+        best = [[] for _ in names]
         width = max(1, CELLS // max(1, len(names)))
         for a in range(0, len(vocabulary), width):
             b = min(a + width, len(vocabulary))
@@ -142,22 +146,35 @@ def _compare(top: int, bare_shard: int):
                 count[i, at[here] - a] = c[here]
             p = shares(count, total[:, None], terms_in_all)
             q = shares(np.array(rows["counts"][whole][a:b], np.int64), n_of[None], terms_in_all)
-            for i in range(len(names) - 1):
-                pair[i, i + 1:] += np.abs(p[i + 1:] - p[i]).sum(axis=1)
             for i in range(len(names)):
+                apart[i] += np.abs(p - p[i]).sum(axis=1)
                 gain = np.where(count[i] > 0, p[i] - q, 0)
                 up = np.flatnonzero(gain > 0)
                 if len(up) > top:  # ties of the last place stay, the rank decides between them
-                    least = np.partition(gain[up], len(up) - top)[len(up) - top]
-                    up = up[gain[up] >= least]
-                best.setdefault(i, []).extend((int(gain[j]), vocabulary[a + j]) for j in up.tolist())
-        out = [("pair", names[i], names[j], int(pair[i, j])) for i in range(len(names)) for j in range(i + 1, len(names))]
-        for i, found in best.items():
-            found.sort(key=lambda x: (-x[0], x[1].encode()))
-            out += [("term", names[i], t, v) for v, t in found[:top]]
-        part, source, item, value = zip(*out, strict=True) if out else ((),) * 4
-        return pa.table({"lang": pa.array([lang] * len(out), pa.string()), "part": pa.array(part, pa.string()), "source": pa.array(source, pa.string()),
-                         "item": pa.array(item, pa.string()), "value": pa.array(value, pa.int64())})
+                    up = up[gain[up] >= np.partition(gain[up], len(up) - top)[len(up) - top]]
+                best[i] = foremost(best[i] + [(int(gain[j]), vocabulary[a + j]) for j in up.tolist()], top)
+        others = [names if number == bare_shard else None] * len(names)
+        return _table(FOUND, [[lang] * len(names), names, others, apart.tolist(), [[t for _, t in f] for f in best], [[v for v, _ in f] for f in best]])
+    return run
+
+
+def foremost(found: list[tuple[int, str]], most: int | None = None) -> list[tuple[int, str]]:
+    """The highest values, ties by the item's bytes."""
+    return sorted(found, key=lambda x: (-x[0], x[1].encode()))[:most]
+
+
+def _rank(top: int):
+    def run(key, group):
+        """A source's rows of all shards, added up and ranked."""
+        lang, source = key[0].as_py(), key[1].as_py()
+        others = next(o for o in group["others"].to_pylist() if o is not None)
+        apart = group["apart"].combine_chunks().flatten().to_numpy().reshape(-1, len(others)).sum(axis=0).tolist()
+        pairs = foremost([(v, o) for v, o in zip(apart, others, strict=True) if o != source])
+        gains, terms = (group[c].combine_chunks().flatten().to_pylist() for c in ("gains", "terms"))
+        terms = foremost(list(zip(gains, terms, strict=True)), top)
+        n, m = len(pairs), len(terms)
+        value, item = zip(*pairs, *terms, strict=True) if n + m else ((), ())
+        return _table(RANKED, [[lang] * (n + m), [source] * (n + m), ["pair"] * n + ["term"] * m, item, value, [*range(1, n + 1), *range(1, m + 1)]])
     return run
 
 
@@ -188,13 +205,8 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     totals = kept.groupBy("lang", "source").agg(
         F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)).alias("total"),
         F.sum(F.when(F.col("source").isNull(), F.size("terms")).otherwise(0)).cast("long").alias("kept"))
-    totals = totals.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    totals = totals.select(F.col("lang").alias("of"), F.col("source").alias("name"), "total", "kept",
+                           F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("at"))
     bare_shard = spark.range(1).select(shard_of(F.lit("")).alias("s")).first()["s"]
-    found = kept.groupBy("lang", "shard").cogroup(totals.groupBy("lang", "shard")).applyInArrow(_compare(top, bare_shard), FOUND)
-    ways = F.when(F.col("part") == "pair", F.array(F.struct("source", "item"), F.struct(F.col("item").alias("source"), F.col("source").alias("item")))) \
-        .otherwise(F.array(F.struct("source", "item")))
-    sums = found.groupBy("lang", "part", "source", "item").agg(F.sum("value").alias("value"))
-    both = sums.select("lang", "part", F.explode(ways).alias("w"), "value").select("lang", "part", "w.source", "w.item", "value")
-    rank = F.row_number().over(Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), "item"))
-    return both.withColumn("rank", rank).where((F.col("part") == "pair") | (F.col("rank") <= top)) \
-        .select("lang", "source", "part", "item", "value", "rank")
+    found = kept.groupBy("lang", "shard").cogroup(totals.groupBy("of", "at")).applyInArrow(_compare(top, bare_shard), FOUND)
+    return found.groupBy("lang", "source").applyInArrow(_rank(top), RANKED)
