@@ -31,7 +31,7 @@ def test_weights_for_any_number_of_models(spark, k, step):
     best = min(_mae(rows, [x / n for x in c]) for c in itertools.product(range(n + 1), repeat=k) if sum(c) == n)
     assert min(w) >= 0 and abs(sum(w) - 1) < 1e-9
     assert abs(got["val_mae"] - _mae(rows, w)) < 1e-9
-    assert got["val_mae"] <= best * (1.0 if k == 2 else 1.02) + 1e-9
+    assert got["val_mae"] <= best + 1e-9
 
 
 def test_weights_without_rows(spark):

@@ -3,8 +3,9 @@
 * quantile bins: P10/P50/P90 of history per (plant, month, hour), joined to
   the rows to forecast (exact ranks without a buffer per group;
   ``approx=True`` switches to ``percentile_approx``).
-* ensemble weights: coarse-to-fine search on the simplex grid, each pass one
-  aggregate row over a short list of candidate weights.
+* ensemble weights: branch and bound on the simplex grid, each pass one
+  aggregate over the open boxes' points.
+* draws: residuals of a forecaster looked up at hashed ranks.
 * gradient-boosted trees (Spark ML) + split-conformal intervals.
 """
 
@@ -21,6 +22,8 @@ from wattline.functions import forecast as FF
 from wattline.functions.stats import pearson
 from wattline.operators.evaluation import clip_interval
 from wattline.operators.quantiles import exact_quantiles, values_at
+from wattline.operators.ranks import ranked
+from wattline.session import materialize
 
 
 def quantile_labels(qs: Sequence[float]) -> list[str]:
@@ -49,51 +52,81 @@ def add_month_hour(df: DataFrame, ts: str = "timestamp") -> DataFrame:
 
 # --- ensemble ----------------------------------------------------------------
 
-def fit_ensemble_weights(wide: DataFrame, models: Sequence[str], y: str = "y_true", step: float = 0.01,
-                         rounds: int = 8) -> DataFrame:
-    """Weights >= 0 on the ``step`` grid summing to 1 that minimise the MAE of
-    sum(w_i * pred_i), for any number of models.
-
-    Weight moves between pairs of models, first in tenths, then in single
-    steps, until no move helps (``rounds`` times at most).  Every pass is one
-    aggregate row over a short list of candidates; rows are not multiplied.
-    The MAE is convex in the weights, so two models reach the grid's optimum."""
+def fit_ensemble_weights(wide: DataFrame, models: Sequence[str], y: str = "y_true", step: float = 0.01) -> DataFrame:
+    """The weights >= 0 on the ``step`` grid summing to 1 with the least MAE of
+    sum(w_i * pred_i), for any number of models; of equal MAE the one with
+    the least weight of the first model, then of the second, and so on.
+
+    Branch and bound over boxes of the weight simplex, the last weight being
+    the rest.  A pass evaluates one grid point of every open box: MAE and
+    slope, one aggregate row for each, from rows that are written once.  The
+    MAE is convex, so the tangents of a box and of its ancestors bound it from
+    below; boxes whose bound exceeds the best point are dropped, the others
+    are halved in every direction.  It ends when no box is left, which is at
+    the grid's optimum."""
     n, k = round(1 / step), len(models)
     ok = F.col(y).isNotNull()
     for m in models:
         ok = ok & F.col(m).isNotNull()
-    rows = wide.filter(ok).select(F.col(y), *[F.col(m) for m in models])
-
-    def errors(weights: list[tuple[int, ...]]) -> list[tuple]:
-        aggs = []
-        for w in weights:
-            pred = sum((F.lit(x / n) * F.col(m) for x, m in zip(w, models, strict=True) if x), F.lit(0.0))
-            aggs.append(F.avg(F.abs(F.col(y) - pred)))
-        got = rows.agg(*[a.alias(f"e{i}") for i, a in enumerate(aggs)]).first()
-        return sorted((float("inf") if e is None else e, w) for e, w in zip(got, weights, strict=True))
-
-    def moves(w: tuple[int, ...], stride: int, reach: int) -> list[tuple[int, ...]]:
-        out = {w}
-        for i, j in itertools.combinations(range(k), 2):
-            for d in range(-reach, reach + 1):
-                x = list(w)
-                x[i] += d * stride
-                x[j] -= d * stride
-                if min(x) >= 0:
-                    out.add(tuple(x))
-        return sorted(out)
-
-    best = (float("inf"), tuple(n // k + (i < n % k) for i in range(k)))
-    tenth = max(1, n // 10)
-    for _ in range(rounds):
-        before = best
-        best = min(best, errors(moves(best[1], tenth, 10))[0])
-        best = min(best, errors(moves(best[1], 1, tenth))[0])
-        if best == before:
+    rows = materialize(wide.filter(ok).select(F.col(y).cast("double").alias("_y"), F.array(*[F.col(m).cast("double") for m in models]).alias("_p")))
+
+    def evaluate(points: list[tuple[int, ...]]) -> list[tuple[float, list[float]]]:
+        """MAE and its slope by each weight, at every point."""
+        shares = F.array(*[F.array(*[F.lit(x / n) for x in w]) for w in points])
+        each = rows.select("_y", "_p", F.posexplode(shares).alias("_i", "_w"))
+        error = F.col("_y") - F.aggregate(F.zip_with("_w", "_p", lambda w, p: w * p), F.lit(0.0), lambda a, v: a + v)
+        each = each.select("_i", "_p", error.alias("_e"))
+        sums = each.groupBy("_i").agg(F.avg(F.abs("_e")).alias("_f"), *[F.avg(-F.signum("_e") * F.col("_p")[m]).alias(f"_g{m}") for m in range(k)])
+        got = {r["_i"]: (r["_f"], [r[f"_g{m}"] for m in range(k)]) for r in sums.collect()}  # one row for each point asked
+        return [got[i] for i in range(len(points))] if got else []
+
+    def inside(low, high):
+        """A grid point of the box, near its middle."""
+        out, room = list(low), n - sum(low)
+        for i in range(k - 1):
+            out[i] += min((high[i] - low[i]) // 2, room)
+            room = n - sum(out)
+        return (*out, n - sum(out))
+
+    def least(cut, low, high) -> float:
+        """Least value of a tangent over a box: weights go to the models with the steepest descent."""
+        at, value, slope = cut
+        total = value + sum(s * (a - b) / n for s, a, b in zip(slope, (*low, n - sum(low)), at, strict=True))
+        room = n - sum(low)
+        for s, i in sorted((slope[i] - slope[-1], i) for i in range(k - 1)):
+            if s >= 0 or not room:
+                break
+            moved = min(high[i] - low[i], room)
+            total += s * moved / n
+            room -= moved
+        return total
+
+    seen: dict[tuple[int, ...], float] = {}
+    open_ = [((0,) * (k - 1), (n,) * (k - 1), [])]  # corners and the tangents that reach the box
+    while open_:
+        points = [inside(low, high) for low, high, _ in open_]
+        found = evaluate(points)
+        if not found:  # no row holds all predictions
             break
-    mae, w = best
+        seen |= {w: f for (f, _), w in zip(found, points, strict=True)}
+        cuts = [(w, f, g) for (f, g), w in zip(found, points, strict=True)]
+        top = min(seen.values())
+        slack = top + 1e-9 * top + 1e-12  # keeps ties
+        children = []
+        for (low, high, old), cut in zip(open_, cuts, strict=True):
+            if low == high:
+                continue
+            tangents = [*old[-5:], cut]
+            halves = [[(a, b)] if a == b else [(a, (a + b) // 2), ((a + b) // 2 + 1, b)] for a, b in zip(low, high, strict=True)]
+            for part in itertools.product(*halves):
+                lo, hi = tuple(a for a, _ in part), tuple(b for _, b in part)
+                if sum(lo) <= n and max(least(t, lo, hi) for t in tangents) <= slack:
+                    children.append((lo, hi, tangents))
+        open_ = children
+    top = min(seen.values(), default=None)
+    equal = [w for w, f in seen.items() if f <= top + 1e-12 * top] or [tuple(n // k + (i < n % k) for i in range(k))]
     schema = ", ".join(f"`w_{m}` double" for m in models) + ", val_mae double"
-    return wide.sparkSession.createDataFrame([(*[x / n for x in w], None if mae == float("inf") else float(mae))], schema)
+    return wide.sparkSession.createDataFrame([(*[x / n for x in min(equal)], top)], schema)
 
 
 def ensemble_weighted(wide: DataFrame, weights: dict[str, float | Column], out: str = "P50") -> DataFrame:
@@ -133,6 +166,36 @@ def ensemble_predict(long_preds: DataFrame, weights: DataFrame, keys: Sequence[s
     return clip_interval(g.select(*keys, lo.alias("P10"), "P50", hi.alias("P90")))
 
 
+def residual_table(calibration: DataFrame, keys: Sequence[str] = ("plant_name",), y: str = "y_true", point: str = "P50",
+                   tiebreak: Sequence[str] = ("timestamp",)) -> DataFrame:
+    """Residuals of a forecaster with their rank in their key: ``keys``,
+    ``rank`` (from 0), ``size`` and ``residual``."""
+    res = calibration.select(*keys, (F.col(y) - F.col(point)).alias("residual"), *tiebreak).filter(F.col("residual").isNotNull())
+    placed = ranked(res, ["residual", *tiebreak], keys)
+    sizes = placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("size"))
+    return placed.join(sizes, list(keys)).select(*keys, "rank", "size", "residual")
+
+
+def hash_uniform(cols: Sequence[str], seed: int = 42):
+    """A number in [0, 1) for each row and draw, from a hash of ``cols``."""
+    return lambda draw: F.pmod(F.xxhash64(*cols, draw, F.lit(seed)), F.lit(1 << 52)) / F.lit(float(1 << 52))
+
+
+def forecast_draws(points: DataFrame, residuals: DataFrame, keys: Sequence[str] = ("plant_name",), draws: int = 50,
+                   point: str = "P50", uniform=None) -> DataFrame:
+    """``points`` with ``draw`` (0 ..) and ``value``: forecast plus a residual
+    of its key, drawn by inverse CDF.  ``uniform(draw)`` gives the number in
+    [0, 1) that picks the rank (default: a hash of all columns), so draws do
+    not depend on partitions or on the order of rows.  Rows whose key has no
+    residuals draw NULL."""
+    uniform = uniform or hash_uniform(points.columns)
+    sizes = residuals.filter(F.col("rank") == 0).select(*keys, F.col("size").alias("_size"))
+    each = points.join(sizes, list(keys), "left").withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
+    each = each.withColumn("rank", F.floor(uniform(F.col("draw")) * F.col("_size")).cast("long"))
+    j = each.join(residuals.select(*keys, "rank", "residual"), [*keys, "rank"], "left")
+    return j.select(*points.columns, "draw", (F.col(point) + F.col("residual")).alias("value"))
+
+
 def sample_quantiles(draws: DataFrame, keys: Sequence[str], value: str, qs: Sequence[float] = C.QUANTILES) -> DataFrame:
     """Mean, population std and quantiles over repeated draws per key."""
     g = draws.groupBy(*keys).agg(F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"),

@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wattline.operators.ranks import ranked
+
 
 def scaler_fit(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(feature, mean, std) with population std; zero / undefined std -> 1."""
@@ -31,9 +33,10 @@ def scaler_transform(df: DataFrame, stats: DataFrame, cols: Sequence[str], inver
 
 
 def label_encoder_fit(df: DataFrame, col: str) -> DataFrame:
-    """Sorted distinct values -> 0..k-1 (window over the distinct values only)."""
+    """Sorted distinct values -> 0..k-1, numbered by ranges of values: no task
+    sees all of them."""
     d = df.select(F.col(col).alias("value")).filter(F.col("value").isNotNull()).distinct()
-    return d.withColumn("label", (F.row_number().over(Window.orderBy("value")) - 1).cast("int"))
+    return ranked(d, ["value"], out="label").withColumn("label", F.col("label").cast("int"))
 
 
 def label_encode(df: DataFrame, encoder: DataFrame, col: str, out: str | None = None, unseen: int = -1) -> DataFrame:

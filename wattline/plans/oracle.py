@@ -279,3 +279,34 @@ def pipeline_sql(select: str = "select * from features") -> tuple[str, list[str]
     fctes, doubles = features_ctes()
     ctes = ",\n".join([merged_ctes(), repaired_ctes(), aligned_ctes(), fctes])
     return with_adapter(select, ctes), doubles
+
+
+# ---------------------------------------------------------------------------
+# least squares by elimination, one column for each matrix entry
+# ---------------------------------------------------------------------------
+
+def linear_ctes(name: str, source: str, y: str, features: list[str], key: str = "plant_name") -> str:
+    """CTEs ending in ``name`` (key, n, intercept, w0, w1, ..): least squares of ``y`` for each key."""
+    k = len(features)
+    ok = " and ".join(f"{c} is not null" for c in [y, *features])
+    sums = [f"avg({c}) as m{i}" for i, c in enumerate(features)] + [f"covar_pop({c}, {y}) as b{i}" for i, c in enumerate(features)]
+    sums += [f"covar_pop({features[i]}, {features[j]}) as c{i}_{j}" for i in range(k) for j in range(i, k)]
+    keep = f"{key}, n, my, " + ", ".join(f"m{i}, s{i}" for i in range(k))
+    unit = [f"coalesce(c{min(i, j)}_{max(i, j)} / nullif(sqrt(c{i}_{i}) * sqrt(c{j}_{j}), 0), 0) as a{i}_{j}" for i in range(k) for j in range(k)]
+    unit += [f"coalesce(b{i} / nullif(sqrt(c{i}_{i}), 0), 0) as a{i}_{k}" for i in range(k)]
+    out = [f"{name}_s as (select {key}, count(*) as n, avg({y}) as my, {', '.join(sums)} from {source} where {ok} group by {key})",
+           f"{name}_e0 as (select {key}, n, my, {', '.join(f'm{i}, sqrt(c{i}_{i}) as s{i}' for i in range(k))}, {', '.join(unit)} from {name}_s)"]
+    every = ", ".join(f"a{i}_{j}" for i in range(k) for j in range(k + 1))
+    for p in range(k):
+        scaled = ", ".join(f"case when a{p}_{p} > 1e-9 then a{p}_{j} / a{p}_{p} else 0.0 end as d{j}" for j in range(k + 1))
+        rows = ", ".join(f"d{j} as a{p}_{j}" if i == p else f"a{i}_{j} - a{i}_{p} * d{j} as a{i}_{j}" for i in range(k) for j in range(k + 1))
+        out += [f"{name}_d{p} as (select {keep}, {every}, {scaled} from {name}_e{p})", f"{name}_e{p + 1} as (select {keep}, {rows} from {name}_d{p})"]
+    weights = ", ".join(f"coalesce(a{i}_{k} / nullif(s{i}, 0), 0.0) as w{i}" for i in range(k))
+    means = " - ".join(["my", *[f"w{i} * m{i}" for i in range(k)]])
+    out += [f"{name}_w as (select {keep}, {weights} from {name}_e{k})",
+            f"{name} as (select {key}, n, {means} as intercept, {', '.join(f'w{i}' for i in range(k))} from {name}_w)"]
+    return ",\n".join(out)
+
+
+def linear_sql(features: list[str], model: str) -> str:
+    return " + ".join([f"{model}.intercept", *[f"{model}.w{i} * {c}" for i, c in enumerate(features)]])
