@@ -72,3 +72,6 @@ def test_null_and_far_times(spark):
     assert got == {1: None, 2: 0.0, 3: 2999.0, 4: 0.0}
     back = {r["id"]: r["w"] for r in asof_join(left, right, direction="backward").collect()}
     assert back == {1: None, 2: None, 3: 2999.0, 4: 0.0}
+    for direction, first in (("nearest", 0.0), ("backward", None), ("forward", 0.0)):
+        got = {r["id"]: r["w"] for r in asof_join_carry(left, right, direction=direction).collect()}
+        assert got == {1: None, 2: first, 3: None if direction == "forward" else 2999.0, 4: 0.0}

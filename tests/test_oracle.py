@@ -15,7 +15,7 @@ _load_all()
 SUBSET = ["pipeline_features", "join_asof_nearest", "repair_missing", "interpolate_linear", "lag_weather",
           "rolling_target", "sink_report", "gap_summary", "union_metrics", "metric_crps", "ensemble_weights_fit",
           "batch_forecast", "learner_weights", "forecast_recursive", "forecast_draws", "drift_alarms", "ramp_events",
-          "ensemble_weights_three", "weather_json_flatten", "cf_monthly_pivot", "multi_horizon_frame", "round_output"]
+          "ensemble_weights_three", "model_artifact", "stream_scores", "evaluation_report", "weather_json_flatten", "cf_monthly_pivot", "multi_horizon_frame", "round_output"]
 NAMES = sorted(QUERIES) if os.environ.get("WATTLINE_FULL_PARITY") else SUBSET
 
 
@@ -35,4 +35,4 @@ def test_registry_complete():
     assert set(ORACLES) <= set(QUERIES)
     # Spark ML trees and the iterative quantile learner have no SQL twin
     assert set(QUERIES) - set(ORACLES) == {"forecast_point_gbt", "forecast_quantile_conformal", "tree_importance", "metrics_trained",
-                                           "forecast_quantile_linear"}
+                                           "forecast_quantile_linear", "metrics_comparison_trained"}

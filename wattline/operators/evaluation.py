@@ -168,6 +168,22 @@ def reliable_models(long_metrics: DataFrame, min_picp: float = C.RELIABLE_PICP)
     return picp.unionByName(roles)
 
 
+def evaluation_report(long_metrics: DataFrame, min_picp: float = C.RELIABLE_PICP) -> DataFrame:
+    """The report's lines (section, item, model, value): the comparison, the
+    best model by metric, the interval analysis (lowest pinball loss, else
+    the highest value) and the recommendations (best overall by MAE, best
+    probabilistic by pinball loss, models with enough coverage)."""
+    known = long_metrics.filter(F.col("value").isNotNull())
+    lines = known.select(F.lit("comparison").alias("section"), F.col("metric").alias("item"), "model", "value")
+    best = best_by_metric(known).select(F.lit("best").alias("section"), F.col("metric").alias("item"), F.col("best_model").alias("model"),
+                                        F.col("best_value").alias("value"))
+    high = best_by_metric(known.filter(F.col("metric").isin("picp_80", "mpiw_80", "pinball_avg")), maximize=("picp_80", "mpiw_80"))
+    high = high.select(F.lit("probabilistic").alias("section"), F.col("metric").alias("item"), F.col("best_model").alias("model"),
+                       F.col("best_value").alias("value"))
+    advice = reliable_models(known, min_picp).select(F.lit("recommendation").alias("section"), F.col("role").alias("item"), "model", "value")
+    return lines.unionByName(best).unionByName(high).unionByName(advice)
+
+
 def clip_interval(df: DataFrame) -> DataFrame:
     """Enforce P10 <= P50 <= P90 (quantile crossing repair)."""
     lo = F.least("P10", "P50", "P90")

@@ -118,8 +118,10 @@ def asof_join_carry(
     u = l_.unionByName(r, allowMissingColumns=True)
     carried = carry_valid(u, list(by), on, {"w": "_w"}, tiebreak=["_side"], bucket_hours=bucket_hours)
     carried = carried.filter(F.col("_side") == 1)
-    pick = _pick(F.col("_prev_w"), F.col("_next_w"), on, direction)
-    return carried.select(*[F.col(c) for c in lcols], *[pick[c].alias(c) for c in right_cols])
+    # right rows sort before left rows of the same time: an equal one is the previous row and, forwards, the next one too
+    following = F.when(F.col("_prev_w")["t"] == F.col(on), F.col("_prev_w")).otherwise(F.col("_next_w"))
+    pick = _pick(F.col("_prev_w"), following, on, direction)
+    return carried.select(*[F.col(c) for c in lcols], *[F.when(F.col(on).isNotNull(), pick[c]).alias(c) for c in right_cols])
 
 
 def aggregate_weather_by_time(weather: DataFrame, cols: Sequence[str], ts: str = "timestamp") -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from wattline import config as C
 from wattline.functions.stats import pearson
+from wattline.operators.windows import NULL_BUCKET, NULL_BUCKETS, epoch_micros
 from wattline.session import materialize
 
 REQUIRED = ("timestamp", "plant_name", "plant_type", "generation_mw", "capacity_mw")
@@ -37,12 +38,20 @@ def _explode(df: DataFrame, rows: list[Column]) -> DataFrame:
 # --- one shared aggregation pass --------------------------------------------
 
 def check_cells(df: DataFrame, key: str = "plant_name", ts: str = "timestamp", target: str = "generation_mw",
-                capacity: str = "capacity_mw") -> DataFrame:
-    """One row per (key, time): rows, null counts, bound violations and the
-    sums that correlations need.  Everything in :func:`check_table` rolls up
-    from it, so the checked frame is computed once."""
+                capacity: str = "capacity_mw", bucket_hours: int = C.Defaults().carry_bucket_hours) -> DataFrame:
+    """One row per (key, time bucket): rows, null counts, repeated times, gaps,
+    bound violations and centred moments.  Everything in :func:`check_table`
+    rolls up from it.  A time's steps and the sums share one shuffle; rows
+    without a time are dealt over buckets of their own."""
     cols = df.columns
-    aggs = [F.count(F.lit(1)).alias("n")]
+    us = epoch_micros(ts)
+    spread = F.lit(NULL_BUCKET) + F.pmod(F.xxhash64(*cols), F.lit(NULL_BUCKETS))
+    d = df.withColumn("_bucket", F.coalesce(F.floor(us / F.lit(3_600_000_000 * bucket_hours)).cast("long"), spread))
+    w = Window.partitionBy(key, "_bucket").orderBy(ts)
+    d = d.withColumn("_step", us - F.lag(us).over(w))
+    hour = F.lit(3_600_000_000)
+    aggs = [F.count(F.lit(1)).alias("n"), F.count_if(F.col(ts).isNull()).alias("untimed"), F.count_if(F.col("_step") == 0).alias("repeated"),
+            F.count_if(F.col("_step") > hour).alias("gaps"), F.min(us).alias("first"), F.max(us).alias("last")]
     aggs += [F.count_if(F.col(c).isNull()).alias(f"null__{c}") for c in cols]
     if target in cols and capacity in cols:
         aggs.append(F.count_if(F.col(target) < 0).alias("neg_gen"))
@@ -52,12 +61,11 @@ def check_cells(df: DataFrame, key: str = "plant_name", ts: str = "timestamp", t
             aggs.append(F.count_if((F.col(c) < lo) | (F.col(c) > hi)).alias(f"oor__{c}"))
     for name, (cond, other) in _correlated(cols, target).items():
         both = cond & F.col(target).isNotNull() & F.col(other).isNotNull()
-        x, y = F.col(target), F.col(other)
-        aggs.append(F.count_if(cond).alias(f"rows__{name}"))
-        aggs.append(F.count_if(both).alias(f"m__{name}"))
-        aggs += [F.sum(F.when(both, e)).alias(f"{p}__{name}") for p, e in
-                 (("x", x), ("y", y), ("xx", x * x), ("yy", y * y), ("xy", x * y))]
-    return df.groupBy(key, ts).agg(*aggs)
+        x, y = (F.when(both, F.col(c).cast("double")) for c in (target, other))
+        aggs += [F.count_if(cond).alias(f"rows__{name}"), F.count_if(both).alias(f"m__{name}"), F.covar_pop(x, y).alias(f"xy__{name}")]
+        for c, v in (("x", x), ("y", y)):
+            aggs += [F.avg(v).alias(f"{c}__{name}"), F.var_pop(v).alias(f"{c}{c}__{name}"), F.min(v).alias(f"{c}min__{name}"), F.max(v).alias(f"{c}max__{name}")]
+    return d.groupBy(key, "_bucket").agg(*aggs)
 
 
 def _correlated(cols: Sequence[str], target: str) -> dict[str, tuple[Column, str]]:
@@ -73,11 +81,21 @@ def _correlated(cols: Sequence[str], target: str) -> dict[str, tuple[Column, str
     return out
 
 
-def _summed_pearson(name: str) -> Column:
-    """Pearson correlation from summed moments; NULL for constant input."""
-    m, x, y, xx, yy, xy = (F.col(f"{p}__{name}") for p in ("m", "x", "y", "xx", "yy", "xy"))
-    vx, vy = xx / m - (x / m) * (x / m), yy / m - (y / m) * (y / m)
-    return F.when((m > 0) & (vx > 0) & (vy > 0), F.try_divide(xy / m - (x / m) * (y / m), F.sqrt(vx) * F.sqrt(vy)))
+def _pooled_pearson(cells: DataFrame, name: str) -> list[Column]:
+    """Aggregates over cells for :func:`_pearson_of`: co-moments inside the
+    cells plus those of the cells' means about the overall mean."""
+    m = F.col(f"m__{name}")
+    mean = {c: cells.agg(F.try_divide(F.sum(m * F.col(f"{c}__{name}")), F.sum(m))).scalar() for c in "xy"}
+    off = {c: F.col(f"{c}__{name}") - mean[c] for c in "xy"}
+    out = [F.sum(m * (F.col(f"{a}{b}__{name}") + off[a] * off[b])).alias(f"c{a}{b}__{name}") for a, b in ("xx", "yy", "xy")]
+    return out + [(F.min(f"{c}min__{name}") < F.max(f"{c}max__{name}")).alias(f"v{c}__{name}") for c in "xy"]
+
+
+def _pearson_of(name: str) -> Column:
+    """Pearson correlation from pooled co-moments; NULL for constant input."""
+    xx, yy, xy = (F.col(f"c{p}__{name}") for p in ("xx", "yy", "xy"))
+    varied = F.col(f"vx__{name}") & F.col(f"vy__{name}") & (xx > 0) & (yy > 0)
+    return F.when(varied, F.try_divide(xy, F.sqrt(xx) * F.sqrt(yy)))
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -210,12 +228,16 @@ def structure_check(df: DataFrame, required: Sequence[str] = REQUIRED, ts: str =
 def check_table(df: DataFrame, key: str = "plant_name", ts: str = "timestamp", tiebreak: Sequence[str] = (),
                 target: str = "generation_mw") -> DataFrame:
     """All checks as one long table, rolled up from one aggregate of the
-    frame (:func:`check_cells`, written once; the frame itself is read once)."""
+    frame (:func:`check_cells`, a few rows for each plant, written once; the
+    frame itself is read once)."""
     cols = df.columns
     cells = materialize(check_cells(df, key, ts, target))
-    counts = [c for c in cells.columns if c not in (key, ts)]
-    prof = cells.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts],
-                     F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("_dup"))
+    plain = [c for c in cells.columns if c in ("n", "repeated", "neg_gen", "over_gen") or c.startswith(("null__", "oor__", "rows__"))]
+    counts = set(plain)
+    untimed = cells.groupBy(key).agg(F.sum("untimed").alias("u")).agg(F.sum(F.greatest(F.col("u") - 1, F.lit(0)))).scalar()
+    pooled = [e for name in _correlated(cols, target) for e in _pooled_pearson(cells, name)]
+    prof = cells.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in plain], *pooled) \
+        .withColumn("_dup", F.col("repeated") + F.coalesce(untimed, F.lit(0)))  # times of a plant that occur again, no time being one of them
     ncols = len(cols)
     rows = []
     total_null = sum((F.col(f"null__{c}") for c in cols), F.lit(0))
@@ -234,7 +256,7 @@ def check_table(df: DataFrame, key: str = "plant_name", ts: str = "timestamp", t
             rows.append(_row("physical", F.lit(f"range:{c}"), F.col(f"oor__{c}"), 0.0, "warning", F.col(f"oor__{c}") > 0, False))
     for name, item, least in (("solar", "solar_irradiance_correlation", C.SOLAR_CORR_MIN), ("wind", "wind_speed_correlation", C.WIND_CORR_MIN)):
         if f"rows__{name}" in counts:
-            corr = _summed_pearson(name)
+            corr = _pearson_of(name)
             rows.append(_row("physical", item, corr, least, "warning",
                              F.coalesce((F.col(f"rows__{name}") > 0) & (corr < least), F.lit(False)), False))
     rows.append(_row("temporal", "duplicate_keys", F.col("_dup"), 0.0, "warning", F.col("_dup") > 0, False))
@@ -251,7 +273,10 @@ def check_table(df: DataFrame, key: str = "plant_name", ts: str = "timestamp", t
     mp = plants.select(_row("completeness", F.concat(F.lit("plant:"), F.col(key)), pct, C.MAX_MISSING_PCT, "warning",
                             F.coalesce(pct > C.MAX_MISSING_PCT, F.lit(False)), False).alias("r")).select("r.*")
     limit = cells.agg(F.sum("n")).scalar() * F.lit(C.GAP_SHARE)
-    gf = gap_summary(cells, key, ts).select(
+    between = F.col("first") - F.lag("last").over(Window.partitionBy(key).orderBy("_bucket"))
+    gaps = cells.withColumn("_between", between).groupBy(key).agg(
+        (F.sum("gaps") + F.count_if(F.col("_between") > 3_600_000_000)).cast("long").alias("gaps_count"))
+    gf = gaps.select(
         _row("temporal", F.concat(F.lit("gaps:"), F.col(key)), F.col("gaps_count"), C.GAP_SHARE, "warning",
              F.col("gaps_count") > limit, False).alias("r")).select("r.*")
     return long.unionByName(mp).unionByName(gf)
@@ -260,7 +285,8 @@ def check_table(df: DataFrame, key: str = "plant_name", ts: str = "timestamp", t
 def check_messages(checks: DataFrame) -> DataFrame:
     """One line per flagged check row: (severity, message), the message
     prefixed by its check."""
-    shown = F.concat(F.col("check"), F.lit(": "), F.col("item"), F.lit(" above or below its limit"))
+    side = F.when(F.col("item").endswith("_correlation"), F.lit(" below")).otherwise(F.lit(" above"))
+    shown = F.concat(F.col("check"), F.lit(": "), F.col("item"), side, F.lit(" its limit"))
     return checks.filter("flagged").select("severity", shown.alias("message"))
 
 

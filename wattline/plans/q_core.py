@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import functions as F
 
@@ -19,7 +18,7 @@ from wattline.plans.pipeline import pipeline_features
 from wattline.plans.registry import register, tables
 from wattline.sources.adapter import adapter_plants
 from wattline.schema import GENERATION_SCHEMA, weather_schema
-from wattline.session import checkpoint_dir
+from wattline.session import stage_path
 from wattline.sources.readers import normalize_time_key, read_generation, read_weather
 
 W = list(C.WEATHER_COLS)
@@ -83,7 +82,7 @@ _CSV_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 def _through_csv(spark, df, read):
     """``df`` written as CSV to the shared folder and read by ``read(path)``."""
-    path = f"{checkpoint_dir(spark).rstrip('/')}/wattline-csv-{uuid.uuid4().hex}"
+    path = stage_path(spark, "csv")
     df.write.option("header", True).option("timestampNTZFormat", _CSV_TIME).csv(path)
     return read(path)
 

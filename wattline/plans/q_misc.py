@@ -201,9 +201,8 @@ def q_weather_json_flatten(spark, sf):
 def q_sink_partitioned(spark, sf):
     """Write per plant type / plant folders to the shared checkpoint folder
     and read the combined table back (partition discovery)."""
-    from wattline.session import checkpoint_dir
-    import uuid
-    path = f"{checkpoint_dir(spark).rstrip('/')}/wattline-sink-{uuid.uuid4().hex}"
+    from wattline.session import stage_path
+    path = stage_path(spark, "sink")
     write_partitioned(_gen(spark, sf), path)
     return spark.read.parquet(path).select(*GEN_COLS)
 
@@ -217,11 +216,10 @@ _PIPE_SQL, _PIPE_D = O.pipeline_sql("select plant_name, timestamp, generation_mw
 def q_scan_features(spark, sf):
     """Feature table written (partitioned by plant) and re-read with pruning."""
     from wattline.plans.pipeline import pipeline_features
-    from wattline.session import checkpoint_dir
+    from wattline.session import stage_path
     from wattline.sources.sinks import write_features
-    import uuid
     gen, wea = tables(spark, sf)
-    path = f"{checkpoint_dir(spark).rstrip('/')}/wattline-features-{uuid.uuid4().hex}"
+    path = stage_path(spark, "features")
     write_features(pipeline_features(gen, wea, tiebreak=TB), path)
     return read_features(spark, path, ["plant_name", "timestamp", "generation_mw", "generation_mw_lag_24h",
                                        "generation_mw_roll_mean_24h", "capacity_factor"])
@@ -888,12 +886,11 @@ def q_sink_features(spark, sf):
     """The full feature table written partitioned by plant to the shared
     checkpoint folder, read back whole."""
     from wattline.plans.pipeline import pipeline_features
-    from wattline.session import checkpoint_dir
+    from wattline.session import stage_path
     from wattline.sources.sinks import write_features
-    import uuid
     gen, wea = tables(spark, sf)
     feats = pipeline_features(gen, wea, tiebreak=TB)
-    path = f"{checkpoint_dir(spark).rstrip('/')}/wattline-features-{uuid.uuid4().hex}"
+    path = stage_path(spark, "features")
     write_features(feats, path)
     return spark.read.parquet(path).select(*feats.columns)
 
@@ -904,11 +901,10 @@ def q_model_persist(spark, sf):
     """Quantile bins fitted, saved with their metadata, loaded back and
     applied to the test slice."""
     from wattline.operators.persist import load_model, save_model
-    from wattline.session import checkpoint_dir
-    import uuid
+    from wattline.session import stage_path
     s = series(spark, sf)
     bins = FC.fit_quantile_bins(FC.add_month_hour(s.filter(F.col("split").isin("train", "val"))))
-    path = f"{checkpoint_dir(spark).rstrip('/')}/wattline-model-{uuid.uuid4().hex}"
+    path = stage_path(spark, "model")
     save_model(path, {"bins": bins}, meta={"keys": ["plant_name", "month", "hour"]})
     tables_, _, meta = load_model(spark, path)
     test = FC.add_month_hour(s.filter(F.col("split") == "test").select("plant_name", "timestamp", "y_true"))

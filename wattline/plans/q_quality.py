@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 
 from wattline import config as C
 from wattline.operators import quality as Q
 from wattline.operators.joins import merge_weather
 from wattline.plans import oracle as O
 from wattline.plans.registry import register, tables
-from wattline.session import checkpoint_dir
+from wattline.session import stage_path
 from wattline.sources.sinks import write_report
 
 W = list(C.WEATHER_COLS)
@@ -212,12 +211,12 @@ def q_sink_report(spark, sf):
     """Quality report lines (check, item, value, threshold, severity, flags),
     written to the shared folder and read back."""
     report = Q.check_table(_qin(spark, sf), tiebreak=TB)
-    path = f"{checkpoint_dir(spark).rstrip('/')}/wattline-report-{uuid.uuid4().hex}"
+    path = stage_path(spark, "report")
     write_report(report, path)
     return spark.read.schema(report.schema).json(path)
 
 
-_MESSAGES = (f"select severity, \"check\" || ': ' || item || ' above or below its limit' as message from ({_CHECKS}) where flagged")
+_MESSAGES = (f"select severity, \"check\" || ': ' || item || case when item like '%\\_correlation' escape '\\' then ' below' else ' above' end || ' its limit' as message from ({_CHECKS}) where flagged")
 
 
 @register("validation_messages", _sql(_MESSAGES))

@@ -52,4 +52,4 @@ def tables(spark: SparkSession, sf_dir: str):
 
 def _load_all():
     # import modules that register queries
-    from wattline.plans import q_core, q_eval, q_learn, q_misc, q_quality  # noqa: F401
+    from wattline.plans import q_core, q_eval, q_learn, q_misc, q_quality, q_report  # noqa: F401

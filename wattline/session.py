@@ -67,20 +67,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+def stage_path(spark: SparkSession, name: str = "stage") -> str:
+    """A new folder in the shared checkpoint folder, which
+    :func:`discard_stages` deletes."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/wattline-{name}-{uuid.uuid4().hex}"
+    _STAGES.append(path)
+    return path
+
+
 def materialize(df):
     """``df`` written as Parquet to the session's shared checkpoint folder and
     read back: computed once for all who read it, columnar and prunable, and
     safe from lost executors.  Meant for aggregates that several branches of
     a plan read."""
-    base = checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{base}/wattline-stage-{uuid.uuid4().hex}"
+    path = stage_path(df.sparkSession)
     df.write.mode("error").parquet(path)
-    _STAGES.append(path)
     return df.sparkSession.read.parquet(path)
 
 
 def discard_stages(spark: SparkSession) -> int:
-    """Delete the tables that :func:`materialize` has written so far; call it
+    """Delete the folders that :func:`stage_path` has given so far; call it
     once the results built on them have been written or collected."""
     jvm, done = spark.sparkContext._jvm, 0
     while _STAGES:

@@ -22,9 +22,13 @@ def write_features(df: DataFrame, path: str, partition_by: Sequence[str] = ("pla
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = ("plant_type", "plant_name"),
-                      fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """One folder per plant type / plant; the union of folders is the combined table."""
-    w = df.write.mode(mode).partitionBy(*partition_by).format(fmt)
+                      fmt: str = "parquet", mode: str = "overwrite", files_per_folder: int = 4) -> None:
+    """One folder per plant type / plant; the union of folders is the combined
+    table.  Rows are dealt by folder and a hash into at most
+    ``files_per_folder`` files each, so that a large plant is several tasks
+    and a small one does not get a file from every task."""
+    part = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_folder))
+    w = df.repartition(*partition_by, part).write.mode(mode).partitionBy(*partition_by).format(fmt)
     if fmt == "csv":
         w = w.option("header", True)
     w.save(path)
