@@ -42,11 +42,12 @@ def test_weights_without_rows(spark):
 def test_exact_quantiles_equal_numpy(spark):
     rnd = random.Random(4)
     rows = [("a", rnd.gauss(0, 10)) for _ in range(500)] + [("b", 3.0)] * 40 + [("b", None)] + [("c", 1.0)]
+    rows += [("f", 1e12)] + [("f", rnd.random()) for _ in range(400)] + [("f", -1e300), (None, 1.0)]  # values far apart
     rows += [("d", float(rnd.randint(0, 3))) for _ in range(300)] + [("e", 1e9)] + [("e", rnd.random()) for _ in range(99)]
     df = spark.createDataFrame(rows, "k string, v double")
     qs = (0.0, 0.1, 0.5, 0.9, 1.0)
     got = {r["k"]: [r[f"q{i}"] for i in range(5)] for r in exact_quantiles(df, ["k"], "v", qs, [f"q{i}" for i in range(5)]).collect()}
-    for k in "abcde":
+    for k in "abcdef":
         want = np.quantile([v for g, v in rows if g == k and v is not None], qs)
         assert np.allclose(got[k], want)
 

@@ -1,44 +1,35 @@
 """Exact order statistics per group without a buffer per group.
 
-Equal values are counted first, then counts per cell of the group's value
-range, then cumulative counts over at most ``CELLS`` cells; only cells that
-hold a wanted rank look at their single values.  A group may hold any share of
-the rows: no task gets more of it than the distinct values of one cell.
+Rows are ranked by ranges of (group, value), so that a group may hold any
+share of the rows and its values may be spread in any way: no task gets more
+than one range.  The wanted ranks then meet the ranked rows by equality.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CELLS = 1024
+from wattline.operators.ranks import ranked
 
 
 def values_at(df: DataFrame, keys: Sequence[str], value: str, ranks: dict[str, Callable[[Column], Column]]) -> DataFrame:
     """Per group: ``n`` (non-null values) and for each name the value of the
     0-based rank that ``ranks[name](n)`` gives in ascending order."""
     keys = list(keys)
-    v = df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    span = v.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_c").alias("n"))
-    cell = F.least(F.lit(CELLS - 1), F.floor(F.coalesce(F.try_divide(F.col("_v") - F.col("_lo"), F.col("_hi") - F.col("_lo")), F.lit(0.0)) * CELLS))
-    known = [F.col(k).isNotNull() for k in keys]
-    for k in known:
-        v = v.filter(k)
-    placed = v.join(span, keys).withColumn("_cell", cell.cast("int"))
-    per_cell = placed.groupBy(*keys, "_cell").agg(F.sum("_c").alias("_cn"), F.first("n").alias("n"))
-    up_to = F.sum("_cn").over(Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0))
-    per_cell = per_cell.withColumn("_end", up_to).withColumn("_start", F.col("_end") - F.col("_cn"))
-    wanted = F.lit(False)
-    for r in ranks.values():
-        wanted = wanted | ((r(F.col("n")) >= F.col("_start")) & (r(F.col("n")) < F.col("_end")))
-    cells = per_cell.filter(wanted).select(*keys, "_cell", "_start")
-    w = Window.partitionBy(*keys, "_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    single = placed.join(cells, [*keys, "_cell"]).withColumn("_last", F.col("_start") + F.sum("_c").over(w))
-    at = [F.max(F.when((r(F.col("n")) >= F.col("_last") - F.col("_c")) & (r(F.col("n")) < F.col("_last")), F.col("_v"))).alias(name)
-          for name, r in ranks.items()]
-    return single.groupBy(*keys).agg(F.max("n").alias("n"), *at)
+    known = F.col(value).isNotNull()
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    # equal values are dealt over ranges by a number of their own
+    v = df.filter(known).select(*keys, F.col(value).cast("double").alias("_v"), F.monotonically_increasing_id().alias("_tie"))
+    r = ranked(v, ["_v", "_tie"], keys, out="_rank")
+    sizes = r.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    asked = F.array(*[F.struct(F.lit(name).alias("name"), rank(F.col("n")).cast("long").alias("rank")) for name, rank in ranks.items()])
+    asked = sizes.select(*keys, "n", F.explode(asked).alias("_a")).select(*keys, "n", "_a.name", F.col("_a.rank").alias("_rank"))
+    found = asked.join(r.select(*keys, "_rank", "_v"), [*keys, "_rank"])
+    return found.groupBy(*keys).agg(F.max("n").alias("n"), *[F.max(F.when(F.col("name") == name, F.col("_v"))).alias(name) for name in ranks])
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, qs: Sequence[float], names: Sequence[str]) -> DataFrame:

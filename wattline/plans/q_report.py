@@ -14,9 +14,11 @@ from wattline.operators.persist import load_model, save_model
 from wattline.plans import oracle as O
 from wattline.plans.q_eval import METRICS_WIDE, SERIES, SERIES_VAL, predictions, series
 from wattline.plans.q_learn import _GRID3, _ONE, _PLANT, _WIDE3, FEATURES, KEY, THREE, _plant_frame, lag_forecasts, quantile_forecasts
-from wattline.plans.registry import register
+from wattline.plans.pipeline import pipeline_features
+from wattline.plans.refresh import refresh_features
+from wattline.plans.registry import register, tables
 from wattline.session import materialize, stage_path
-from wattline.sources.sinks import write_report
+from wattline.sources.sinks import MONTH, write_features, write_report
 from wattline.streaming.scoring import batch_writer, read_scores, score
 
 COLS = ["model", "plant_name", "timestamp", "y_true", "P10", "P50", "P90"]
@@ -151,3 +153,19 @@ def q_stream_scores(spark, sf):
     query = stream.writeStream.foreachBatch(twice).option("checkpointLocation", stage_path(spark, "progress")).trigger(availableNow=True).start()
     query.awaitTermination()
     return read_scores(spark, out).select("plant_name", "timestamp", "y_true", "P10", "P50", "P90")
+
+
+# --- late readings ----------------------------------------------------------------------
+_WHOLE_SQL, _WHOLE_D = O.pipeline_sql()
+
+
+@register("refresh_features", O.wrap(_WHOLE_SQL, _WHOLE_D))
+def q_refresh_features(spark, sf):
+    """The feature table written without a fifth of two plants' readings, then
+    brought up to date by them: equal to one built at once."""
+    gen, wea = tables(spark, sf)
+    late = gen.filter(F.col("plant_name").isin("solar_a", "wind_b") & (F.col("event_id") % 5 == 0))
+    path = stage_path(spark, "features")
+    write_features(pipeline_features(gen.join(late.select("event_id"), "event_id", "left_anti"), wea, tiebreak=("event_id",)), path)
+    refresh_features(path, gen, wea, late, tiebreak=("event_id",))
+    return spark.read.parquet(path).drop(MONTH)

@@ -12,13 +12,15 @@ MONTH = "year_month"
 
 
 def write_features(df: DataFrame, path: str, partition_by: Sequence[str] = ("plant_name",), ts: str = "timestamp",
-                   mode: str = "overwrite") -> None:
+                   mode: str = "overwrite", dynamic: bool = False) -> None:
     """Partitioned by plant and month: rows are dealt by (plant, month), so a
     folder is one file and a long plant many tasks; a scan for some plants or
-    months reads only their folders.  Rows are sorted by time inside a file."""
+    months reads only their folders.  Rows are sorted by time inside a file.
+    ``dynamic`` replaces only the folders that ``df`` has rows for."""
     parts = [*partition_by, MONTH]
     monthly = df.withColumn(MONTH, F.date_format(ts, "yyyy-MM"))
-    monthly.repartition(*parts).sortWithinPartitions(*parts, ts).write.mode(mode).partitionBy(*parts).parquet(path)
+    monthly.repartition(*parts).sortWithinPartitions(*parts, ts).write.mode(mode) \
+        .option("partitionOverwriteMode", "dynamic" if dynamic else "static").partitionBy(*parts).parquet(path)
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = ("plant_type", "plant_name"),
