@@ -17,13 +17,14 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 def ids_of(texts):
     tok = Tokenizer.from_file(PATH)
-    tok.encode_special_tokens = True
     return [tok.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
 
 
 def test_round_trip(frame):
     rows = [(i, t) for i, (_, t) in enumerate(corpus(seed=2))] + [(None, "no key")]
     rows += [(5000, "Don't STOP! 12.5 «fin» <|endoftext|> İstanbul ŒUVRE ﬁn 日本語。 ''s  x")]
+    rows += [(5001, "hello <|endoftext|> world"), (5002, "a<|endoftext|>b.<|startoftext|><|endoftext|>"), (5003, "<|ENDOFTEXT|> <|EndOfText|>. x"),
+             (5004, "<|endoftext|"), (5005, "<|endoftext|>"), (5006, "One. Two <|startoftext|> three. <|<|endoftext|>|> four.")]
     got = packing.pack(frame(rows).repartition(2), PATH).collect()
     by_doc, by_seq = {}, {}
     for r in got:
@@ -44,6 +45,14 @@ def test_round_trip(frame):
     assert sorted(by_doc, key=str) == sorted({k for k, _ in rows}, key=str)
 
 
+def test_special_tokens_keep_sentence_ends():
+    ids, stops = packing.WordEncoder(PATH).encode([b"", b"One. Two <|endoftext|> three. Four <|startoftext|>five."])[1]
+    want = Tokenizer.from_file(PATH).encode("One. Two <|endoftext|> three. Four <|startoftext|>five.", add_special_tokens=False)
+    assert ids.tolist() == want.ids
+    dot = Tokenizer.from_file(PATH).encode(".", add_special_tokens=False).ids[0]
+    assert stops.tolist() == [i + 1 for i, x in enumerate(want.ids) if x == dot]
+
+
 def test_crc_of_packed_ids(frame):
     r = packing.pack(frame([(1, "hello world")]), PATH).selectExpr("ids", "crc32(ids) as c").first()
     assert r["c"] == zlib.crc32(bytes(r["ids"]))

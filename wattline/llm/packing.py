@@ -49,7 +49,10 @@ class WordEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True  # special tokens' strings in a text are ordinary text
+        added = self.tok.get_added_tokens_decoder()
+        self.special = {t.content.encode(): i for i, t in added.items()}
+        self.at_special = re.compile(b"(" + b"|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + b")") if added else None
+        self.tok.encode_special_tokens = True  # words get here without them, but perhaps in other case, which is ordinary text
         vocab = self.tok.get_vocab()
         self.final = np.zeros(max(vocab.values()) + 1, bool)
         self.final[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
@@ -103,7 +106,25 @@ class WordEncoder:
             self.parts.add(part, np.asarray(enc.ids, np.uint32), np.bincount(np.searchsorted(first, at, "right") - 1, minlength=len(part)))
 
     def encode(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each text: ids, and the token positions after which a sentence ends."""
+        """For each text: ids, and the token positions after which a sentence ends.  A special token's
+        string is that token, wherever it stands; the text around it is encoded apart."""
+        if self.at_special is None or not any(map(self.at_special.search, texts)):
+            return self._ordinary(texts)
+        parts = [self.at_special.split(t) for t in texts]  # text, special, text, ..
+        plain = iter(self._ordinary([t for p in parts for t in p[::2]]))
+        out = []
+        for p in parts:
+            ids, stops = next(plain)
+            all_ids, all_stops, n = [ids], [stops], len(ids)
+            for name in p[1::2]:
+                ids, stops = next(plain)
+                all_ids += [np.array([self.special[name]], np.uint32), ids]
+                all_stops.append(stops + n + 1)
+                n += 1 + len(ids)
+            out.append((np.concatenate(all_ids), np.concatenate(all_stops)))
+        return out
+
+    def _ordinary(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
         split = [t.lower().split() for t in texts]
         words = list(itertools.chain.from_iterable(split))
         if self.words.size > CACHE:
