@@ -138,6 +138,30 @@ def test_language_on_the_given_documents(spark):
     assert share > 0.95
 
 
+def test_language_sizes_equal_zstandard(frame):
+    import zstandard
+    rows = lang_rows(120) + [(900, "kalo", None), (901, "k", None), (902, "toterkalo " * 400, None)]
+    docs = frame(rows)
+    model = langid.fit(docs.where("doc_id < 900"), dictionary_bytes=8000)
+    want = {}
+    for key, t, _ in rows:
+        data = re.sub(r"[\W\d_]+", " ", t.lower()).strip().encode()
+        size = {}
+        for lang, raw in model.items():
+            d = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            c = zstandard.ZstdCompressor(level=9, dict_data=d, write_content_size=False, write_checksum=False)
+            size[lang] = sum(len(c.compress(data[i:i + 1024])) for i in range(0, len(data), 1024))
+        low, second = sorted(size.values())[:2]
+        want[key] = (next(x for x in model if size[x] == low), 1 - low / second, 1 - low / second >= 0.01)
+    got = {r["doc_id"]: (r["lang_pred"], r["score"], r["accepted"]) for r in langid.classify(docs, model).collect()}
+    assert got == want and {True, False} == {x[2] for x in want.values()}
+
+
+def test_language_ties_go_to_the_more_frequent_and_are_rejected():
+    model = langid.Classifier({"often": b"one two three", "seldom": b"one two three"})
+    assert model.predict(b"one two") == ("often", 0.0, False) and model.predict(b"zzz " * 2000) == ("often", 0.0, False)
+
+
 def test_language_edge_cases(frame, spark):
     rows = lang_rows(60)
     model = langid.fit(frame(rows), dictionary_bytes=5000)

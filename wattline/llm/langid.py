@@ -19,7 +19,6 @@ from pyspark.sql import types as T
 from wattline.llm import shipped, tidy
 
 PIECE = 1024     # bytes compressed at once: the dictionary counts on each piece, so long texts are judged evenly
-EVIDENCE = 200   # bytes of letters below which a narrow margin is no reason to reject
 OTHER = re.compile(r"[\W\d_]+")
 
 
@@ -90,7 +89,7 @@ class Classifier:
         order = np.argsort(sizes, kind="stable")
         second = sizes[order[1]] if len(order) > 1 else len(data) + 16
         margin = max(0.0, 1.0 - sizes[order[0]] / max(second, 1))
-        return self.langs[order[0]], margin, margin >= self.margin or len(data) < EVIDENCE
+        return self.langs[order[0]], margin, margin >= self.margin
 
 
 def classify(docs: DataFrame, dictionaries: dict[str, bytes], key: str = "doc_id", column: str = "text",
@@ -98,8 +97,8 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], key: str = "doc_id
     """``key``, ``keep``, lang_pred, score (margin, 0 to 1), accepted.
 
     ``und`` with score 0 and not accepted: null text, no letter, or no
-    dictionary.  A margin below ``margin`` is not accepted, unless the text has under
-    ``EVIDENCE`` bytes of letters.  Whole texts are compressed; null keys, repeated rows and further columns do no harm; an
+    dictionary.  A margin below ``margin`` is not accepted, at any length of text, nor is a tie.
+    Whole texts are compressed; null keys, repeated rows and further columns do no harm; an
     empty table gives an empty result."""
     names = [key, *keep]
 
