@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from llm.cases import corpus
 from tokenizers import Tokenizer
@@ -95,5 +96,21 @@ def test_tail_is_cut_into_powers_of_two():
     assert packing.tail(3, 4096) == [2, 1] and packing.tail(4096, 4096) == [4096] and packing.tail(4095, 4096) == [4095]
 
 
+def test_every_sentence_end_is_offered(monkeypatch):
+    """The ends that packing chooses cost what the plan over all sentence ends costs."""
+    seen = []
+    plan = packing.plan
+    monkeypatch.setattr(packing, "plan", lambda pos, pen, capacity: seen.append((pos, pen)) or plan(pos, pen, capacity))
+    held = packing._Held("k", 4096, 2, itertools.count())
+    ids = np.arange(900, dtype=np.uint32)
+    stops = np.array([3, 7, 20, 21, 400, 899, 900])
+    for k in (1, 2):
+        held.add(pa.scalar(k), ids, stops)
+    list(held.flush(last=True))
+    pos, pen = seen[0]
+    assert {s + 901 * d for d in (0, 1) for s in stops.tolist()} <= {p for p, c in zip(pos, pen, strict=True) if c == packing.SENTENCE_CUT}
+    assert [p for p, c in zip(pos, pen, strict=True) if c == 0] == [0, 901, 1802]
+
+
 def test_empty_table(frame):
     assert packing.pack(frame([(1, "x")]).where("false"), PATH).count() == 0
