@@ -1,7 +1,9 @@
 """The corpus pipeline, stage by stage, against brute force."""
 
+import random
+
 import corpus_pipeline as P
-from llm.cases import corpus
+from llm.cases import corpus, edited, text
 from llm.test_dedup import brute_bytes, brute_components
 from llm.test_text import brute_quality
 
@@ -54,6 +56,20 @@ def test_empty_documents(frame, spark, tmp_path):
         docs = out if "text" in out.columns else docs
 
 
+def test_one_row_of_each_group_stays(frame, spark, tmp_path):
+    rng = random.Random(8)
+    one, two, keyless = (text(rng, 90) for _ in range(3))
+    docs = frame([(5, one), (5, one), (7, one), (6, two), (6, edited(rng, two, 0.002)), (9, one + " end"), (5, keyless), (None, keyless),
+                  (None, two), (None, None), (None, None), (3, ""), (3, ""), (8, "few"), (8, "few")]).repartition(3)
+    got = P.near_dedup(spark, docs, str(tmp_path))
+    assert got.schema.names == docs.schema.names
+    assert sorted(map(tuple, got.select("doc_id", "n_chars", "lang", "bucket").collect()), key=str) == sorted(
+        [(5, len(one), "en", "x"), (5, len(keyless), "en", "x"), (3, 0, "en", "x"), (3, 0, "en", "x"), (8, 3, "en", "x"),
+         (None, None, "en", "x"), (None, None, "en", "x"),
+         *((6, r["n_chars"], "en", "x") for r in got.where("doc_id = 6").collect())], key=str)
+    assert got.where("doc_id = 6").count() == 1 and {r["text"] for r in got.where("n_chars is null").collect()} == {None}
+
+
 def test_rows_of_null_keys_pass(frame, spark, tmp_path):
     docs = frame([(None, None), (None, "")], extra=False)
     for _, function in P.STAGES[2:4]:

@@ -119,7 +119,7 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", column: str = "text", shingle: int = 4,
                     percent: int = 80) -> DataFrame:
-    """Per row: key, n_shingles, component_id (least key reachable by links), kept (is that row).
+    """Per row: key, n_shingles, component_id (least key reachable by links), kept (has that key).
 
     Rows link where 100 * shared shingles >= ``percent`` * all shingles of the
     two.  Null or empty texts (no word) have no shingle and no link; their
@@ -127,8 +127,49 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", column: str = "text",
     component has no key at all, component_id is null and all its rows are kept.
     Repeated rows are one class.  Further columns are ignored; an empty table
     gives an empty result."""
-    batches = E.make_batches(docs, key, column)
+    rows, final = _labelled(E.make_batches(docs, key, column), key, shingle, percent)
+    out = rows.select(key, "n_shingles", "cls").join(final.select("cls", "component_id"), "cls", "left")
+    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col(key))
+    return (out.select(key, "n_shingles", component.alias("component_id"))
+            .withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.col("component_id").isNull())))
+
 
+def one_of_each(docs: DataFrame, key: str = "doc_id", column: str = "text", shingle: int = 4, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each component of near-duplicates, all its columns as they were.
+
+    The row of least key stays, null keys after all others; of several rows of
+    that key the first as stored, so repeated rows and rows that share a key
+    leave one.  Rows without a word are linked with nothing and all stay.  An
+    empty table gives an empty result."""
+    names = docs.columns
+    at = {c: f"c{i}" for i, c in enumerate(names)}
+    held = docs.select(*(docs[c].alias(at[c]) for c in names), docs[column].isNull().alias("none"))
+    rest = [c for c in names if c != column]
+    batches = E.make_batches(held, at[key], at[column], keep=(*(at[c] for c in rest), "none"))
+    rows, final = _labelled(batches, key, shingle, percent)
+    chosen = (final.select("one.batch_id", "one.row").distinct()
+              .unionByName(rows.where("n_shingles = 0").select("batch_id", "row")))
+    places = chosen.groupBy("batch_id").agg(F.collect_list(F.struct(F.col("row").alias("bucket"), F.lit(b"").alias("answer"))).alias("answers"))
+
+    def restore(record_batches):
+        for batch in E.batches_of(record_batches):
+            *kept, none = batch.kept()
+            kept = dict(zip(rest, kept, strict=True))
+            none = none.to_pylist()
+            for a, b in X.slices(batch.off, SLICE):
+                pick = [r for r in range(a, b) if r in batch.answers]
+                text = [None if none[r] else batch.buf[batch.off[r]:batch.off[r + 1]].tobytes() for r in pick]
+                take = pa.array(pick, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(text, pa.binary()).view(pa.string()) if c == column else kept[c].take(take) for c in names], names=names)
+
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema])
+    return batches.join(places, "batch_id").mapInArrow(restore, schema)
+
+
+def _labelled(batches: DataFrame, key: str, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(rows with their address, n_shingles and class; classes with component_id and ``one``, the
+    component's first row by key and address)."""
     def profile(record_batches):
         for batch in E.batches_of(record_batches):
             for a, b in X.slices(batch.off, SLICE):
@@ -138,7 +179,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", column: str = "text",
     address = T.StructField("batch_id", T.LongType(), True)
     rows = E.stage(batches.mapInArrow(profile, T.StructType([kind, address, *T.StructType.fromDDL(PROFILE).fields])))
     classes = E.stage(rows.where("n_shingles > 0").groupBy("cls")
-                      .agg(F.min(key).alias("least_key"), F.min(F.struct("batch_id", "row")).alias("at"),
+                      .agg(F.min(key).alias("least_key"), F.min(F.struct(F.col(key).isNull().alias("keyless"), F.col(key).alias("least"), "batch_id", "row")).alias("at"),
                            F.first("n_shingles").alias("size"), F.first("signature").alias("signature")))
     keyed = _shared_keys(classes)
     heads = (keyed.groupBy("key").agg(F.min(F.struct("least_key", "cls"))["cls"].alias("head"), F.min("cls").alias("lo"), F.max("cls").alias("hi"))
@@ -152,13 +193,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", column: str = "text",
     links = first.unionByName(_confirm(rest, classes, batches, shingle, percent))
     part = components(links)
     least = (classes.join(part, classes["cls"] == part["node"], "left")
-             .select("cls", "least_key", F.coalesce("label", "cls").alias("part")))
-    whole = least.groupBy("part").agg(F.min("least_key").alias("component_id"))
-    final = least.join(whole, "part").select("cls", "component_id")
-    out = rows.select(key, "n_shingles", "cls").join(final, "cls", "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col(key))
-    return (out.select(key, "n_shingles", component.alias("component_id"))
-            .withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.col("component_id").isNull())))
+             .select("cls", "least_key", "at", F.coalesce("label", "cls").alias("part")))
+    whole = least.groupBy("part").agg(F.min("least_key").alias("component_id"), F.min("at").alias("one"))
+    return rows, least.join(whole, "part").select("cls", "component_id", "one")
 
 
 def _profile(batch, a, b, shingle, key):
