@@ -40,9 +40,8 @@ def _documents(df: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each group of near-duplicates (five-word shingles, 0.8)."""
-    kept = neardup.near_duplicates(docs, shingle=5).where("kept").select(F.col("doc_id").alias("kept_id"))
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    """The document of least id of each group of near-duplicates (five-word shingles, 0.8), one row each."""
+    return neardup.one_of_each(docs, shingle=5)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
