@@ -212,6 +212,37 @@ def test_html_short_blocks_without_a_container(page, want):
     assert html.main_text(page) == want
 
 
+LONG = f"<div><p>{BODY}</p><p>{BODY}</p></div>"
+TWICE = f"{BODY.strip()} {BODY.strip()}"
+
+
+@pytest.mark.parametrize("page,want", [
+    (f"<article>Teaser</article>{LONG}", TWICE),                                       # a container that is no main text
+    (f"{LONG}<article><a href=x>One more</a></article><article><a href=y>And more</a></article>", TWICE),
+    (f'<div class="content no-sidebar">{BODY}</div><p>small</p>', f"{BODY.strip()} small"),
+    (f"<div class='ad-free'>{BODY}</div><div class='ad-slot-2'>{BODY}</div><div class='page_footer'>{BODY}</div>", BODY.strip()),
+    (f"<div>Home News Sport</div><div>About us</div><h1>Title</h1>{LONG}<div>© 2024 Someone. All rights reserved.</div>", f"Title {TWICE}"),
+    (f"<div><a href=/>Home</a> <a href=/n>News and much more text than that, all of it in links to other pages of this site</a></div>{LONG}", TWICE),
+    (f"<article><h1>A</h1><p>{BODY}</p></article><p>By the way.</p><article><h1>B</h1><p>{BODY}</p></article>", f"A {BODY.strip()} B {BODY.strip()}"),
+    (f"<main><article><p>{BODY}</p></article><article>Short.</article></main>", f"{BODY.strip()} Short."),
+    (f"<article><p>{BODY}</p></article><article><h3>Next</h3></article>", BODY.strip()),
+    ("<article>Be.</article><p>Nothing much.</p>", "Be."),
+    (f"<article>A word.</article>{LONG * 3}", f"{TWICE} {TWICE} {TWICE}"),
+    (f"<p>Short start.</p><p>And on.</p><p>Then.</p><p>Now.</p>{LONG}<p>So.</p><p>It.</p><p>Was.</p><p>Done.</p>",
+     f"Short start. And on. Then. Now. {TWICE} So. It. Was. Done."),
+    (f"<p>Lead.</p><aside>x</aside><p>{BODY}</p><div class=ad>y</div><p>Tail.</p>", f"Lead. {BODY.strip()} Tail."),
+    (f"<p><a href=x>{BODY}</a></p>", BODY.strip()),
+])
+def test_html_surge_and_dive_decide(page, want):
+    assert html.main_text(page) == want
+
+
+def test_html_names_of_furniture():
+    yes = "ad ad-slot ad_banner cookie-notice site-header sidebar-left comment-list related_posts nav-2".split()
+    no = "no-sidebar ad-free header-less content main-content shared-ideas adverb post page-1 with-comments-off".split()
+    assert [n for n in yes if not html.names_furniture(n)] == [] and [n for n in no if html.names_furniture(n)] == []
+
+
 def test_html_table(spark):
     rows = [(i, f"http://h/{i}", p) for i, (p, _) in enumerate(PAGES)] + [(None, None, "<p>x</p>"), (0, "http://h/0", PAGES[0][0])]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'clash' as text", "1 as n_chars")
