@@ -128,14 +128,12 @@ class WordEncoder:
         words = list(itertools.chain.from_iterable(split))
         if self.words.size > CACHE:
             self.reset()
-        at = list(map(self.words.index.get, words))
-        missing = [i for i, x in enumerate(at) if x is None]
-        if missing:
-            self.learn(list({words[i] for i in missing}))
-            index = self.words.index
-            for i in missing:
-                at[i] = index[words[i]]
-        w = np.array(at, np.int64)
+        w = np.fromiter(map(self.words.index.get, words, itertools.repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(w < 0)
+        if len(missing):
+            new = [words[i] for i in missing.tolist()]
+            self.learn(list(set(new)))
+            w[missing] = list(map(self.words.index.__getitem__, new))
         count = self.words.count[w]
         end = np.cumsum(count)
         ids = self.words.ids[spread(self.words.start[w], count)]
@@ -214,25 +212,30 @@ def _encoded(coder: WordEncoder, texts: list[bytes]):
 def plan(pos: list[int], penalty: list[int], capacity: int, per_sequence: int = PER_SEQUENCE) -> list[int]:
     """Ends of the sequences that cost least; pos: allowed cuts, from 0 to the last token, at most
     ``capacity`` apart.  A sequence of a power of two has no padding."""
-    n = len(pos)
-    powers = [1 << k for k in range(8, capacity.bit_length())]
+    n, place = len(pos), np.asarray(pos, np.int64)
+    full: dict[int, list[int]] = {}  # cuts that lie a power of two before a cut
+    for w in (1 << k for k in range(8, capacity.bit_length())):
+        k = np.searchsorted(place, place - w)
+        hit = np.flatnonzero(place[k] == place - w)
+        for j, i in zip(hit.tolist(), k[hit].tolist(), strict=True):
+            full.setdefault(j, []).append(i)
+    low = np.searchsorted(place, place - capacity).tolist()
+    cost = (np.asarray(penalty, np.int64) + per_sequence).tolist()
     f, g, prev = [0] * n, [0] * n, [0] * n
-    at = {0: 0}
     queue, head = [0], 0
     for j in range(1, n):
-        p = pos[j]
-        while pos[queue[head]] < p - capacity:
+        p, first = pos[j], low[j]
+        while queue[head] < first:
             head += 1
         i = queue[head]
         best = g[i] + capacity - p
-        for w in powers:
-            k = at.get(p - w)
-            if k is not None and f[k] < best:
-                i, best = k, f[k]
-        f[j] = best = best + penalty[j] + per_sequence
+        if j in full:
+            for k in full[j]:
+                if f[k] < best:
+                    i, best = k, f[k]
+        f[j] = best = best + cost[j]
         g[j] = best = best + p
         prev[j] = i
-        at[p] = j
         while len(queue) > head and g[queue[-1]] >= best:
             queue.pop()
         queue.append(j)
