@@ -109,6 +109,23 @@ def test_top_products_equal_brute_force(spark, monkeypatch, shard):
     assert got == brute_top(rows)
 
 
+def test_search_above_a_floor_gives_what_reaches_it():
+    rng = np.random.default_rng(9)
+    points, asked = rng.integers(-40, 40, (700, 6)).astype(float), rng.integers(-40, 40, (30, 6)).astype(float)
+    q, r = covertree.Tree(asked), covertree.Tree(points)
+    ids, ends = r.order, np.arange(701)
+    none = np.full(30, -1)
+    whole_ids, whole = covertree.search(q, none, r, ids, ends, 5)
+    floor = whole[:, 2] + (np.arange(30) % 3 - 1)  # around the third score, ties included
+    names, best = covertree.search(q, none, r, ids, ends, 5, floor)
+    for i in range(30):
+        keep = whole[i] >= floor[i]
+        assert best[i][best[i] >= floor[i]].tolist() == whole[i][keep].tolist()
+        assert names[i][best[i] >= floor[i]].tolist() == whole_ids[i][keep].tolist()
+    high = covertree.search(q, none, r, ids, ends, 5, np.full(30, 1e9))[1]
+    assert not np.isfinite(high).any()
+
+
 def test_top_products_of_nothing(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert covertree.top_inner_products(df).count() == 0

@@ -4,7 +4,9 @@ Rows fall into shards by a hash of their id; each shard becomes a cover tree
 (children cover their points within a shrinking radius and their centres keep
 that distance), and so does each block of queries.  A pair of nodes is pruned
 when its bound, from the centres and both covering radii, lies below the worst
-kth score of the query group.  Equal vectors are one point of the tree.
+kth score of the query group.  Every block of queries first meets one shard; the
+kth scores found there bound its search in all other shards, of which a shard
+whose root lies below them is left at once.  Equal vectors are one point of the tree.
 """
 
 from __future__ import annotations
@@ -18,9 +20,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattline.llm import shipped
+from wattline.llm.exchange import stage
 
 SHARD = 8192    # rows in a tree
 QUERIES = 1024  # queries in a tree
+TASKS = 64      # searched at once, where there are so many pairs of trees
 LEAF = 96       # points in a leaf
 SHRINK = 0.6    # radius of children against their parent's
 
@@ -95,17 +99,23 @@ def bound(q: Tree, a: int, r: Tree, nodes: np.ndarray) -> np.ndarray:
     return inner + r.radius[nodes] * q.norm[a] + q.radius[a] * r.norm[nodes] + q.radius[a] * r.radius[nodes]
 
 
-def search(q: Tree, q_ids: np.ndarray, r: Tree, ids: np.ndarray, ends: np.ndarray, k: int):
+def search(q: Tree, q_ids: np.ndarray, r: Tree, ids: np.ndarray, ends: np.ndarray, k: int,
+           floor: np.ndarray | None = None):
     """(ids, scores) of each query's best k, queries in the order of ``q.order``; absent: score -inf.
 
-    ids[ends[i]:ends[i + 1]] are the ids of point i of ``r.points``, ascending."""
+    ``floor``: scores below which a query needs no answer.  ids[ends[i]:ends[i + 1]] are the ids of point i of ``r.points``, ascending."""
     best = np.full((len(q.points), k), -np.inf)
     names = np.full((len(q.points), k), np.iinfo(np.int64).max)
+    least = np.full(len(q.points), -np.inf) if floor is None else floor.copy()  # a better score than this is needed, or an equal one
     todo = [(0, np.zeros(1, np.int64))]  # query node, frontier of r
     while todo:
         a, frontier = todo.pop()
         top = bound(q, a, r, frontier)
         s, e = q.start[a], q.end[a]
+        wanted = top >= least[s:e].min() - 1e-6 * np.maximum(1.0, np.abs(top))
+        top, frontier = top[wanted], frontier[wanted]
+        if not len(frontier):
+            continue
         if q.children[a]:
             # open the widest half of the frontier for the query node's children, all of it together
             frontier = frontier[np.argsort(-top, kind="stable")]
@@ -116,7 +126,7 @@ def search(q: Tree, q_ids: np.ndarray, r: Tree, ids: np.ndarray, ends: np.ndarra
         heapq.heapify(heap)
         while heap:
             u, n = heapq.heappop(heap)
-            if -u < best[s:e, -1].min() - 1e-6 * max(1.0, abs(u)):
+            if -u < least[s:e].min() - 1e-6 * max(1.0, abs(u)):
                 break
             if r.children[n]:
                 kids = np.array(r.children[n], np.int64)
@@ -128,13 +138,14 @@ def search(q: Tree, q_ids: np.ndarray, r: Tree, ids: np.ndarray, ends: np.ndarra
             columns = np.repeat(np.arange(y - x), np.diff(ends[x:y + 1]))
             score, own = score[:, columns], ids[ends[x]:ends[y]]
             score = np.where(own[None, :] == q_ids[s:e, None], -np.inf, score)
-            if not (score >= best[s:e, -1:]).any():
+            if not (score >= least[s:e, None]).any():
                 continue
             score = np.concatenate([best[s:e], score], axis=1)
             name = np.concatenate([names[s:e], np.broadcast_to(own, (e - s, len(own)))], axis=1)
             order = np.lexsort((name, -score), axis=1)[:, :k]
             best[s:e] = np.take_along_axis(score, order, 1)
             names[s:e] = np.take_along_axis(name, order, 1)
+            least[s:e] = np.maximum(least[s:e], best[s:e, -1])
     return names, best
 
 
@@ -158,7 +169,9 @@ def top_inner_products(rows: DataFrame, key: str = "vec_id", column: str = "embe
     length.  Null keys, null or empty vectors and vectors with a null or
     non-finite component take no part.  Repeated rows stay candidates; a
     repeated query is answered once for each row, in its own ranks.  Fewer
-    candidates than ``k`` give fewer rows; an empty table gives none."""
+    candidates than ``k`` give fewer rows; an empty table gives none.  Scores are
+    computed in doubles: exact below 2**53, so for components below 2**53 / dimensions
+    by square."""
     value = F.col(column).cast("array<double>")
     fine = rows.select(F.col(key).cast("long").alias("id"), value.alias("v")).where(
         F.col("id").isNotNull() & (F.size("v") > 0)
@@ -192,22 +205,41 @@ def top_inner_products(rows: DataFrame, key: str = "vec_id", column: str = "embe
     spread = fine.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(shards)))
     trees = spread.select("id", "v", dim, "part").groupBy("dim", "part").applyInArrow(build, "dim int, part long, tree binary")
     asked = fine.where(F.pmod("id", F.lit(every)) == 0).withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)))
-    queries = (asked.select("id", "v", dim, "part").groupBy("dim", "part").applyInArrow(build_queries, "dim int, block long, queries binary")
-               .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))))
-    pairs = queries.join(trees, ["dim", "part"]).select("block", "queries", "tree")
+    trees = stage(trees)
+    queries = stage(asked.select("id", "v", dim, "part").groupBy("dim", "part").applyInArrow(build_queries, "dim int, block long, queries binary"))
+    own = F.pmod("block", F.lit(shards))
 
     def answer(record_batches):
         for rb in record_batches:
             for i in range(rb.num_rows):
-                block = rb.column(0)[i].as_py()
-                q, q_ids = pickle.loads(rb.column(1)[i].as_py())
-                r, ids, ends = pickle.loads(rb.column(2)[i].as_py())
-                names, best = search(q, q_ids, r, ids, ends, k)
-                row, place = np.nonzero(np.isfinite(best))
+                dim, block, floors = rb.column(0)[i].as_py(), rb.column(1)[i].as_py(), rb.column(4)[i].as_py() or ()
+                q, q_ids = pickle.loads(rb.column(2)[i].as_py())
+                r, ids, ends = pickle.loads(rb.column(3)[i].as_py())
+                floor = np.full(len(q_ids), -np.inf)
+                for f in floors:
+                    floor[f["row"]] = f["least"]
+                names, best = search(q, q_ids, r, ids, ends, k, floor)
+                row, place = np.nonzero(np.isfinite(best) & (best >= floor[:, None]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(q_ids[row]), pa.array(np.full(len(row), block)), pa.array(row), pa.array(names[row, place]),
-                     pa.array(best[row, place].astype(np.int64))], names=["query_id", "block", "row", "id", "score"])
-
-    found = pairs.mapInArrow(answer, "query_id long, block long, row long, id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id", "block", "row").orderBy(F.desc("score"), "id"))
+                    [pa.array(np.full(len(row), dim), pa.int32()), pa.array(np.full(len(row), block)), pa.array(row), pa.array(q_ids[row]),
+                     pa.array(names[row, place]), pa.array(best[row, place].astype(np.int64))],
+                    names=["dim", "block", "row", "query_id", "id", "score"])
+
+    def meet(wanted, salts):
+        """The answers of the wanted (dim, block, part, floors); ``salts`` tasks share a shard."""
+        tasks = min(4 * shards * salts, 8192)
+        left = wanted.withColumn("salt", F.pmod("block", F.lit(salts))).repartition(tasks, "dim", "part", "salt")
+        right = trees.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+        pairs = left.join(right.repartition(tasks, "dim", "part", "salt"), ["dim", "part", "salt"])
+        return pairs.select("dim", "block", "queries", "tree", "floors").mapInArrow(
+            answer, "dim int, block long, row long, query_id long, id long, score long")
+
+    none = F.lit(None).cast("array<struct<row: bigint, least: bigint>>").alias("floors")
+    first = stage(meet(queries.select("dim", "block", "queries", own.alias("part"), none), 1))
+    floors = (first.groupBy("dim", "block", "row").agg(F.min("score").alias("least"), F.count("*").alias("n")).where(F.col("n") == k)
+              .groupBy("dim", "block").agg(F.collect_list(F.struct("row", "least")).alias("floors")))
+    others = (queries.join(floors, ["dim", "block"], "left")
+              .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))).where(F.col("part") != own))
+    found = first.unionByName(meet(others, max(1, min(blocks, -(-TASKS // shards)))))
+    rank = F.row_number().over(Window.partitionBy("query_id", "dim", "block", "row").orderBy(F.desc("score"), "id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", F.col("id").alias(key), "score")
