@@ -16,6 +16,7 @@ import string
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -29,7 +30,7 @@ PER_SEQUENCE = 32    # of each sequence, so that few full ones beat many short o
 STRIDE = 128         # a hard cut is offered where no boundary comes within so many tokens
 BLOCK = 1 << 20      # tokens planned at once
 CACHE = 1 << 20      # words remembered by a worker process
-SLICE = 1 << 20      # bytes encoded at once
+SLICE = 2 << 20      # bytes encoded at once
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
 OUTPUT = "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -59,25 +60,24 @@ class WordEncoder:
 
     def reset(self):
         self.words, self.parts = _Store(), _Store()
+        for store, name in ((self.words, b""), (self.parts, "")):  # beside white space at a text's ends, and no punctuation
+            store.add([name], np.zeros(0, np.uint32), np.zeros(1, np.int64))
         self.stop = np.zeros(1 << 16, bool)
 
     def learn(self, new: list[bytes]):
-        """Remember words (lower-cased in ASCII)."""
-        text = [w.decode("utf-8", "replace") for w in new]
-        core = [w.rstrip(self.PUNCTUATION) for w in text]
-        plain = [c.isalpha() and (c.isascii() or c.lower().isalpha()) for c in core]
+        """Remember distinct new words (lower-cased in ASCII)."""
+        text = b"\n".join(new).decode("utf-8", "replace").split("\n")
+        core = list(map(str.rstrip, text, itertools.repeat(self.PUNCTUATION)))
+        plain = [ok and (c.isascii() or c.lower().isalpha()) for c, ok in zip(core, map(str.isalpha, core), strict=True)]
         core = [c if ok else w for c, w, ok in zip(core, text, plain, strict=True)]
         rest = [w[len(c):] for c, w in zip(core, text, strict=True)]
         known = self.parts.index
         self._letters(list({c for c, ok in zip(core, plain, strict=True) if ok and c not in known}))
-        self._any(list({c for c, ok in zip(core, plain, strict=True) if not ok and c not in known} | ({r for r in rest if r} - known.keys())))
-        known[""] = -1
+        self._any(list({c for c, ok in zip(core, plain, strict=True) if not ok and c not in known} | {r for r in set(rest) if r and r not in known}))
         pair = np.empty((len(new), 2), np.int64)
-        pair[:, 0] = [known[c] for c in core]
-        pair[:, 1] = [known[r] for r in rest]
-        del known[""]
-        start = np.append(self.parts.start[:self.parts.size], 0)[pair]
-        count = np.append(self.parts.count[:self.parts.size], 0)[pair]
+        pair[:, 0] = list(map(known.__getitem__, core))
+        pair[:, 1] = list(map(known.__getitem__, rest))
+        start, count = self.parts.start[pair], self.parts.count[pair]
         n = self.words.size
         self.words.add(new, self.parts.ids[spread(start.ravel(), count.ravel())], count.sum(axis=1))
         while self.words.size > len(self.stop):
@@ -124,23 +124,24 @@ class WordEncoder:
         return out
 
     def _ordinary(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
-        split = [t.lower().split() for t in texts]
-        words = list(itertools.chain.from_iterable(split))
+        split = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.large_binary()).view(pa.large_string())))
+        coded = split.values.dictionary_encode()  # so that each distinct word is looked up once
+        words = coded.dictionary.view(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
         if self.words.size > CACHE:
             self.reset()
-        w = np.fromiter(map(self.words.index.get, words, itertools.repeat(-1)), np.int64, len(words))
-        missing = np.flatnonzero(w < 0)
+        at = np.fromiter(map(self.words.index.get, words, itertools.repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(at < 0)
         if len(missing):
-            new = [words[i] for i in missing.tolist()]
-            self.learn(list(set(new)))
-            w[missing] = list(map(self.words.index.__getitem__, new))
+            n = self.words.size
+            self.learn([words[i] for i in missing.tolist()])
+            at[missing] = np.arange(n, n + len(missing))
+        w = at[coded.indices.to_numpy()]
         count = self.words.count[w]
         end = np.cumsum(count)
         ids = self.words.ids[spread(self.words.start[w], count)]
         stop = self.stop[w]
-        last = np.cumsum([len(x) for x in split])
         out, a, before = [], 0, 0
-        for b in last.tolist():
+        for b in split.offsets.to_pylist()[1:]:
             upto = int(end[b - 1]) if b else 0
             out.append((ids[before:upto], end[a:b][stop[a:b]] - before))
             a, before = b, upto
