@@ -85,15 +85,17 @@ class Vocabulary:
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(indices of the hashes that are prefixes of pieces, their slots)."""
         slot = (h >> X.U(40)).astype(np.int32) & (TABLE - 1)
-        found = np.full(len(h), -1, np.int32)
-        left = np.arange(len(h))
+        held = self.table[slot]
+        same = held == h
+        found = np.where(same, slot, np.int32(-1))
+        left = np.flatnonzero(~same & (held != 0))
         while len(left):
+            slot[left] = (slot[left] + 1) & (TABLE - 1)
             at = slot[left]
             held = self.table[at]
             same = held == h[left]
             found[left[same]] = at[same]
             left = left[~same & (held != 0)]
-            slot[left] = (slot[left] + 1) & (TABLE - 1)
         hit = np.flatnonzero(found >= 0)
         return hit, found[hit]
 
@@ -154,7 +156,11 @@ def units(buf: np.ndarray, off: np.ndarray):
 def lattice_of(vocab: Vocabulary, buf: np.ndarray, off: np.ndarray):
     """(lattice of the rows' distinct words, word of each occurrence, occurrences of each row)."""
     text, start, end, row, value = units(buf, off)
-    _, first, word = np.unique(value, return_index=True, return_inverse=True)
+    turn = np.argsort(value)
+    value = value[turn]
+    head = np.diff(value, prepend=~value[:1]) != 0
+    first, word = turn[head], np.empty(len(turn), np.int64)
+    word[turn] = np.cumsum(head) - 1
     raw = text[_spread(start[first], (end - start)[first])]
     points = np.concatenate([[0], np.cumsum(~X.CONT[raw])])
     size = np.diff(points[np.concatenate([[0], np.cumsum((end - start)[first])])])
@@ -221,25 +227,27 @@ class Lattice:
         far = left[self.source]
         turn = np.argsort(far.astype(np.int16) if not n or left.max() < 1 << 15 else far, kind="stable")
         far = far[turn]
-        cuts = np.flatnonzero(np.diff(far, prepend=-1))
-        levels = [turn[a:b] for a, b in zip(cuts.tolist(), np.append(cuts[1:], len(turn)).tolist(), strict=False)]
-        self.chance = self._scaled(weight, length, levels, n)
+        cuts = np.append(np.flatnonzero(np.diff(far, prepend=-1)), len(turn))
+        self.chance = self._scaled(weight, length, turn, cuts, n)
         if self.chance is None:
-            self.chance = self._logged(weight, levels, n)
+            self.chance = self._logged(weight, np.split(turn, cuts[1:-1]), n)
 
-    def _scaled(self, weight, length, levels, n):
+    def _scaled(self, weight, length, turn, cuts, n):
         """Chances from backward sums scaled by a factor a character; None if they leave the range of doubles."""
         with np.errstate(over="ignore", under="ignore", invalid="ignore", divide="ignore"):
-            lift = np.exp(weight + SCALE * length)
+            v, source, target = np.exp(weight + SCALE * length)[turn], self.source[turn], self.target[turn]
+            head = np.flatnonzero(np.diff(source, prepend=-1))
+            starts, heads = source[head], np.searchsorted(head, cuts).tolist()
             total = np.ones(n)
-            for e in levels:
-                v = lift[e] * total[self.target[e]]
-                s = self.source[e]
-                head = np.flatnonzero(np.diff(s, prepend=-1))
-                total[s[head]] = np.add.reduceat(v, head)
+            for a, b, i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), heads[:-1], heads[1:], strict=True):
+                v[a:b] *= total[target[a:b]]
+                total[starts[i:j]] = np.add.reduceat(v[a:b], head[i:j] - a)
             if not (np.isfinite(total).all() and total.min(initial=1.0) > 1e-290):
                 return None
-            return lift * total[self.target] / total[self.source]
+            v /= total[source]
+            chance = np.empty(len(v))
+            chance[turn] = v
+            return chance
 
     def _logged(self, weight, levels, n):
         beta = np.zeros(n)
@@ -272,7 +280,7 @@ class Texts:
         self.first = np.cumsum(count) - count
         self.place = np.arange(len(word)) - self.first[self.doc]
         self.seed = seed
-        self.turn = np.argsort(word, kind="stable")  # equal words together: the lattice is read in order
+        self.turn = np.argsort(word)  # equal words together: the lattice is read in order
 
     def walk(self, sample: int, occ: np.ndarray, node: np.ndarray, step: np.ndarray):
         """Draw edges from ``node`` to the end of each occurrence's word.
@@ -287,33 +295,39 @@ class Texts:
             turn = turn[turn >= 0]
         else:
             turn = self.turn
-        occ, node, step = occ[turn], node[turn], step[turn]
-        end = lat.end[self.word[occ]]
-        live = np.flatnonzero(node < end)
-        occ, node, step, end = occ[live], node[live], step[live], end[live]
+        occ, node = occ[turn], node[turn]
         begin = np.zeros(len(self.word), np.int64)
-        begin[occ] = step
-        seeds = self.seed[self.doc[occ]] + mark(0, sample) + mark(1, self.place[occ])
+        begin[occ] = step[turn]
+        seeds = self.seed[self.doc[occ]] + mark(0, sample) + mark(1, self.place[occ]) + mark(2, begin[occ])
         taken = []
-        while len(occ):
+        while True:
             edge, last = lat.first[node], lat.first[node + 1] - 1
-            rest = uniform(seeds + mark(2, step)) - lat.chance[edge]
+            live = np.flatnonzero(edge <= last)  # a word's end has no edges
+            if not len(live):
+                break
+            if len(live) < len(occ):
+                occ, edge, last, seeds = occ[live], edge[live], last[live], seeds[live]
+            rest = uniform(seeds) - lat.chance[edge]
             more = np.flatnonzero((rest >= 0) & (edge < last))
+            at, left, last = edge[more], rest[more], last[more]
             while len(more):
-                edge[more] += 1
-                rest[more] -= lat.chance[edge[more]]
-                more = more[(rest[more] >= 0) & (edge[more] < last[more])]
-            taken.append((occ, step, edge))
+                at += 1
+                left -= lat.chance[at]
+                on = np.flatnonzero((left >= 0) & (at < last))
+                edge[more] = at
+                more, at, left, last = more[on], at[on], left[on], last[on]
+            taken.append((occ, edge))
             node = lat.target[edge]
-            live = np.flatnonzero(node < end)
-            occ, node, step, end, seeds = occ[live], node[live], step[live] + 1, end[live], seeds[live]
+            seeds = seeds + mark(2, 1)
         if not taken:
             return (np.zeros(0, np.int64),) * 3
-        occ, step, edge = (np.concatenate(x) for x in zip(*taken, strict=True))
-        count = np.bincount(occ, minlength=len(self.word))
-        order = np.empty(len(occ), np.int64)
-        order[(np.cumsum(count) - count)[occ] + step - begin[occ]] = np.arange(len(occ))
-        return occ[order], step[order], edge[order]
+        count = np.bincount(np.concatenate([o for o, _ in taken]), minlength=len(self.word))
+        start = np.cumsum(count) - count
+        edges = np.empty(int(count.sum()), np.int64)
+        for i, (o, edge) in enumerate(taken):
+            edges[start[o] + i] = edge
+        occ = np.repeat(np.arange(len(count)), count)
+        return occ, np.arange(len(occ)) + (begin - start)[occ], edges
 
     def siblings(self, sample: int, occ, step, edge, level, top):
         """The edges not taken beside each taken one: (index of the taken one, edge, log probability of
@@ -353,9 +367,10 @@ def sample_texts(texts: Texts, k: int):
         cut = np.searchsorted(doc, np.arange(n + 1))
         level = (prefix - upto[cut[:-1]])[doc] + upto[:-1]  # log probability up to each edge's start
         total = prefix + upto[cut[1:]] - upto[cut[:-1]]
+        new = (texts.place[occ], step, edge)
+        ends = cut.tolist()
         for d in live.tolist():
-            a, b = int(cut[d]), int(cut[d + 1])
-            mine = (texts.place[occ[a:b]], step[a:b], edge[a:b])
+            mine = tuple(x[ends[d]:ends[d + 1]] for x in new)
             if stem[d] is not None:
                 mine = tuple(np.concatenate(x) for x in zip(stem[d], mine, strict=True))
             paths[d][r] = mine
