@@ -21,6 +21,13 @@ def ids_of(texts):
     return [tok.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
 
 
+def test_white_space_at_the_ends_and_words_seen_before():
+    texts = ["", " ", "\n\t\x0b\x0c\r", "  Lead and trail  ", "a\x0bB\x0cc\r\nd\te", "\x1cx\x1d y\x85z w v", "...", " ... ÄRGER! ", "a" * 5000]
+    coder = packing.WordEncoder(PATH)
+    for batch in (texts, texts[::-1] * 2):
+        assert [ids.tolist() + [2] for ids, _ in coder.encode([t.encode() for t in batch])] == ids_of(batch)
+
+
 def test_round_trip(frame):
     rows = [(i, t) for i, (_, t) in enumerate(corpus(seed=2))] + [(None, "no key")]
     rows += [(5000, "Don't STOP! 12.5 «fin» <|endoftext|> İstanbul ŒUVRE ﬁn 日本語。 ''s  x")]
