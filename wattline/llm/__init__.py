@@ -9,7 +9,9 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 _SHIPPED: set[str] = set()
@@ -17,11 +19,21 @@ _SHIPPED: set[str] = set()
 
 def tidy() -> None:
     """Hand freed memory back to the system: Python workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:
         trim(0)
 
 
+def tidied(task: Callable) -> Callable:
+    """``task``, a generator for ``mapInArrow``, with a :func:`tidy` after it, when its variables are gone."""
+    def run(batches):
+        yield from task(batches)
+        tidy()
+
+    return run
+
+
 def shipped(df: DataFrame) -> DataFrame:
     """``df``, once the package's source has been handed to its session's executors.
 

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm import shipped, tidy
+from wattline.llm import shipped, tidied, tidy
 from wattline.llm import text as X
 from wattline.session import checkpoint_dir
 
@@ -54,11 +54,10 @@ def make_batches(docs: DataFrame, key: str, column: str, keep: tuple[str, ...] =
             for a, b in X.slices(off, BATCH_BYTES):
                 yield _batch(serial, rb.slice(a, b - a), names, note)
                 serial += 1
-        tidy()
 
     source = shipped(docs).select(docs[key].cast("long").alias("_key"), docs[column].alias("_text"),
                                   *(docs[c].alias(n) for c, n in zip(keep, names, strict=True)))
-    return stage(source.mapInArrow(run, BATCH))
+    return stage(source.mapInArrow(tidied(run), BATCH))
 
 
 def _batch(serial, rows: pa.RecordBatch, names: list[str], note: Callable | None = None):
@@ -104,7 +103,6 @@ def batches_of(record_batches) -> Iterator[Batch]:
     for rb in record_batches:
         for i in range(rb.num_rows):
             yield Batch({n: rb.column(j)[i].as_py() for j, n in enumerate(rb.schema.names)})
-    tidy()
 
 
 def bucket_bits(batches: DataFrame) -> int:
@@ -138,7 +136,7 @@ def replies(batches: DataFrame, question: Callable, answer: Callable, read: Call
         return pa.table([pa.array([i for i, _ in kept], pa.int64()), pa.array([bucket] * len(kept), pa.int32()),
                          pa.array([a for _, a in kept], pa.binary())], names=["batch_id", "bucket", "answer"])
 
-    sent = batches.mapInArrow(send, "bucket int, batch_id long, payload binary")
+    sent = batches.mapInArrow(tidied(send), "bucket int, batch_id long, payload binary")
     return sent.groupBy("bucket").applyInArrow(reply, "batch_id long, bucket int, answer binary")
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattline.llm import shipped, tidy
+from wattline.llm import shipped, tidied
 
 PIECE = 1024     # bytes compressed at once: the dictionary counts on each piece, so long texts are judged evenly
 OTHER = re.compile(r"[\W\d_]+")
@@ -112,9 +112,8 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], key: str = "doc_id
                 [batch.column(i) for i in range(len(names))]
                 + [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(accepted, pa.bool_())],
                 names=[*names, "lang_pred", "score", "accepted"])
-        tidy()
 
     fields = [T.StructField(docs.schema[c].name, docs.schema[c].dataType, True) for c in names]
     schema = T.StructType([*fields, *T.StructType.fromDDL("lang_pred string, score double, accepted boolean").fields])
     letter = F.coalesce(F.col(column).rlike(r"\p{L}"), F.lit(False)).alias("_letter")
-    return shipped(docs).select(*names, F.col(column).alias("_text"), letter).mapInArrow(run, schema)
+    return shipped(docs).select(*names, F.col(column).alias("_text"), letter).mapInArrow(tidied(run), schema)

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from wattline.llm import exchange as E
 from wattline.llm import text as X
+from wattline.llm import tidied
 from wattline.llm import trie as R
 
 PRIOR = 100.0
@@ -208,4 +209,4 @@ def score(docs: DataFrame, key: str = "doc_id", column: str = "text", folds: int
                 names=[key, *(f.name for f in fields)])
 
     fields = T.StructType.fromDDL(OUTPUT).fields
-    return found.mapInArrow(final, T.StructType([T.StructField(key, T.LongType(), True), *fields]))
+    return found.mapInArrow(tidied(final), T.StructType([T.StructField(key, T.LongType(), True), *fields]))

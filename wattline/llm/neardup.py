@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from wattline.llm import exchange as E
 from wattline.llm import text as X
+from wattline.llm import tidied
 from wattline.llm.components import components
 
 CHUNKS, WIDTH = 11, 5
@@ -164,7 +165,7 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", column: str = "text", shin
                     [pa.array(text, pa.binary()).view(pa.string()) if c == column else kept[c].take(take) for c in names], names=names)
 
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema])
-    return batches.join(places, "batch_id").mapInArrow(restore, schema)
+    return batches.join(places, "batch_id").mapInArrow(tidied(restore), schema)
 
 
 def _labelled(batches: DataFrame, key: str, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -177,7 +178,7 @@ def _labelled(batches: DataFrame, key: str, shingle: int, percent: int) -> tuple
 
     kind = T.StructField(key, T.LongType(), True)
     address = T.StructField("batch_id", T.LongType(), True)
-    rows = E.stage(batches.mapInArrow(profile, T.StructType([kind, address, *T.StructType.fromDDL(PROFILE).fields])))
+    rows = E.stage(batches.mapInArrow(tidied(profile), T.StructType([kind, address, *T.StructType.fromDDL(PROFILE).fields])))
     classes = E.stage(rows.where("n_shingles > 0").groupBy("cls")
                       .agg(F.min(key).alias("least_key"), F.min(F.struct(F.col(key).isNull().alias("keyless"), F.col(key).alias("least"), "batch_id", "row")).alias("at"),
                            F.first("n_shingles").alias("size"), F.first("signature").alias("signature")))
@@ -251,7 +252,7 @@ def _shared_keys(classes: DataFrame) -> DataFrame:
                      pa.array([b"".join(p.column(1).to_pylist())], pa.binary())], names=["batch_id", "n_bytes", "cls", "signature"])
                 serial += 1
 
-    packs = E.stage(classes.select("cls", "signature", F.coalesce("least_key", F.lit(E.LAST)).alias("least_key")).mapInArrow(store, "batch_id long, n_bytes long, cls binary, signature binary"))
+    packs = E.stage(classes.select("cls", "signature", F.coalesce("least_key", F.lit(E.LAST)).alias("least_key")).mapInArrow(tidied(store), "batch_id long, n_bytes long, cls binary, signature binary"))
     shared = E.Shared(E.bucket_bits(packs))
 
     def question(pack):
@@ -265,7 +266,7 @@ def _shared_keys(classes: DataFrame) -> DataFrame:
                 [pa.array(pack.keys[hit].view(np.int64)), pa.array((hit % KEYS).astype(np.int32)), pa.array(pack.cls[hit // KEYS]),
                  pa.array(pack.least[hit // KEYS])], names=["key", "place", "cls", "least_key"])
 
-    return E.stage(E.told(packs, E.ask(packs, question, shared.answer, _packs)).mapInArrow(give, "key long, place int, cls long, least_key long"))
+    return E.stage(E.told(packs, E.ask(packs, question, shared.answer, _packs)).mapInArrow(tidied(give), "key long, place int, cls long, least_key long"))
 
 
 def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -280,7 +281,7 @@ def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([p.column(0).filter(ok), p.column(1).filter(ok)], names=["a", "b"])
 
     sized = pairs.join(b, "b").join(a, "a").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    return sized.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+    return sized.select("a", "b", "sa", "sb").mapInArrow(tidied(run), "a long, b long")
 
 
 def _rest(keyed: DataFrame, parts: DataFrame, classes: DataFrame, batches: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -337,7 +338,7 @@ def _fetch(wanted: DataFrame, classes: DataFrame, batches: DataFrame, shingle: i
                 cls = pa.array([batch.answers[r] for r in at[a:b].tolist()], pa.int64())
                 yield pa.RecordBatch.from_arrays(make(cls, gram, ends), names=names)
 
-    return batches.join(places, "batch_id").mapInArrow(fetch, schema)
+    return batches.join(places, "batch_id").mapInArrow(tidied(fetch), schema)
 
 
 def _confirm(pairs: DataFrame, classes: DataFrame, batches: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -361,4 +362,4 @@ def _confirm(pairs: DataFrame, classes: DataFrame, batches: DataFrame, shingle:
 
     full = (pairs.join(sets.select(F.col("cls").alias("b"), F.col("members").alias("sb")), "b")
             .join(sets.select(F.col("cls").alias("a"), F.col("members").alias("sa")), "a").select("a", "b", "sa", "sb"))
-    return full.mapInArrow(check, "a long, b long")
+    return full.mapInArrow(tidied(check), "a long, b long")

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from wattline.llm import shipped, tidy
+from wattline.llm import shipped, tidied
 from wattline.llm import text as X
 
 SENTENCE_CUT = 8     # penalty in tokens of a cut at a sentence end
@@ -187,7 +187,7 @@ _ENCODERS: dict[str, WordEncoder] = {}
 
 
 def encoder(path: str) -> WordEncoder:
-    """The worker process's encoder: later tasks find the words that earlier ones learnt."""
+    """The worker process's encoder: later tasks find its tokenizer, and the words that earlier ones learnt."""
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
     return _ENCODERS[path]
@@ -267,7 +267,7 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", column: str = "te
     the words they have learnt for later tasks: faster, for about 150 MB each."""
 
     def run(batches):
-        coder = encoder(tokenizer) if remember else WordEncoder(tokenizer)
+        coder = encoder(tokenizer)
         serial = itertools.count(TaskContext.get().partitionId() << 40)
         held = _Held(key, capacity, end_id, serial)
         for batch in batches:
@@ -279,11 +279,12 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", column: str = "te
                     if held.size >= BLOCK:
                         yield from held.flush(last=False)
         yield from held.flush(last=True)
-        tidy()
+        if not remember:
+            coder.reset()
 
     kind = T.StructField(key, docs.schema[key].dataType, True)
     schema = T.StructType([kind, *T.StructType.fromDDL(OUTPUT).fields])
-    return shipped(docs).select(key, docs[column].alias("_text")).mapInArrow(run, schema)
+    return shipped(docs).select(key, docs[column].alias("_text")).mapInArrow(tidied(run), schema)
 
 
 class _Held:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from wattline.llm import shipped, tidy
+from wattline.llm import shipped, tidied
 from wattline.llm import text as X
 
 #: Limits: share of word characters inside later occurrences of n-grams, and
@@ -118,8 +118,7 @@ def repetition_rules(docs: DataFrame, key: str = "doc_id", column: str = "text",
                 cols = [pa.array(v) for v in m.values()]
                 cols.insert(6, lists)
                 yield pa.RecordBatch.from_arrays([batch.column(i).slice(a, b - a) for i in range(len(names))] + cols, names=schema.names)
-        tidy()
 
     fields = [docs.schema[c] for c in names] + T.StructType.fromDDL(SCHEMA).fields
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
-    return shipped(docs).select(*names, docs[column].alias("_text")).mapInArrow(run, schema)
+    return shipped(docs).select(*names, docs[column].alias("_text")).mapInArrow(tidied(run), schema)

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from wattline.llm import exchange as E
 from wattline.llm import text as X
+from wattline.llm import tidied
 
 OUTPUT = "n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept_text string"
 
@@ -147,7 +148,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", column: str = "text", w
                 gone = np.cumsum(step)[:len(s)] > 0
             yield _cut_rows(batch, s, e, row, first, gone, key)
 
-    return found.mapInArrow(cut, T.StructType([kind, *T.StructType.fromDDL(OUTPUT).fields]))
+    return found.mapInArrow(tidied(cut), T.StructType([kind, *T.StructType.fromDDL(OUTPUT).fields]))
 
 
 def _cut_rows(batch, s, e, row, first, gone, key):

@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 from wattline.llm import exchange as E
 from wattline.llm import text as X
+from wattline.llm import tidied
 
 LENGTH = 50
 GRAM = 16
@@ -467,7 +468,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", column: str = "text", k
                 np.add.at(step, at + E.unplanes(length, np.int64), -1)
             yield _cut_rows(batch, np.cumsum(step[:size]) > 0, names, as_text)
 
-    return found.mapInArrow(cut, T.StructType(fields))
+    return found.mapInArrow(tidied(cut), T.StructType(fields))
 
 
 def spread(start: np.ndarray, count: np.ndarray) -> np.ndarray:
