@@ -43,3 +43,25 @@ def test_packing_leaves_no_words_and_one_tokenizer(spark, frame, monkeypatch):
     first, second = (pa.Table.from_batches(tasks[0](iter([batch]))) for _ in range(2))
     assert first.equals(second) and set(first["doc_id"].to_pylist()) == {1, 2}
     assert left == [[], []] and len(loaded) == 1
+
+
+def test_a_task_that_forgets_holds_few_words(spark, frame, monkeypatch):
+    docs = frame([(1, "a")])
+    tasks, held = [], []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, task, schema: tasks.append(task))
+    for remember in (True, False):
+        packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), remember=remember)
+    monkeypatch.undo()
+    learn = packing.WordEncoder.learn
+    monkeypatch.setattr(packing.WordEncoder, "learn", lambda self, new: learn(self, new) or held.append(self.words.size))
+    monkeypatch.setattr(packing, "_ENCODERS", {})
+    monkeypatch.setattr(packing, "SLICE", 1)  # a text at once
+    monkeypatch.setattr(packing, "TASK_CACHE", 8, raising=False)
+    monkeypatch.setattr(packing, "TaskContext", type("Context", (), {"get": lambda: type("Task", (), {"partitionId": lambda: 0})}))
+    texts = [" ".join(f"w{i}x{j}." for j in range(5)) + " w0x0." for i in range(6)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(texts)], names=["doc_id", "_text"])
+    for task, most in ((tasks[0], 31), (tasks[1], 14)):
+        held.clear()
+        rows = pa.Table.from_batches(task(iter([batch])))
+        assert max(held) <= most
+    assert rows.equals(pa.Table.from_batches(tasks[0](iter([batch]))))

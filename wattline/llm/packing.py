@@ -30,6 +30,7 @@ PER_SEQUENCE = 32    # of each sequence, so that few full ones beat many short o
 STRIDE = 128         # a hard cut is offered where no boundary comes within so many tokens
 BLOCK = 1 << 20      # tokens planned at once
 CACHE = 1 << 20      # words remembered by a worker process
+TASK_CACHE = 1 << 18  # of them by a task that forgets its words
 SLICE = 2 << 20      # bytes encoded at once
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
 OUTPUT = "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -49,6 +50,7 @@ class WordEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
+        self.most = CACHE
         added = self.tok.get_added_tokens_decoder()
         self.special = {t.content.encode(): i for i, t in added.items()}
         self.at_special = re.compile(b"(" + b"|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + b")") if added else None
@@ -127,7 +129,7 @@ class WordEncoder:
         split = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.large_binary()).view(pa.large_string())))
         coded = split.values.dictionary_encode()  # so that each distinct word is looked up once
         words = coded.dictionary.view(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
-        if self.words.size > CACHE:
+        if self.words.size > self.most:
             self.reset()
         at = np.fromiter(map(self.words.index.get, words, itertools.repeat(-1)), np.int64, len(words))
         missing = np.flatnonzero(at < 0)
@@ -268,6 +270,7 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", column: str = "te
 
     def run(batches):
         coder = encoder(tokenizer)
+        coder.most = CACHE if remember else TASK_CACHE
         serial = itertools.count(TaskContext.get().partitionId() << 40)
         held = _Held(key, capacity, end_id, serial)
         for batch in batches:
