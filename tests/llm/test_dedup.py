@@ -4,6 +4,7 @@ import collections
 
 import pytest
 from llm.cases import LAST, LOW, corpus, data
+from pyspark.sql import functions as F
 
 from wattline.llm import neardup, substrings, suffix
 
@@ -102,6 +103,62 @@ def test_suffix_phrase_in_many_contexts_is_no_hot_group(frame, monkeypatch):
     assert sum(len(t) for _, t in rows[3000:]) < sum(texts.values()) and max(texts.values()) <= 20_000
 
 
+def test_suffix_messages_of_a_large_corpus(frame, monkeypatch):
+    rows = corpus(seed=6)
+    make, replies, asked = suffix.E.make_batches, suffix.E.replies, []
+
+    def as_large(*args, **kwargs):  # batches that say they are 10 GB
+        batches = make(*args, **kwargs)
+        share = (10 << 30) // batches.count()
+        return batches.withColumn("n_bytes", F.lit(share))
+
+    monkeypatch.setattr(suffix.E, "make_batches", as_large)
+    monkeypatch.setattr(suffix.E, "replies", lambda batches, question, *rest: (asked.append((batches, question)), replies(batches, question, *rest))[1])
+    got = suffix.remove_repeats(frame(rows).repartition(4)).collect()
+    got = sorted(((r["doc_id"], r["n_bytes"], r["n_removed"], len(r["spans"]), bytes(r["kept"])) for r in got), key=repr)
+    assert got == brute_bytes(rows)
+    for batches, question in asked:
+        for batch in suffix.E.batches_of(batches.toArrow().to_batches()):
+            assert 0 < len(list(question(batch))) <= 256
+
+
+def test_suffix_arrays_take_only_texts_that_share_their_anchor(frame, monkeypatch):
+    import random
+    rng = random.Random(2)
+    some = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    passage = some(4000)
+    rows = [(i, some(100) + passage + some(100)) for i in range(8)]
+    asked, ask = [], suffix.E.ask
+    monkeypatch.setattr(suffix.E, "ask", lambda *args: (asked.append(args), ask(*args))[1])
+    got = suffix.remove_repeats(frame(rows).repartition(4)).collect()
+    got = sorted(((r["doc_id"], r["n_bytes"], r["n_removed"], len(r["spans"]), bytes(r["kept"])) for r in got), key=repr)
+    assert got == brute_bytes(rows)
+    batches, runs, judge = asked[-1]
+    sent, laid, least = collections.defaultdict(list), [], suffix.least_owner
+    monkeypatch.setattr(suffix, "least_owner", lambda buf, *rest: (laid.append(len(buf)), least(buf, *rest))[1])
+    for batch in suffix.E.batches_of(batches.toArrow().to_batches()):
+        for bucket, payload in runs(batch):
+            sent[bucket].append(payload)
+    assert any([a for bucket, payloads in sent.items() for a in judge(bucket, payloads)])
+    assert sum(laid) < 4000 < sum(int(suffix.E.unplanes(suffix.E.split_parts(p)[1], "int64").sum()) for x in sent.values() for p in x)
+
+
+def test_suffix_spans_join_inside_rows_only():
+    import numpy as np
+    at, end, row = np.array([50, 10, 0, 60, 60, 70]), np.array([60, 40, 20, 65, 70, 75]), np.array([0, 0, 0, 1, 1, 1])
+    got = suffix.joined(at, end, row)
+    assert [x.tolist() for x in got] == [[0, 50, 60], [40, 60, 75], [0, 0, 1]]
+
+
+@pytest.mark.parametrize("bits", [8, 30])  # place and name in one number, or not
+def test_suffix_names_are_sorted_and_stable(bits):
+    import numpy as np
+    value = np.random.default_rng(1).integers(0, 1 << 63, 50).astype(np.uint64)[np.random.default_rng(2).integers(0, 50, 400)]
+    order, name = suffix.by_name(value, bits)
+    want = value >> np.uint64(32 - bits)
+    assert order.tolist() == sorted(range(400), key=lambda i: (want[i], i)) and name.tolist() == want[order].tolist()
+
+
 def test_suffix_shards_merge_by_binary_search(frame, monkeypatch):
     monkeypatch.setattr(suffix, "SHARD", 700)  # many shards in a bucket's part
     import numpy as np

@@ -42,16 +42,18 @@ def stage(df: DataFrame) -> DataFrame:
 
 
 def make_batches(docs: DataFrame, key: str, column: str, keep: tuple[str, ...] = (),
-                 note: Callable | None = None) -> DataFrame:
-    """Documents as stored batches, with the columns of ``keep``; a long document is a batch of its
-    own.  ``note(keys, bytes, offsets)`` gives numbers stored with each batch."""
+                 note: Callable | None = None, size: int | None = None) -> DataFrame:
+    """Documents as stored batches of ``size`` bytes (default: ``BATCH_BYTES``), with the columns of
+    ``keep``; a long document is a batch of its own.  ``note(keys, bytes, offsets)`` gives numbers
+    stored with each batch."""
+    size = size or BATCH_BYTES
     names = [f"_k{i}" for i in range(len(keep))]
 
     def run(record_batches):
         serial = TaskContext.get().partitionId() << 32
         for rb in record_batches:
             _, off = X.utf8(rb.column(1))
-            for a, b in X.slices(off, BATCH_BYTES):
+            for a, b in X.slices(off, size):
                 yield _batch(serial, rb.slice(a, b - a), names, note)
                 serial += 1
 
@@ -105,10 +107,18 @@ def batches_of(record_batches) -> Iterator[Batch]:
             yield Batch({n: rb.column(j)[i].as_py() for j, n in enumerate(rb.schema.names)})
 
 
+def text_bytes(batches: DataFrame) -> int:
+    return batches.agg(F.sum("n_bytes")).first()[0] or 0
+
+
+def bits_for(total: int, each: int, least: int) -> int:
+    """Bits of a number that deals ``total`` bytes out by ``each``, ``least`` bits at least."""
+    return max(least, math.ceil(math.log2(total / each))) if total else least
+
+
 def bucket_bits(batches: DataFrame) -> int:
     """Bits of a bucket number, so that a bucket stands for ``BUCKET_BYTES`` of text."""
-    total = batches.agg(F.sum("n_bytes")).first()[0] or 0
-    return max(LEAST_BITS, math.ceil(math.log2(max(total, 1) / BUCKET_BYTES))) if total else LEAST_BITS
+    return bits_for(text_bytes(batches), BUCKET_BYTES, LEAST_BITS)
 
 
 def replies(batches: DataFrame, question: Callable, answer: Callable, read: Callable = None) -> DataFrame:

@@ -11,11 +11,17 @@ a document with a smaller key.
    Where an anchor's distinct run texts are many, each of its windows is a run
    of its own and goes by the hash of all its bytes; again, windows that only
    one document holds are left out first.
-3. A bucket lays its distinct run texts into shards.  Each shard gets a suffix
+3. A bucket keeps each run text once, with its least owner.  A text alone with
+   its anchor has equal windows nowhere else.  Texts that share their anchor
+   are laid into shards, an anchor's next to each other.  Each shard gets a suffix
    array by Larsson-Sadakane refinement (only groups not yet told apart are
    sorted again, by rank pairs at doubled distance), common prefixes by
-   Kasai's recurrence, and so classes of equal windows; shards are merged by
-   binary search of their sorted classes.  Bytes are compared, not hashes.
+   Kasai's recurrence, and so classes of equal windows; the shards of one large
+   anchor are merged by binary search of their sorted classes.  Bytes are
+   compared, not hashes.
+
+Batches and buckets are large, so that messages between them stay few; a
+bucket is judged in parts, so that its memory stays small.
 """
 
 from __future__ import annotations
@@ -32,12 +38,14 @@ from wattline.llm import text as X
 from wattline.llm import tidied
 
 LENGTH = 50
-GRAM = 16
+GRAM = 24
 SHARD = 512 << 10  # bytes in a suffix array
-SEGMENT = 1 << 20  # bytes hashed at once
+SEGMENT = 1 << 17  # bytes hashed at once
+BATCH = 8 << 20    # bytes of a batch
+BUCKET = 64 << 20  # corpus bytes per bucket
+PART = 8 << 20     # corpus bytes per part of a bucket; parts are judged one after the other
 HOT = 1 << 20     # bytes of run texts, distinct within their batches, that one anchor may bring to a bucket
 PLAIN = 2 * LENGTH - GRAM  # bytes of an anchor's longest run text, unless its gram comes again
-PART_BITS = 4     # a bucket's anchors fall into so many bits' parts, judged one after the other
 
 OUTPUT = "n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept"
 
@@ -201,14 +209,6 @@ def least_owner(buf: np.ndarray, window: np.ndarray, owner: np.ndarray, cuts: li
 
 # --- anchors and runs --------------------------------------------------------
 
-def long_row(data: np.ndarray):
-    """(first window, anchor of each window) of one row, segment by segment."""
-    n = len(data) - LENGTH + 1
-    for a in range(0, n, SEGMENT):
-        b = min(a + SEGMENT, n)
-        yield a, window_anchors(data[a:b + LENGTH - 1])
-
-
 def window_anchors(part: np.ndarray) -> np.ndarray:
     """The least gram hash of each window."""
     g = X.mix(X.rolling(X.RND[part], GRAM))
@@ -226,69 +226,104 @@ def changes(values: np.ndarray) -> np.ndarray:
 
 
 def row_runs(batch: E.Batch):
-    """(rows, first windows, window counts, anchor hashes) of all runs of a batch, short rows grouped."""
-    rows, starts, counts, values = [], [], [], []
-    for a, b in X.slices(batch.off, SEGMENT):
-        if b - a == 1:
-            for first, v in long_row(batch.buf[batch.off[a]:batch.off[b]]):
-                c = changes(v)
-                rows.append(np.full(len(c), a))
-                starts.append(c + first)
-                counts.append(np.diff(np.append(c, len(v))))
-                values.append(v[c])
-            continue
-        base = batch.off[a]
-        part = batch.buf[base:batch.off[b]]
-        if len(part) < LENGTH:
-            continue
-        v = window_anchors(part)
-        at = np.arange(len(v))
-        row = np.repeat(np.arange(a, b), np.diff(batch.off[a:b + 1]))[:len(v)]
-        inside = at + LENGTH <= batch.off[row + 1] - base
-        at, row, v = at[inside], row[inside], v[inside]
-        if not len(at):
-            continue
-        c = np.concatenate([[0], np.flatnonzero((v[1:] != v[:-1]) | (row[1:] != row[:-1])) + 1])
-        rows.append(row[c])
-        starts.append(at[c] - (batch.off[row[c]] - base))
-        counts.append(np.diff(np.append(c, len(v))))
+    """(rows, first windows, window counts, anchor hashes) of all runs of a batch, in order."""
+    n, off = len(batch.buf) - LENGTH + 1, batch.off
+    ends = np.maximum(off[1:] - LENGTH + 1, off[:-1])  # the first place after each row's windows
+    breaks = np.unique(np.concatenate([off[:-1], ends]))
+    starts, values = [np.zeros(0, np.int64)], [np.zeros(0, X.U)]
+    for a in range(0, n, SEGMENT):
+        v = window_anchors(batch.buf[a:min(a + SEGMENT, n) + LENGTH - 1])
+        new = np.ones(len(v), bool)
+        np.not_equal(v[1:], v[:-1], out=new[1:])
+        i, j = np.searchsorted(breaks, [a, a + len(v)])
+        new[breaks[i:j] - a] = True
+        c = np.flatnonzero(new)
+        starts.append(c + a)
         values.append(v[c])
-    if not rows:
-        z = np.zeros(0, np.int64)
-        return z, z, z, np.zeros(0, X.U)
-    rows, starts, counts, values = (np.concatenate(x) for x in (rows, starts, counts, values))
-    return rows, starts, counts, X.mix(values + X.U(1))  # least hashes are small: mixed anew, they spread over all buckets
-
-
-def holders(value: np.ndarray, row: np.ndarray):
-    """(distinct values, number of rows that hold each)."""
-    order = np.lexsort((row, value))
-    row, value = row[order], value[order]
-    own = np.ones(len(value), bool)
-    own[1:] = (value[1:] != value[:-1]) | (row[1:] != row[:-1])
-    return np.unique(value[own], return_counts=True)
-
-
-def run_bytes(batch: E.Batch, row, start, count, value):
-    """(anchors in order, bytes of the distinct run texts of each) of the batch's runs."""
-    order = np.argsort(value, kind="stable")
-    first = changes(value[order])
-    runs = np.diff(np.append(first, len(order)))
-    size = count + LENGTH - 1
-    total = size[order[first]]
+    start, value = np.concatenate(starts), np.concatenate(values)
+    count = np.diff(np.append(start, max(n, 0)))
+    row = np.searchsorted(off, start, "right") - 1
+    inside = start < ends[row]
+    row, start = row[inside], start[inside]
+    # least hashes are small: mixed anew, they spread over all buckets
+    return row, start - off[row], count[inside], X.mix(value[inside] + X.U(1))
+
+
+def by_name(value: np.ndarray, bits: int):
+    """(order, names in order): a name is the bucket's bits of a hash and the 32 that follow, as
+    :class:`exchange.Shared` tells hashes apart; equal names stay as they come."""
+    name = value >> X.U(32 - bits)
+    width = len(value).bit_length()
+    if bits + 32 + width > 64:
+        order = np.argsort(name, kind="stable")
+        return order, name[order]
+    key = np.sort((name << X.U(width)) | np.arange(len(value), dtype=X.U))
+    return (key & X.U((1 << width) - 1)).astype(np.int64), key >> X.U(width)
+
+
+def named(names: np.ndarray):
+    """(bucket, slice) of sorted names."""
+    if not len(names):
+        return
+    cuts = changes(names >> X.U(32))
+    top = (names[cuts] >> X.U(32)).astype(np.int64)
+    for bucket, a, b in zip(top.tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(names)], strict=True):
+        yield bucket, slice(a, b)
+
+
+def held(name: np.ndarray, row: np.ndarray):
+    """(place of each distinct name's first, whether several rows hold it) of sorted names, rows in order within each."""
+    first = changes(name)
+    last = first + np.diff(np.append(first, len(name))) - 1
+    return first, row[first] != row[last]
+
+
+def question_of(name: np.ndarray, several: np.ndarray, large: np.ndarray, size: np.ndarray):
+    """(bucket, payload) for each bucket of the sorted distinct names: those that several rows of the
+    batch hold, the others, and which are large, with their sizes."""
+    places = np.flatnonzero(large)
+    for bucket, cut in named(name):
+        low, own = name[cut].astype(np.uint32), several[cut]
+        i, j = np.searchsorted(places, [cut.start, cut.stop])
+        yield bucket, E.join_parts([E.pack(low[own]), E.pack(low[~own]), E.pack(name[places[i:j]].astype(np.uint32)), E.planes(size[places[i:j]])])
+
+
+def shared_names(payloads: list[bytes], hot_bytes: float):
+    """For each payload of a bucket: its names that other rows hold too, and those of them that are hot."""
+    parts = [[E.unpack(x, np.uint32) for x in E.split_parts(p)[:3]] for p in payloads]
+    every = np.sort(np.concatenate([x for known, single, _ in parts for x in (known, single)]))
+    known = np.sort(np.concatenate([x[0] for x in parts]))
+    first = changes(every)
+    heat = np.diff(np.append(first, len(every))) * PLAIN
+    every = every[first]
+    both = (heat > PLAIN) | E.member(every, known)
+    sizes = [E.unplanes(E.split_parts(p)[3], np.int64) for p in payloads]
+    np.add.at(heat, np.searchsorted(every, np.concatenate([x[2] for x in parts])), np.concatenate(sizes) - PLAIN)
+    shared, hot = every[both], every[heat > hot_bytes]
+    for known, single, _ in parts:
+        own = np.sort(np.concatenate([known, single]))
+        own = own[E.member(own, shared)]
+        yield own, own[E.member(own, hot)]
+
+
+def run_bytes(batch: E.Batch, first: np.ndarray, begin: np.ndarray, size: np.ndarray):
+    """Bytes of the distinct run texts of each name; ``first`` has the places of the names' firsts
+    among all texts, which are given by ``begin`` and ``size``."""
+    runs = np.diff(np.append(first, len(begin)))
+    total = size[first]
     many = np.flatnonzero(runs > 1)
     total[many] = 0
-    own = order[spread(first[many], runs[many])]
-    raw, begin = batch.buf.tobytes(), batch.off[row[own]] + start[own]
+    own = spread(first[many], runs[many])
+    raw = batch.buf.tobytes()
     seen: set[bytes] = set()
     new = np.zeros(len(own), bool)
-    for i, (a, b) in enumerate(zip(begin.tolist(), (begin + size[own]).tolist(), strict=True)):
+    for i, (a, b) in enumerate(zip(begin[own].tolist(), (begin[own] + size[own]).tolist(), strict=True)):
         text = raw[a:b]
         if text not in seen:
             seen.add(text)
             new[i] = True
     np.add.at(total, np.repeat(many, runs[many])[new], size[own][new])
-    return value[order[first]], total
+    return total
 
 
 def single_windows(batch: E.Batch, row, start, count):
@@ -303,6 +338,98 @@ def single_windows(batch: E.Batch, row, start, count):
     return row, at - batch.off[row], np.concatenate(values)
 
 
+def part_edges(low: np.ndarray, part_bits: int) -> list[int]:
+    """Where each part of a bucket's sorted anchors begins, and the end."""
+    firsts = np.arange(1, 1 << part_bits, dtype=np.int64) << (32 - part_bits)
+    return [0, *np.searchsorted(low, firsts.astype(np.uint32)).tolist(), len(low)]
+
+
+class Runs:
+    """The runs that a batch has sent to a bucket."""
+
+    def __init__(self, payload: bytes, part_bits: int):
+        body, size, which, low, row, start, owner = E.split_parts(payload)
+        self.body, self.size = E.split_parts(body), E.unplanes(size, np.int64)
+        self.which, self.low = E.unplanes(which, np.uint32), E.unpack(low, np.uint32)
+        self.row, self.start, self.owner = E.unplanes(row, np.uint32), E.unplanes(start, np.int64), E.unplanes(owner, np.int64)
+        self.edges = part_edges(self.low, part_bits)
+
+    def part(self, part: int):
+        """(texts, text of each run, anchors, rows, first windows, owners) of one part."""
+        a, b = self.edges[part:part + 2]
+        which = self.which[a:b]
+        if a == b:
+            return [], which, self.low[a:b], self.row[a:b], self.start[a:b], self.owner[a:b]
+        first, last = int(which.min()), int(which.max()) + 1
+        raw = zstandard.ZstdDecompressor().decompress(self.body[part])
+        ends = np.cumsum(self.size[first:last])
+        texts = [raw[x:y] for x, y in zip((ends - self.size[first:last]).tolist(), ends.tolist(), strict=True)]
+        return texts, which - first, self.low[a:b], self.row[a:b], self.start[a:b], self.owner[a:b]
+
+
+def judge_part(parts: list[tuple]):
+    """(place, (rows, first bytes, lengths)) of the bytes that each of the batches loses, if any.
+
+    A text alone with its anchor has equal windows only in its own copies.  Texts that share their
+    anchor with others go into suffix arrays, an anchor's together, as many anchors as a shard holds."""
+    ids: dict[bytes, int] = {}
+    name = np.concatenate([np.array([ids.setdefault(t, len(ids)) for t in x[0]], np.int64)[x[1]] for x in parts])
+    if not len(name):
+        return
+    low, row, start, owner = (np.concatenate([x[i] for x in parts]) for i in (2, 3, 4, 5))
+    place = np.repeat(np.arange(len(parts)), [len(x[1]) for x in parts])
+    texts = list(ids)
+    del ids
+    anchor = np.zeros(len(texts), np.uint32)
+    anchor[name] = low
+    least = np.full(len(texts), E.LAST, np.int64)
+    np.minimum.at(least, name, owner)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    lowest, highest = least.copy(), least.copy()
+    order = np.argsort(anchor, kind="stable")
+    first = changes(anchor[order])
+    own = order[np.repeat(np.diff(np.append(first, len(order))) > 1, np.diff(np.append(first, len(order))))]
+    begins, windows = np.zeros(len(texts), np.int64), [np.zeros(0, np.int64)]
+    total = np.append(0, np.cumsum(sizes[own]))
+    groups = np.append(changes(anchor[own]), len(own))
+    base = 0
+    for a, b in X.slices(total[groups], SHARD):
+        some = own[groups[a]:groups[b]]
+        buf = np.frombuffer(b"".join([texts[i] for i in some.tolist()]), np.uint8)
+        ends = np.cumsum(sizes[some])
+        count = sizes[some] - LENGTH + 1
+        at = spread(ends - sizes[some], count)
+        window = np.zeros(len(buf), bool)
+        window[at] = True
+        cuts = [int(ends[e - 1]) for _, e in X.slices(np.append(0, ends), SHARD)]
+        lows = least_owner(buf, window, np.repeat(least[some], sizes[some]), cuts)[at]
+        begin = np.cumsum(count) - count
+        lowest[some], highest[some] = np.minimum.reduceat(lows, begin), np.maximum.reduceat(lows, begin)
+        begins[some] = begin + base
+        base += len(lows)
+        windows.append(lows)
+    windows = np.concatenate(windows)
+    # most copies lose all of a run or nothing; only the others are looked at window by window
+    whole = np.flatnonzero(owner > highest[name])
+    some = np.flatnonzero((owner > lowest[name]) & (owner <= highest[name]))
+    n = sizes[name[some]] - LENGTH + 1
+    which = np.repeat(np.arange(len(some)), n)
+    gone = windows[spread(begins[name[some]], n)] < owner[some][which]
+    edge, last = gone.copy(), gone.copy()
+    edge[1:] &= ~gone[:-1] | (which[1:] != which[:-1])
+    last[:-1] &= ~gone[1:] | (which[1:] != which[:-1])
+    a, b = np.flatnonzero(edge), np.flatnonzero(last)
+    r = some[which[a]]
+    run = np.concatenate([whole, r])
+    begin = np.concatenate([start[whole], start[r] + a - (np.cumsum(n) - n)[which[a]]])
+    length = np.concatenate([sizes[name[whole]], b - a + LENGTH])
+    order = np.argsort(run, kind="stable")
+    run, begin, length = run[order], begin[order], length[order]
+    first = changes(place[run])
+    for i, j in zip(first.tolist(), [*first[1:].tolist(), len(run)], strict=True) if len(run) else ():
+        yield int(place[run[i]]), (row[run[i:j]], begin[i:j], length[i:j])
+
+
 def remove_repeats(docs: DataFrame, key: str = "doc_id", column: str = "text", keep: tuple[str, ...] = (),
                    as_text: bool = False, hot_bytes: int = HOT) -> DataFrame:
     """``key``, the columns of ``keep``, n_bytes, n_removed, spans (removed byte ranges), kept (the
@@ -312,38 +439,24 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", column: str = "text", k
     do not remove each other's bytes; a null key comes after all others.  Null
     or empty text: 0 bytes, no span.  Very long texts are hashed in segments.
     Further columns are ignored; an empty table gives an empty result."""
-    batches = E.make_batches(docs, key, column, keep)
-    bits = E.bucket_bits(batches)
+    batches = E.make_batches(docs, key, column, keep, size=BATCH)
+    total = E.text_bytes(batches)
+    bits = E.bits_for(total, BUCKET, E.LEAST_BITS)
+    part_bits = E.bits_for(total, PART, bits) - bits
     shared = E.Shared(bits)
 
     def question(batch):
         row, start, count, value = row_runs(batch)
-        held, rows = holders(value, row)
-        anchor, size = run_bytes(batch, row, start, count, value)
-        large = size > PLAIN
-        anchor, size = anchor[large], size[large]
-        sizes = dict(E.by_bucket(anchor, bits))
-        for bucket, payload in shared.question(held[rows > 1], held[rows == 1], np.zeros(0, X.U)):
-            cut = sizes.get(bucket, slice(0, 0))
-            yield bucket, E.join_parts([payload, E.pack(E.short(anchor[cut], bits)), E.planes(size[cut])])
+        order, name = by_name(value, bits)
+        first, several = held(name, row[order])
+        size = run_bytes(batch, first, (batch.off[row] + start)[order], count[order] + LENGTH - 1)
+        yield from question_of(name[first], several, size > PLAIN, size)
 
     def answer(bucket, payloads):
         """To each batch: its shared anchors and the hot ones among them; a note where any is hot."""
-        asked, anchors, sizes = zip(*(E.split_parts(p) for p in payloads), strict=True)
-        held, times = np.unique(np.concatenate([E.unpack(x, np.uint32) for p in asked for x in E.split_parts(p)]), return_counts=True)
-        heat = times * PLAIN
-        at = np.searchsorted(held, np.concatenate([E.unpack(x, np.uint32) for x in anchors]))
-        np.add.at(heat, at, np.concatenate([E.unplanes(x, np.int64) for x in sizes]) - PLAIN)
-        hot, any_hot, out = held[heat > hot_bytes], False, []
-        for found in shared.answer(bucket, asked):
-            if found is None:
-                out.append(None)
-                continue
-            own = E.unpack(found, np.uint32)
-            own = own[E.member(own, hot)]
-            any_hot |= len(own) > 0
-            out.append(E.join_parts([found, E.pack(own)]))
-        return [*out, b""] if any_hot else out
+        found = list(shared_names(payloads, hot_bytes))
+        out = [E.join_parts([E.pack(own), E.pack(hot)]) if len(own) else None for own, hot in found]
+        return [*out, b""] if any(len(hot) for _, hot in found) else out
 
     def parted(batch):
         """The answers about anchors, those about hot anchors and those about single windows."""
@@ -358,99 +471,59 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", column: str = "text", k
         row, start, count, value = row_runs(batch)
         hot = shared.flags(value, about)
         row, _, value = single_windows(batch, row[hot], start[hot], count[hot])
-        held, rows = holders(value, row)
-        yield from shared.question(held[rows > 1], held[rows == 1], np.zeros(0, X.U))
+        order, name = by_name(value, bits)
+        first, several = held(name, row[order])
+        yield from question_of(name[first], several, np.zeros(len(first), bool), np.zeros(len(first), np.int64))
+
+    def answer_windows(bucket, payloads):
+        return [E.pack(own) if len(own) else None for own, _ in shared_names(payloads, np.inf)]
 
     replies = E.stage(E.replies(batches, question, answer))
     anchored = E.told(batches, E.gathered(replies))
     if replies.where("batch_id = -1").first() is not None:
-        windows = E.replies(anchored, question_windows, shared.answer)
+        windows = E.replies(anchored, question_windows, answer_windows)
         windows = windows.select("batch_id", (F.col("bucket") + (1 << bits)).cast("int").alias("bucket"), "answer")
         anchored = E.told(batches, E.gathered(replies.unionByName(windows)))
 
     def runs(batch):
         row, start, count, value = row_runs(batch)
         about, hot, windows = parted(batch)
+        order, name = by_name(value, bits)
+        row, start, count, value = row[order], start[order], count[order], value[order]
         hot = shared.flags(value, hot)
         take = shared.flags(value, about) & ~hot
         if hot.any():
-            r, at, v = single_windows(batch, row[hot], start[hot], count[hot])
+            back = np.flatnonzero(hot)[np.argsort(order[hot])]
+            r, at, v = single_windows(batch, row[back], start[back], count[back])
             common = shared.flags(v, windows)
             row, start, value = (np.concatenate([x[take], y[common]]) for x, y in ((row, r), (start, at), (value, v)))
             count = np.concatenate([count[take], np.ones(int(common.sum()), np.int64)])
+            order, name = by_name(value, bits)
+            row, start, count = row[order], start[order], count[order]
         else:
-            row, start, count, value = row[take], start[take], count[take], value[take]
-        if not len(row):
-            return
-        order = np.lexsort((start, row, value))
-        row, start, count, value = row[order], start[order], count[order], value[order]
+            row, start, count, name = row[take], start[take], count[take], name[take]
         raw = batch.buf.tobytes()
         begin = batch.off[row] + start
         end = begin + count + LENGTH - 1
         owner = batch.order[row]
-        part = ((value >> X.U(64 - bits - PART_BITS)) & X.U((1 << PART_BITS) - 1)).astype(np.uint8)
-        for bucket, cut in E.by_bucket(value, bits):
+        for bucket, cut in named(name):
             texts: dict[bytes, int] = {}
             which = [texts.setdefault(raw[a:b], len(texts)) for a, b in zip(begin[cut].tolist(), end[cut].tolist(), strict=True)]
-            body = zstandard.ZstdCompressor(level=3).compress(b"".join(texts))
+            which, low, texts = np.array(which, np.uint32), name[cut].astype(np.uint32), list(texts)
+            edges = part_edges(low, part_bits)
+            ends = [int(which[:i].max()) + 1 if i else 0 for i in edges]
+            body = [zstandard.ZstdCompressor(level=3).compress(b"".join(texts[a:b])) for a, b in zip(ends[:-1], ends[1:], strict=True)]
             yield bucket, E.join_parts([
-                body, E.planes(np.fromiter(map(len, texts), np.int64, len(texts))), E.planes(np.array(which, np.uint32)), E.planes(part[cut]),
+                E.join_parts(body), E.planes(np.fromiter(map(len, texts), np.int64, len(texts))), E.planes(which), E.pack(low),
                 E.planes(row[cut].astype(np.uint32)), E.planes(start[cut].astype(np.int64)), E.planes(owner[cut])])
 
     def judge(bucket, payloads):
-        held, ids, parts = [], {}, []
-        for p in payloads:
-            body, size, which, part, row, start, owner = E.split_parts(p)
-            size = E.unplanes(size, np.int64)
-            raw = zstandard.ZstdDecompressor().decompress(body)
-            ends = np.cumsum(size)
-            name = np.array([ids.setdefault(raw[e - s:e], len(ids)) for s, e in zip(size.tolist(), ends.tolist(), strict=True)], np.int64)
-            which = name[E.unplanes(which, np.uint32)]
-            parts.append((which, E.unplanes(part, np.uint8)))
-            held.append((which, E.unplanes(row, np.uint32), E.unplanes(start, np.int64), E.unplanes(owner, np.int64)))
-        part = np.zeros(len(ids), np.uint8)
-        least = np.full(len(ids), E.LAST, np.int64)
-        for (name, p), (_, _, _, owner) in zip(parts, held, strict=True):
-            part[name] = p
-            np.minimum.at(least, name, owner)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        count = sizes - LENGTH + 1
-        begins = np.empty(len(ids), np.int64)
-        low = np.empty(int(sizes.sum()), np.int64)
-        texts, at = list(ids), 0
-        for p in np.unique(part):  # texts of one anchor are in one part: parts are judged alone
-            own = np.flatnonzero(part == p)
-            buf = np.frombuffer(b"".join([texts[i] for i in own.tolist()]), np.uint8)
-            ends = np.cumsum(sizes[own])
-            first = ends - sizes[own]
-            window = np.zeros(len(buf), bool)
-            window[spread(first, count[own])] = True
-            cuts = [int(ends[b - 1]) for _, b in X.slices(np.concatenate([[0], ends]), SHARD)]
-            low[at:at + len(buf)] = least_owner(buf, window, np.repeat(least[own], sizes[own]), cuts)
-            begins[own] = first + at
-            at += len(buf)
-        out = []
-        windows, first = low[spread(begins, count)], np.cumsum(count) - count
-        lowest, highest = np.minimum.reduceat(windows, first), np.maximum.reduceat(windows, first)
-        for name, row, start, owner in held:
-            # most copies lose all of a run or nothing; only the others are looked at window by window
-            whole = np.flatnonzero(owner > highest[name])
-            some = np.flatnonzero((owner > lowest[name]) & (owner <= highest[name]))
-            full = (row[whole], start[whole], sizes[name[whole]])
-            name, row, start, owner = name[some], row[some], start[some], owner[some]
-            n = count[name]
-            which = np.repeat(np.arange(len(name)), n)
-            gone = low[spread(begins[name], n)] < owner[which]
-            inner = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
-            edge = gone.copy()
-            edge[1:] &= ~gone[:-1] | (which[1:] != which[:-1])
-            last = gone.copy()
-            last[:-1] &= ~gone[1:] | (which[1:] != which[:-1])
-            a, b = np.flatnonzero(edge), np.flatnonzero(last)
-            r = which[a]
-            spans = (np.concatenate([full[0], row[r]]), np.concatenate([full[1], start[r] + inner[a]]), np.concatenate([full[2], b - a + LENGTH]))
-            out.append(E.join_parts([E.planes(x) for x in spans]) if len(spans[0]) else None)
-        return out
+        opened = [Runs(p, part_bits) for p in payloads]
+        spans = [[] for _ in payloads]
+        for part in range(1 << part_bits):  # texts of one anchor are in one part
+            for place, found in judge_part([x.part(part) for x in opened]):
+                spans[place].append(found)
+        return [E.join_parts([E.planes(np.concatenate(x)) for x in zip(*s, strict=True)]) if s else None for s in spans]
 
     found = E.told(batches, E.ask(anchored, runs, judge))
     fields = [T.StructField(key, T.LongType(), True), *(T.StructField(c, docs.schema[c].dataType, True) for c in keep),
@@ -459,14 +532,11 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", column: str = "text", k
 
     def cut(record_batches):
         for batch in E.batches_of(record_batches):
-            size = len(batch.buf)
-            step = np.zeros(size + 1, np.int32)
-            for a in batch.answers.values():
-                row, start, length = E.split_parts(a)
-                at = batch.off[E.unplanes(row, np.uint32)] + E.unplanes(start, np.int64)
-                np.add.at(step, at, 1)
-                np.add.at(step, at + E.unplanes(length, np.int64), -1)
-            yield _cut_rows(batch, np.cumsum(step[:size]) > 0, names, as_text)
+            found = [E.split_parts(a) for a in batch.answers.values()]
+            row, at, length = (np.concatenate([np.zeros(0, kind), *(E.unplanes(x[i], kind) for x in found)])
+                               for i, kind in enumerate((np.uint32, np.int64, np.int64)))
+            at += batch.off[row]
+            yield _cut_rows(batch, *joined(at, at + length, row), names, as_text)
 
     return found.mapInArrow(tidied(cut), T.StructType(fields))
 
@@ -476,24 +546,32 @@ def spread(start: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.repeat(start - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
 
 
-def _cut_rows(batch, gone, names, as_text):
+def joined(start: np.ndarray, end: np.ndarray, row: np.ndarray):
+    """(starts, ends, rows) of the spans in order, those of a row that meet or overlap made one."""
+    order = np.argsort(start)
+    start, row, reach = start[order], row[order], np.maximum.accumulate(end[order])
+    new = np.ones(len(start), bool)
+    new[1:] = (start[1:] > reach[:-1]) | (row[1:] != row[:-1])
+    first = np.flatnonzero(new)
+    return start[first], reach[first + np.diff(np.append(first, len(start))) - 1], row[first]
+
+
+def _cut_rows(batch, start, end, row, names, as_text):
     n, off = len(batch.keys), batch.off
-    first = np.zeros(len(gone) + 1, bool)
-    first[off[:-1]] = True
-    edge = gone.copy()
-    edge[1:] &= ~gone[:-1] | first[1:len(gone)]
-    last = gone.copy()
-    last[:-1] &= ~gone[1:] | first[1:len(gone)]
-    a, b = np.flatnonzero(edge), np.flatnonzero(last) + 1
-    row = np.searchsorted(off, a, "right") - 1
     spans = pa.ListArray.from_arrays(
         pa.array(np.searchsorted(row, np.arange(n + 1)), pa.int32()),
-        pa.StructArray.from_arrays([pa.array(a - off[row]), pa.array(b - off[row])], names=["start", "end"]))
-    kept = np.concatenate([[0], np.cumsum(~gone)])
-    raw = batch.buf[~gone].tobytes()
-    ends = kept[off]
-    texts = [raw[x:y] for x, y in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+        pa.StructArray.from_arrays([pa.array(start - off[row]), pa.array(end - off[row])], names=["start", "end"]))
+    step = np.zeros(len(batch.buf) + 1, np.int8)  # spans are apart, but for the ends of rows
+    step[start] = 1
+    np.subtract.at(step, end, 1)
+    raw = batch.buf[np.cumsum(step[:-1], dtype=np.int8) == 0]
     size = np.diff(off)
-    kept = pa.array([t.decode("utf-8", "ignore") for t in texts], pa.string()) if as_text else pa.array(texts, pa.binary())
+    removed = np.bincount(row, end - start, n).astype(np.int64)
+    ends = np.concatenate([[0], np.cumsum(size - removed)])
+    if as_text:
+        raw = raw.tobytes()
+        kept = pa.array([raw[x:y].decode("utf-8", "ignore") for x, y in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)], pa.string())
+    else:
+        kept = pa.BinaryArray.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(raw)])
     return pa.RecordBatch.from_arrays(
-        [pa.array(batch.keys, pa.int64()), *batch.kept(), pa.array(size), pa.array(size - np.diff(ends)), spans, kept], names=names)
+        [pa.array(batch.keys, pa.int64()), *batch.kept(), pa.array(size), pa.array(removed), spans, kept], names=names)
